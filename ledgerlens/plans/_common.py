@@ -1,0 +1,8 @@
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def cols(*names: str) -> list[Column]:
+    return [F.col(n) for n in names]
