@@ -12,6 +12,7 @@ from ledgerlens.operators.aggregates import (
     expression_group,
     grouped_sum,
     having_filter,
+    label_aggregate,
 )
 from ledgerlens.operators.joins import (
     broadcast_if_small,

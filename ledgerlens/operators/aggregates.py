@@ -52,6 +52,28 @@ def any_label(cols: Sequence[str] | Mapping[str, str]) -> list[Column]:
     return [F.max(src).alias(name) for name, src in cols.items()]
 
 
+def label_aggregate(df: DataFrame, by, labels: Mapping[str, str], sums: Mapping[str, Column],
+                    counts: Mapping[str, Column] = {}) -> DataFrame:
+    """``GROUP BY by`` with ``MAX(label)`` columns, sums and counts, planned for scale.
+
+    A string ``MAX`` has no fixed-width buffer, so Spark would sort every input
+    row (SortAggregate). Here the raw rows are first hash-aggregated by the keys
+    *and* the label columns (sums and counts only); the string ``MAX`` then runs
+    over that small pre-aggregate. Sums of partial sums and counts are exact; the
+    sums are cast back to the type a single ``SUM`` gives.
+    """
+    keys = _by(by)
+    label_src = list(dict.fromkeys(labels.values()))
+    phase1 = df.groupBy(*keys, *label_src).agg(
+        *[F.sum(e).alias(n) for n, e in sums.items()],
+        *[F.count(e).alias(n) for n, e in counts.items()])
+    sum_types = {n: phase1.schema[n].dataType for n in sums}
+    return phase1.groupBy(*keys).agg(
+        *[F.max(src).alias(name) for name, src in labels.items()],
+        *[F.sum(n).cast(sum_types[n]).alias(n) for n in sums],
+        *[F.sum(n).cast("bigint").alias(n) for n in counts])
+
+
 def distinct_count_having(df: DataFrame, by, col: str, more_than: int, *, name: str = "qtd",
                           extra: Sequence[Column] = ()) -> DataFrame:
     """Groups with more than ``more_than`` distinct non-NULL ``col`` values.

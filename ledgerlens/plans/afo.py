@@ -9,13 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.constants import PROFILE_SUPPLIER_ADVANCE, STATUS_CLOSED, STATUS_OPEN
 from ledgerlens.functions import base_date_shift, code_filter, open_as_of
-from ledgerlens.operators import (
-    any_label,
-    conditional_count,
-    conditional_sum,
-    ordered_output,
-    scope_filter,
-)
+from ledgerlens.operators import label_aggregate, ordered_output, scope_filter
 
 
 def afo01_supplier_advances(supplier_tx: DataFrame, *, establishments: Iterable[str] | str,
@@ -34,13 +28,14 @@ def afo01_supplier_advances(supplier_tx: DataFrame, *, establishments: Iterable[
                    & code_filter("status", include=statuses))
     is_open = F.col("status") == STATUS_OPEN
     is_closed = F.col("status") == STATUS_CLOSED
-    g = df.groupBy("cod_estabelecimento", "cod_fornecedor").agg(
-        *any_label({"cnpj_cpf": "cnpj_cpf", "nome_fornecedor": "nome_fornecedor", "perfil_lanc": "perfil_lanc"}),
-        conditional_sum("valor_moeda", is_open).alias("valor_aberto"),
-        conditional_sum("valor_moeda", is_closed).alias("valor_fechado"),
-        F.sum("valor_moeda").alias("valor_total"),
-        conditional_count(is_open).alias("qtd_aberto"),
-        conditional_count(is_closed).alias("qtd_fechado"),
+    v = F.col("valor_moeda")
+    g = label_aggregate(
+        df, ["cod_estabelecimento", "cod_fornecedor"],
+        labels={"cnpj_cpf": "cnpj_cpf", "nome_fornecedor": "nome_fornecedor", "perfil_lanc": "perfil_lanc"},
+        sums={"valor_aberto": F.when(is_open, v).otherwise(F.lit(0)),
+              "valor_fechado": F.when(is_closed, v).otherwise(F.lit(0)),
+              "valor_total": v},
+        counts={"qtd_aberto": F.when(is_open, F.lit(1)), "qtd_fechado": F.when(is_closed, F.lit(1))},
     )
     g = g.filter(F.col("valor_total") != 0).withColumn("qtd_total", F.col("qtd_aberto") + F.col("qtd_fechado"))
     return ordered_output(g, [F.col("valor_aberto").desc()], ordered)

@@ -54,7 +54,7 @@ def bin01_note_detail(closed_tx: DataFrame, *, establishments, start, end,
     df = _debit_notes(closed_tx, establishments, start, end, profile)
     keys = distinct_count_having(df, "cod_cliente", "nota_fiscal", more_than, name="qtd_notas_fiscais")
     out = semi_join_back(df, keys, "cod_cliente").select(*CLOSED_DETAIL_COLUMNS)
-    return ordered_output(out, ["cod_cliente", "nota_fiscal", "data_transacao"], ordered)
+    return ordered_output(out, ["cod_cliente", "nota_fiscal", "data_transacao", "parcela"], ordered)
 
 
 def bin02_split_notes(closed_tx: DataFrame, *, establishments, start, end,
@@ -70,7 +70,7 @@ def bin02_split_notes(closed_tx: DataFrame, *, establishments, start, end,
     df = df.filter(F.col("cod_cliente").isNotNull()).select(*CLOSED_DETAIL_COLUMNS)
     out = count_over(df, ["cod_cliente", "nota_fiscal"], "nota_fiscal", more_than=more_than,
                      name="qtd_repeticao_nota")
-    return ordered_output(out, ["cod_cliente", "nota_fiscal", "data_transacao"], ordered)
+    return ordered_output(out, ["cod_cliente", "nota_fiscal", "data_transacao", "parcela"], ordered)
 
 
 def bin06_no_finance_moves(stock_moves: DataFrame, *, establishments, start, end,

@@ -7,9 +7,9 @@ every reply of its contact:
 * time is cut into buckets of ``bucket_seconds`` (default: the timeout);
 * the first reply after a message in its *own* bucket comes from a running
   minimum over (contact, bucket) ordered by time, descending;
-* the first reply in each of the next ``k = ceil(timeout / bucket)`` buckets
-  comes from a per-(contact, bucket) aggregate (map-side combined) shifted back
-  by 1..k buckets, joined 1:1 on (contact, bucket).
+* the first reply of every bucket falls out of the same pass; shifted back by
+  1..k buckets (``k = ceil(timeout / bucket)``) it is joined 1:1 on
+  (contact, bucket) to the messages of the earlier bucket.
 
 A reply later than ``timeout`` after its message cannot lie beyond bucket
 ``b + k``, so the match is exact. A contact with a huge share of traffic is
@@ -109,17 +109,28 @@ def confirm_outcomes(messages: DataFrame, replies: DataFrame, *,
                           F.lit(None).cast(rep.schema["__r"].dataType).alias("__r"))
               .unionByName(rep.select("contact_id", "__b", "__ts", F.lit(1).alias("__kind"),
                                       F.lit(None).cast(msg_type).alias("__msg"), "__r")))
-    w = (Window.partitionBy("contact_id", "__b").orderBy(F.col("__ts").desc(), F.col("__kind").asc())
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    same = (events.withColumn("__same", F.min("__r").over(w))
-            .filter(F.col("__kind") == 0).select("contact_id", "__b", "__msg", "__same"))
-
-    # (2) first reply of each later bucket within reach, per (contact, bucket).
-    first_per_bucket = rep.groupBy("contact_id", "__b").agg(F.min("__r").alias("__first"))
-    ahead = (first_per_bucket
-             .select("contact_id", "__b", "__first", F.explode(F.sequence(F.lit(1), F.lit(k))).alias("__shift"))
-             .select("contact_id", (F.col("__b") - F.col("__shift")).alias("__b"), "__first")
-             .groupBy("contact_id", "__b").agg(F.min("__first").alias("__next")))
+    order = [F.col("__ts").desc(), F.col("__kind").asc()]
+    w_run = (Window.partitionBy("contact_id", "__b").orderBy(*order)
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    w_all = (Window.partitionBy("contact_id", "__b").orderBy(*order)
+             .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    marked = (events.withColumn("__same", F.min("__r").over(w_run))
+              .withColumn("__bucket_first", F.min("__r").over(w_all)))
+    same = marked.filter(F.col("__kind") == 0).select("contact_id", "__b", "__msg", "__same")
+
+    # (2) the first reply of each bucket comes out of the same pass (the reply row
+    # equal to its bucket's minimum), shifted back by 1..k buckets. Only the
+    # lookahead of k > 1 needs an aggregate, over one row per bucket and shift.
+    firsts = (marked.filter((F.col("__kind") == 1) & (F.col("__r") == F.col("__bucket_first")))
+              .select("contact_id", "__b", F.col("__bucket_first").alias("__first")).distinct())
+    if k == 1:
+        ahead = firsts.select("contact_id", (F.col("__b") - 1).alias("__b"), F.col("__first").alias("__next"))
+    else:
+        ahead = (firsts
+                 .select("contact_id", "__b", "__first",
+                         F.explode(F.sequence(F.lit(1), F.lit(k))).alias("__shift"))
+                 .select("contact_id", (F.col("__b") - F.col("__shift")).alias("__b"), "__first")
+                 .groupBy("contact_id", "__b").agg(F.min("__first").alias("__next")))
 
     # Same keys as the window's partitioning: only the small ``ahead`` side moves.
     out = same.join(ahead, ["contact_id", "__b"], "left")
