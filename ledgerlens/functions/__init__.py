@@ -33,7 +33,7 @@ from ledgerlens.functions.dates import (
     weekend_flag,
     year_month,
 )
-from ledgerlens.functions.labels import invert_groups, literal_map, operation_label
+from ledgerlens.functions.labels import invert_groups, label_lookup, literal_map, operation_label
 from ledgerlens.functions.predicates import (
     code_filter,
     in_date_range,

@@ -14,10 +14,27 @@ def literal_map(mapping: dict) -> Column:
     return F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(v))])
 
 
+def label_lookup(c, mapping: dict, default) -> Column:
+    """Code -> label as ``CASE WHEN c IN (codes of label 1) THEN label 1 ...``.
+
+    One ``IN`` per distinct label (a hash-set probe), no join; comparisons follow
+    the column's collation, so a case-insensitive view matches case-insensitively.
+    The first label listing a code wins.
+    """
+    col = as_col(c)
+    by_label: dict = {}
+    for code, label in mapping.items():
+        by_label.setdefault(label, []).append(code)
+    expr = None
+    for label, codes in by_label.items():
+        cond = col.isin(*codes)
+        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
+    return F.lit(default) if expr is None else expr.otherwise(F.lit(default))
+
+
 def operation_label(c, labels: dict[str, str], default: str = CHECK_LABEL) -> Column:
     """Operation code -> text; unknown (or NULL) codes -> ``default``."""
-    col = as_col(c)
-    return F.coalesce(F.try_element_at(literal_map(labels), col), F.lit(default)) if labels else F.lit(default)
+    return label_lookup(c, labels, default)
 
 
 def invert_groups(groups: dict[str, tuple | list]) -> dict[str, str]:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.labels import invert_groups, literal_map
+from ledgerlens.functions.labels import invert_groups, label_lookup
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -35,14 +35,13 @@ def group_lookup(df: DataFrame, code_col: str, dim, *, default: str, name: str =
                  max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Attach a label per code, ``default`` when the code is not listed.
 
-    ``dim`` may be a ``{group: codes}`` dict (compiled into a literal map lookup:
-    no join, no shuffle) or a DataFrame of (code, group). A DataFrame is
+    ``dim`` may be a ``{group: codes}`` dict (compiled into ``CASE WHEN code IN
+    (...)``: no join, no shuffle) or a DataFrame of (code, group). A DataFrame is
     de-duplicated per code (first group alphabetically) and broadcast only when its
     row count is proven to be at most ``max_broadcast_rows``.
     """
     if isinstance(dim, dict):
-        m = literal_map(invert_groups(dim))
-        return df.withColumn(name, F.coalesce(F.try_element_at(m, F.col(code_col)), F.lit(default)))
+        return df.withColumn(name, label_lookup(code_col, invert_groups(dim), default))
     d = (dim.groupBy(F.col(dim_code_col).alias("__code"))
             .agg(F.min(dim_value_col).alias("__label")))
     d = broadcast_if_small(d, max_broadcast_rows)

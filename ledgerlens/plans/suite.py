@@ -33,6 +33,7 @@ from ledgerlens.plans.car import (
 )
 from ledgerlens.plans.cax import cax02_cash_over_limit
 from ledgerlens.plans.rec import billing_extract, rec07_weekend_holiday_billing
+from ledgerlens.sources.views import with_collation
 
 
 @dataclass(frozen=True)
@@ -86,13 +87,16 @@ def params_text(params: Mapping) -> str:
                       separators=(",", ":"))
 
 
-def run_check(key: str, views: Mapping[str, DataFrame], params: Mapping) -> DataFrame:
+def run_check(key: str, views: Mapping[str, DataFrame], params: Mapping,
+              collation: str | None = None) -> DataFrame:
+    """Run one catalogued check on its view; ``collation`` (e.g. ``UTF8_LCASE``)
+    makes its text comparisons follow that collation."""
     check = CATALOG[key]
-    return check.fn(views[check.view], **params)
+    return check.fn(with_collation(views[check.view], collation), **params)
 
 
 def audit_suite(checks: Sequence[str], views: Mapping[str, DataFrame],
-                params: Mapping[str, Mapping]) -> DataFrame:
+                params: Mapping[str, Mapping], collation: str | None = None) -> DataFrame:
     """One row per check: ``check``, ``code``, ``area``, ``parameters``, ``rows_found``.
 
     Checks run unordered (their row order does not change a count, so no sort is planned).
@@ -103,7 +107,7 @@ def audit_suite(checks: Sequence[str], views: Mapping[str, DataFrame],
         p = dict(params.get(key, {}))
         if "ordered" in check.fn.__code__.co_varnames:
             p.setdefault("ordered", False)
-        result = check.fn(views[check.view], **p)
+        result = check.fn(with_collation(views[check.view], collation), **p)
         shown = {k: v for k, v in p.items() if k != "ordered"}
         frames.append(result.agg(F.count(F.lit(1)).alias("rows_found")).select(
             F.lit(key).alias("check"), F.lit(check.code).alias("code"), F.lit(check.area).alias("area"),

@@ -15,6 +15,7 @@ from ledgerlens.sources.views import (
     canonical_columns,
     load_view,
     materialize_view,
+    with_collation,
 )
 
 __all__ = [n for n in dir() if not n.startswith("_")]

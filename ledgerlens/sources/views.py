@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.sources.testdata import testdata_view
@@ -126,3 +127,25 @@ def materialize_view(df: DataFrame, path: str, *,
     """
     (df.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
        .partitionBy(*partition_by).parquet(path))
+
+
+def with_collation(df: DataFrame, collation: str | None = "UTF8_LCASE",
+                   columns: Sequence[str] | None = None) -> DataFrame:
+    """Give string columns a collation, so that every comparison a check makes on
+    them (``=``, ``IN``, ``LIKE '%EST%'``, grouping) follows it, as the source
+    database's collation would. ``UTF8_LCASE`` is case-insensitive. ``None``
+    returns ``df`` unchanged (binary comparison, the default).
+
+    Collated predicates are evaluated by Spark after the scan rather than pushed
+    into Parquet, so keep date scopes on plain columns (they still push down).
+    """
+    if not collation:
+        return df
+    names = set(columns) if columns is not None else None
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.StringType) and (names is None or f.name in names):
+            c = F.collate(c, collation)
+        cols.append(c.alias(f.name))
+    return df.select(*cols)

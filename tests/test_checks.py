@@ -180,3 +180,26 @@ def test_bin01_detail_codes_cover_summary(spark):
     s = bin01_note_summary(view, **fx.PARAMS["bin01_note_summary"]).select("cod_cliente")
     d = bin01_note_detail(view, **fx.PARAMS["bin01_note_detail"]).select("cod_cliente")
     assert s.subtract(d).count() == 0
+
+
+def test_every_check_runs_with_case_insensitive_collation(spark):
+    from ledgerlens.plans import CATALOG, run_check
+
+    views = {}
+    for key, check in CATALOG.items():
+        if check.view not in views:
+            views[check.view] = derived_view(spark, SF_SMALL, check.view)
+        plain = run_check(key, views, fx.PARAMS[key]).count()
+        collated = run_check(key, views, fx.PARAMS[key], collation="UTF8_LCASE").count()
+        assert plain == collated, key
+
+
+def test_collation_matches_lower_case_codes(spark):
+    from ledgerlens.sources import with_collation
+
+    rows = [("r291", "c1", "N", D(2025, 8, 1), D(2025, 8, 1), "tnd", n, "V", 1, Decimal("1"), Decimal("1"))
+            for n in ("1", "1", "2-est")]
+    df = _view(spark, "closed_transactions", rows)
+    kw = dict(establishments=["R291"], start=D(2025, 7, 1), end=D(2025, 12, 31))
+    assert bin02_split_notes(df, **kw).count() == 0
+    assert bin02_split_notes(with_collation(df, "UTF8_LCASE"), **kw).count() == 2
