@@ -71,7 +71,7 @@ CATALOG: dict[str, Check] = {
                                      car10_multiple_advances),
     "rec07_weekend_holiday_billing": Check("REC.07", AREA_REVENUE, "sales_orders",
                                            rec07_weekend_holiday_billing),
-    "billing_extract": Check("RPA.D365", AREA_RPA, "sales_orders", billing_extract),
+    "billing_extract": Check("RPA.FAT", AREA_RPA, "sales_orders", billing_extract),
 }
 
 

@@ -94,3 +94,19 @@ def test_billing_extract_partitioned_write(spark, tmp_out):
     assert back.count() == want.count()
     dirs = [d for d in os.listdir(path) if not d.startswith((".", "_"))]
     assert dirs and all(d.startswith("cod_estabelecimento=") for d in dirs)
+
+
+def test_run_audit_writes_tables_and_summary(spark, tmp_out):
+    from ledgerlens.jobs import run_audit
+    from ledgerlens.plans import CATALOG, run_check
+
+    keys = ["afo01_supplier_advances", "car07_open_bin_overdue", "rec07_weekend_holiday_billing"]
+    views = {CATALOG[k].view: derived_view(spark, SF_SMALL, CATALOG[k].view) for k in keys}
+    checks = {k: {p: (v.isoformat() if isinstance(v, dt.date) else v) for p, v in fx.PARAMS[k].items()}
+              for k in keys}
+    checks["rec07_weekend_holiday_billing"]["holidays"] = [d.isoformat() for d in fx.HOLIDAYS]
+    summary = {r.check: r.rows_found for r in run_audit(spark, views, checks, output=tmp_out, run_id="r1").collect()}
+    assert summary == {k: run_check(k, views, fx.PARAMS[k]).count() for k in keys}
+    assert summary["afo01_supplier_advances"] == 5
+    back = spark.read.parquet(os.path.join(tmp_out, "r1", "car07_open_bin_overdue"))
+    assert back.count() == summary["car07_open_bin_overdue"]
