@@ -32,10 +32,37 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
 
+    # Tables smaller than this are read as they come (a spread would cost more than it saves).
+    SPREAD_MIN_BYTES = 4 * 1024 * 1024
+
     def __getattr__(self, name: str) -> DataFrame:
         if name not in BASE_TABLES:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        return spread_scan(self.spark, self.spark.read.parquet(path), path, self.SPREAD_MIN_BYTES)
+
+
+def spread_scan(spark: SparkSession, df: DataFrame, path: str, min_bytes: int) -> DataFrame:
+    """Round-robin the rows of a scan that yields fewer input splits than task slots.
+
+    A Parquet row group cannot be split, so a file written as one large row
+    group is read by a single task and every operator pipelined after the scan
+    runs on one core. Such a scan is spread over ``defaultParallelism`` tasks;
+    filters and column pruning still reach the file (they push below the
+    repartition). Only a single local file is inspected (its footer); lakes of
+    many files or row groups already yield many splits and are read as they are.
+    """
+    import pathlib
+
+    import pyarrow.parquet as pq
+
+    p = pathlib.Path(path.removeprefix("file:"))
+    if not p.is_file() or p.stat().st_size < min_bytes:
+        return df
+    slots = spark.sparkContext.defaultParallelism
+    if pq.ParquetFile(str(p)).metadata.num_row_groups >= slots:
+        return df
+    return df.repartition(slots)
 
 
 def _s(c) -> Column:
