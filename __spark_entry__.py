@@ -38,7 +38,14 @@ from ledgerlens.functions import (
 )
 from ledgerlens.operators import conditional_count, conditional_sum, group_lookup
 from ledgerlens.constants import ESTABLISHMENT_GROUPS, GROUP_DEFAULT
-from ledgerlens.plans import CATALOG, audit_suite, confirm_messages, confirm_outcomes, run_check
+from ledgerlens.plans import (
+    CATALOG,
+    audit_suite,
+    confirm_messages,
+    confirm_outcomes,
+    confirm_report,
+    run_check,
+)
 from ledgerlens.session import checkpoint_dir
 from ledgerlens.sources import confirm_contacts, load_view, testdata_view
 
@@ -160,6 +167,16 @@ def q_confirm_outcomes(spark, sf_dir):
     return normalize(confirm_outcomes(sent, rep, timeout_seconds=fx.REPLY_TIMEOUT_SECONDS))
 
 
+def q_confirm_report(spark, sf_dir):
+    """The outcome table: invalid phones from the contact sheet, then every sent message
+    of a contact with a usable phone, with its outcome."""
+    prepared = confirm_messages(confirm_contacts(testdata_view(spark, sf_dir, "contacts")), company=fx.COMPANY)
+    outcomes = confirm_outcomes(testdata_view(spark, sf_dir, "sent_messages"),
+                                testdata_view(spark, sf_dir, "replies"), timeout_seconds=fx.REPLY_TIMEOUT_SECONDS)
+    return normalize(confirm_report(prepared, outcomes, run_ts=fx.RUN_TS,
+                                    timeout_seconds=fx.REPLY_TIMEOUT_SECONDS))
+
+
 def q_confirm_outcomes_stream(spark, sf_dir):
     """Streaming outcomes over the event files (availableNow), written to a Parquet sink
     under the session's checkpoint folder and read back. Only messages whose wait
@@ -214,6 +231,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["confirm_contacts"] = q_confirm_contacts
     out["confirm_messages"] = q_confirm_messages
     out["confirm_outcomes"] = q_confirm_outcomes
+    out["confirm_report"] = q_confirm_report
     out["confirm_outcomes_stream"] = q_confirm_outcomes_stream
     return out
 

@@ -179,6 +179,26 @@ FROM sent_messages s LEFT JOIN firsts f ON f.message_id = s.message_id""", "sent
         "firsts": "SELECT message_id, reply_ts, reply_text FROM ranked WHERE rn = 1"})
 
 
+def confirm_report_sql() -> str:
+    digits = "regexp_replace(coalesce(telefone, ''), '[^0-9]', '', 'g')"
+    clean = (f"CASE WHEN {digits} = '' THEN NULL WHEN {digits} LIKE '55%' THEN {digits} "
+             f"WHEN length({digits}) <= 11 THEN '55' || {digits} ELSE {digits} END")
+    notes = ("array_to_string(list_filter(list_transform(string_split(coalesce(notas_fiscais, ''), ','), "
+             "lambda x: trim(x)), lambda x: x <> ''), ',')")
+    run_ts = fx.RUN_TS.strftime("%Y-%m-%d %H:%M:%S")
+    outcomes = confirm_outcomes_sql()
+    return with_views(f"""
+SELECT nome_cliente, telefone, notas_fiscais, 'ERRO - TELEFONE INVÁLIDO' AS status,
+  CAST(NULL AS VARCHAR) AS resposta, TIMESTAMP '{run_ts}' AS data_hora
+FROM kept WHERE ({clean}) IS NULL
+UNION ALL
+SELECT k.nome_cliente, {clean.replace('telefone', 'k.telefone')} AS telefone,
+  {notes.replace('notas_fiscais', 'k.notas_fiscais')} AS notas_fiscais, o.status, o.resposta,
+  coalesce(o.reply_ts, o.sent_ts + INTERVAL {fx.REPLY_TIMEOUT_SECONDS} SECOND) AS data_hora
+FROM ({outcomes}) o JOIN kept k ON k.contact_id = o.contact_id
+WHERE ({clean.replace('telefone', 'k.telefone')}) IS NOT NULL""", "contacts", ctes={"kept": _CONTACTS_KEPT})
+
+
 def audit_suite_sql() -> str:
     parts = []
     for key in fx.PARAMS:
@@ -209,4 +229,5 @@ ORACLE_SQL.update({
     "confirm_contacts": confirm_contacts_sql(),
     "confirm_messages": confirm_messages_sql(),
     "confirm_outcomes": confirm_outcomes_sql(),
+    "confirm_report": confirm_report_sql(),
 })

@@ -159,11 +159,14 @@ def confirm_report(prepared: DataFrame, outcomes: DataFrame, *, run_ts: _dt.date
     phone and notes as given; messaged contacts get their cleaned phone and
     notes, the outcome, and the reply time (or the end of the wait).
     """
+    ts_type = outcomes.schema["sent_ts"].dataType
+    run = (F.to_timestamp_ntz(F.lit(run_ts.isoformat(sep=" "))) if isinstance(ts_type, T.TimestampNTZType)
+           else F.lit(run_ts).cast(ts_type))
     invalid = prepared.filter(~F.col("telefone_valido")).select(
         "nome_cliente", "telefone", "notas_fiscais",
         F.lit(CONFIRM_STATUS_INVALID_PHONE).alias("status"),
         F.lit(None).cast("string").alias("resposta"),
-        F.lit(run_ts).alias("data_hora"))
+        run.alias("data_hora"))
     valid = prepared.filter(F.col("telefone_valido")).select(
         contact_key, "nome_cliente", F.col("telefone_limpo").alias("telefone"),
         F.col("notas_texto").alias("notas_fiscais"))
@@ -171,4 +174,4 @@ def confirm_report(prepared: DataFrame, outcomes: DataFrame, *, run_ts: _dt.date
     messaged = outcomes.join(valid, contact_key, "inner").select(
         "nome_cliente", "telefone", "notas_fiscais", "status", "resposta",
         F.coalesce(F.col("reply_ts"), limit).alias("data_hora"))
-    return invalid.unionByName(messaged.withColumn("data_hora", F.col("data_hora").cast(invalid.schema["data_hora"].dataType)))
+    return invalid.unionByName(messaged)

@@ -25,7 +25,7 @@ from ledgerlens.constants import (
     CONFIRM_STATUS_ANSWERED,
     CONFIRM_STATUS_NO_ANSWER,
 )
-from ledgerlens.plans.confirm import strip_text
+from ledgerlens.plans.confirm import epoch_micros, strip_text
 from ledgerlens.session import checkpoint_dir, subdir
 
 
@@ -35,14 +35,14 @@ def confirm_outcomes_stream(sent: DataFrame, replies: DataFrame, *,
     """Streaming outcomes: ``message_id``, ``contact_id``, ``sent_ts``, ``status``,
     ``resposta``, ``reply_ts``. Both inputs are streaming DataFrames with the
     batch schemas (blank replies are ignored)."""
-    # Watermarks need TIMESTAMP; local (NTZ) times are cast in and back out unchanged.
-    ntz = isinstance(sent.schema["sent_ts"].dataType, T.TimestampNTZType)
-    s = (sent.select("message_id", "contact_id", F.col("sent_ts").cast("timestamp").alias("sent_ts"))
-         .withWatermark("sent_ts", watermark))
+    # Watermarks need TIMESTAMP. Local (NTZ) times get a TZ-free event-time twin
+    # (the same wall clock read as UTC); the original values are carried to the output.
+    s = sent.select("message_id", "contact_id", F.col("sent_ts").alias("sent_orig"),
+                    _event_time(sent, "sent_ts").alias("sent_ts")).withWatermark("sent_ts", watermark)
     text = strip_text(F.col("reply_text"))
     r = (replies.filter(text != "")
-         .select(F.col("contact_id").alias("r_contact_id"), F.col("reply_ts").cast("timestamp").alias("reply_ts"),
-                 "reply_id", text.alias("reply_text"))
+         .select(F.col("contact_id").alias("r_contact_id"), _event_time(replies, "reply_ts").alias("reply_ts"),
+                 F.col("reply_ts").alias("reply_orig"), "reply_id", text.alias("reply_text"))
          .withWatermark("reply_ts", watermark))
     limit = F.col("sent_ts") + F.expr(f"INTERVAL {int(timeout_seconds)} SECONDS")
     cond = ((F.col("r_contact_id") == F.col("contact_id"))
@@ -50,19 +50,25 @@ def confirm_outcomes_stream(sent: DataFrame, replies: DataFrame, *,
     j = s.join(r, cond, "leftOuter")
     first = F.min(F.when(F.col("reply_ts").isNotNull(),
                          F.struct(F.col("reply_ts").alias("ts"), F.col("reply_id").alias("id"),
-                                  F.col("reply_text").alias("text"))))
+                                  F.col("reply_text").alias("text"), F.col("reply_orig").alias("orig"))))
     agg = (j.groupBy(F.window("sent_ts", f"{int(timeout_seconds)} seconds"), "message_id", "contact_id")
-           .agg(F.min("sent_ts").alias("sent_ts"), first.alias("best")))
+           .agg(F.min("sent_orig").alias("sent_ts"), first.alias("best")))
     answered = F.col("best").isNotNull()
-    ts_type = "timestamp_ntz" if ntz else "timestamp"
     return agg.select(
-        "message_id", "contact_id", F.col("sent_ts").cast(ts_type).alias("sent_ts"),
+        "message_id", "contact_id", "sent_ts",
         F.when(answered, F.lit(CONFIRM_STATUS_ANSWERED)).otherwise(F.lit(CONFIRM_STATUS_NO_ANSWER)).alias("status"),
         F.col("best.text").alias("resposta"),
-        F.col("best.ts").cast(ts_type).alias("reply_ts"),
+        F.col("best.orig").alias("reply_ts"),
     )
 
 
+def _event_time(df: DataFrame, col: str):
+    """A TIMESTAMP event-time column: as is, or for NTZ its wall clock read as UTC."""
+    if isinstance(df.schema[col].dataType, T.TimestampNTZType):
+        return F.timestamp_micros(epoch_micros(df, col))
+    return F.col(col)
+
+
 def start_confirm_stream(spark: SparkSession, sent: DataFrame, replies: DataFrame, *, output_path: str,
                          name: str = "confirm_outcomes", timeout_seconds: int = CONFIRM_DEFAULT_TIMEOUT_SECONDS,
                          watermark: str = "1 hour", available_now: bool = False,

@@ -114,3 +114,17 @@ def test_confirm_report_schema(spark):
     assert report.filter("status = 'ERRO - TELEFONE INVÁLIDO'").count() == invalid > 0
     bad_raw = report.filter("status = 'ERRO - TELEFONE INVÁLIDO'").select("telefone").distinct().collect()
     assert {r.telefone for r in bad_raw} == {"sem telefone"}
+
+
+def test_outcomes_independent_of_session_time_zone(spark):
+    sent = spark.createDataFrame(SENT, "message_id long, contact_id long, sent_ts timestamp_ntz")
+    reps = spark.createDataFrame(REPLIES, "reply_id long, contact_id long, reply_ts timestamp_ntz, reply_text string")
+    want = brute_force(SENT, REPLIES, 300)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+        got = {r.message_id: (r.status, r.resposta, r.reply_ts)
+               for r in confirm_outcomes(sent, reps, timeout_seconds=300, bucket_seconds=60).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == want
