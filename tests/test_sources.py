@@ -110,3 +110,31 @@ def test_run_audit_writes_tables_and_summary(spark, tmp_out):
     assert summary["afo01_supplier_advances"] == 5
     back = spark.read.parquet(os.path.join(tmp_out, "r1", "car07_open_bin_overdue"))
     assert back.count() == summary["car07_open_bin_overdue"]
+
+
+def test_load_view_canonicalises_erp_column_names(spark, tmp_out):
+    df = spark.createDataFrame(
+        [("R351", "F1", "Ana", "123.456.789-01", "2025-07-01", "2025-08-01", "1900-01-01", "AFO", "ABERTO", "9",
+          "10.5")],
+        "COD_ESTABELECIMENTO string, COD_FORNECEDOR string, NOME_FORNECEDOR string, `CNPJ/CPF` string, "
+        "DATA_TRANSACAO string, DATA_VENCIMENTO string, DATA_LIQUIDACAO string, PERFIL_LANC string, "
+        "STATUS string, NUM_NOTA_FISCAL string, VALOR_MOEDA string")
+    path = os.path.join(tmp_out, "erp_sup")
+    df.write.parquet(path)
+    view = load_view(spark, "supplier_transactions", path=path)
+    from ledgerlens.sources import VIEW_SCHEMAS
+
+    assert view.schema == VIEW_SCHEMAS["supplier_transactions"]
+    r = view.collect()[0]
+    assert r.cnpj_cpf == "123.456.789-01" and r.data_transacao == dt.date(2025, 7, 1)
+    from ledgerlens.plans import afo01_supplier_advances
+
+    res = afo01_supplier_advances(view, establishments="R351", base_date=dt.date(2025, 12, 31)).collect()
+    assert len(res) == 1 and float(res[0].valor_aberto) == 10.5
+
+
+def test_load_view_requires_one_source(spark):
+    with pytest.raises(ValueError):
+        load_view(spark, "open_bin")
+    with pytest.raises(ValueError):
+        load_view(spark, "open_bin", path="/x", sf_dir="/y")
