@@ -121,8 +121,11 @@ def supplier_transactions(t: Tables) -> DataFrame:
 
 
 def _line_order_customer(t: Tables) -> DataFrame:
-    return (t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(t.customer, F.col("o_custkey") == F.col("c_custkey")))
+    """Orders are joined to their customers first (both carry the check's date and
+    establishment scope), then the fact rows to that: only the scoped orders are
+    shuffled by customer, never the line-level result."""
+    scoped_orders = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    return t.lineitem.join(scoped_orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def customer_transactions(t: Tables) -> DataFrame:
