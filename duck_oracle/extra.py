@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from duck_oracle.queries import (
     CHECK_SQL,
-    CLEAN_SO,
-    GROUP_CASE,
-    _aging360,
-    _aging720,
+    GROUPS_CTE,
+    aging360,
+    aging720,
+    clean_id,
+    month_name,
+    offset,
+    to_due,
 )
 from duck_oracle.views import with_views
 from ledgerlens import fixture as fx
@@ -37,17 +40,17 @@ def view_sql(name: str) -> str:
 
 
 def tax_id_sql() -> str:
+    c = clean_id("cpf_cnpj")
     return with_views(f"""
-SELECT DISTINCT cpf_cnpj, {CLEAN_SO} AS cpf_cnpj_limpo, CAST(length({CLEAN_SO}) AS BIGINT) AS qtd_caracteres,
-  CASE WHEN length({CLEAN_SO}) = 11 THEN 'CPF' WHEN length({CLEAN_SO}) = 14 THEN 'CNPJ'
-       ELSE 'TAMANHO INVÁLIDO' END AS tipo_documento
+SELECT DISTINCT cpf_cnpj, {c} AS cpf_cnpj_limpo, CAST(length({c}) AS BIGINT) AS qtd_caracteres,
+  CASE length({c}) WHEN 11 THEN 'CPF' WHEN 14 THEN 'CNPJ' ELSE 'TAMANHO INVÁLIDO' END AS tipo_documento
 FROM sales_orders""", "sales_orders")
 
 
 def aging_720_sql() -> str:
     days = f"({AS_OF} - data_vencimento)"
     return with_views(f"""
-SELECT DISTINCT data_vencimento, CAST({days} AS BIGINT) AS dias_atraso, {_aging720(days)} AS categoria_atraso
+SELECT DISTINCT data_vencimento, CAST({days} AS BIGINT) AS dias_atraso, {aging720(days)} AS categoria_atraso
 FROM customer_transactions""", "customer_transactions")
 
 
@@ -55,52 +58,40 @@ def aging_360_sql() -> str:
     days = f"({AS_OF} - data_vencimento)"
     return with_views(f"""
 SELECT DISTINCT data_vencimento,
-  CAST(CASE WHEN data_vencimento >= {AS_OF} THEN 0 ELSE {days} END AS BIGINT) AS dias_atraso,
-  {_aging360(days)} AS categoria_atraso
+  CAST(IF(data_vencimento IS NULL, NULL, greatest({days}, 0)) AS BIGINT) AS dias_atraso,
+  {aging360(days)} AS categoria_atraso
 FROM supplier_transactions""", "supplier_transactions")
 
 
 def aging_to_due_sql() -> str:
     dif = f"(data_vencimento - {AS_OF})"
     return with_views(f"""
-SELECT DISTINCT data_vencimento, CAST({dif} AS BIGINT) AS dif_data,
-  CASE WHEN {dif} > 0 AND {dif} <= 30 THEN 'Venc. até 30 dias'
-       WHEN {dif} BETWEEN 31 AND 60 THEN 'Venc. 31 a 60'
-       WHEN {dif} BETWEEN 61 AND 90 THEN 'Venc. 61 a 90'
-       WHEN {dif} BETWEEN 91 AND 120 THEN 'Venc. 91 a 120'
-       WHEN {dif} > 120 THEN 'Venc. Mais 120'
-       ELSE 'Verificar' END AS aging_list
+SELECT DISTINCT data_vencimento, CAST({dif} AS BIGINT) AS dif_data, {to_due(dif)} AS aging_list
 FROM customer_transactions""", "customer_transactions")
 
 
 def offset_status_sql() -> str:
-    s = {p: f"SUM(CASE WHEN perfil_lanc = '{p.upper()}' THEN valor_moeda ELSE 0 END)"
-         for p in ("acl", "dpc", "atc", "tcc")}
     return with_views(f"""
 SELECT cod_cliente, data_transacao, data_vencimento,
-  CAST({s['acl']} AS DOUBLE) AS valor_acl, CAST({s['dpc']} AS DOUBLE) AS valor_dpc,
-  CAST({s['atc']} AS DOUBLE) AS valor_atc, CAST({s['tcc']} AS DOUBLE) AS valor_tcc,
-  CASE WHEN {s['acl']} = 0 THEN 'OK'
-       WHEN {s['dpc']} > {s['acl']} THEN 'Baixar ACL'
-       WHEN {s['dpc']} < {s['acl']} THEN 'Baixar DPC'
-       WHEN {s['tcc']} > {s['atc']} THEN 'Baixar ATC'
-       WHEN {s['tcc']} < {s['atc']} THEN 'Baixar TCC'
-       ELSE 'Não Aplicável' END AS status
-FROM customer_transactions
-GROUP BY cod_cliente, data_transacao, data_vencimento""", "customer_transactions")
+  CAST(acl AS DOUBLE) AS valor_acl, CAST(dpc AS DOUBLE) AS valor_dpc,
+  CAST(atc AS DOUBLE) AS valor_atc, CAST(tcc AS DOUBLE) AS valor_tcc,
+  {offset('acl', 'dpc', 'atc', 'tcc')} AS status
+FROM s""", "customer_transactions", ctes={"s": """
+  SELECT cod_cliente, data_transacao, data_vencimento,
+    sum(IF(perfil_lanc = 'ACL', valor_moeda, 0)) AS acl, sum(IF(perfil_lanc = 'DPC', valor_moeda, 0)) AS dpc,
+    sum(IF(perfil_lanc = 'ATC', valor_moeda, 0)) AS atc, sum(IF(perfil_lanc = 'TCC', valor_moeda, 0)) AS tcc
+  FROM customer_transactions
+  GROUP BY ALL"""})
 
 
 def month_name_sql() -> str:
-    names = ["JANEIRO", "FEVEREIRO", "MARÇO", "ABRIL", "MAIO", "JUNHO", "JULHO", "AGOSTO",
-             "SETEMBRO", "OUTUBRO", "NOVEMBRO", "DEZEMBRO"]
-    case = " ".join(f"WHEN month(data_transacao) = {i} THEN '{n}'" for i, n in enumerate(names, start=1))
     return with_views(f"""
 SELECT CAST(year(data_transacao) AS BIGINT) AS ano, CAST(month(data_transacao) AS BIGINT) AS mes,
-  CAST(SUM(CASE WHEN valor_moeda > 0 THEN valor_moeda ELSE 0 END) AS DOUBLE) AS total_debito,
-  CAST(COUNT(CASE WHEN valor_moeda > 0 THEN 1 END) AS BIGINT) AS qtd_debito,
-  CAST(SUM(CASE WHEN valor_moeda < 0 THEN valor_moeda ELSE 0 END) AS DOUBLE) AS total_credito,
-  CAST(COUNT(CASE WHEN valor_moeda < 0 THEN 1 END) AS BIGINT) AS qtd_credito,
-  CASE {case} ELSE 'VERIFICAR' END AS nome_mes
+  CAST(sum(IF(valor_moeda > 0, valor_moeda, 0)) AS DOUBLE) AS total_debito,
+  CAST(count(*) FILTER (WHERE valor_moeda > 0) AS BIGINT) AS qtd_debito,
+  CAST(sum(IF(valor_moeda < 0, valor_moeda, 0)) AS DOUBLE) AS total_credito,
+  CAST(count(*) FILTER (WHERE valor_moeda < 0) AS BIGINT) AS qtd_credito,
+  {month_name('month(data_transacao)')} AS nome_mes
 FROM gl_transactions
 GROUP BY year(data_transacao), month(data_transacao)""", "gl_transactions")
 
@@ -108,19 +99,19 @@ GROUP BY year(data_transacao), month(data_transacao)""", "gl_transactions")
 def calendar_sql() -> str:
     return with_views("""
 SELECT DISTINCT data_nota_fiscal,
-  dayofweek(data_nota_fiscal) IN (0, 6) AS fim_de_semana,
+  isodow(data_nota_fiscal) >= 6 AS fim_de_semana,
   dayname(data_nota_fiscal) AS dia_semana,
-  CAST(data_nota_fiscal AS DATE) IN (DATE '1998-09-07', DATE '1998-12-25') AS feriado,
-  day(data_nota_fiscal) <= day(last_day(data_nota_fiscal)) - 3 AS fora_fim_mes,
+  data_nota_fiscal IN (DATE '1998-09-07', DATE '1998-12-25') AS feriado,
+  day(last_day(data_nota_fiscal)) - day(data_nota_fiscal) >= 3 AS fora_fim_mes,
   strftime(data_nota_fiscal, '%d/%m/%Y') AS data_texto
 FROM sales_orders""", "sales_orders")
 
 
 def group_lookup_sql() -> str:
-    return with_views(f"""
-SELECT cod_estabelecimento, {GROUP_CASE} AS grupo, CAST(COUNT(*) AS BIGINT) AS linhas
-FROM sales_orders
-GROUP BY cod_estabelecimento""", "sales_orders")
+    return with_views("""
+SELECT s.cod_estabelecimento, coalesce(any_value(g.grupo), 'CADASTRAR') AS grupo, CAST(count(*) AS BIGINT) AS linhas
+FROM sales_orders s LEFT JOIN grupos g ON g.code = s.cod_estabelecimento
+GROUP BY s.cod_estabelecimento""", "sales_orders", ctes={"grupos": GROUPS_CTE})
 
 
 _CONTACTS_KEPT = """
