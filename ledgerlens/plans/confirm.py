@@ -1,19 +1,26 @@
 """Customer confirmation job, set-based.
 
-Messages are prepared per contact with column expressions; replies are matched
-to sent messages with a forward as-of join that never pairs a message with
-every reply of its contact:
-
-* time is cut into buckets of ``bucket_seconds`` (default: the timeout);
-* the first reply after a message in its *own* bucket comes from a running
-  minimum over (contact, bucket) ordered by time, descending;
-* the first reply of every bucket falls out of the same pass; shifted back by
-  1..k buckets (``k = ceil(timeout / bucket)``) it is joined 1:1 on
-  (contact, bucket) to the messages of the earlier bucket.
-
-A reply later than ``timeout`` after its message cannot lie beyond bucket
-``b + k``, so the match is exact. A contact with a huge share of traffic is
-spread over its time buckets; ``bucket_seconds`` makes them finer.
+Messages are prepared per contact with column expressions. Replies are matched
+to sent messages by a forward as-of join (first non-blank reply strictly after
+the message, within the timeout) that never pairs a message with the replies of
+its contact and keeps every group bounded whatever the data size:
+
+* time is cut into *coarse* buckets at least one timeout wide, each split into
+  ``fine_buckets`` *fine* buckets;
+* one window pass over (contact, fine bucket), in descending time, gives each
+  message the first later reply of its own fine bucket, and each fine bucket its
+  first reply;
+* a second window over (contact, coarse bucket) runs on those per-fine-bucket
+  firsts plus one probe row per fine bucket holding messages (at most
+  2 x ``fine_buckets`` rows per group) and gives the first reply of any later
+  fine bucket of the same coarse bucket, and the coarse bucket's first reply;
+* the next coarse bucket's first reply is joined 1:1.
+
+A reply within the timeout lies in the message's coarse bucket or the next,
+so the earliest of the three candidates is the exact answer. The first window's
+group holds one contact's events of one fine bucket (timeout / ``fine_buckets``
+of time), so a dominant contact is spread over many tasks; the second window's
+group size is bounded by a constant.
 """
 
 from __future__ import annotations
@@ -76,65 +83,72 @@ def confirm_messages(contacts: DataFrame, *, company: str, template: str = DEFAU
 
 def confirm_outcomes(messages: DataFrame, replies: DataFrame, *,
                      timeout_seconds: int = CONFIRM_DEFAULT_TIMEOUT_SECONDS,
-                     bucket_seconds: int | None = None) -> DataFrame:
+                     fine_buckets: int = 64) -> DataFrame:
     """One row per sent message with ``status``, ``resposta`` and ``reply_ts``.
 
     ``messages``: ``message_id``, ``contact_id``, ``sent_ts`` and optionally
     ``send_error`` (a sending failure, which wins over any reply); other columns
     are carried. ``replies``: ``reply_id``, ``contact_id``, ``reply_ts``,
     ``reply_text``. A message is answered by the first non-blank reply strictly
-    after it and at most ``timeout_seconds`` later (ties by ``reply_id``).
+    after it and at most ``timeout_seconds`` later (ties by ``reply_id``); a
+    message or reply without a contact matches nothing.
     """
-    bucket_s = int(bucket_seconds or timeout_seconds)
-    if bucket_s <= 0 or timeout_seconds <= 0:
-        raise ValueError("timeout and bucket must be positive")
-    k = max(1, math.ceil(timeout_seconds / bucket_s))
-    bucket_us = bucket_s * 1_000_000
+    if timeout_seconds <= 0 or fine_buckets < 1:
+        raise ValueError("timeout and fine_buckets must be positive")
+    fine_us = math.ceil(timeout_seconds * 1_000_000 / fine_buckets)   # coarse = fine_us * fine_buckets >= timeout
 
-    sent = messages.withColumn("__b", F.floor(epoch_micros(messages, "sent_ts") / bucket_us))
+    def keyed(df: DataFrame, ts: str) -> DataFrame:
+        f = F.floor(epoch_micros(df, ts) / fine_us)
+        return df.withColumn("__f", f).withColumn("__c", F.floor(F.col("__f") / fine_buckets))
+
+    sent = keyed(messages, "sent_ts")
     text = strip_text(F.col("reply_text"))
-    rep = (replies.filter(text != "")
-           .select("contact_id", F.col("reply_ts").alias("__ts"),
-                   F.struct(F.col("reply_ts").alias("ts"), F.col("reply_id").alias("id"),
-                            text.alias("text")).alias("__r")))
-    rep = rep.withColumn("__b", F.floor(epoch_micros(rep, "__ts") / bucket_us))
-
-    # (1) first reply after each message inside its own bucket: one pass over
-    # (contact, bucket) in descending time; at equal times the message sorts first,
-    # so only strictly later replies are in its frame. Messages ride along as a
-    # struct, so no join back on message_id is needed.
-    msg_type = T.StructType([f for f in sent.schema.fields])
-    events = (sent.select("contact_id", "__b", F.col("sent_ts").alias("__ts"), F.lit(0).alias("__kind"),
+    rep = keyed(replies.filter((text != "") & F.col("contact_id").isNotNull())
+                .select("contact_id", "reply_ts",
+                        F.struct(F.col("reply_ts").alias("ts"), F.col("reply_id").alias("id"),
+                                 text.alias("text")).alias("__r")), "reply_ts")
+    r_type = rep.schema["__r"].dataType
+
+    # (1) Fine buckets. At equal times the message sorts first (kind 0), so its
+    # running frame holds only strictly later replies. Messages ride along as a
+    # struct, so nothing is joined back on message_id.
+    msg_type = T.StructType(list(sent.schema.fields))
+    events = (sent.select("contact_id", "__f", "__c", F.col("sent_ts").alias("__ts"), F.lit(0).alias("__kind"),
                           F.struct(*[F.col(c) for c in sent.columns]).alias("__msg"),
-                          F.lit(None).cast(rep.schema["__r"].dataType).alias("__r"))
-              .unionByName(rep.select("contact_id", "__b", "__ts", F.lit(1).alias("__kind"),
-                                      F.lit(None).cast(msg_type).alias("__msg"), "__r")))
-    order = [F.col("__ts").desc(), F.col("__kind").asc()]
-    w_run = (Window.partitionBy("contact_id", "__b").orderBy(*order)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    w_all = (Window.partitionBy("contact_id", "__b").orderBy(*order)
-             .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    marked = (events.withColumn("__same", F.min("__r").over(w_run))
-              .withColumn("__bucket_first", F.min("__r").over(w_all)))
-    same = marked.filter(F.col("__kind") == 0).select("contact_id", "__b", "__msg", "__same")
-
-    # (2) the first reply of each bucket comes out of the same pass (the reply row
-    # equal to its bucket's minimum), shifted back by 1..k buckets. Only the
-    # lookahead of k > 1 needs an aggregate, over one row per bucket and shift.
-    firsts = (marked.filter((F.col("__kind") == 1) & (F.col("__r") == F.col("__bucket_first")))
-              .select("contact_id", "__b", F.col("__bucket_first").alias("__first")).distinct())
-    if k == 1:
-        ahead = firsts.select("contact_id", (F.col("__b") - 1).alias("__b"), F.col("__first").alias("__next"))
-    else:
-        ahead = (firsts
-                 .select("contact_id", "__b", "__first",
-                         F.explode(F.sequence(F.lit(1), F.lit(k))).alias("__shift"))
-                 .select("contact_id", (F.col("__b") - F.col("__shift")).alias("__b"), "__first")
-                 .groupBy("contact_id", "__b").agg(F.min("__first").alias("__next")))
-
-    # Same keys as the window's partitioning: only the small ``ahead`` side moves.
-    out = same.join(ahead, ["contact_id", "__b"], "left")
-    best = F.coalesce(F.col("__same"), F.col("__next"))
+                          F.lit(None).cast(r_type).alias("__r"))
+              .unionByName(rep.select("contact_id", "__f", "__c", F.col("reply_ts").alias("__ts"),
+                                      F.lit(1).alias("__kind"), F.lit(None).cast(msg_type).alias("__msg"),
+                                      "__r")))
+    fine = Window.partitionBy("contact_id", "__f").orderBy(F.col("__ts").desc(), F.col("__kind").asc())
+    marked = (events
+              .withColumn("__same", F.min("__r").over(fine.rowsBetween(Window.unboundedPreceding,
+                                                                        Window.currentRow)))
+              .withColumn("__ffirst", F.min("__r").over(fine.rowsBetween(Window.unboundedPreceding,
+                                                                          Window.unboundedFollowing))))
+    msgs = marked.filter(F.col("__kind") == 0).select("contact_id", "__f", "__c", "__msg", "__same")
+    fine_firsts = (marked.filter((F.col("__kind") == 1) & (F.col("__r") == F.col("__ffirst")))
+                   .select("contact_id", "__c", "__f", F.col("__ffirst").alias("__v"), F.lit(1).alias("__k"))
+                   .distinct())
+
+    # (2) Coarse buckets: per-fine-bucket firsts plus one probe per messaged fine
+    # bucket. Descending by fine bucket with the probe first at a tie, a probe's
+    # running frame holds exactly the later fine buckets of its coarse bucket.
+    probes = (sent.filter(F.col("contact_id").isNotNull()).select("contact_id", "__c", "__f").distinct()
+              .select("contact_id", "__c", "__f", F.lit(None).cast(r_type).alias("__v"), F.lit(0).alias("__k")))
+    coarse = Window.partitionBy("contact_id", "__c").orderBy(F.col("__f").desc(), F.col("__k").asc())
+    ranked = (probes.unionByName(fine_firsts)
+              .withColumn("__later", F.min("__v").over(coarse.rowsBetween(Window.unboundedPreceding,
+                                                                           Window.currentRow)))
+              .withColumn("__cfirst", F.min("__v").over(coarse.rowsBetween(Window.unboundedPreceding,
+                                                                            Window.unboundedFollowing))))
+    next_coarse = (ranked.filter(F.col("__k") == 1).select(
+        "contact_id", (F.col("__c") - 1).alias("__c"), F.col("__cfirst").alias("__cnext")).distinct())
+    probe_result = (ranked.filter(F.col("__k") == 0).select("contact_id", "__c", "__f", "__later")
+                    .join(next_coarse, ["contact_id", "__c"], "left")
+                    .select("contact_id", "__f", "__later", "__cnext"))
+
+    out = msgs.join(probe_result, ["contact_id", "__f"], "left")
+    best = F.coalesce(F.col("__same"), F.col("__later"), F.col("__cnext"))
     limit = F.col("__msg.sent_ts") + F.expr(f"INTERVAL {int(timeout_seconds)} SECONDS")
     answered = best.isNotNull() & (best["ts"] <= limit)
     status = F.when(answered, F.lit(CONFIRM_STATUS_ANSWERED)).otherwise(F.lit(CONFIRM_STATUS_NO_ANSWER))

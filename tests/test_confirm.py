@@ -49,10 +49,10 @@ def test_outcomes_match_brute_force_all_bucket_sizes(spark):
     reps = spark.createDataFrame(REPLIES, "reply_id long, contact_id long, reply_ts timestamp_ntz, reply_text string")
     want = brute_force(SENT, REPLIES, 300)
     assert want[1] == ("RESPONDIDO", "SIM", _s(300)) and want[4][0] == "SEM RESPOSTA"
-    for bucket in (None, 7, 60, 1000):
+    for fine in (1, 7, 64, 1000, 300_000_000):
         got = {r.message_id: (r.status, r.resposta, r.reply_ts)
-               for r in confirm_outcomes(sent, reps, timeout_seconds=300, bucket_seconds=bucket).collect()}
-        assert got == want, bucket
+               for r in confirm_outcomes(sent, reps, timeout_seconds=300, fine_buckets=fine).collect()}
+        assert got == want, fine
 
 
 def test_send_error_wins(spark):
@@ -72,7 +72,7 @@ def test_fixture_outcomes_brute_force(spark):
     want = brute_force(sent, reps, fx.REPLY_TIMEOUT_SECONDS)
     got = {r.message_id: (r.status, r.resposta, r.reply_ts)
            for r in confirm_outcomes(sent_df, rep_df, timeout_seconds=fx.REPLY_TIMEOUT_SECONDS,
-                                     bucket_seconds=3600).collect()}
+                                     fine_buckets=24).collect()}
     assert got == want
     assert len(got) == 188 and sum(v[0] == "RESPONDIDO" for v in got.values()) == 63
 
@@ -124,7 +124,29 @@ def test_outcomes_independent_of_session_time_zone(spark):
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
         got = {r.message_id: (r.status, r.resposta, r.reply_ts)
-               for r in confirm_outcomes(sent, reps, timeout_seconds=300, bucket_seconds=60).collect()}
+               for r in confirm_outcomes(sent, reps, timeout_seconds=300, fine_buckets=5).collect()}
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == want
+
+
+def test_random_hot_contact_matches_brute_force(spark):
+    import random
+
+    rnd = random.Random(7)
+    sent, reps = [], []
+    for i in range(400):
+        contact = 1 if rnd.random() < 0.6 else rnd.choice([2, 3, None])   # one dominant contact
+        sent.append((i, contact, _s(rnd.randint(0, 3000))))
+    for j in range(600):
+        contact = 1 if rnd.random() < 0.6 else rnd.choice([2, 3, None])
+        text = rnd.choice(["SIM", "NÃO", "  ", "ok "])
+        reps.append((10_000 + j, contact, _s(rnd.randint(0, 3300)), text))
+    sdf = spark.createDataFrame(sent, "message_id long, contact_id long, sent_ts timestamp_ntz")
+    rdf = spark.createDataFrame(reps, "reply_id long, contact_id long, reply_ts timestamp_ntz, reply_text string")
+    want = brute_force([s for s in sent if s[1] is not None], [r for r in reps if r[1] is not None], 120)
+    want.update({s[0]: ("SEM RESPOSTA", None, None) for s in sent if s[1] is None})
+    for fine in (1, 3, 64):
+        got = {r.message_id: (r.status, r.resposta, r.reply_ts)
+               for r in confirm_outcomes(sdf, rdf, timeout_seconds=120, fine_buckets=fine).collect()}
+        assert got == want, fine
