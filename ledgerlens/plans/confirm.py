@@ -48,13 +48,14 @@ from ledgerlens.functions import (
     confirm_sanitize,
 )
 
-_EPOCH = _dt.datetime(1970, 1, 1)
+_EPOCH_TEXT = "1970-01-01 00:00:00"
 
 
 def epoch_micros(df: DataFrame, col: str) -> Column:
     """Microseconds since 1970-01-01 without any time-zone shift for ``timestamp_ntz``."""
     if isinstance(df.schema[col].dataType, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"), F.col(col))
+        # Built from text: a Python datetime literal would pass through the session time zone.
+        return F.timestamp_diff("MICROSECOND", F.to_timestamp_ntz(F.lit(_EPOCH_TEXT)), F.col(col))
     return F.unix_micros(F.col(col))
 
 
