@@ -35,12 +35,29 @@ class Tables:
     # Tables smaller than this are read as they come (a spread would cost more than it saves).
     SPREAD_MIN_BYTES = 4 * 1024 * 1024
 
+    # Dimension sides up to this many rows are broadcast (about 100 MB for the joined order columns).
+    BROADCAST_MAX_ROWS = 2_000_000
+
     def __getattr__(self, name: str) -> DataFrame:
         if name not in BASE_TABLES:
             raise AttributeError(name)
         path = f"{self.sf_dir}/{name}.parquet"
         return spread_scan(self.spark, self.spark.read.parquet(path), path, self.SPREAD_MIN_BYTES)
 
+    def rows_at_most(self, name: str, max_rows: int) -> bool:
+        """Size proof for a base table: the Parquet footer's row count for a local file,
+        else a bounded count job (reads at most ``max_rows + 1`` rows)."""
+        import pathlib
+
+        import pyarrow.parquet as pq
+
+        p = pathlib.Path(f"{self.sf_dir}/{name}.parquet".removeprefix("file:"))
+        if p.is_file():
+            return pq.ParquetFile(str(p)).metadata.num_rows <= max_rows
+        from ledgerlens.operators.joins import row_count_at_most
+
+        return row_count_at_most(getattr(self, name), max_rows)
+
 
 def spread_scan(spark: SparkSession, df: DataFrame, path: str, min_bytes: int) -> DataFrame:
     """Round-robin the rows of a scan that yields fewer input splits than task slots.
@@ -122,9 +139,13 @@ def supplier_transactions(t: Tables) -> DataFrame:
 
 def _line_order_customer(t: Tables) -> DataFrame:
     """Orders are joined to their customers first (both carry the check's date and
-    establishment scope), then the fact rows to that: only the scoped orders are
-    shuffled by customer, never the line-level result."""
+    establishment scope), then the line items to that: only the scoped orders are
+    shuffled by customer, never the line-level result. The scoped orders (at most
+    one row per order) are broadcast when the orders table is proven small."""
     scoped_orders = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    if t.rows_at_most("orders", t.BROADCAST_MAX_ROWS):
+        # One row per order at most: proven small, so the line items are never shuffled.
+        scoped_orders = F.broadcast(scoped_orders)
     return t.lineitem.join(scoped_orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
