@@ -127,9 +127,9 @@ def confirm_outcomes(messages: DataFrame, replies: DataFrame, *,
               .withColumn("__ffirst", F.min("__r").over(fine.rowsBetween(Window.unboundedPreceding,
                                                                           Window.unboundedFollowing))))
     msgs = marked.filter(F.col("__kind") == 0).select("contact_id", "__f", "__c", "__msg", "__same")
+    # (Duplicate reply rows may repeat a first here; a minimum does not change.)
     fine_firsts = (marked.filter((F.col("__kind") == 1) & (F.col("__r") == F.col("__ffirst")))
-                   .select("contact_id", "__c", "__f", F.col("__ffirst").alias("__v"), F.lit(1).alias("__k"))
-                   .distinct())
+                   .select("contact_id", "__c", "__f", F.col("__ffirst").alias("__v"), F.lit(1).alias("__k")))
 
     # (2) Coarse buckets: per-fine-bucket firsts plus one probe per messaged fine
     # bucket. Descending by fine bucket with the probe first at a tie, a probe's
