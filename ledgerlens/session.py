@@ -47,3 +47,30 @@ def checkpoint_dir(spark: SparkSession, *, fallback_for_tests: bool = False) ->
 
 def subdir(base: str, *parts: str) -> str:
     return os.path.join(base, *parts)
+
+
+def scale_conf(input_bytes: int, total_cores: int, *, target_partition_bytes: int = 256 * 1024 * 1024,
+               shrink_after_scan: float = 0.25) -> dict[str, str]:
+    """Session settings for a cluster run over ``input_bytes`` of scoped input.
+
+    Shuffle partitions are sized so one partition holds about
+    ``target_partition_bytes`` of what reaches the first shuffle (the scoped,
+    pruned, pre-aggregated rows, estimated as ``shrink_after_scan`` of the
+    input), rounded up to whole waves of the cluster's cores; AQE coalesces
+    downwards at runtime and splits skewed join partitions. Scans split files
+    at 256 MB. Apply with ``for k, v in scale_conf(...).items(): spark.conf.set(k, v)``.
+    """
+    shuffled = max(1, int(input_bytes * shrink_after_scan))
+    parts = max(total_cores, -(-shuffled // target_partition_bytes))
+    parts = -(-parts // total_cores) * total_cores
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    }

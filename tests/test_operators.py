@@ -93,3 +93,12 @@ def test_member_filter_list_and_constant_label_and_order(spark):
     rows = out.collect()
     assert {r.est for r in rows} == {"GRUPO"} and rows[0].d == D(2025, 3, 1) and rows[-1].d == D(2024, 12, 31)
     assert ordered_output(df, ["d"], ordered=False) is df
+
+
+def test_scale_conf_sizes_partitions_in_core_waves():
+    from ledgerlens.session import scale_conf
+
+    conf = scale_conf(100 * 1024 ** 4, 8000)
+    parts = int(conf["spark.sql.shuffle.partitions"])
+    assert parts % 8000 == 0 and parts * 256 * 1024 ** 2 >= 25 * 1024 ** 4
+    assert int(scale_conf(10 * 1024 ** 2, 16)["spark.sql.shuffle.partitions"]) == 16
