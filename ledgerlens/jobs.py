@@ -24,7 +24,12 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.constants import CONFIRM_DEFAULT_TIMEOUT_SECONDS
+from ledgerlens.functions.confirm import DEFAULT_TEMPLATE
+from ledgerlens.plans.confirm import confirm_messages, confirm_outcomes, confirm_report
 from ledgerlens.plans.suite import CATALOG, params_text, run_check
+from ledgerlens.sources.contacts import confirm_contacts, read_contacts_csv
+from ledgerlens.sources.sinks import confirm_results
 from ledgerlens.sources.views import load_view
 
 _DATE_KEYS = {"base_date", "start", "end", "as_of", "settled_from"}
@@ -61,6 +66,31 @@ def run_audit(spark: SparkSession, views: Mapping[str, DataFrame], checks: Mappi
     return spark.read.format(fmt).load(f"{base}/_suite")
 
 
+def prepare_confirmation(spark: SparkSession, contacts_csv: str, output: str, *, company: str,
+                         template: str = DEFAULT_TEMPLATE, contact_key: str | None = None) -> DataFrame:
+    """Contact sheet -> message table (one row per contact, sanitized message text),
+    written to ``<output>/mensagens`` for the sending side; returns it read back."""
+    contacts = confirm_contacts(read_contacts_csv(spark, contacts_csv))
+    if contact_key is None:
+        contacts = contacts.withColumn("contact_id", F.monotonically_increasing_id())
+    elif contact_key != "contact_id":
+        contacts = contacts.withColumnRenamed(contact_key, "contact_id")
+    path = f"{output.rstrip('/')}/mensagens"
+    confirm_messages(contacts, company=company, template=template).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def finish_confirmation(spark: SparkSession, prepared: DataFrame, sent: DataFrame, replies: DataFrame,
+                        output: str, *, run_ts: _dt.datetime,
+                        timeout_seconds: int = CONFIRM_DEFAULT_TIMEOUT_SECONDS) -> DataFrame:
+    """Match replies to sent messages and write the outcome table (fixed schema) to
+    ``<output>/resultados``; returns it read back."""
+    outcomes = confirm_outcomes(sent, replies, timeout_seconds=timeout_seconds)
+    path = f"{output.rstrip('/')}/resultados"
+    confirm_results(confirm_report(prepared, outcomes, run_ts=run_ts, timeout_seconds=timeout_seconds), path)
+    return spark.read.parquet(path)
+
+
 def main(argv: list[str]) -> int:
     with open(argv[1], encoding="utf-8") as f:
         cfg = json.load(f)

@@ -138,3 +138,26 @@ def test_load_view_requires_one_source(spark):
         load_view(spark, "open_bin")
     with pytest.raises(ValueError):
         load_view(spark, "open_bin", path="/x", sf_dir="/y")
+
+
+def test_confirmation_job_end_to_end(spark, tmp_out):
+    from ledgerlens.jobs import finish_confirmation, prepare_confirmation
+
+    csv = os.path.join(tmp_out, "contatos.csv")
+    with open(csv, "w", encoding="utf-8") as f:
+        f.write("id,Cliente,Tel,Notas\n")
+        f.write("1,Ana,(81) 99999-1234,\"12, 13\"\n")
+        f.write("2,Bia,sem telefone,14\n")
+        f.write("3,Cris,,15\n")
+    prepared = prepare_confirmation(spark, csv, tmp_out, company="ACME", contact_key="id")
+    assert prepared.count() == 2
+    ana = prepared.filter("nome_cliente = 'Ana'").collect()[0]
+    assert ana.telefone_limpo == "5581999991234" and ana.notas_texto == "12,13" and "  • NF 13" in ana.mensagem
+    t0 = dt.datetime(2025, 1, 6, 12)
+    sent = spark.createDataFrame([(1, "1", t0)], "message_id long, contact_id string, sent_ts timestamp_ntz")
+    reps = spark.createDataFrame([(9, "1", t0 + dt.timedelta(seconds=30), "SIM")],
+                                 "reply_id long, contact_id string, reply_ts timestamp_ntz, reply_text string")
+    out = finish_confirmation(spark, prepared, sent, reps, tmp_out, run_ts=t0)
+    rows = {r.nome_cliente: (r.status, r.resposta, r.telefone) for r in out.collect()}
+    assert rows == {"Ana": ("RESPONDIDO", "SIM", "5581999991234"),
+                    "Bia": ("ERRO - TELEFONE INVÁLIDO", None, "sem telefone")}
