@@ -3,6 +3,7 @@
 from ledgerlens.plans.afo import afo01_supplier_advances
 from ledgerlens.plans.bin import (
     bin01_note_detail,
+    bin01_report,
     bin01_note_summary,
     bin02_split_notes,
     bin06_no_finance_moves,

@@ -91,3 +91,23 @@ def bin06_no_finance_moves(stock_moves: DataFrame, *, establishments, start, end
     out = g.select("cod_estabelecimento", "deposito", "data", "num_nota_fiscal", "quantidade",
                    "tipo_operacao", operation_label("tipo_operacao", dict(op_labels)).alias("desc_operacao"))
     return ordered_output(out, [F.col("data").desc(), F.col("num_nota_fiscal")], ordered)
+
+
+def bin01_report(closed_tx: DataFrame, path: str, *, establishments, start, end, group_label: str,
+                 profile: str = PROFILE_DEBIT_NOTE, more_than: int = 2, run_id: str | None = None,
+                 fmt: str = "parquet") -> dict[str, str]:
+    """BIN.01 as one report: the summary and the detail written together under
+    ``path/<run_id>/``, dates as ``dd/MM/yyyy`` text in the detail only, numbers kept
+    numeric. ``run_id`` defaults to the scope (establishments and end date), so the
+    name always matches the data. Both tables are computed and written by Spark;
+    nothing passes through the driver. Returns the two paths."""
+    from ledgerlens.functions._util import to_date_value
+    from ledgerlens.sources.sinks import write_report
+
+    ests = [establishments] if isinstance(establishments, str) else list(establishments)
+    run_id = run_id or f"BIN01_{'-'.join(ests)}_{to_date_value(end):%Y%m%d}"
+    kw = dict(establishments=ests, start=start, end=end, profile=profile, more_than=more_than)
+    summary = bin01_note_summary(closed_tx, group_label=group_label, **kw)
+    detail = bin01_note_detail(closed_tx, **kw)
+    return write_report(summary, detail, path, run_id=run_id, fmt=fmt,
+                        date_columns=("data_transacao", "data_vencimento"))

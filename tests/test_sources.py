@@ -161,3 +161,19 @@ def test_confirmation_job_end_to_end(spark, tmp_out):
     rows = {r.nome_cliente: (r.status, r.resposta, r.telefone) for r in out.collect()}
     assert rows == {"Ana": ("RESPONDIDO", "SIM", "5581999991234"),
                     "Bia": ("ERRO - TELEFONE INVÁLIDO", None, "sem telefone")}
+
+
+def test_bin01_report_writes_summary_and_detail(spark, tmp_out):
+    from ledgerlens.plans import bin01_note_detail, bin01_note_summary, bin01_report
+
+    view = derived_view(spark, SF_SMALL, "closed_transactions")
+    p = fx.PARAMS["bin01_note_summary"]
+    paths = bin01_report(view, tmp_out, **p)
+    assert paths["summary"].endswith("BIN01_R011-R021-R031-R041-R051-R061-R071-R081-R091-R101-R111-R121-R131-R141-R151_19981231/summary")
+    s = spark.read.parquet(paths["summary"])
+    d = spark.read.parquet(paths["detail"])
+    assert s.count() == bin01_note_summary(view, **p).count() == 72
+    kw = {k: v for k, v in p.items() if k != "group_label"}
+    assert d.count() == bin01_note_detail(view, **kw).count() == 644
+    assert dict(d.dtypes)["data_transacao"] == "string" and dict(d.dtypes)["valor_parcela"].startswith("decimal")
+    assert d.filter(~d.data_transacao.rlike(r"^\d{2}/\d{2}/\d{4}$")).count() == 0
