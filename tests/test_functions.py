@@ -142,3 +142,45 @@ def test_confirm_sanitize(spark):
     assert out[0].s == "ok \tA\nB\rCD" and out[0].n == 4
     assert out[1].s == "" and out[1].n == 0
     assert out[2].s == "plain" and out[2].n == 0
+
+
+def _py_720(d):
+    if d is None:
+        return AGING_NO_DUE_DATE
+    for edge, label in zip((30, 60, 90, 120, 180, 360, 720), AGING_720_LABELS):
+        if d <= edge:
+            return label
+    return AGING_720_LABELS[-1]
+
+
+def _py_360(d):
+    if d is None or d < 0:
+        return AGING_NO_DUE_DATE
+    for edge, label in zip((30, 60, 90, 120, 180, 360), AGING_360_LABELS):
+        if d <= edge:
+            return label
+    return AGING_360_LABELS[-1]
+
+
+def _py_to_due(d):
+    if d is None or d <= 0:
+        return "Verificar"
+    for edge, label in zip((30, 60, 90, 120), ("Venc. até 30 dias", "Venc. 31 a 60", "Venc. 61 a 90",
+                                               "Venc. 91 a 120")):
+        if d <= edge:
+            return label
+    return "Venc. Mais 120"
+
+
+def test_ageing_schemes_are_total_and_match_rule(spark):
+    import random
+
+    rnd = random.Random(11)
+    days = [None] + list(range(-3, 800)) + [rnd.randint(-100_000, 100_000) for _ in range(500)]
+    df = spark.createDataFrame([(d,) for d in days], "d int")
+    rows = df.select("d", L.bucket_overdue_720("d").alias("a"), L.bucket_overdue_360("d").alias("b"),
+                     L.bucket_to_due("d").alias("c")).collect()
+    assert all(r.a is not None and r.b is not None and r.c is not None for r in rows)
+    assert [r.a for r in rows] == [_py_720(r.d) for r in rows]
+    assert [r.b for r in rows] == [_py_360(r.d) for r in rows]
+    assert [r.c for r in rows] == [_py_to_due(r.d) for r in rows]
