@@ -30,14 +30,16 @@ def local_session(app: str = "ledgerlens", cores: int | str = "*", shuffle_parti
 def checkpoint_dir(spark: SparkSession, *, fallback_for_tests: bool = False) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster it must be set (a shared file system). Only tests may ask for a
-    fresh local folder when it is unset; it is then also registered with the
-    session so that ``DataFrame.checkpoint()`` uses it.
+    On a cluster it must be set (a shared file system). Only a local-mode session
+    (tests, the benchmark) may ask for a fresh local folder when it is unset; it
+    is then also registered with the session so that ``DataFrame.checkpoint()``
+    uses it.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if path:
         return path
-    if not fallback_for_tests:
+    if not fallback_for_tests or not spark.sparkContext.master.startswith("local"):
+        # A machine-local folder is never used on a cluster: executors could not share it.
         raise RuntimeError(f"{CHECKPOINT_CONF} is not set; point it at a shared folder")
     path = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
     spark.conf.set(CHECKPOINT_CONF, path)
