@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from ledgerlens import fixture as fx
 from ledgerlens.functions import (
+    base_date_shift,
     bucket_overdue_360,
     bucket_overdue_720,
     bucket_to_due,
@@ -30,13 +31,23 @@ from ledgerlens.functions import (
     month_end_exclude,
     month_name_pt,
     offset_status,
+    open_as_of,
+    reversal_exclude,
     tax_id_clean,
     tax_id_length,
     tax_id_type,
     weekday_name,
     weekend_flag,
 )
-from ledgerlens.operators import conditional_count, conditional_sum, group_lookup
+from ledgerlens.operators import (
+    conditional_count,
+    conditional_sum,
+    count_over,
+    count_rows_over,
+    distinct_rows,
+    group_lookup,
+    semi_join_back,
+)
 from ledgerlens.constants import ESTABLISHMENT_GROUPS, GROUP_DEFAULT
 from ledgerlens.plans import (
     CATALOG,
@@ -148,6 +159,40 @@ def q_group_lookup(spark, sf_dir):
     return normalize(g.groupBy("cod_estabelecimento", "grupo").agg(F.count(F.lit(1)).alias("linhas")))
 
 
+def q_count_over(spark, sf_dir):
+    """W1 over the whole closed-titles view: rows whose (customer, note) has more than 5 instalments."""
+    ct = testdata_view(spark, sf_dir, "closed_transactions").select("cod_cliente", "nota_fiscal", "comprovante")
+    return normalize(count_over(ct, ["cod_cliente", "nota_fiscal"], "nota_fiscal", more_than=5,
+                                name="qtd_repeticao_nota"))
+
+
+def q_count_rows_over(spark, sf_dir):
+    """W2 over the whole supplier view: distinct (supplier, note) rows with the count per supplier."""
+    st = testdata_view(spark, sf_dir, "supplier_transactions")
+    d = distinct_rows(st, ["cod_fornecedor", "num_nota_fiscal"])
+    return normalize(count_rows_over(d, "cod_fornecedor", name="qtd_notas_fornecedor"))
+
+
+def q_semi_join_back(spark, sf_dir):
+    """J1 over the whole sales view: every line of customers that have a reversed invoice."""
+    so = testdata_view(spark, sf_dir, "sales_orders")
+    keys = so.filter(~reversal_exclude("num_nota_fiscal")).select("cod_cliente")
+    return normalize(semi_join_back(so, keys, "cod_cliente").select(
+        "cod_cliente", "num_nota_fiscal", "cod_item", "quantidade"))
+
+
+def q_open_as_of(spark, sf_dir):
+    """P2's three variants counted per profile and status over the whole supplier view."""
+    st = testdata_view(spark, sf_dir, "supplier_transactions")
+    base = fx.BASE_DATE
+    a = open_as_of("data_liquidacao", base_date_shift(base, 1), inclusive=True)
+    b = open_as_of("data_liquidacao", fx.SETTLED_FROM, inclusive=True)
+    c = open_as_of("data_liquidacao", base, inclusive=False, keep_null=True)
+    return normalize(st.groupBy("perfil_lanc", "status").agg(
+        conditional_count(a).alias("abertos_base_seguinte"), conditional_count(b).alias("abertos_desde"),
+        conditional_count(c).alias("abertos_ou_nulos"), F.count(F.lit(1)).alias("linhas")))
+
+
 # ---- confirmation job -----------------------------------------------------
 
 def q_confirm_contacts(spark, sf_dir):
@@ -228,6 +273,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["month_name_pt"] = q_month_name
     out["calendar_flags"] = q_calendar
     out["group_lookup"] = q_group_lookup
+    out["count_over"] = q_count_over
+    out["count_rows_over"] = q_count_rows_over
+    out["semi_join_back"] = q_semi_join_back
+    out["open_as_of"] = q_open_as_of
     out["confirm_contacts"] = q_confirm_contacts
     out["confirm_messages"] = q_confirm_messages
     out["confirm_outcomes"] = q_confirm_outcomes

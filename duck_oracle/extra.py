@@ -114,6 +114,43 @@ FROM sales_orders s LEFT JOIN grupos g ON g.code = s.cod_estabelecimento
 GROUP BY s.cod_estabelecimento""", "sales_orders", ctes={"grupos": GROUPS_CTE})
 
 
+def count_over_sql() -> str:
+    return with_views("""
+SELECT cod_cliente, nota_fiscal, comprovante,
+  CAST(count(nota_fiscal) OVER (PARTITION BY cod_cliente, nota_fiscal) AS BIGINT) AS qtd_repeticao_nota
+FROM closed_transactions
+QUALIFY count(nota_fiscal) OVER (PARTITION BY cod_cliente, nota_fiscal) >= 6""", "closed_transactions")
+
+
+def count_rows_over_sql() -> str:
+    return with_views("""
+SELECT cod_fornecedor, num_nota_fiscal,
+  CAST(count(*) OVER (PARTITION BY cod_fornecedor) AS BIGINT) AS qtd_notas_fornecedor
+FROM (SELECT DISTINCT cod_fornecedor, num_nota_fiscal FROM supplier_transactions) d""", "supplier_transactions")
+
+
+def semi_join_back_sql() -> str:
+    return with_views("""
+SELECT cod_cliente, num_nota_fiscal, cod_item, CAST(quantidade AS DOUBLE) AS quantidade
+FROM sales_orders s
+WHERE EXISTS (SELECT 1 FROM sales_orders r WHERE r.cod_cliente = s.cod_cliente AND r.num_nota_fiscal LIKE '%EST%')""",
+                      "sales_orders")
+
+
+def open_as_of_sql() -> str:
+    return with_views("""
+SELECT perfil_lanc, status,
+  CAST(count(*) FILTER (WHERE data_liquidacao = DATE '1900-01-01' OR data_liquidacao > DATE '1998-12-31') AS BIGINT)
+    AS abertos_base_seguinte,
+  CAST(count(*) FILTER (WHERE data_liquidacao = DATE '1900-01-01' OR data_liquidacao >= DATE '1998-01-01') AS BIGINT)
+    AS abertos_desde,
+  CAST(count(*) FILTER (WHERE data_liquidacao IS NULL OR data_liquidacao = DATE '1900-01-01'
+                         OR data_liquidacao > DATE '1998-12-31') AS BIGINT) AS abertos_ou_nulos,
+  CAST(count(*) AS BIGINT) AS linhas
+FROM supplier_transactions
+GROUP BY perfil_lanc, status""", "supplier_transactions")
+
+
 _CONTACTS_KEPT = """
   SELECT "Nome do Cliente" AS nome_cliente, "Celular" AS telefone, "NF" AS notas_fiscais, contact_id
   FROM contacts
@@ -217,6 +254,10 @@ ORACLE_SQL.update({
     "month_name_pt": month_name_sql(),
     "calendar_flags": calendar_sql(),
     "group_lookup": group_lookup_sql(),
+    "count_over": count_over_sql(),
+    "count_rows_over": count_rows_over_sql(),
+    "semi_join_back": semi_join_back_sql(),
+    "open_as_of": open_as_of_sql(),
     "confirm_contacts": confirm_contacts_sql(),
     "confirm_messages": confirm_messages_sql(),
     "confirm_outcomes": confirm_outcomes_sql(),
