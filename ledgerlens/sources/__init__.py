@@ -10,7 +10,6 @@ from ledgerlens.sources.sinks import (
 )
 from ledgerlens.sources.testdata import VIEW_BUILDERS, Tables, testdata_view
 from ledgerlens.sources.views import (
-    ERP_VIEW_NAMES,
     VIEW_SCHEMAS,
     canonical_columns,
     load_view,

@@ -58,17 +58,6 @@ VIEW_SCHEMAS: dict[str, T.StructType] = {
         ("status", _S), ("sistema", _S), ("dias_atraso", _I)),
 }
 
-# Names of the views in the audited ERP, for JDBC reads.
-ERP_VIEW_NAMES = {
-    "supplier_transactions": "VW_AUDIT_RM_TRANSACOES_FORNECEDOR",
-    "customer_transactions": "VW_AUDIT_RM_TRANSACOES_CLIENTES",
-    "closed_transactions": "VW_AUDIT_RM_TRANSACOES_FECHADAS",
-    "inventory_movements": "VW_AUDIT_RM_GERENCIAMENTO_ESTOQUE",
-    "gl_transactions": "VW_AUDIT_RM_TRANSACOES_CONTA_CONTABIL",
-    "sales_orders": "VW_AUDIT_RM_ORDENS_VENDA",
-    "open_bin": "VW_AUDIT_RM_ABERTO_BIN",
-}
-
 # Source column spellings that differ from the lower-cased canonical name.
 _RENAMES = {"cnpj/cpf": "cnpj_cpf", "cpf/cnpj": "cpf_cnpj"}
 
@@ -93,9 +82,10 @@ def load_view(spark: SparkSession, name: str, *, path: str | None = None,
     """Read one ERP view.
 
     * ``path``: a Parquet table (partitioned or not).
-    * ``jdbc``: ``{"url", "table"?, "partition_column", "lower", "upper", "num_partitions",
-      "properties"}``; a partitioned read opens ``num_partitions`` parallel connections.
-      Credentials go in ``properties`` and come from the caller, never from code.
+    * ``jdbc``: ``{"url", "table", "partition_column", "lower", "upper", "num_partitions",
+      "properties"}``; ``table`` is the source view's name in that database; a
+      partitioned read opens ``num_partitions`` parallel connections. Credentials
+      go in ``properties`` and come from the caller, never from code.
     * ``sf_dir``: the view derived from the TPC-H-like test tables.
     """
     if sum(x is not None for x in (path, jdbc, sf_dir)) != 1:
@@ -105,7 +95,7 @@ def load_view(spark: SparkSession, name: str, *, path: str | None = None,
     if path is not None:
         return canonical_columns(spark.read.parquet(path), name)
     opts = dict(jdbc)
-    table = opts.get("table", ERP_VIEW_NAMES[name])
+    table = opts["table"]
     props = dict(opts.get("properties", {}))
     if "partition_column" in opts:
         df = spark.read.jdbc(opts["url"], table, column=opts["partition_column"],
