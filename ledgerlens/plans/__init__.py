@@ -19,6 +19,6 @@ from ledgerlens.plans.car import (
 from ledgerlens.plans.cax import cax02_cash_over_limit
 from ledgerlens.plans.confirm import confirm_messages, confirm_outcomes, confirm_report
 from ledgerlens.plans.rec import billing_extract, rec07_weekend_holiday_billing, write_billing_extract
-from ledgerlens.plans.suite import CATALOG, audit_suite, params_text, run_check
+from ledgerlens.plans.suite import CATALOG, audit_suite, params_text, run_check, select_checks
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -87,6 +87,20 @@ def params_text(params: Mapping) -> str:
                       separators=(",", ":"))
 
 
+def select_checks(codes: Sequence[str] | None = None, areas: Sequence[str] | None = None) -> list[str]:
+    """Catalog keys whose code (``"CAR.04"``) or area (``"Contas a Receber"``) is listed;
+    with neither given, every check. Unknown codes or areas raise ``ValueError``."""
+    codes_set = set(codes or ())
+    areas_set = set(areas or ())
+    known_codes = {c.code for c in CATALOG.values()}
+    known_areas = {c.area for c in CATALOG.values()}
+    if codes_set - known_codes or areas_set - known_areas:
+        raise ValueError(f"unknown codes {sorted(codes_set - known_codes)} or areas {sorted(areas_set - known_areas)}")
+    if not codes_set and not areas_set:
+        return list(CATALOG)
+    return [k for k, c in CATALOG.items() if c.code in codes_set or c.area in areas_set]
+
+
 def run_check(key: str, views: Mapping[str, DataFrame], params: Mapping,
               collation: str | None = None) -> DataFrame:
     """Run one catalogued check on its view; ``collation`` (e.g. ``UTF8_LCASE``)

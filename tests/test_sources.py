@@ -177,3 +177,24 @@ def test_bin01_report_writes_summary_and_detail(spark, tmp_out):
     assert d.count() == bin01_note_detail(view, **kw).count() == 644
     assert dict(d.dtypes)["data_transacao"] == "string" and dict(d.dtypes)["valor_parcela"].startswith("decimal")
     assert d.filter(~d.data_transacao.rlike(r"^\d{2}/\d{2}/\d{4}$")).count() == 0
+
+
+def test_select_checks_by_code_and_area():
+    from ledgerlens.plans import select_checks
+
+    assert select_checks(codes=["CAR.04"]) == ["car04_individual_billing"]
+    assert select_checks(codes=["BIN.01"]) == ["bin01_note_summary", "bin01_note_detail"]
+    caixa = select_checks(areas=["Caixa"])
+    assert caixa == ["cax02_cash_over_limit"]
+    assert len(select_checks()) == 14
+    with pytest.raises(ValueError):
+        select_checks(codes=["XYZ.99"])
+
+
+def test_materialize_sorted_by_date_reads_back_equal(spark, tmp_out):
+    view = derived_view(spark, SF_SMALL, "gl_transactions")
+    path = os.path.join(tmp_out, "gl")
+    materialize_view(view, path, sort_by="data_transacao")
+    back = load_view(spark, "gl_transactions", path=path)
+    assert back.count() == view.count()
+    assert back.exceptAll(view.select(*back.columns)).count() == 0
