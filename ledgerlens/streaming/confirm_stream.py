@@ -81,3 +81,36 @@ def start_confirm_stream(spark: SparkSession, sent: DataFrame, replies: DataFram
          .option("path", output_path).option("checkpointLocation", ckpt).queryName(name))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
+
+
+def main(argv: list[str]) -> int:
+    """``spark-submit -m ledgerlens.streaming.confirm_stream config.json`` with::
+
+        {"sent": "s3://.../sent/", "replies": "s3://.../replies/", "output": "s3://.../outcomes/",
+         "timeout_seconds": 300, "watermark": "1 hour", "available_now": false}
+
+    ``sent`` and ``replies`` are Parquet folders that keep receiving files with the
+    batch schemas (``message_id, contact_id, sent_ts`` and ``reply_id, contact_id,
+    reply_ts, reply_text``). The checkpoint lives under ``spark.checkpoint.dir``.
+    """
+    import json
+
+    with open(argv[1], encoding="utf-8") as f:
+        cfg = json.load(f)
+    spark = SparkSession.builder.appName("ledgerlens-confirm-stream").getOrCreate()
+    sent_schema = spark.read.parquet(cfg["sent"]).schema
+    reply_schema = spark.read.parquet(cfg["replies"]).schema
+    sent = spark.readStream.schema(sent_schema).parquet(cfg["sent"])
+    replies = spark.readStream.schema(reply_schema).parquet(cfg["replies"])
+    q = start_confirm_stream(spark, sent, replies, output_path=cfg["output"],
+                             timeout_seconds=int(cfg.get("timeout_seconds", CONFIRM_DEFAULT_TIMEOUT_SECONDS)),
+                             watermark=cfg.get("watermark", "1 hour"),
+                             available_now=bool(cfg.get("available_now", False)))
+    q.awaitTermination()
+    return 0
+
+
+if __name__ == "__main__":
+    import sys
+
+    sys.exit(main(sys.argv))

@@ -198,3 +198,40 @@ def test_materialize_sorted_by_date_reads_back_equal(spark, tmp_out):
     back = load_view(spark, "gl_transactions", path=path)
     assert back.count() == view.count()
     assert back.exceptAll(view.select(*back.columns)).count() == 0
+
+
+def test_jobs_main_from_config(spark, tmp_out):
+    import json
+
+    from ledgerlens import jobs
+
+    view_dir = os.path.join(tmp_out, "views")
+    materialize_view(derived_view(spark, SF_SMALL, "gl_transactions"), os.path.join(view_dir, "gl"),
+                     sort_by="data_transacao")
+    cfg = {"views": {"gl_transactions": {"path": os.path.join(view_dir, "gl")}},
+           "checks": {"cax02_cash_over_limit": {"establishments": list(fx.ESTABLISHMENTS),
+                                                "start": "1998-01-01", "end": "1998-12-31"}},
+           "output": os.path.join(tmp_out, "out"), "run_id": "r"}
+    path = os.path.join(tmp_out, "cfg.json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(cfg, f)
+    assert jobs.main(["x", path]) == 0
+    summary = spark.read.parquet(os.path.join(tmp_out, "out", "r", "_suite")).collect()
+    assert [(r.code, r.rows_found) for r in summary] == [("CAX.02", 42)]
+
+
+def test_stream_main_from_config(spark, tmp_out):
+    import json
+
+    from ledgerlens.streaming.confirm_stream import main as stream_main
+
+    sent_dir, rep_dir = os.path.join(tmp_out, "sent"), os.path.join(tmp_out, "rep")
+    derived_view(spark, SF_SMALL, "sent_messages").write.parquet(sent_dir)
+    derived_view(spark, SF_SMALL, "replies").write.parquet(rep_dir)
+    cfg = {"sent": sent_dir, "replies": rep_dir, "output": os.path.join(tmp_out, "o"),
+           "timeout_seconds": fx.REPLY_TIMEOUT_SECONDS, "available_now": True}
+    path = os.path.join(tmp_out, "s.json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(cfg, f)
+    assert stream_main(["x", path]) == 0
+    assert spark.read.parquet(os.path.join(tmp_out, "o")).count() > 0
