@@ -1,4 +1,4 @@
-"""Code-to-label lookups as literal maps (no join, stays inside codegen)."""
+"""Code-to-label lookups as expressions (CASE over IN sets, literal maps): no join, inside codegen."""
 
 from __future__ import annotations
 
