@@ -228,7 +228,7 @@ def q_confirm_outcomes_stream(spark, sf_dir):
     closed before the input ended are emitted, so this has no SQL oracle."""
     from ledgerlens.streaming import start_confirm_stream
 
-    base = os.path.join(checkpoint_dir(spark, fallback_for_tests=True), f"confirm-{uuid.uuid4().hex}")
+    base = os.path.join(checkpoint_dir(spark, local_fallback=True), f"confirm-{uuid.uuid4().hex}")
     events_schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     ev = (spark.readStream.schema(events_schema).option("pathGlobFilter", "events.parquet")
           .option("maxFilesPerTrigger", 1).parquet(sf_dir))

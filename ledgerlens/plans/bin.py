@@ -95,19 +95,31 @@ def bin06_no_finance_moves(stock_moves: DataFrame, *, establishments, start, end
 
 def bin01_report(closed_tx: DataFrame, path: str, *, establishments, start, end, group_label: str,
                  profile: str = PROFILE_DEBIT_NOTE, more_than: int = 2, run_id: str | None = None,
-                 fmt: str = "parquet") -> dict[str, str]:
+                 fmt: str = "parquet", reuse_scope: bool = True) -> dict[str, str]:
     """BIN.01 as one report: the summary and the detail written together under
     ``path/<run_id>/``, dates as ``dd/MM/yyyy`` text in the detail only, numbers kept
     numeric. ``run_id`` defaults to the scope (establishments and end date), so the
     name always matches the data. Both tables are computed and written by Spark;
-    nothing passes through the driver. Returns the two paths."""
+    nothing passes through the driver. Returns the two paths.
+
+    With ``reuse_scope`` the scoped, column-pruned debit notes are checkpointed
+    once into the cluster's ``spark.checkpoint.dir`` (a reliable checkpoint, not a
+    local one), so the ledger is scanned once instead of three times (summary,
+    detail, qualifying customers) and the outputs do not depend on that lineage.
+    """
     from ledgerlens.functions._util import to_date_value
+    from ledgerlens.session import checkpoint_dir
     from ledgerlens.sources.sinks import write_report
 
     ests = [establishments] if isinstance(establishments, str) else list(establishments)
     run_id = run_id or f"BIN01_{'-'.join(ests)}_{to_date_value(end):%Y%m%d}"
     kw = dict(establishments=ests, start=start, end=end, profile=profile, more_than=more_than)
-    summary = bin01_note_summary(closed_tx, group_label=group_label, **kw)
-    detail = bin01_note_detail(closed_tx, **kw)
+    source = closed_tx
+    if reuse_scope:
+        spark = closed_tx.sparkSession
+        checkpoint_dir(spark, local_fallback=True)   # raises on a cluster without a shared folder
+        source = _debit_notes(closed_tx, ests, start, end, profile).select(*CLOSED_DETAIL_COLUMNS).checkpoint()
+    summary = bin01_note_summary(source, group_label=group_label, **kw)
+    detail = bin01_note_detail(source, **kw)
     return write_report(summary, detail, path, run_id=run_id, fmt=fmt,
                         date_columns=("data_transacao", "data_vencimento"))

@@ -27,7 +27,7 @@ def local_session(app: str = "ledgerlens", cores: int | str = "*", shuffle_parti
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, *, fallback_for_tests: bool = False) -> str:
+def checkpoint_dir(spark: SparkSession, *, local_fallback: bool = False) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
     On a cluster it must be set (a shared file system). Only a local-mode session
@@ -38,7 +38,7 @@ def checkpoint_dir(spark: SparkSession, *, fallback_for_tests: bool = False) ->
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if path:
         return path
-    if not fallback_for_tests or not spark.sparkContext.master.startswith("local"):
+    if not local_fallback or not spark.sparkContext.master.startswith("local"):
         # A machine-local folder is never used on a cluster: executors could not share it.
         raise RuntimeError(f"{CHECKPOINT_CONF} is not set; point it at a shared folder")
     path = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")

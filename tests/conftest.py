@@ -14,7 +14,7 @@ def spark():
     from ledgerlens.session import checkpoint_dir, local_session
 
     s = local_session("ledgerlens-tests", cores="*", shuffle_partitions=8)
-    checkpoint_dir(s, fallback_for_tests=True)
+    checkpoint_dir(s, local_fallback=True)
     yield s
     s.stop()
 
