@@ -15,6 +15,8 @@ wait has closed before the input ends.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,7 +77,10 @@ def start_confirm_stream(spark: SparkSession, sent: DataFrame, replies: DataFram
                          checkpoint: str | None = None) -> StreamingQuery:
     """Run the streaming outcomes into a Parquet sink (append), checkpointed under the
     cluster's shared ``spark.checkpoint.dir`` so a restarted query resumes exactly once."""
-    ckpt = checkpoint or subdir(checkpoint_dir(spark), "streams", name)
+    # Default checkpoint: one folder per output, so a restarted job resumes its own
+    # progress and two jobs never share one (the shared folder serves many jobs).
+    digest = hashlib.sha1(output_path.rstrip("/").encode("utf-8")).hexdigest()[:16]
+    ckpt = checkpoint or subdir(checkpoint_dir(spark), "streams", f"{name}-{digest}")
     w = (confirm_outcomes_stream(sent, replies, timeout_seconds=timeout_seconds, watermark=watermark)
          .writeStream.outputMode("append").format("parquet")
          .option("path", output_path).option("checkpointLocation", ckpt).queryName(name))
