@@ -79,3 +79,36 @@ def test_bin02_has_no_window_operator(spark):
     view = derived_view(spark, SF_SMALL, "closed_transactions")
     plan = _plan(bin02_split_notes(view, **fx.PARAMS["bin02_split_notes"], ordered=False))
     assert "Window" not in plan
+
+
+def test_count_over_hot_key_is_split_by_aqe_skew_join(spark):
+    """One key holds two thirds of the rows: AQE splits its join partition (the window it
+    replaces could not be split), and the counts still equal the window function's."""
+    from pyspark.sql import Window
+
+    from ledgerlens.operators import count_over
+
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1024",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4096",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = spark.range(120_000).select(
+            F.when(F.col("id") % 3 != 0, F.lit(0)).otherwise(F.col("id") % 500).alias("k"), F.col("id").alias("v"))
+        out = count_over(df, "k", "v", name="n")
+        got = sorted(tuple(r) for r in out.collect())
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+        want = sorted(tuple(r) for r in df.withColumn("n", F.count("v").over(Window.partitionBy("k"))).collect())
+        assert got == want
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
