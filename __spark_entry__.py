@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens import fixture as fx
+from ledgerlens.constants import ESTABLISHMENT_GROUPS, GROUP_DEFAULT
 from ledgerlens.functions import (
     base_date_shift,
     bucket_overdue_360,
@@ -48,7 +49,6 @@ from ledgerlens.operators import (
     group_lookup,
     semi_join_back,
 )
-from ledgerlens.constants import ESTABLISHMENT_GROUPS, GROUP_DEFAULT
 from ledgerlens.plans import (
     CATALOG,
     audit_suite,
@@ -59,6 +59,8 @@ from ledgerlens.plans import (
 )
 from ledgerlens.session import checkpoint_dir
 from ledgerlens.sources import confirm_contacts, load_view, testdata_view
+from ledgerlens.sources.testdata import StreamingTables, replies, sent_messages
+from ledgerlens.streaming import start_confirm_stream
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -223,24 +225,11 @@ def q_confirm_report(spark, sf_dir):
 
 
 def q_confirm_outcomes_stream(spark, sf_dir):
-    """Streaming outcomes over the event files (availableNow), written to a Parquet sink
+    """Streaming outcomes over the event file (availableNow), written to a Parquet sink
     under the session's checkpoint folder and read back. Only messages whose wait
     closed before the input ended are emitted, so this has no SQL oracle."""
-    from ledgerlens.streaming import start_confirm_stream
-
     base = os.path.join(checkpoint_dir(spark, local_fallback=True), f"confirm-{uuid.uuid4().hex}")
-    events_schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    ev = (spark.readStream.schema(events_schema).option("pathGlobFilter", "events.parquet")
-          .option("maxFilesPerTrigger", 1).parquet(sf_dir))
-    from ledgerlens.sources.testdata import Tables, replies, sent_messages
-
-    class _StreamTables(Tables):
-        def __getattr__(self, name):
-            if name == "events":
-                return ev
-            return super().__getattr__(name)
-
-    t = _StreamTables(spark, sf_dir)
+    t = StreamingTables(spark, sf_dir)
     q = start_confirm_stream(spark, sent_messages(t), replies(t), output_path=f"{base}/out",
                              checkpoint=f"{base}/ckpt", timeout_seconds=fx.REPLY_TIMEOUT_SECONDS,
                              available_now=True, name=f"confirm_{uuid.uuid4().hex[:8]}")

@@ -59,6 +59,18 @@ class Tables:
         return row_count_at_most(getattr(self, name), max_rows)
 
 
+class StreamingTables(Tables):
+    """Like :class:`Tables`, but ``events`` arrives as a file stream (one micro-batch per
+    file), so the event-derived views (sent messages, replies) become streaming DataFrames."""
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name != "events":
+            return super().__getattr__(name)
+        schema = self.spark.read.parquet(f"{self.sf_dir}/events.parquet").schema
+        return (self.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+                .option("maxFilesPerTrigger", 1).parquet(self.sf_dir))
+
+
 def spread_scan(spark: SparkSession, df: DataFrame, path: str, min_bytes: int) -> DataFrame:
     """Round-robin the rows of a scan that yields fewer input splits than task slots.
 

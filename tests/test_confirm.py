@@ -9,7 +9,7 @@ from ledgerlens import fixture as fx
 from ledgerlens.plans import confirm_messages, confirm_outcomes, confirm_report
 from ledgerlens.sources import confirm_contacts
 from ledgerlens.sources import testdata_view as derived_view
-from ledgerlens.sources.testdata import Tables, replies, sent_messages
+from ledgerlens.sources.testdata import StreamingTables, replies, sent_messages
 from ledgerlens.streaming import start_confirm_stream
 
 T0 = dt.datetime(2025, 1, 6, 12, 0, 0)
@@ -78,14 +78,7 @@ def test_fixture_outcomes_brute_force(spark):
 
 
 def test_stream_equals_batch_for_closed_messages(spark, tmp_out):
-    schema = spark.read.parquet(f"{SF_SMALL}/events.parquet").schema
-    ev = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(SF_SMALL)
-
-    class StreamTables(Tables):
-        def __getattr__(self, name):
-            return ev if name == "events" else super().__getattr__(name)
-
-    t = StreamTables(spark, SF_SMALL)
+    t = StreamingTables(spark, SF_SMALL)
     out = os.path.join(tmp_out, "out")
     q = start_confirm_stream(spark, sent_messages(t), replies(t), output_path=out,
                              checkpoint=os.path.join(tmp_out, "ckpt"), available_now=True,
