@@ -203,3 +203,34 @@ def test_collation_matches_lower_case_codes(spark):
     kw = dict(establishments=["R291"], start=D(2025, 7, 1), end=D(2025, 12, 31))
     assert bin02_split_notes(df, **kw).count() == 0
     assert bin02_split_notes(with_collation(df, "UTF8_LCASE"), **kw).count() == 2
+
+
+ORDER_SPECS = {
+    "afo01_supplier_advances": [("valor_aberto", True)],
+    "bin01_note_summary": [("total_nf_diferentes", True), ("valor_total", True)],
+    "bin01_note_detail": [("cod_cliente", False), ("nota_fiscal", False), ("data_transacao", False)],
+    "bin02_split_notes": [("cod_cliente", False), ("nota_fiscal", False), ("data_transacao", False)],
+    "bin06_no_finance_moves": [("data", True), ("num_nota_fiscal", False)],
+    "cax02_cash_over_limit": [("ano", False), ("mes", False)],
+    "car05_advance_offset": [("data_vencimento", False)],
+    "car07_open_bin_overdue": [("cod_cliente", False)],
+    "car09_open_travel_advances": [("cod_fornecedor", False), ("num_nota_fiscal", False)],
+    "rec07_weekend_holiday_billing": [("cod_cliente", False), ("data_nota_fiscal", False),
+                                      ("num_nota_fiscal", False)],
+}
+
+
+def test_ordered_checks_return_rows_in_the_audited_order(spark):
+    from ledgerlens.plans import CATALOG, run_check
+
+    for key, spec in ORDER_SPECS.items():
+        view = derived_view(spark, SF_SMALL, CATALOG[key].view)
+        rows = run_check(key, {CATALOG[key].view: view}, fx.PARAMS[key]).collect()
+        assert rows, key
+        for a, b in zip(rows, rows[1:]):
+            for col, desc in spec:
+                x, y = a[col], b[col]
+                if x == y:
+                    continue
+                assert (x > y) if desc else (x < y), (key, col, x, y)
+                break
