@@ -60,7 +60,7 @@ from ledgerlens.plans import (
 from ledgerlens.session import checkpoint_dir
 from ledgerlens.sources import confirm_contacts, load_view, testdata_view
 from ledgerlens.sources.testdata import StreamingTables, replies, sent_messages
-from ledgerlens.streaming import start_confirm_stream
+from ledgerlens.streaming import start_confirm_stateful, start_confirm_stream
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -224,19 +224,28 @@ def q_confirm_report(spark, sf_dir):
                                     timeout_seconds=fx.REPLY_TIMEOUT_SECONDS))
 
 
-def q_confirm_outcomes_stream(spark, sf_dir):
-    """Streaming outcomes over the event file (availableNow), written to a Parquet sink
-    under the session's checkpoint folder and read back. Only messages whose wait
-    closed before the input ended are emitted, so this has no SQL oracle."""
+def _stream_outcomes(spark, sf_dir, start) -> DataFrame:
     base = os.path.join(checkpoint_dir(spark, local_fallback=True), f"confirm-{uuid.uuid4().hex}")
     t = StreamingTables(spark, sf_dir)
-    q = start_confirm_stream(spark, sent_messages(t), replies(t), output_path=f"{base}/out",
-                             checkpoint=f"{base}/ckpt", timeout_seconds=fx.REPLY_TIMEOUT_SECONDS,
-                             available_now=True, name=f"confirm_{uuid.uuid4().hex[:8]}")
+    q = start(spark, sent_messages(t), replies(t), output_path=f"{base}/out", checkpoint=f"{base}/ckpt",
+              timeout_seconds=fx.REPLY_TIMEOUT_SECONDS, available_now=True)
     q.awaitTermination()
     return normalize(spark.read.parquet(f"{base}/out"))
 
 
+def q_confirm_outcomes_stream(spark, sf_dir):
+    """Streaming outcomes with the custom stateful operator (state per contact and time
+    bucket, no message/reply pairs), over the event file with availableNow, written to a
+    Parquet sink under the session's checkpoint folder and read back. Only messages whose
+    wait closed before the input ended are emitted, so this has no SQL oracle."""
+    return _stream_outcomes(spark, sf_dir, start_confirm_stateful)
+
+
+def q_confirm_outcomes_stream_join(spark, sf_dir):
+    """The same outcomes from a watermarked stream-stream join plus window aggregation."""
+    return _stream_outcomes(spark, sf_dir, start_confirm_stream)
+
+
 def q_audit_suite(spark, sf_dir):
     keys = list(fx.PARAMS)
     return normalize(audit_suite(keys, _views(spark, sf_dir), fx.PARAMS))
@@ -271,6 +280,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["confirm_outcomes"] = q_confirm_outcomes
     out["confirm_report"] = q_confirm_report
     out["confirm_outcomes_stream"] = q_confirm_outcomes_stream
+    out["confirm_outcomes_stream_join"] = q_confirm_outcomes_stream_join
     return out
 
 

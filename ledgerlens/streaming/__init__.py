@@ -1,5 +1,7 @@
 """Structured Streaming jobs."""
 
+from ledgerlens.streaming.confirm_state import confirm_outcomes_stateful, start_confirm_stateful
 from ledgerlens.streaming.confirm_stream import confirm_outcomes_stream, start_confirm_stream
 
-__all__ = ["confirm_outcomes_stream", "start_confirm_stream"]
+__all__ = ["confirm_outcomes_stateful", "confirm_outcomes_stream", "start_confirm_stateful",
+           "start_confirm_stream"]

@@ -1,0 +1,157 @@
+"""Confirmation outcomes over event streams with a custom stateful operator.
+
+Sent messages and replies are one event stream keyed by (contact slot, time
+bucket): a slot is a hash of the contact (``slots`` of them) and a bucket is one
+timeout wide. A message of bucket ``b`` can only be answered by a reply of bucket
+``b`` or ``b + 1``, so every reply is also routed to the key of the bucket before
+it. Each key keeps its messages and replies as arrays in the state store; once
+the watermark passes ``(b + 2) x timeout`` no relevant reply can still arrive,
+and every message gets its contact's first later reply with one vectorised
+forward as-of merge (``pandas.merge_asof`` by contact): no message is ever paired
+with the replies of its contact, and nothing is emitted before it is final.
+
+State per key is bounded by the events of 1/``slots`` of the contacts in two
+timeouts. Output equals :func:`ledgerlens.plans.confirm.confirm_outcomes` for
+every emitted message.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from ledgerlens.constants import (
+    CONFIRM_DEFAULT_TIMEOUT_SECONDS,
+    CONFIRM_STATUS_ANSWERED,
+    CONFIRM_STATUS_NO_ANSWER,
+)
+from ledgerlens.plans.confirm import epoch_micros, strip_text
+from ledgerlens.session import checkpoint_dir, subdir
+
+OUTPUT_SCHEMA = T.StructType([
+    T.StructField("message_id", T.LongType()),
+    T.StructField("contact_id", T.LongType()),
+    T.StructField("sent_ts", T.TimestampNTZType()),
+    T.StructField("status", T.StringType()),
+    T.StructField("resposta", T.StringType()),
+    T.StructField("reply_ts", T.TimestampNTZType()),
+])
+
+STATE_SCHEMA = T.StructType([
+    T.StructField("msg_contact", T.ArrayType(T.LongType())),
+    T.StructField("msg_id", T.ArrayType(T.LongType())),
+    T.StructField("msg_us", T.ArrayType(T.LongType())),
+    T.StructField("rep_contact", T.ArrayType(T.LongType())),
+    T.StructField("rep_id", T.ArrayType(T.LongType())),
+    T.StructField("rep_us", T.ArrayType(T.LongType())),
+    T.StructField("rep_text", T.ArrayType(T.StringType())),
+])
+_FIELDS = [f.name for f in STATE_SCHEMA.fields]
+
+
+def _outcomes(st: dict, timeout_us: int) -> pd.DataFrame:
+    """Each message's first reply of the same contact strictly after it and within the
+    timeout (ties: lower reply id); a message without contact matches nothing."""
+    msgs = pd.DataFrame({"contact_id": pd.array(st["msg_contact"], dtype="Int64"),
+                         "message_id": np.asarray(st["msg_id"], dtype=np.int64),
+                         "t": np.asarray(st["msg_us"], dtype=np.int64)}).sort_values("t", kind="stable")
+    reps = pd.DataFrame({"contact_id": pd.array(st["rep_contact"], dtype="Int64"),
+                         "rid": np.asarray(st["rep_id"], dtype=np.int64),
+                         "r_t": np.asarray(st["rep_us"], dtype=np.int64),
+                         "text": pd.Series(st["rep_text"], dtype=object)})
+    reps = reps.sort_values(["r_t", "rid"], kind="stable")
+    reps["t"] = reps["r_t"]
+    known = msgs["contact_id"].notna()
+    m = msgs[known].astype({"contact_id": "int64"})
+    merged = pd.merge_asof(m, reps.astype({"contact_id": "int64"}), on="t", by="contact_id",
+                           direction="forward", allow_exact_matches=False)
+    merged = pd.concat([merged, msgs[~known]], ignore_index=True)
+    ok = merged["r_t"].notna() & (merged["r_t"] <= merged["t"] + timeout_us)
+    return pd.DataFrame({
+        "message_id": merged["message_id"].astype("int64"),
+        "contact_id": merged["contact_id"].astype("Int64"),
+        "sent_ts": pd.to_datetime(merged["t"].astype("int64"), unit="us"),
+        "status": np.where(ok, CONFIRM_STATUS_ANSWERED, CONFIRM_STATUS_NO_ANSWER),
+        "resposta": merged["text"].where(ok, None).astype(object),
+        "reply_ts": pd.to_datetime(merged["r_t"].where(ok), unit="us"),
+    })
+
+
+def _update(timeout_us: int):
+    def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        bucket = int(key[1])
+        st = dict(zip(_FIELDS, (list(x) for x in state.get))) if state.exists else {f: [] for f in _FIELDS}
+        if state.hasTimedOut:
+            state.remove()
+            if st["msg_id"]:
+                yield _outcomes(st, timeout_us)
+            return
+        for pdf in batches:
+            m = pdf[pdf["kind"] == 0]
+            r = pdf[pdf["kind"] == 1]
+            st["msg_contact"] += [None if pd.isna(c) else int(c) for c in m["contact_id"]]
+            st["msg_id"] += m["id"].astype("int64").tolist()
+            st["msg_us"] += m["t_us"].astype("int64").tolist()
+            st["rep_contact"] += r["contact_id"].astype("int64").tolist()
+            st["rep_id"] += r["id"].astype("int64").tolist()
+            st["rep_us"] += r["t_us"].astype("int64").tolist()
+            st["rep_text"] += r["text"].tolist()
+        state.update(tuple(st[f] for f in _FIELDS))
+        # No reply for a message of this bucket can arrive after (bucket + 2) timeouts.
+        state.setTimeoutTimestamp((bucket + 2) * timeout_us // 1000 + 1)
+        return  # nothing is final yet
+        yield  # noqa: B901 (makes this a generator)
+    return update
+
+
+def confirm_outcomes_stateful(sent: DataFrame, replies: DataFrame, *,
+                              timeout_seconds: int = CONFIRM_DEFAULT_TIMEOUT_SECONDS,
+                              watermark: str = "1 hour", slots: int = 32) -> DataFrame:
+    """Streaming outcomes (``message_id``, ``contact_id``, ``sent_ts``, ``status``,
+    ``resposta``, ``reply_ts``) from two streams with the batch schemas (NTZ times)."""
+    # The state function runs in Python workers: ship this module's code with it, so
+    # workers need no installed copy of the package.
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    timeout_us = int(timeout_seconds) * 1_000_000
+    text = strip_text(F.col("reply_text"))
+    s = sent.select(F.col("contact_id").cast("long"), F.lit(0).alias("kind"), F.col("message_id").cast("long").alias("id"),
+                    epoch_micros(sent, "sent_ts").alias("t_us"), F.lit(None).cast("string").alias("text"))
+    r = (replies.filter((text != "") & F.col("contact_id").isNotNull())
+         .select(F.col("contact_id").cast("long"), F.lit(1).alias("kind"), F.col("reply_id").cast("long").alias("id"),
+                 epoch_micros(replies, "reply_ts").alias("t_us"), text.alias("text")))
+    events = (s.unionByName(r)
+              .withColumn("ev_ts", F.timestamp_micros("t_us"))
+              .withWatermark("ev_ts", watermark))
+    b = F.floor(F.col("t_us") / timeout_us)
+    # A reply also serves the messages of the bucket before its own.
+    keyed = events.withColumn("bucket", F.explode(F.when(F.col("kind") == 1, F.array(b, b - 1))
+                                                  .otherwise(F.array(b))))
+    keyed = keyed.withColumn("slot", F.pmod(F.xxhash64("contact_id"), F.lit(slots)))
+    return (keyed.groupBy("slot", "bucket")
+            .applyInPandasWithState(_update(timeout_us), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
+                                    GroupStateTimeout.EventTimeTimeout))
+
+
+def start_confirm_stateful(spark: SparkSession, sent: DataFrame, replies: DataFrame, *, output_path: str,
+                           timeout_seconds: int = CONFIRM_DEFAULT_TIMEOUT_SECONDS, watermark: str = "1 hour",
+                           available_now: bool = False, checkpoint: str | None = None,
+                           name: str = "confirm_state", slots: int = 32) -> StreamingQuery:
+    digest = hashlib.sha1(output_path.rstrip("/").encode("utf-8")).hexdigest()[:16]
+    ckpt = checkpoint or subdir(checkpoint_dir(spark), "streams", f"{name}-{digest}")
+    w = (confirm_outcomes_stateful(sent, replies, timeout_seconds=timeout_seconds, watermark=watermark,
+                                   slots=slots)
+         .writeStream.outputMode("append").format("parquet")
+         .option("path", output_path).option("checkpointLocation", ckpt))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
+    return w.start()

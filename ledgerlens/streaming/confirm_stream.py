@@ -92,11 +92,14 @@ def main(argv: list[str]) -> int:
     """``spark-submit -m ledgerlens.streaming.confirm_stream config.json`` with::
 
         {"sent": "s3://.../sent/", "replies": "s3://.../replies/", "output": "s3://.../outcomes/",
-         "timeout_seconds": 300, "watermark": "1 hour", "available_now": false}
+         "timeout_seconds": 300, "watermark": "1 hour", "available_now": false, "mode": "state"}
 
     ``sent`` and ``replies`` are Parquet folders that keep receiving files with the
     batch schemas (``message_id, contact_id, sent_ts`` and ``reply_id, contact_id,
     reply_ts, reply_text``). The checkpoint lives under ``spark.checkpoint.dir``.
+    ``mode`` "state" (default) runs the stateful operator of
+    :mod:`ledgerlens.streaming.confirm_state` (no message/reply pairs); "join" runs
+    the stream-stream join of this module.
     """
     import json
 
@@ -107,7 +110,10 @@ def main(argv: list[str]) -> int:
     reply_schema = spark.read.parquet(cfg["replies"]).schema
     sent = spark.readStream.schema(sent_schema).parquet(cfg["sent"])
     replies = spark.readStream.schema(reply_schema).parquet(cfg["replies"])
-    q = start_confirm_stream(spark, sent, replies, output_path=cfg["output"],
+    from ledgerlens.streaming.confirm_state import start_confirm_stateful
+
+    start = start_confirm_stream if cfg.get("mode", "state") == "join" else start_confirm_stateful
+    q = start(spark, sent, replies, output_path=cfg["output"],
                              timeout_seconds=int(cfg.get("timeout_seconds", CONFIRM_DEFAULT_TIMEOUT_SECONDS)),
                              watermark=cfg.get("watermark", "1 hour"),
                              available_now=bool(cfg.get("available_now", False)))

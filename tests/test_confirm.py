@@ -143,3 +143,43 @@ def test_random_hot_contact_matches_brute_force(spark):
         got = {r.message_id: (r.status, r.resposta, r.reply_ts)
                for r in confirm_outcomes(sdf, rdf, timeout_seconds=120, fine_buckets=fine).collect()}
         assert got == want, fine
+
+
+def test_stateful_stream_equals_batch_and_has_no_pairs(spark, tmp_out):
+    from ledgerlens.streaming import start_confirm_stateful
+
+    t = StreamingTables(spark, SF_SMALL)
+    out = os.path.join(tmp_out, "state_out")
+    q = start_confirm_stateful(spark, sent_messages(t), replies(t), output_path=out,
+                               checkpoint=os.path.join(tmp_out, "state_ckpt"), available_now=True,
+                               timeout_seconds=fx.REPLY_TIMEOUT_SECONDS)
+    q.awaitTermination()
+    streamed = spark.read.parquet(out)
+    batch = confirm_outcomes(derived_view(spark, SF_SMALL, "sent_messages"), derived_view(spark, SF_SMALL, "replies"),
+                             timeout_seconds=fx.REPLY_TIMEOUT_SECONDS)
+    n = streamed.count()
+    assert 0 < n <= batch.count() and streamed.select("message_id").distinct().count() == n
+    j = streamed.alias("s").join(batch.alias("b"), "message_id")
+    assert j.count() == n
+    assert j.filter("NOT (s.status <=> b.status) OR NOT (s.resposta <=> b.resposta) "
+                    "OR NOT (s.reply_ts <=> b.reply_ts) OR NOT (s.sent_ts <=> b.sent_ts)").count() == 0
+
+
+def test_stateful_outcomes_function_matches_brute_force():
+    from ledgerlens.streaming.confirm_state import _outcomes
+
+    import pandas as pd
+
+    us = lambda t: int((t - dt.datetime(1970, 1, 1)).total_seconds() * 1_000_000)
+    reps = [r for r in REPLIES if r[3].strip()]
+    st = {"msg_contact": [s[1] for s in SENT] + [None], "msg_id": [s[0] for s in SENT] + [99],
+          "msg_us": [us(s[2]) for s in SENT] + [us(T0)],
+          "rep_contact": [r[1] for r in reps], "rep_id": [r[0] for r in reps],
+          "rep_us": [us(r[2]) for r in reps], "rep_text": [r[3].strip() for r in reps]}
+    want = brute_force(SENT, REPLIES, 300)
+    want[99] = ("SEM RESPOSTA", None, None)
+    got = _outcomes(st, 300_000_000)
+    assert len(got) == len(want)
+    for row in got.itertuples():
+        reply = None if pd.isna(row.reply_ts) else row.reply_ts.to_pydatetime()
+        assert (row.status, row.resposta, reply) == want[row.message_id], row
