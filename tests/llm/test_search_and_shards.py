@@ -1,0 +1,95 @@
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerlens.llm import maxscore, sharding
+from ledgerlens.llm.queries import op6_sharding, op7_maxscore_search
+
+
+def top_by_hand(vectors, queries, k):
+    out = []
+    for q, x in queries:
+        best = sorted(((-sum(a * b for a, b in zip(x, y)), i) for i, y in vectors if i != q))[:k]
+        out += [(q, r, i, -s) for r, (s, i) in enumerate(best, 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed,scale,n", [(1, 3, 300), (2, 300, 200), (3, 10**8, 60)])
+def test_top_k_equals_all_products(spark, seed, scale, n):
+    rng = np.random.default_rng(seed)
+    rows = [(i, rng.integers(-scale, scale + 1, 12).tolist()) for i in range(n)]
+    rows[5] = (5, rows[4][1])
+    df = spark.createDataFrame(rows, "vec_id long, vector array<long>")
+    queries = df.filter("vec_id % 7 = 0")
+    want = top_by_hand(rows, rows[::7], 5)
+    for shard_rows, block in ((16384, 2048), (37, 10)):
+        got = maxscore.top_k(df, queries, 5, shard_rows=shard_rows, block_queries=block).collect()
+        assert sorted(map(tuple, got)) == want
+
+
+def test_odd_vectors(spark):
+    rows = [(0, [1.0, 2.0]), (50, [0.5]), (1, None), (2, [None, 1.0]), (3, [float("nan"), 1.0]), (4, [float("inf")]),
+            (None, [1.0, 1.0]), (6, []), (7, [-0.001, 0.0]), (7, [-0.001, 0.0]), (8, [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").filter(
+        maxscore.usable(F.col("embedding"))).select("vec_id", maxscore.quantised(F.col("embedding")).alias("vector"))
+    vectors = [(i, [math.floor(256 * x) for x in v]) for i, v in
+               [(0, [1.0, 2.0]), (50, [0.5]), (6, []), (7, [-0.001, 0.0]), (8, [1.0, 2.0])]]
+    got = maxscore.top_k(df, df.filter("vec_id % 50 = 0"), 3).collect()
+    assert sorted(map(tuple, got)) == top_by_hand(vectors, vectors[:2], 3)
+    none = df.limit(0)
+    assert maxscore.top_k(none, none, 3).count() == 0
+
+
+def test_search_query_on_a_fixture(spark, sf):
+    rows = [(r.vec_id, [math.floor(256 * x) for x in r.embedding])
+            for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
+    got = op7_maxscore_search(spark, sf).collect()
+    assert sorted(map(tuple, got)) == top_by_hand(rows, [r for r in rows if r[0] % 50 == 0], 5)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 97, 1000, 1024])
+def test_permutation(spark, n):
+    a = math.ceil(math.sqrt(n))
+    b = math.ceil(n / a)
+    p = sharding.permuted(F.col("id"), F.lit(n).cast("long"), F.lit(a).cast("long"), F.lit(b).cast("long"), 9)
+    got = [r.p for r in spark.range(n).select(p.alias("p")).collect()]
+    assert sorted(got) == list(range(n))
+    assert n < 50 or got != sorted(got)
+
+
+def check_shards(rows, k):
+    counts = Counter(r.shard for r in rows)
+    assert max(counts.values()) - min([counts.get(s, 0) for s in range(k)]) <= 1
+    for s in range(k):
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(counts.get(s, 0)))
+
+
+def test_shards_of_edge_rows_do_not_depend_on_partitions(edge_docs):
+    one = sharding.shard_rows(edge_docs.coalesce(1), ["doc_id", "text"], shards=4, seed=3).collect()
+    many = sharding.shard_rows(edge_docs.repartition(7, "score", "doc_id"), ["doc_id", "text"], shards=4, seed=3).collect()
+    assert sorted(map(str, one)) == sorted(map(str, many)) and len(one) == edge_docs.count()
+    check_shards(one, 4)
+
+
+def test_sharding_query(spark, sf):
+    rows = op6_sharding(spark, sf).collect()
+    check_shards(rows, 8)
+    docs = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    assert {r.doc_id: (r["size"], r.text_crc32, r.law, r.grown_shard) for r in rows} == {
+        i: (len(t) + 1, zlib.crc32(t), "rows", None) for i, t in docs.items()}
+    # a shuffle: neighbours in the table do not share a shard more often than chance
+    by_id = sorted((r.doc_id, r.shard) for r in rows)
+    assert sum(a[1] == b[1] for a, b in zip(by_id, by_id[1:])) < len(rows) / 3
+
+
+def test_sharding_runs_no_python(spark, sf):
+    plan = op6_sharding(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_empty_table(no_docs):
+    assert sharding.shard_rows(no_docs, ["doc_id", "text"], shards=4).count() == 0
