@@ -281,10 +281,25 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["confirm_report"] = q_confirm_report
     out["confirm_outcomes_stream"] = q_confirm_outcomes_stream
     out["confirm_outcomes_stream_join"] = q_confirm_outcomes_stream_join
-    return out
+    return out | _corpus()[0]
+
+
+def _corpus() -> tuple[dict, dict]:
+    """Queries and SQL of the llm subpackage and the corpus pipeline, where these are installed."""
+    try:
+        import corpus_pipeline
+        from ledgerlens.llm.queries import ORACLE_SQL, QUERIES
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "ledgerlens.llm", "ledgerlens.llm.queries"):
+            raise
+        return {}, {}
+    sql = dict(ORACLE_SQL)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**QUERIES, "pipeline": corpus_pipeline.run}, sql
 
 
 def oracle_sql() -> dict[str, str]:
     from duck_oracle import ORACLE_SQL
 
-    return dict(ORACLE_SQL)
+    return dict(ORACLE_SQL) | _corpus()[1]
