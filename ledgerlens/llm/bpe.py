@@ -23,6 +23,7 @@ import re
 from functools import lru_cache
 from itertools import chain
 
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -211,7 +212,8 @@ def encode_decode(df: DataFrame, path: str, *, id_col: str = "doc_id", text_col:
     """Per row: the id, the token ids as an array and the text decoded from them."""
     def run(piece):
         ids = [encode_text(path, t) for t in piece.column(1).to_pylist()]
-        return {"id": piece.column(0), "token_ids": [[int(i) for i in s.split(",")] if s else [] for s in ids],
+        lists = [[int(i) for i in s.split(",")] if s else [] for s in ids]
+        return {"id": piece.column(0), "token_ids": pa.array(lists, type=pa.list_(pa.int32())),
                 "decoded": [decode_text(path, s) for s in ids]}
 
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))

@@ -143,6 +143,8 @@ class PatriciaOwners:
         todo = [(top, prefix)]
         while todo:
             node, path = todo.pop()
+            if node.spill is not None:  # an older spill moves along
+                yield from ((path + rest, owner) for rest, owner in _replay(node.spill))
             if node.owner is not None:
                 yield path, node.owner
             todo += [(kid, path + kid.edge) for kid in node.kids.values()]
@@ -161,16 +163,24 @@ class PatriciaOwners:
         self.root = Node(b"")
         for path, file in files:
             part = PatriciaOwners(self.budget)
-            file.seek(0)
-            try:
-                while True:
-                    part.add(*pickle.load(file))
-            except EOFError:
-                file.close()
+            for rest, owner in _replay(file):
+                part.add(rest, owner)
             for rest, owner in part.entries():
                 yield path + rest, owner
 
 
+def _replay(file) -> Iterator[tuple[bytes, tuple]]:
+    """The entries of a scratch file, which ends with that."""
+    file.seek(0)
+    with file:
+        while True:
+            try:
+                entry = pickle.load(file)
+            except EOFError:
+                return
+            yield entry
+
+
 def _emit(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), types)], names=names)
 

@@ -51,6 +51,7 @@ BESIDE_ROLES = frozenset("navigation banner contentinfo complementary search for
 NEGATED = frozenset("has with no without".split())
 SMOOTHING = 1.0
 LINK_SHARE = 0.6
+UNFINISHED = re.compile(r"<[/!?]?[a-zA-Z][^<>]*\Z")
 MASS_SHARE = 0.9
 
 
@@ -185,7 +186,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     parser = PageLines()
-    parser.feed(html)
+    parser.feed(UNFINISHED.sub("", html))  # a page may end inside a tag
     lines = parser.done()
     if not any(not x.beside for x in lines):
         return ""
