@@ -35,7 +35,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.batches import slices
-from ledgerlens.llm.bpe import Memo
 from ledgerlens.llm.numbering import BUCKETS, bucket_of, running
 from ledgerlens.session import checkpoint_dir
 
@@ -43,18 +42,21 @@ WINDOW = 2048
 GRID = 16
 PARTS = 3
 END_ID = 1
-MEMO_CHUNKS = 500_000
+MEMO_CHUNKS = 400_000
+MEMO_WORDS = 400_000
+MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 ODD_SPACES = "\x1c\x1d\x1e\x1f"
 PIECES = "doc_id long, start long, length long, doc_tokens long, crc long, ids binary"
 
 
 class ChunkEncoder:
-    """Ids of whole texts from a tokenizer that drops white space and never joins across it.
+    """Ids of whole texts from a tokenizer that drops white space, ignores case and never joins letters to marks.
 
     Such a text's ids are those of its white-space separated chunks one after the
-    other, so repeated chunks come from a bounded memo. Four control characters
-    that Python takes for white space and the tokenizer doesn't send a text to
-    the tokenizer whole. ``by_chunk`` false does that for all texts.
+    other, and those of a chunk of letters and closing marks are the letters' and
+    then the marks', so repeated chunks and words come from bounded memos. Four
+    control characters that Python takes for white space and the tokenizer doesn't
+    send a text to the tokenizer whole. ``by_chunk`` false does that for all texts.
     """
 
     def __init__(self, path: str, by_chunk: bool = True):
@@ -63,26 +65,46 @@ class ChunkEncoder:
         self.tokenizer, self.by_chunk = Tokenizer.from_file(path), by_chunk
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.memo = Memo(None, MEMO_CHUNKS)
-
-    def fill(self, texts: list[str]) -> None:
-        """Encodes the chunks of ``texts`` that the memo lacks, in one call."""
-        missing = list({c for t in texts for c in t.split()} - self.memo.keys())
-        if len(self.memo) + len(missing) > MEMO_CHUNKS:
-            self.memo.clear()
-            missing = list({c for t in texts for c in t.split()})
-        for a in range(0, len(missing), 4096):
-            part = missing[a:a + 4096]
-            for c, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.memo[c] = np.array(e.ids, dtype="<u4").tobytes()
+        self.chunks: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def fill(self, parts: list[list[str]]) -> None:
+        """Encodes what the memos lack of the chunks, new words in one call."""
+        missing = set().union(*parts).difference(self.chunks)
+        if len(self.chunks) + len(missing) > MEMO_CHUNKS:
+            self.chunks = {}
+            missing = set().union(*parts)
+        made, new = [], set()
+        for chunk in missing:
+            word = chunk.rstrip(MARKS)
+            marks = chunk[len(word):]
+            if not word.isalpha():
+                word, marks = chunk, ""
+            elif word.isascii():
+                word = word.lower()
+            made.append((chunk, word, marks))
+            new.add(word)
+            if marks:
+                new.add(marks)
+        fresh = new.difference(self.words)
+        if len(self.words) + len(fresh) > MEMO_WORDS:
+            self.words, fresh = {}, new
+        listed, words = list(fresh), self.words
+        for a in range(0, len(listed), 4096):
+            some = listed[a:a + 4096]
+            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                words[w] = np.array(e.ids, dtype="<u4").tobytes()
+        for chunk, word, marks in made:
+            self.chunks[chunk] = words[word] + words[marks] if marks else words[word]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
         whole = [not self.by_chunk or any(c in t for c in ODD_SPACES) for t in texts]
-        self.fill([t for t, w in zip(texts, whole) if not w])
-        get = self.memo.__getitem__
+        parts = [[] if w else t.split() for t, w in zip(texts, whole)]
+        self.fill(parts)
+        get = self.chunks.__getitem__
         return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() if w
-                else b"".join(map(get, t.split())) for t, w in zip(texts, whole)]
+                else b"".join(map(get, p)) for t, w, p in zip(texts, whole, parts)]
 
 
 @lru_cache(maxsize=2)

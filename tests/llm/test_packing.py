@@ -52,13 +52,12 @@ def test_query_on_a_fixture(spark, sf):
     assert total / (2048 * len(sequences)) > 0.97
 
 
-@pytest.mark.parametrize("window,grid,parts", [(2048, 16, 3), (64, 1, 4), (64, 64, 2), (32, 4, 3)])
-def test_edge_rows(edge_docs, window, grid, parts):
+@pytest.mark.parametrize("window,grid,parts,by_chunk", [(2048, 16, 3, True), (64, 1, 4, False), (64, 64, 2, True)])
+def test_edge_rows(edge_docs, window, grid, parts, by_chunk):
     docs = edge_docs.filter("doc_id is not null")
     want = {r.doc_id: ids_of(r.text) for r in docs.collect()}
-    check(packing.pack(docs, PATH, window=window, grid=grid, parts=parts).collect(), want, window)
-    whole = packing.pack(docs, PATH, window=window, grid=grid, parts=parts, by_chunk=False)
-    check(whole.collect(), want, window)
+    packed = packing.pack(docs, PATH, window=window, grid=grid, parts=parts, by_chunk=by_chunk)
+    check(packed.collect(), want, window)
 
 
 def test_rows_without_id_are_packed(edge_docs):
