@@ -13,7 +13,7 @@ import os
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +24,8 @@ from ledgerlens.functions import (
     bucket_overdue_360,
     bucket_overdue_720,
     bucket_to_due,
+    confirm_removed_count,
+    confirm_sanitize,
     date_text,
     days_overdue,
     days_overdue_floor,
@@ -52,15 +54,16 @@ from ledgerlens.operators import (
 from ledgerlens.plans import (
     CATALOG,
     audit_suite,
+    bin01_report,
     confirm_messages,
     confirm_outcomes,
     confirm_report,
     run_check,
 )
 from ledgerlens.session import checkpoint_dir
-from ledgerlens.sources import confirm_contacts, load_view, testdata_view
+from ledgerlens.sources import confirm_contacts, confirm_results, load_view, testdata_view
 from ledgerlens.sources.testdata import StreamingTables, replies, sent_messages
-from ledgerlens.streaming import start_confirm_stateful, start_confirm_stream
+from ledgerlens.streaming import run_to_end
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -202,7 +205,8 @@ def q_confirm_contacts(spark, sf_dir):
 
 
 def q_confirm_messages(spark, sf_dir):
-    prepared = confirm_messages(confirm_contacts(testdata_view(spark, sf_dir, "contacts")), company=fx.COMPANY)
+    prepared = confirm_messages(confirm_contacts(testdata_view(spark, sf_dir, "contacts")), company=fx.COMPANY,
+                                template=fx.TEMPLATE)
     return normalize(prepared.select("contact_id", "nome_cliente", "telefone", "telefone_limpo", "telefone_valido",
                                      "notas_texto", F.size("notas").alias("qtd_notas"), "mensagem",
                                      "caracteres_removidos"))
@@ -215,35 +219,76 @@ def q_confirm_outcomes(spark, sf_dir):
 
 
 def q_confirm_report(spark, sf_dir):
-    """The outcome table: invalid phones from the contact sheet, then every sent message
-    of a contact with a usable phone, with its outcome."""
-    prepared = confirm_messages(confirm_contacts(testdata_view(spark, sf_dir, "contacts")), company=fx.COMPANY)
+    """The outcome table: every contact of the sheet and every sent message."""
+    prepared = confirm_messages(confirm_contacts(testdata_view(spark, sf_dir, "contacts")), company=fx.COMPANY,
+                                template=fx.TEMPLATE)
     outcomes = confirm_outcomes(testdata_view(spark, sf_dir, "sent_messages"),
                                 testdata_view(spark, sf_dir, "replies"), timeout_seconds=fx.REPLY_TIMEOUT_SECONDS)
     return normalize(confirm_report(prepared, outcomes, run_ts=fx.RUN_TS,
                                     timeout_seconds=fx.REPLY_TIMEOUT_SECONDS))
 
 
-def _stream_outcomes(spark, sf_dir, start) -> DataFrame:
-    base = os.path.join(checkpoint_dir(spark, local_fallback=True), f"confirm-{uuid.uuid4().hex}")
-    t = StreamingTables(spark, sf_dir)
-    q = start(spark, sent_messages(t), replies(t), output_path=f"{base}/out", checkpoint=f"{base}/ckpt",
-              timeout_seconds=fx.REPLY_TIMEOUT_SECONDS, available_now=True)
-    q.awaitTermination()
-    return normalize(spark.read.parquet(f"{base}/out"))
+def _scratch(spark, name: str) -> str:
+    """A new folder of this name in the session's shared checkpoint folder."""
+    return os.path.join(checkpoint_dir(spark, local_fallback=True), f"{name}-{uuid.uuid4().hex}")
 
 
-def q_confirm_outcomes_stream(spark, sf_dir):
-    """Streaming outcomes with the custom stateful operator (state per contact and time
-    bucket, no message/reply pairs), over the event file with availableNow, written to a
-    Parquet sink under the session's checkpoint folder and read back. Only messages whose
-    wait closed before the input ended are emitted, so this has no SQL oracle."""
-    return _stream_outcomes(spark, sf_dir, start_confirm_stateful)
+def q_confirm_results(spark, sf_dir):
+    """The outcome table written with its fixed schema and read back."""
+    path = _scratch(spark, "resultados")
+    confirm_results(q_confirm_report(spark, sf_dir), path)
+    back = spark.read.parquet(path)
+    return normalize(back.withColumn("data_hora", F.col("data_hora").cast("timestamp_ntz")))
+
+
+def q_confirm_sanitize(spark, sf_dir):
+    """Every conversation text with controls and a code point above U+FFFF put in, cleaned again."""
+    text = F.concat(F.col("text"), F.lit("\x07\t\x0b\U0001F600"))
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return normalize(rows.select("conv_id", "turn", confirm_sanitize(text).alias("limpo"),
+                                 confirm_removed_count(text).alias("removidos")))
 
 
-def q_confirm_outcomes_stream_join(spark, sf_dir):
-    """The same outcomes from a watermarked stream-stream join plus window aggregation."""
-    return _stream_outcomes(spark, sf_dir, start_confirm_stream)
+def q_offset_status_cases(spark, sf_dir):
+    """The offset status of small amounts taken from every line item's keys; all six occur."""
+    keys = {"valor_acl": "l_orderkey", "valor_dpc": "l_partkey", "valor_atc": "l_suppkey", "valor_tcc": "l_linenumber"}
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        *[(F.col(c) % 3).cast("bigint").alias(n) for n, c in keys.items()])
+    return normalize(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("linhas")).withColumn(
+        "status", offset_status(*keys)))
+
+
+def _report(part: str):
+    def run(spark, sf_dir):
+        view = testdata_view(spark, sf_dir, "closed_transactions")
+        paths = bin01_report(view, _scratch(spark, "report"), **fx.PARAMS["bin01_note_summary"])
+        return normalize(spark.read.parquet(paths[part]))
+    run.__name__ = f"q_write_report_{part}"
+    return run
+
+
+def q_ordered_output(spark, sf_dir):
+    """The ordered check as written and reread in order, with each row's position (ties share one)."""
+    path = _scratch(spark, "ordered")
+    ordered = run_check("afo01_supplier_advances", _views(spark, sf_dir), fx.PARAMS["afo01_supplier_advances"])
+    ordered.select("cod_estabelecimento", "cod_fornecedor", "valor_aberto").write.parquet(path)
+    rows = spark.read.parquet(path).select(
+        "*", F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row")).alias("place"))
+    file_of = F.col("place.file")
+    # files are numbered in the order of the sort; a row's position counts the rows before it
+    ahead = Window.orderBy(file_of, "place.row")
+    rows = rows.withColumn("n", F.row_number().over(ahead))
+    first = F.min("n").over(Window.partitionBy("valor_aberto"))
+    return normalize(rows.select("cod_estabelecimento", "cod_fornecedor", "valor_aberto",
+                                 first.cast("bigint").alias("posicao")))
+
+
+def q_confirm_outcomes_stream(spark, sf_dir):
+    """Streaming outcomes over the event file (a finite run, the tail closed at its end)."""
+    t = StreamingTables(spark, sf_dir)
+    folder = _scratch(spark, "confirm")
+    return normalize(run_to_end(spark, sent_messages(t), replies(t), folder=f"{folder}/tables", name=uuid.uuid4().hex,
+                                checkpoint=f"{folder}/progress", timeout_seconds=fx.REPLY_TIMEOUT_SECONDS).outcomes())
 
 
 def q_audit_suite(spark, sf_dir):
@@ -279,8 +324,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["confirm_messages"] = q_confirm_messages
     out["confirm_outcomes"] = q_confirm_outcomes
     out["confirm_report"] = q_confirm_report
+    out["confirm_results"] = q_confirm_results
+    out["confirm_sanitize"] = q_confirm_sanitize
     out["confirm_outcomes_stream"] = q_confirm_outcomes_stream
-    out["confirm_outcomes_stream_join"] = q_confirm_outcomes_stream_join
+    out["offset_status_cases"] = q_offset_status_cases
+    out["write_report_summary"] = _report("summary")
+    out["write_report_detail"] = _report("detail")
+    out["ordered_output"] = q_ordered_output
     return out | _corpus()[0]
 
 

@@ -14,7 +14,6 @@ from duck_oracle.queries import (
 )
 from duck_oracle.views import with_views
 from ledgerlens import fixture as fx
-from ledgerlens.functions.confirm import DEFAULT_TEMPLATE
 from ledgerlens.plans.suite import CATALOG, params_text
 
 AS_OF = "DATE '1998-12-31'"
@@ -119,7 +118,7 @@ def count_over_sql() -> str:
 SELECT cod_cliente, nota_fiscal, comprovante,
   CAST(count(nota_fiscal) OVER (PARTITION BY cod_cliente, nota_fiscal) AS BIGINT) AS qtd_repeticao_nota
 FROM closed_transactions
-QUALIFY count(nota_fiscal) OVER (PARTITION BY cod_cliente, nota_fiscal) >= 6""", "closed_transactions")
+QUALIFY count(nota_fiscal) OVER (PARTITION BY cod_cliente, nota_fiscal) > 5""", "closed_transactions")
 
 
 def count_rows_over_sql() -> str:
@@ -151,10 +150,20 @@ FROM supplier_transactions
 GROUP BY perfil_lanc, status""", "supplier_transactions")
 
 
-_CONTACTS_KEPT = """
+# White space of Unicode and the separators U+001C to U+001F, as a RE2 class.
+_BLANK = ("[\\x09-\\x0D\\x1C-\\x20\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}"
+          "\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]")
+
+
+def strip(text: str) -> str:
+    """Text without white space at either end."""
+    return f"regexp_replace({text}, '^{_BLANK}+|{_BLANK}+$', '', 'g')"
+
+
+_CONTACTS_KEPT = f"""
   SELECT "Nome do Cliente" AS nome_cliente, "Celular" AS telefone, "NF" AS notas_fiscais, contact_id
   FROM contacts
-  WHERE "Celular" IS NOT NULL AND "Celular" <> 'nan' AND regexp_replace("Celular", '\\s', '', 'g') <> ''"""
+  WHERE coalesce({strip('"Celular"')}, '') NOT IN ('', 'nan')"""
 
 
 def confirm_contacts_sql() -> str:
@@ -168,10 +177,10 @@ def _sql_literal(text: str) -> str:
 
 def confirm_messages_sql() -> str:
     digits = "regexp_replace(coalesce(telefone, ''), '[^0-9]', '', 'g')"
-    notes = ("list_filter(list_transform(string_split(coalesce(notas_fiscais, ''), ','), lambda x: trim(x)), "
-             "lambda x: x <> '')")
+    notes = ("list_filter(list_transform(string_split(coalesce(notas_fiscais, ''), ','), "
+             f"lambda x: {strip('x')}), lambda x: x <> '')")
     lines = f"array_to_string(list_transform({notes}, lambda x: '  • NF ' || x), chr(10))"
-    msg = (f"replace(replace(replace({_sql_literal(DEFAULT_TEMPLATE)}, '{{empresa}}', "
+    msg = (f"replace(replace(replace({_sql_literal(fx.TEMPLATE)}, '{{empresa}}', "
            f"{_sql_literal(fx.COMPANY)}), '{{notas}}', {lines}), '{{nome_cliente}}', coalesce(nome_cliente, ''))")
     bad = "'[\\x{10000}-\\x{10FFFF}\\x{0}-\\x{8}\\x{B}\\x{C}\\x{E}-\\x{1F}]'"
     return with_views(f"""
@@ -199,11 +208,11 @@ SELECT s.message_id, s.contact_id, s.sent_ts,
   f.reply_text AS resposta, f.reply_ts
 FROM sent_messages s LEFT JOIN firsts f ON f.message_id = s.message_id""", "sent_messages", "replies", ctes={
         "ranked": f"""
-  SELECT s.message_id, r.reply_ts, regexp_replace(r.reply_text, '^\\s+|\\s+$', '', 'g') AS reply_text,
+  SELECT s.message_id, r.reply_ts, {strip('r.reply_text')} AS reply_text,
     row_number() OVER (PARTITION BY s.message_id ORDER BY r.reply_ts, r.reply_id) AS rn
   FROM sent_messages s JOIN replies r
     ON r.contact_id = s.contact_id AND r.reply_ts > s.sent_ts AND r.reply_ts <= s.sent_ts + {timeout}
-  WHERE regexp_replace(r.reply_text, '^\\s+|\\s+$', '', 'g') <> ''""",
+  WHERE {strip('r.reply_text')} <> ''""",
         "firsts": "SELECT message_id, reply_ts, reply_text FROM ranked WHERE rn = 1"})
 
 
@@ -212,19 +221,57 @@ def confirm_report_sql() -> str:
     clean = (f"CASE WHEN {digits} = '' THEN NULL WHEN {digits} LIKE '55%' THEN {digits} "
              f"WHEN length({digits}) <= 11 THEN '55' || {digits} ELSE {digits} END")
     notes = ("array_to_string(list_filter(list_transform(string_split(coalesce(notas_fiscais, ''), ','), "
-             "lambda x: trim(x)), lambda x: x <> ''), ',')")
+             f"lambda x: {strip('x')}), lambda x: x <> ''), ',')")
     run_ts = fx.RUN_TS.strftime("%Y-%m-%d %H:%M:%S")
-    outcomes = confirm_outcomes_sql()
     return with_views(f"""
 SELECT nome_cliente, telefone, notas_fiscais, 'ERRO - TELEFONE INVÁLIDO' AS status,
   CAST(NULL AS VARCHAR) AS resposta, TIMESTAMP '{run_ts}' AS data_hora
 FROM kept WHERE ({clean}) IS NULL
 UNION ALL
-SELECT k.nome_cliente, {clean.replace('telefone', 'k.telefone')} AS telefone,
-  {notes.replace('notas_fiscais', 'k.notas_fiscais')} AS notas_fiscais, o.status, o.resposta,
+SELECT v.nome_cliente, v.telefone, v.notas_fiscais, o.status, o.resposta,
   coalesce(o.reply_ts, o.sent_ts + INTERVAL {fx.REPLY_TIMEOUT_SECONDS} SECOND) AS data_hora
-FROM ({outcomes}) o JOIN kept k ON k.contact_id = o.contact_id
-WHERE ({clean.replace('telefone', 'k.telefone')}) IS NOT NULL""", "contacts", ctes={"kept": _CONTACTS_KEPT})
+FROM ({confirm_outcomes_sql()}) o LEFT JOIN valid v ON v.contact_id = o.contact_id
+UNION ALL
+SELECT nome_cliente, telefone, notas_fiscais, 'NÃO ENVIADO', NULL, TIMESTAMP '{run_ts}'
+FROM valid v WHERE NOT EXISTS (SELECT 1 FROM sent_messages s WHERE s.contact_id = v.contact_id)""",
+                      "contacts", "sent_messages", ctes={"kept": _CONTACTS_KEPT, "valid": f"""
+  SELECT contact_id, nome_cliente, {clean} AS telefone, {notes} AS notas_fiscais
+  FROM kept WHERE ({clean}) IS NOT NULL"""})
+
+
+def confirm_results_sql() -> str:
+    """The report as the result table holds it."""
+    return f"SELECT nome_cliente, telefone, notas_fiscais, status, resposta, data_hora FROM ({confirm_report_sql()}) r"
+
+
+def confirm_sanitize_sql() -> str:
+    raw = "coalesce(text || chr(7) || chr(9) || chr(11) || chr(128512), '')"
+    clean = f"regexp_replace({raw}, '[\\x{{10000}}-\\x{{10FFFF}}\\x{{0}}-\\x{{8}}\\x{{B}}\\x{{C}}\\x{{E}}-\\x{{1F}}]', '', 'g')"
+    return f"""
+SELECT conv_id, turn, {clean} AS limpo, CAST(length({raw}) - length({clean}) AS BIGINT) AS removidos
+FROM conversations"""
+
+
+def offset_cases_sql() -> str:
+    return f"""
+SELECT CAST(a AS BIGINT) AS valor_acl, CAST(d AS BIGINT) AS valor_dpc, CAST(t AS BIGINT) AS valor_atc,
+  CAST(c AS BIGINT) AS valor_tcc, {offset('a', 'd', 't', 'c')} AS status, CAST(count(*) AS BIGINT) AS linhas
+FROM (SELECT l_orderkey % 3 AS a, l_partkey % 3 AS d, l_suppkey % 3 AS t, l_linenumber % 3 AS c FROM lineitem) v
+GROUP BY a, d, t, c"""
+
+
+def report_sql(key: str, dates: tuple[str, ...] = ()) -> str:
+    """A written report table: the check's rows, dates as text where named."""
+    text = ", ".join(f"strftime({d}, '%d/%m/%Y') AS {d}" for d in dates)
+    return f"SELECT * REPLACE ({text}) FROM ({CHECK_SQL[key]()}) q" if dates else CHECK_SQL[key]()
+
+
+def ordered_sql() -> str:
+    """Supplier advances with each row's position by open amount, largest first."""
+    return f"""
+SELECT cod_estabelecimento, cod_fornecedor, valor_aberto,
+  CAST(rank() OVER (ORDER BY valor_aberto DESC) AS BIGINT) AS posicao
+FROM ({CHECK_SQL['afo01_supplier_advances']()}) q"""
 
 
 def audit_suite_sql() -> str:
@@ -262,4 +309,11 @@ ORACLE_SQL.update({
     "confirm_messages": confirm_messages_sql(),
     "confirm_outcomes": confirm_outcomes_sql(),
     "confirm_report": confirm_report_sql(),
+    "confirm_results": confirm_results_sql(),
+    "confirm_sanitize": confirm_sanitize_sql(),
+    "confirm_outcomes_stream": confirm_outcomes_sql(),
+    "offset_status_cases": offset_cases_sql(),
+    "write_report_summary": report_sql("bin01_note_summary"),
+    "write_report_detail": report_sql("bin01_note_detail", ("data_transacao", "data_vencimento")),
+    "ordered_output": ordered_sql(),
 })

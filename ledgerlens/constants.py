@@ -118,16 +118,6 @@ SALES_CFOPS = (
     "6.112", "6.113", "6.114", "6.115", "6.116",
 )
 
-# National holidays of 2025 as listed by the weekend/holiday billing check.
-HOLIDAYS_2025 = tuple(
-    _dt.date.fromisoformat(d)
-    for d in (
-        "2025-01-01", "2025-03-03", "2025-03-04", "2025-04-18",
-        "2025-04-21", "2025-05-01", "2025-06-19", "2025-09-07",
-        "2025-10-12", "2025-11-02", "2025-11-20", "2025-12-25",
-    )
-)
-
 # Commercial group of each establishment; unmatched codes get GROUP_DEFAULT.
 # (R282 appears twice in the audited list; a dict keeps it once.)
 ESTABLISHMENT_GROUPS = {
@@ -147,9 +137,9 @@ GROUP_DEFAULT = "CADASTRAR"
 # Confirmation job.
 CONFIRM_STATUS_INVALID_PHONE = "ERRO - TELEFONE INVÁLIDO"
 CONFIRM_STATUS_NOT_FOUND = "ERRO - CONTATO NÃO ENCONTRADO"
-CONFIRM_STATUS_SEND_FAILED = "ERRO - FALHA AO ENVIAR"
 CONFIRM_STATUS_ANSWERED = "RESPONDIDO"
 CONFIRM_STATUS_NO_ANSWER = "SEM RESPOSTA"
+CONFIRM_STATUS_NOT_SENT = "NÃO ENVIADO"
 CONFIRM_COUNTRY_CODE = "55"
 CONFIRM_MAX_LOCAL_DIGITS = 11
 CONFIRM_NOTE_BULLET = "  • NF "

@@ -24,6 +24,7 @@ CAR10_MORE_THAN = 11
 REPLY_TIMEOUT_SECONDS = 24 * 3600
 RUN_TS = _dt.datetime(2024, 2, 1, 0, 0, 0)
 COMPANY = "Empresa Teste"
+TEMPLATE = "{nome_cliente}, a {empresa} pede que confirme estas notas:\n{notas}\nResponda SIM ou NÃO."
 
 # Per-check keyword arguments.
 PARAMS = {

@@ -10,7 +10,6 @@ from ledgerlens.functions.aging import (
     offset_status,
 )
 from ledgerlens.functions.confirm import (
-    DEFAULT_TEMPLATE,
     confirm_message,
     confirm_note_lines,
     confirm_notes,
@@ -18,6 +17,7 @@ from ledgerlens.functions.confirm import (
     confirm_phone,
     confirm_removed_count,
     confirm_sanitize,
+    strip_text,
 )
 from ledgerlens.functions.dates import (
     as_of_column,

@@ -16,16 +16,13 @@ from ledgerlens.functions._util import as_col
 # tab (9), line feed (10) and carriage return (13).
 _UNSENDABLE = r"[\x{10000}-\x{10FFFF}\x{0}-\x{8}\x{B}\x{C}\x{E}-\x{1F}]"
 
-DEFAULT_TEMPLATE = (
-    "Olá, {nome_cliente}!\n\n"
-    "Falamos em nome da {empresa} e estamos confirmando com os clientes as compras "
-    "registradas pelo distribuidor. Este contato não é uma cobrança.\n\n"
-    "Constam em nosso sistema as seguintes notas fiscais:\n\n"
-    "{notas}\n\n"
-    "Por favor, responda SIM se reconhece todas as notas fiscais, "
-    "ou NÃO se não reconhece alguma delas.\n\n"
-    "Obrigado(a)!"
-)
+# White space at either end: Unicode's, and the four separators U+001C to U+001F.
+_ENDS = r"(?U)^[\s\x1C-\x1F]+|[\s\x1C-\x1F]+$"
+
+
+def strip_text(c) -> Column:
+    """Leading and trailing white space removed, Unicode's included."""
+    return F.regexp_replace(as_col(c), _ENDS, "")
 
 
 def confirm_phone(c) -> Column:
@@ -41,8 +38,8 @@ def confirm_phone(c) -> Column:
 
 
 def confirm_notes(c) -> Column:
-    """Comma-separated notes -> trimmed, non-empty ``array<string>``; NULL -> empty array."""
-    parts = F.transform(F.split(F.coalesce(as_col(c), F.lit("")), ","), lambda x: F.trim(x))
+    """Comma-separated notes -> stripped, non-empty ``array<string>``; NULL -> empty array."""
+    parts = F.transform(F.split(F.coalesce(as_col(c), F.lit("")), ","), strip_text)
     return F.filter(parts, lambda x: x != "")
 
 
@@ -56,7 +53,7 @@ def confirm_note_lines(notes) -> Column:
     return F.array_join(F.transform(as_col(notes), lambda n: F.concat(F.lit(CONFIRM_NOTE_BULLET), n)), "\n")
 
 
-def confirm_message(name, notes, *, company: str, template: str = DEFAULT_TEMPLATE) -> Column:
+def confirm_message(name, notes, *, company: str, template: str) -> Column:
     """Fill ``template`` placeholders ``{nome_cliente}``, ``{empresa}`` and ``{notas}``.
 
     ``notes`` is an ``array<string>`` column (see :func:`confirm_notes`).

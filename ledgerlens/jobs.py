@@ -1,6 +1,6 @@
 """Batch job: run audit checks over stored views and write every result as a table.
 
-    spark-submit -m ledgerlens.jobs config.json
+    spark-submit ledgerlens/jobs.py config.json
 
 ``config.json``::
 
@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.constants import CONFIRM_DEFAULT_TIMEOUT_SECONDS
-from ledgerlens.functions.confirm import DEFAULT_TEMPLATE
 from ledgerlens.plans.confirm import confirm_messages, confirm_outcomes, confirm_report
 from ledgerlens.plans.suite import CATALOG, params_text, run_check
 from ledgerlens.sources.contacts import confirm_contacts, read_contacts_csv
@@ -67,7 +66,7 @@ def run_audit(spark: SparkSession, views: Mapping[str, DataFrame], checks: Mappi
 
 
 def prepare_confirmation(spark: SparkSession, contacts_csv: str, output: str, *, company: str,
-                         template: str = DEFAULT_TEMPLATE, contact_key: str | None = None) -> DataFrame:
+                         template: str, contact_key: str | None = None) -> DataFrame:
     """Contact sheet -> message table (one row per contact, sanitized message text),
     written to ``<output>/mensagens`` for the sending side; returns it read back."""
     contacts = confirm_contacts(read_contacts_csv(spark, contacts_csv))

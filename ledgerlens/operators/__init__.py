@@ -15,9 +15,7 @@ from ledgerlens.operators.aggregates import (
     label_aggregate,
 )
 from ledgerlens.operators.joins import (
-    broadcast_if_small,
     group_lookup,
-    row_count_at_most,
     semi_join_back,
 )
 from ledgerlens.operators.ordering import ordered_output

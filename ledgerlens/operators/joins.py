@@ -1,7 +1,7 @@
 """Joins used by the checks.
 
-Only small dimensions of a proven size are broadcast; anything else is left to
-the planner (sort-merge join, with AQE's skew-join splitting of hot keys).
+No join is hinted: the planner and AQE broadcast a side only when its measured
+bytes are below the session's threshold, and split hot keys of a sort-merge join.
 """
 
 from __future__ import annotations
@@ -14,36 +14,27 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.labels import invert_groups, label_lookup
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (a bounded job: reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only behind a row-count proof; otherwise return ``df`` unchanged."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
-
-
 def semi_join_back(detail: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Detail rows whose key is among ``keys`` (``EXISTS``); never multiplies rows."""
+    """Detail rows whose key is among ``keys`` (``EXISTS``); never multiplies rows.
+
+    The keys are made distinct before they are shuffled to the join, so a hot
+    key's rows do not land in one task on the side that AQE cannot split.
+    """
     on = [on] if isinstance(on, str) else list(on)
-    return detail.join(keys.select(*on), on=on, how="left_semi")
+    return detail.join(keys.select(*on).distinct(), on=on, how="left_semi")
 
 
 def group_lookup(df: DataFrame, code_col: str, dim, *, default: str, name: str = "grupo",
-                 dim_code_col: str = "cod_estabelecimento", dim_value_col: str = "grupo",
-                 max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                 dim_code_col: str = "cod_estabelecimento", dim_value_col: str = "grupo") -> DataFrame:
     """Attach a label per code, ``default`` when the code is not listed.
 
     ``dim`` may be a ``{group: codes}`` dict (compiled into ``CASE WHEN code IN
     (...)``: no join, no shuffle) or a DataFrame of (code, group). A DataFrame is
-    de-duplicated per code (first group alphabetically) and broadcast only when its
-    row count is proven to be at most ``max_broadcast_rows``.
+    de-duplicated per code (first group alphabetically) and joined as the planner chooses.
     """
     if isinstance(dim, dict):
         return df.withColumn(name, label_lookup(code_col, invert_groups(dim), default))
     d = (dim.groupBy(F.col(dim_code_col).alias("__code"))
             .agg(F.min(dim_value_col).alias("__label")))
-    d = broadcast_if_small(d, max_broadcast_rows)
     out = df.join(d, F.col(code_col) == F.col("__code"), "left")
     return out.withColumn(name, F.coalesce(F.col("__label"), F.lit(default))).drop("__code", "__label")

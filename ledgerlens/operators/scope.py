@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions._util import as_col
 from ledgerlens.functions.predicates import code_filter, in_date_range
-from ledgerlens.operators.joins import broadcast_if_small
 
 
 def scope_filter(df: DataFrame, *, establishments: Iterable[str] | str | None,
@@ -28,17 +27,15 @@ def scope_filter(df: DataFrame, *, establishments: Iterable[str] | str | None,
     return out
 
 
-def member_filter(df: DataFrame, col, values, *, value_col: str | None = None,
-                  max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def member_filter(df: DataFrame, col, values, *, value_col: str | None = None) -> DataFrame:
     """Keep rows whose ``col`` is in ``values``.
 
     A Python list becomes an ``IN``/``InSet`` predicate; a DataFrame becomes a
-    left-semi join that is broadcast only when its row count is proven small.
+    left-semi join with its distinct values.
     """
     if isinstance(values, DataFrame):
         key = value_col or values.columns[0]
         right = values.select(F.col(key).alias("__member")).distinct()
-        right = broadcast_if_small(right, max_broadcast_rows)
         return df.join(right, as_col(col) == F.col("__member"), "left_semi")
     return df.filter(as_col(col).isin(*list(values)))
 

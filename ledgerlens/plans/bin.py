@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
@@ -98,8 +99,8 @@ def bin01_report(closed_tx: DataFrame, path: str, *, establishments, start, end,
                  fmt: str = "parquet", reuse_scope: bool = True) -> dict[str, str]:
     """BIN.01 as one report: the summary and the detail written together under
     ``path/<run_id>/``, dates as ``dd/MM/yyyy`` text in the detail only, numbers kept
-    numeric. ``run_id`` defaults to the scope (establishments and end date), so the
-    name always matches the data. Both tables are computed and written by Spark;
+    numeric. ``run_id`` defaults to the scope (establishments and end date) and the time
+    of the run, so a later run never overwrites an earlier report. Both tables are computed and written by Spark;
     nothing passes through the driver. Returns the two paths.
 
     With ``reuse_scope`` the scoped, column-pruned debit notes are checkpointed
@@ -112,7 +113,7 @@ def bin01_report(closed_tx: DataFrame, path: str, *, establishments, start, end,
     from ledgerlens.sources.sinks import write_report
 
     ests = [establishments] if isinstance(establishments, str) else list(establishments)
-    run_id = run_id or f"BIN01_{'-'.join(ests)}_{to_date_value(end):%Y%m%d}"
+    run_id = run_id or f"BIN01_{'-'.join(ests)}_{to_date_value(end):%Y%m%d}_{_dt.datetime.now():%Y%m%d%H%M%S%f}"
     kw = dict(establishments=ests, start=start, end=end, profile=profile, more_than=more_than)
     source = closed_tx
     if reuse_scope:

@@ -3,24 +3,25 @@
 Messages are prepared per contact with column expressions. Replies are matched
 to sent messages by a forward as-of join (first non-blank reply strictly after
 the message, within the timeout) that never pairs a message with the replies of
-its contact and keeps every group bounded whatever the data size:
+its contact and keeps every group bounded:
 
 * time is cut into *coarse* buckets at least one timeout wide, each split into
   ``fine_buckets`` *fine* buckets;
-* one window pass over (contact, fine bucket), in descending time, gives each
-  message the first later reply of its own fine bucket, and each fine bucket its
-  first reply;
-* a second window over (contact, coarse bucket) runs on those per-fine-bucket
-  firsts plus one probe row per fine bucket holding messages (at most
-  2 x ``fine_buckets`` rows per group) and gives the first reply of any later
-  fine bucket of the same coarse bucket, and the coarse bucket's first reply;
-* the next coarse bucket's first reply is joined 1:1.
+* messages and replies are read once each and exchanged once by (contact, fine
+  bucket); one window there, in descending time, gives each message the first
+  later reply of its own fine bucket, and a grouping on the same exchange gives
+  each fine bucket its first reply;
+* a second window over (contact, coarse bucket) runs on those one-row-per-fine-
+  bucket firsts, replies also standing in the coarse bucket before theirs (at
+  most 2 x ``fine_buckets`` rows per group), and gives the first reply of any
+  later fine bucket;
+* that is joined to the messages by (contact, fine bucket).
 
 A reply within the timeout lies in the message's coarse bucket or the next,
-so the earliest of the three candidates is the exact answer. The first window's
+so the earlier of the two candidates is the exact answer. The first window's
 group holds one contact's events of one fine bucket (timeout / ``fine_buckets``
-of time), so a dominant contact is spread over many tasks; the second window's
-group size is bounded by a constant.
+of time), so a dominant contact is spread over many tasks; messages without a
+contact match nothing and are spread by their own identifier.
 """
 
 from __future__ import annotations
@@ -37,15 +38,16 @@ from ledgerlens.constants import (
     CONFIRM_STATUS_ANSWERED,
     CONFIRM_STATUS_INVALID_PHONE,
     CONFIRM_STATUS_NO_ANSWER,
+    CONFIRM_STATUS_NOT_SENT,
 )
 from ledgerlens.functions import (
-    DEFAULT_TEMPLATE,
     confirm_message,
     confirm_notes,
     confirm_notes_text,
     confirm_phone,
     confirm_removed_count,
     confirm_sanitize,
+    strip_text,
 )
 
 _EPOCH_TEXT = "1970-01-01 00:00:00"
@@ -59,12 +61,7 @@ def epoch_micros(df: DataFrame, col: str) -> Column:
     return F.unix_micros(F.col(col))
 
 
-def strip_text(c: Column) -> Column:
-    """Leading and trailing whitespace removed."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
-
-
-def confirm_messages(contacts: DataFrame, *, company: str, template: str = DEFAULT_TEMPLATE) -> DataFrame:
+def confirm_messages(contacts: DataFrame, *, company: str, template: str) -> DataFrame:
     """Per contact (``nome_cliente``, ``telefone``, ``notas_fiscais``, ...): cleaned phone,
     note list and text, whether the phone is usable, and the sanitized message with
     the number of characters sanitizing removed. Other columns are kept."""
@@ -98,58 +95,49 @@ def confirm_outcomes(messages: DataFrame, replies: DataFrame, *,
         raise ValueError("timeout and fine_buckets must be positive")
     fine_us = math.ceil(timeout_seconds * 1_000_000 / fine_buckets)   # coarse = fine_us * fine_buckets >= timeout
 
-    def keyed(df: DataFrame, ts: str) -> DataFrame:
+    def keyed(df: DataFrame, ts: str, spread: Column) -> list[Column]:
         f = F.floor(epoch_micros(df, ts) / fine_us)
-        return df.withColumn("__f", f).withColumn("__c", F.floor(F.col("__f") / fine_buckets))
-
-    sent = keyed(messages, "sent_ts")
-    text = strip_text(F.col("reply_text"))
-    rep = keyed(replies.filter((text != "") & F.col("contact_id").isNotNull())
-                .select("contact_id", "reply_ts",
-                        F.struct(F.col("reply_ts").alias("ts"), F.col("reply_id").alias("id"),
-                                 text.alias("text")).alias("__r")), "reply_ts")
-    r_type = rep.schema["__r"].dataType
-
-    # (1) Fine buckets. At equal times the message sorts first (kind 0), so its
-    # running frame holds only strictly later replies. Messages ride along as a
-    # struct, so nothing is joined back on message_id.
-    msg_type = T.StructType(list(sent.schema.fields))
-    events = (sent.select("contact_id", "__f", "__c", F.col("sent_ts").alias("__ts"), F.lit(0).alias("__kind"),
-                          F.struct(*[F.col(c) for c in sent.columns]).alias("__msg"),
-                          F.lit(None).cast(r_type).alias("__r"))
-              .unionByName(rep.select("contact_id", "__f", "__c", F.col("reply_ts").alias("__ts"),
-                                      F.lit(1).alias("__kind"), F.lit(None).cast(msg_type).alias("__msg"),
-                                      "__r")))
-    fine = Window.partitionBy("contact_id", "__f").orderBy(F.col("__ts").desc(), F.col("__kind").asc())
-    marked = (events
-              .withColumn("__same", F.min("__r").over(fine.rowsBetween(Window.unboundedPreceding,
-                                                                        Window.currentRow)))
-              .withColumn("__ffirst", F.min("__r").over(fine.rowsBetween(Window.unboundedPreceding,
-                                                                          Window.unboundedFollowing))))
-    msgs = marked.filter(F.col("__kind") == 0).select("contact_id", "__f", "__c", "__msg", "__same")
-    # (Duplicate reply rows may repeat a first here; a minimum does not change.)
-    fine_firsts = (marked.filter((F.col("__kind") == 1) & (F.col("__r") == F.col("__ffirst")))
-                   .select("contact_id", "__c", "__f", F.col("__ffirst").alias("__v"), F.lit(1).alias("__k")))
-
-    # (2) Coarse buckets: per-fine-bucket firsts plus one probe per messaged fine
-    # bucket. Descending by fine bucket with the probe first at a tie, a probe's
-    # running frame holds exactly the later fine buckets of its coarse bucket.
-    probes = (sent.filter(F.col("contact_id").isNotNull()).select("contact_id", "__c", "__f").distinct()
-              .select("contact_id", "__c", "__f", F.lit(None).cast(r_type).alias("__v"), F.lit(0).alias("__k")))
-    coarse = Window.partitionBy("contact_id", "__c").orderBy(F.col("__f").desc(), F.col("__k").asc())
-    ranked = (probes.unionByName(fine_firsts)
-              .withColumn("__later", F.min("__v").over(coarse.rowsBetween(Window.unboundedPreceding,
-                                                                           Window.currentRow)))
-              .withColumn("__cfirst", F.min("__v").over(coarse.rowsBetween(Window.unboundedPreceding,
-                                                                            Window.unboundedFollowing))))
-    next_coarse = (ranked.filter(F.col("__k") == 1).select(
-        "contact_id", (F.col("__c") - 1).alias("__c"), F.col("__cfirst").alias("__cnext")).distinct())
-    probe_result = (ranked.filter(F.col("__k") == 0).select("contact_id", "__c", "__f", "__later")
-                    .join(next_coarse, ["contact_id", "__c"], "left")
-                    .select("contact_id", "__f", "__later", "__cnext"))
-
-    out = msgs.join(probe_result, ["contact_id", "__f"], "left")
-    best = F.coalesce(F.col("__same"), F.col("__later"), F.col("__cnext"))
+        return ["contact_id", f.alias("__f"), F.floor(f / fine_buckets).alias("__c"), spread.alias("__s")]
+
+    text = strip_text("reply_text")
+    rep = replies.filter((text != "") & F.col("contact_id").isNotNull())
+    reply = F.struct(F.col("reply_ts").alias("ts"), F.col("reply_id").alias("id"), text.alias("text"))
+    r_type = rep.select(reply.alias("r")).schema["r"].dataType
+    msg_type = T.StructType(list(messages.schema.fields))
+
+    # Both readers of `events` need all of its columns, so the exchange below is made once.
+    # __s spreads messages without a contact, which would else be one group per fine bucket.
+    lone = F.when(F.col("contact_id").isNull(), F.xxhash64("message_id")).otherwise(F.lit(0))
+    events = messages.select(
+        *keyed(messages, "sent_ts", lone), F.struct(*[F.col(f"`{c}`") for c in messages.columns]).alias("__msg"),
+        F.lit(None).cast(r_type).alias("__r")).unionByName(rep.select(
+            *keyed(rep, "reply_ts", F.lit(0).cast("bigint")), F.lit(None).cast(msg_type).alias("__msg"),
+            reply.alias("__r"))).repartition("contact_id", "__f", "__s")
+    is_msg = F.col("__msg").isNotNull()
+
+    # (1) Fine buckets. At equal times the message sorts first, so its running frame
+    # holds only strictly later replies.
+    at = F.coalesce(F.col("__msg.sent_ts"), F.col("__r.ts"))
+    fine = Window.partitionBy("contact_id", "__c", "__f", "__s").orderBy(at.desc(), is_msg.desc())
+    msgs = events.withColumn("__same", F.min("__r").over(
+        fine.rowsBetween(Window.unboundedPreceding, Window.currentRow))).filter(is_msg).drop("__r", "__c")
+    firsts = events.groupBy("contact_id", "__f", "__s", "__c").agg(
+        F.min("__r").alias("__v"), F.max(is_msg).alias("__asked"))
+
+    # (2) Coarse buckets: descending by fine bucket, the rows before one are the later fine buckets.
+    here = F.struct(F.col("__c"), F.lit(False).alias("next"))
+    before = F.struct((F.col("__c") - 1).alias("__c"), F.lit(True).alias("next"))
+    both = firsts.withColumn("__p", F.explode(F.when(F.col("__v").isNull(), F.array(here)).otherwise(
+        F.array(here, before)))).select("contact_id", "__f", "__s", "__v", "__asked", "__p.*")
+    coarse = Window.partitionBy("contact_id", "__c").orderBy(F.col("__f").desc())
+    later = both.withColumn("__later", F.min("__v").over(coarse.rowsBetween(Window.unboundedPreceding, -1))).filter(
+        ~F.col("next") & F.col("__asked") & F.col("__later").isNotNull()).select(
+        *[F.col(c).alias(f"{c}_later") for c in ("contact_id", "__f", "__s")], "__later")
+
+    # Null-safe: plain equality would push a filter below one of the two readers of `events`.
+    same_bucket = [F.col(c).eqNullSafe(F.col(f"{c}_later")) for c in ("contact_id", "__f", "__s")]
+    out = msgs.join(later, same_bucket, "left")
+    best = F.coalesce(F.col("__same"), F.col("__later"))
     limit = F.col("__msg.sent_ts") + F.expr(f"INTERVAL {int(timeout_seconds)} SECONDS")
     answered = best.isNotNull() & (best["ts"] <= limit)
     status = F.when(answered, F.lit(CONFIRM_STATUS_ANSWERED)).otherwise(F.lit(CONFIRM_STATUS_NO_ANSWER))
@@ -168,25 +156,32 @@ def confirm_report(prepared: DataFrame, outcomes: DataFrame, *, run_ts: _dt.date
                    timeout_seconds: int = CONFIRM_DEFAULT_TIMEOUT_SECONDS,
                    contact_key: str = "contact_id") -> DataFrame:
     """The outcome table (``nome_cliente``, ``telefone``, ``notas_fiscais``, ``status``,
-    ``resposta``, ``data_hora``).
+    ``resposta``, ``data_hora``): every contact of the sheet and every message is in it.
 
-    Contacts without a usable phone get ``ERRO - TELEFONE INVÁLIDO`` with the
-    phone and notes as given; messaged contacts get their cleaned phone and
-    notes, the outcome, and the reply time (or the end of the wait).
+    * A contact without a usable phone: ``ERRO - TELEFONE INVÁLIDO``, phone and notes as given.
+    * A message: its outcome with the contact's cleaned phone and notes (NULL if the sheet has
+      no such contact with a usable phone), at the reply time or the end of the wait; a sending
+      error at ``error_ts`` where the outcomes have that column, else at the time of sending.
+    * A contact with a usable phone and no message: ``NÃO ENVIADO``.
     """
     ts_type = outcomes.schema["sent_ts"].dataType
     run = (F.to_timestamp_ntz(F.lit(run_ts.isoformat(sep=" "))) if isinstance(ts_type, T.TimestampNTZType)
            else F.lit(run_ts).cast(ts_type))
+    nothing = F.lit(None).cast("string").alias("resposta")
     invalid = prepared.filter(~F.col("telefone_valido")).select(
         "nome_cliente", "telefone", "notas_fiscais",
-        F.lit(CONFIRM_STATUS_INVALID_PHONE).alias("status"),
-        F.lit(None).cast("string").alias("resposta"),
-        run.alias("data_hora"))
+        F.lit(CONFIRM_STATUS_INVALID_PHONE).alias("status"), nothing, run.alias("data_hora"))
     valid = prepared.filter(F.col("telefone_valido")).select(
         contact_key, "nome_cliente", F.col("telefone_limpo").alias("telefone"),
         F.col("notas_texto").alias("notas_fiscais"))
-    limit = F.col("sent_ts") + F.expr(f"INTERVAL {int(timeout_seconds)} SECONDS")
-    messaged = outcomes.join(valid, contact_key, "inner").select(
-        "nome_cliente", "telefone", "notas_fiscais", "status", "resposta",
-        F.coalesce(F.col("reply_ts"), limit).alias("data_hora"))
-    return invalid.unionByName(messaged)
+    at = F.coalesce(F.col("reply_ts"), F.col("sent_ts") + F.expr(f"INTERVAL {int(timeout_seconds)} SECONDS"))
+    if "send_error" in outcomes.columns:
+        failed = F.col("error_ts") if "error_ts" in outcomes.columns else F.col("sent_ts")
+        at = F.when(F.col("send_error").isNotNull(), F.coalesce(failed, F.col("sent_ts"))).otherwise(at)
+    messaged = outcomes.join(valid, contact_key, "left").select(
+        "nome_cliente", "telefone", "notas_fiscais", "status", "resposta", at.alias("data_hora"))
+    written_to = outcomes.select(contact_key).distinct()
+    silent = valid.join(written_to, contact_key, "left_anti").select(
+        "nome_cliente", "telefone", "notas_fiscais", F.lit(CONFIRM_STATUS_NOT_SENT).alias("status"), nothing,
+        run.alias("data_hora"))
+    return invalid.unionByName(messaged).unionByName(silent)

@@ -1,21 +1,25 @@
 """Check catalog and the audit suite.
 
 Checks carry a code ``AREA.NN``. The suite runs a selection of them over the
-given views and returns one table: code, area, parameters and rows found. Each
-row count is a distributed aggregate; the per-check one-row frames are unioned,
-so the whole suite is a single Spark job graph and nothing is collected.
+given views and returns one table: code, area, parameters and rows found. A view
+that several checks read is scoped to what they need together and written once,
+so its sources are read once; each row count is a distributed aggregate and the
+per-check one-row frames are unioned. Nothing is collected.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import json
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.functions._util import to_date_value
+from ledgerlens.operators import scope_filter
 from ledgerlens.plans.afo import afo01_supplier_advances
 from ledgerlens.plans.bin import (
     bin01_note_detail,
@@ -33,6 +37,7 @@ from ledgerlens.plans.car import (
 )
 from ledgerlens.plans.cax import cax02_cash_over_limit
 from ledgerlens.plans.rec import billing_extract, rec07_weekend_holiday_billing
+from ledgerlens.session import checkpoint_dir
 from ledgerlens.sources.views import with_collation
 
 
@@ -109,12 +114,48 @@ def run_check(key: str, views: Mapping[str, DataFrame], params: Mapping,
     return check.fn(with_collation(views[check.view], collation), **params)
 
 
+def joint_scope(df: DataFrame, scopes: Sequence[Mapping]) -> DataFrame:
+    """The rows of a view that any of several checks' parameters can select.
+
+    Establishments are united; dates keep the latest end and, if every check has
+    one, the earliest start. A check without a bound lifts it for all.
+    """
+    date_col = "data" if "data" in df.columns else (
+        "data_transacao" if "data_transacao" in df.columns else "data_nota_fiscal")
+    sites = [s.get("establishments") for s in scopes]
+    starts = [s.get("start") for s in scopes]
+    ends = [s.get("end", s.get("base_date")) for s in scopes]
+    listed = None if None in sites else sorted({e for s in sites for e in ([s] if isinstance(s, str) else s)})
+    return scope_filter(df, establishments=listed, date_col=date_col,
+                        start=None if None in starts else min(map(to_date_value, starts)),
+                        end=None if None in ends else max(map(to_date_value, ends)))
+
+
+def share_views(checks: Sequence[str], views: Mapping[str, DataFrame],
+                params: Mapping[str, Mapping]) -> dict[str, DataFrame]:
+    """The views, those with several readers scoped, written to the session's shared folder and reread."""
+    out = dict(views)
+    for name in {CATALOG[k].view for k in checks}:
+        readers = [k for k in checks if CATALOG[k].view == name]
+        if len(readers) > 1:
+            spark = views[name].sparkSession
+            path = f"{checkpoint_dir(spark, local_fallback=True).rstrip('/')}/suite-{uuid.uuid4().hex}/{name}"
+            joint_scope(views[name], [params.get(k, {}) for k in readers]).write.parquet(path)
+            out[name] = spark.read.parquet(path)
+    return out
+
+
 def audit_suite(checks: Sequence[str], views: Mapping[str, DataFrame],
-                params: Mapping[str, Mapping], collation: str | None = None) -> DataFrame:
+                params: Mapping[str, Mapping], collation: str | None = None,
+                share: bool = True) -> DataFrame:
     """One row per check: ``check``, ``code``, ``area``, ``parameters``, ``rows_found``.
 
-    Checks run unordered (their row order does not change a count, so no sort is planned).
+    Checks run unordered (their row order does not change a count, so no sort is
+    planned). ``share`` writes each view with several readers once (see
+    :func:`share_views`); not with a collation, where a scope is compared otherwise.
     """
+    if share and not collation:
+        views = share_views(checks, views, params)
     frames = []
     for key in checks:
         check = CATALOG[key]

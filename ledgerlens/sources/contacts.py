@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.constants import CONTACT_ALIASES
+from ledgerlens.functions.confirm import strip_text
 
 
 def read_contacts_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -15,42 +16,33 @@ def read_contacts_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, inferSchema=False)
 
 
+def column_for(names: Sequence[str], columns: Sequence[str]) -> str | None:
+    """The sheet column whose header is the earliest of ``names`` (ignoring case and outer blanks),
+    the leftmost if several share it; None if no header is listed."""
+    rank = {name: place for place, name in enumerate(names)}
+    listed = [(rank[c.strip().lower()], place) for place, c in enumerate(columns) if c.strip().lower() in rank]
+    return columns[min(listed)[1]] if listed else None
+
+
 def resolve_aliases(columns: Sequence[str],
                     aliases: Mapping[str, Sequence[str]] = CONTACT_ALIASES) -> dict[str, str | None]:
-    """Map each canonical name to the sheet column whose lower-cased, stripped header
-    matches its first listed alias (driver-side schema work only)."""
-    by_key: dict[str, str] = {}
-    for c in columns:
-        by_key[c.lower().strip()] = c
-    out: dict[str, str | None] = {}
-    for key, tries in aliases.items():
-        out[key] = next((by_key[t] for t in tries if t in by_key), None)
-    return out
+    """The sheet column of each canonical name."""
+    return {canonical: column_for(names, columns) for canonical, names in aliases.items()}
 
 
 def confirm_contacts(raw: DataFrame, aliases: Mapping[str, Sequence[str]] = CONTACT_ALIASES) -> DataFrame:
-    """Rename the sheet's columns to ``nome_cliente``, ``telefone`` and ``notas_fiscais``.
+    """The sheet with ``nome_cliente``, ``telefone`` and ``notas_fiscais`` as text in front.
 
-    Raises ``ValueError`` without a name or phone column; adds an empty
-    ``notas_fiscais`` when the sheet has none; drops rows whose phone is NULL,
-    blank, or the text ``nan``. Other columns are kept after the three.
+    Name and phone are required (``ValueError``); without a notes column the notes
+    are empty. Rows whose phone is NULL, blank or the text ``nan`` are dropped.
+    Other columns follow unchanged, unless they carry one of the three names.
     """
-    found = resolve_aliases(raw.columns, aliases)
-    if found.get("telefone") is None or found.get("nome_cliente") is None:
-        raise ValueError(
-            "the contact sheet needs at least a name and a phone column; "
-            f"columns found: {list(raw.columns)}")
-    rename = {found["nome_cliente"]: "nome_cliente", found["telefone"]: "telefone"}
-    if found.get("notas_fiscais"):
-        rename[found["notas_fiscais"]] = "notas_fiscais"
-    cols = [F.col(f"`{src}`").cast("string").alias(dst) for src, dst in rename.items()]
-    if "notas_fiscais" not in rename.values():
-        cols.append(F.lit("").alias("notas_fiscais"))
-    rest = [F.col(f"`{c}`") for c in raw.columns if c not in rename and c not in rename.values()]
-    df = raw.select(*cols, *rest)
-    phone = F.coalesce(F.col("telefone"), F.lit(""))
-    phone = F.when(phone == "nan", F.lit("")).otherwise(phone)
-    return (df.withColumn("telefone", phone)
-              .filter(~F.col("telefone").rlike(r"^\s*$"))
-              .select("nome_cliente", "telefone", "notas_fiscais",
-                      *[c for c in df.columns if c not in ("nome_cliente", "telefone", "notas_fiscais")]))
+    source = resolve_aliases(raw.columns, aliases)
+    lacking = [name for name in ("nome_cliente", "telefone") if not source[name]]
+    if lacking:
+        raise ValueError(f"the contact sheet has no column for {lacking}; its columns: {raw.columns}")
+    front = [F.col(f"`{column}`").cast("string").alias(name) if column else F.lit("").alias(name)
+             for name, column in source.items()]
+    taken = {*source, *source.values()}
+    sheet = raw.select(*front, *[F.col(f"`{c}`") for c in raw.columns if c not in taken])
+    return sheet.filter(~F.coalesce(strip_text("telefone"), F.lit("")).isin("", "nan"))

@@ -58,8 +58,8 @@ def confirm_results(outcomes: DataFrame, path: str, *, fmt: str = "parquet") ->
 def write_partitioned(df: DataFrame, path: str, *, partition_by: Sequence[str],
                       fmt: str = "parquet", mode: str = "overwrite",
                       max_records_per_file: int = 5_000_000) -> None:
-    """A partitioned table write without a pre-shuffle (see ``materialize_view``)."""
-    (df.write.mode(mode).format(fmt).option("maxRecordsPerFile", max_records_per_file)
+    """A partitioned table write, rebalanced by the partition columns (see ``materialize_view``)."""
+    (df.hint("rebalance", *partition_by).write.mode(mode).format(fmt).option("maxRecordsPerFile", max_records_per_file)
        .partitionBy(*partition_by).save(path))
 
 

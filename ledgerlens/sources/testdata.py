@@ -7,7 +7,8 @@ FIXTURES.md §2. They are plain projections over equi-joins, so Catalyst pushes
 every check's scope predicate through them: date scopes become Parquet
 ``PushedFilters`` on ``l_shipdate``/``o_orderdate`` and only referenced columns
 are read. Join strategy is left to the planner (broadcast only under
-``autoBroadcastJoinThreshold``, which is a size check on the scanned side).
+``autoBroadcastJoinThreshold``, which is a size check on the scanned side), and
+scan parallelism to the files' splits, so the plan is the same at every size.
 """
 
 from __future__ import annotations
@@ -32,31 +33,10 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
 
-    # Tables smaller than this are read as they come (a spread would cost more than it saves).
-    SPREAD_MIN_BYTES = 4 * 1024 * 1024
-
-    # Dimension sides up to this many rows are broadcast (about 100 MB for the joined order columns).
-    BROADCAST_MAX_ROWS = 2_000_000
-
     def __getattr__(self, name: str) -> DataFrame:
         if name not in BASE_TABLES:
             raise AttributeError(name)
-        path = f"{self.sf_dir}/{name}.parquet"
-        return spread_scan(self.spark, self.spark.read.parquet(path), path, self.SPREAD_MIN_BYTES)
-
-    def rows_at_most(self, name: str, max_rows: int) -> bool:
-        """Size proof for a base table: the Parquet footer's row count for a local file,
-        else a bounded count job (reads at most ``max_rows + 1`` rows)."""
-        import pathlib
-
-        import pyarrow.parquet as pq
-
-        p = pathlib.Path(f"{self.sf_dir}/{name}.parquet".removeprefix("file:"))
-        if p.is_file():
-            return pq.ParquetFile(str(p)).metadata.num_rows <= max_rows
-        from ledgerlens.operators.joins import row_count_at_most
-
-        return row_count_at_most(getattr(self, name), max_rows)
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
 
 class StreamingTables(Tables):
@@ -71,47 +51,31 @@ class StreamingTables(Tables):
                 .option("maxFilesPerTrigger", 1).parquet(self.sf_dir))
 
 
-def spread_scan(spark: SparkSession, df: DataFrame, path: str, min_bytes: int) -> DataFrame:
-    """Round-robin the rows of a scan that yields fewer input splits than task slots.
-
-    A Parquet row group cannot be split, so a file written as one large row
-    group is read by a single task and every operator pipelined after the scan
-    runs on one core. Such a scan is spread over ``defaultParallelism`` tasks;
-    filters and column pruning still reach the file (they push below the
-    repartition). Only a single local file is inspected (its footer); lakes of
-    many files or row groups already yield many splits and are read as they are.
-    """
-    import pathlib
-
-    import pyarrow.parquet as pq
-
-    p = pathlib.Path(path.removeprefix("file:"))
-    if not p.is_file() or p.stat().st_size < min_bytes:
-        return df
-    slots = spark.sparkContext.defaultParallelism
-    if pq.ParquetFile(str(p)).metadata.num_row_groups >= slots:
-        return df
-    return df.repartition(slots)
-
-
 def _s(c) -> Column:
     return F.col(c).cast("string")
 
 
+def _padded(c: Column, width: int) -> Column:
+    """A number as text with zeros in front up to ``width`` digits; longer numbers keep all their digits."""
+    text = c.cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
+
+
 def _establishment(nationkey: str) -> Column:
-    return F.concat(F.lit("R"), F.lpad(_s(nationkey), 2, "0"), F.lit("1"))
+    return F.concat(F.lit("R"), _padded(F.col(nationkey), 2), F.lit("1"))
 
 
 def _code(prefix: str, key: str) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(_s(key), 6, "0"))
+    return F.concat(F.lit(prefix), _padded(F.col(key), 6))
 
 
 def _tax_id(key: Column, nationkey: str) -> Column:
-    """Even keys: an 11-digit CPF-shaped id; odd keys: a 14-digit CNPJ-shaped one."""
-    k = F.lpad(key.cast("string"), 3, "0")
-    n = F.lpad(_s(nationkey), 3, "0")
-    return (F.when(key % 2 == 0, F.concat(F.lit("000."), k, F.lit("."), n, F.lit("-00")))
-            .otherwise(F.concat(F.lit("00."), k, F.lit("."), n, F.lit("/0001-00"))))
+    """Even keys: an 11-digit CPF-shaped id; odd keys: a 14-digit CNPJ-shaped one. The key's
+    digits are all in it, in groups of three, so different keys have different ids."""
+    high, mid, low = _padded(F.floor(key / 1_000_000), 3), _padded(F.floor(key / 1000) % 1000, 3), _padded(key % 1000, 3)
+    nation = _padded(F.col(nationkey), 2)
+    return (F.when(key % 2 == 0, F.concat(high, F.lit("."), mid, F.lit("."), low, F.lit("-"), nation))
+            .otherwise(F.concat(F.lit("00."), high, F.lit("."), mid, F.lit("/0"), low, F.lit("-"), nation)))
 
 
 def _day(ts: str) -> Column:
@@ -138,7 +102,8 @@ def supplier_transactions(t: Tables) -> DataFrame:
         F.col("s_name").alias("nome_fornecedor"),
         _tax_id(F.col("s_suppkey"), "s_nationkey").alias("cnpj_cpf"),
         _day("l_shipdate").alias("data_transacao"),
-        _plus_days("l_shipdate", F.col("l_orderkey") % 700).alias("data_vencimento"),
+        F.when(F.col("l_orderkey") % 97 != 0, _plus_days("l_shipdate", F.col("l_orderkey") % 700))
+         .alias("data_vencimento"),
         F.when(F.col("l_linestatus") == "O", _sentinel())
          .otherwise(_plus_days("l_shipdate", F.col("l_partkey") % 400)).alias("data_liquidacao"),
         F.when(F.col("l_returnflag") == "A", "AFO").when(F.col("l_returnflag") == "N", "AVI")
@@ -152,12 +117,9 @@ def supplier_transactions(t: Tables) -> DataFrame:
 def _line_order_customer(t: Tables) -> DataFrame:
     """Orders are joined to their customers first (both carry the check's date and
     establishment scope), then the line items to that: only the scoped orders are
-    shuffled by customer, never the line-level result. The scoped orders (at most
-    one row per order) are broadcast when the orders table is proven small."""
+    shuffled by customer, never the line-level result. The planner and AQE choose
+    each join's strategy by bytes."""
     scoped_orders = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    if t.rows_at_most("orders", t.BROADCAST_MAX_ROWS):
-        # One row per order at most: proven small, so the line items are never shuffled.
-        scoped_orders = F.broadcast(scoped_orders)
     return t.lineitem.join(scoped_orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
@@ -170,7 +132,8 @@ def customer_transactions(t: Tables) -> DataFrame:
         _code("C", "c_custkey").alias("cod_cliente"),
         F.col("c_name").alias("nome_cliente"),
         _day("o_orderdate").alias("data_transacao"),
-        _plus_days("o_orderdate", F.col("o_orderkey") % 700).alias("data_vencimento"),
+        F.when(F.col("o_orderkey") % 97 != 0, _plus_days("o_orderdate", F.col("o_orderkey") % 700))
+         .alias("data_vencimento"),
         F.when(F.col("o_orderstatus") == "O", _sentinel())
          .otherwise(_plus_days("o_orderdate", F.col("o_orderkey") % 400)).alias("data_liquidacao"),
         profile.alias("perfil_lanc"),
@@ -183,7 +146,7 @@ def customer_transactions(t: Tables) -> DataFrame:
 def closed_transactions(t: Tables) -> DataFrame:
     return _line_order_customer(t).select(
         _establishment("c_nationkey").alias("cod_estabelecimento"),
-        _code("C", "c_custkey").alias("cod_cliente"),
+        F.when(F.col("o_orderkey") % 89 != 0, _code("C", "c_custkey")).alias("cod_cliente"),
         F.col("c_name").alias("nome_cliente"),
         _day("o_orderdate").alias("data_transacao"),
         _plus_days("o_orderdate", F.col("l_linenumber") * 30).alias("data_vencimento"),
@@ -236,7 +199,8 @@ def sales_orders(t: Tables) -> DataFrame:
         _establishment("c_nationkey").alias("cod_estabelecimento"),
         _code("C", "c_custkey").alias("cod_cliente"),
         F.col("c_name").alias("nome_cliente"),
-        _tax_id(F.col("c_custkey") % 1000, "c_nationkey").alias("cpf_cnpj"),
+        F.when(F.col("c_custkey") % 101 == 0, F.lit("123.45"))
+         .otherwise(_tax_id(F.col("c_custkey"), "c_nationkey")).alias("cpf_cnpj"),
         _day("o_orderdate").alias("data_nota_fiscal"),
         F.when(F.col("o_orderkey") % 10 == 0, F.concat(_s("o_orderkey"), F.lit("-EST")))
          .otherwise(_s("o_orderkey")).alias("num_nota_fiscal"),
@@ -277,7 +241,7 @@ def open_bin(t: Tables) -> DataFrame:
 def contacts(t: Tables) -> DataFrame:
     """A contact sheet as a user would upload it: free header names, every column text."""
     k = F.col("c_custkey")
-    k4 = F.lpad(_s("c_custkey"), 4, "0")
+    k4 = _padded(k, 4)
     m = (k % 6).cast("int")
     phone = (F.when(m == 0, F.concat(F.lit("(81) 9"), k4, F.lit("-1234")))
              .when(m == 1, F.concat(F.lit("+55 81 9"), k4, F.lit("-1234")))
@@ -286,6 +250,7 @@ def contacts(t: Tables) -> DataFrame:
              .when(m == 4, F.lit("sem telefone"))
              .otherwise(F.concat(F.lit("55 9"), k4, F.lit("1234"))))
     notes = (F.when(k % 4 == 0, F.lit(None).cast("string"))
+             .when(k % 4 == 1, F.concat(_s("c_custkey"), F.lit(",\t"), (k + 1).cast("string"), F.lit("\n,\u00a0,\t")))
              .otherwise(F.concat(F.lit(" "), _s("c_custkey"), F.lit(", ,"), (k + 1).cast("string"))))
     return t.customer.select(
         F.col("c_name").alias("Nome do Cliente"),
@@ -303,7 +268,8 @@ def sent_messages(t: Tables) -> DataFrame:
 
 def replies(t: Tables) -> DataFrame:
     eid = F.col("event_id")
-    text = F.when(eid % 5 == 0, "  ").when(eid % 2 == 0, "SIM").otherwise("NÃO")
+    text = (F.when(eid % 15 == 0, "\u00a0").when(eid % 5 == 0, "  ").when(eid % 2 == 0, "SIM\u2003")
+            .otherwise("NÃO"))
     return (t.events.filter(F.col("event_type") == "click")
             .select(eid.alias("reply_id"), F.col("user_id").alias("contact_id"),
                     F.col("ts").alias("reply_ts"), text.alias("reply_text")))

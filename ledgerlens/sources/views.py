@@ -83,9 +83,11 @@ def load_view(spark: SparkSession, name: str, *, path: str | None = None,
 
     * ``path``: a Parquet table (partitioned or not).
     * ``jdbc``: ``{"url", "table", "partition_column", "lower", "upper", "num_partitions",
-      "properties"}``; ``table`` is the source view's name in that database; a
-      partitioned read opens ``num_partitions`` parallel connections. Credentials
-      go in ``properties`` and come from the caller, never from code.
+      "properties"}``; ``table`` is the source view's name in that database. The
+      read is always split, over ``num_partitions`` connections by ``partition_column``
+      or over ``"predicates"`` (one WHERE text per task); without either it raises, as
+      the whole view would go through one task. Credentials go in ``properties`` and
+      come from the caller, never from code.
     * ``sf_dir``: the view derived from the TPC-H-like test tables.
     """
     if sum(x is not None for x in (path, jdbc, sf_dir)) != 1:
@@ -97,12 +99,14 @@ def load_view(spark: SparkSession, name: str, *, path: str | None = None,
     opts = dict(jdbc)
     table = opts["table"]
     props = dict(opts.get("properties", {}))
-    if "partition_column" in opts:
+    if "predicates" in opts:
+        df = spark.read.jdbc(opts["url"], table, predicates=list(opts["predicates"]), properties=props)
+    elif "partition_column" in opts:
         df = spark.read.jdbc(opts["url"], table, column=opts["partition_column"],
                              lowerBound=opts["lower"], upperBound=opts["upper"],
                              numPartitions=opts["num_partitions"], properties=props)
     else:
-        df = spark.read.jdbc(opts["url"], table, properties=props)
+        raise ValueError("a JDBC view needs partition_column, lower, upper and num_partitions, or predicates")
     return canonical_columns(df, name)
 
 
@@ -112,14 +116,16 @@ def materialize_view(df: DataFrame, path: str, *,
                      mode: str = "overwrite", max_records_per_file: int = 5_000_000) -> None:
     """Write a view as Parquet partitioned for scope pruning.
 
-    No shuffle before the write: every task writes its own files into each
-    establishment directory, so a dominant establishment is spread over all
-    tasks instead of landing in one; ``max_records_per_file`` bounds file size.
-    ``sort_by`` (a date column) orders rows inside each task before writing, a
-    local sort with no shuffle, so each file's row groups cover narrow date
-    ranges and Parquet statistics skip row groups outside a check's date scope.
+    The rows are rebalanced by the partition columns first: AQE gives a dominant
+    establishment several tasks and lets small ones share a task, so a folder holds
+    a few files of the advisory size instead of one per task.
+    ``max_records_per_file`` bounds file size. ``sort_by`` (a date column) orders
+    rows inside each task before writing, a local sort, so each file's row groups
+    cover narrow date ranges and Parquet statistics skip row groups outside a
+    check's date scope.
     """
-    out = df.sortWithinPartitions(*partition_by, sort_by) if sort_by else df
+    out = df.hint("rebalance", *partition_by)
+    out = out.sortWithinPartitions(*partition_by, sort_by) if sort_by else out
     (out.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*partition_by).parquet(path))
 

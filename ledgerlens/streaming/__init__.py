@@ -1,7 +1,5 @@
 """Structured Streaming jobs."""
 
-from ledgerlens.streaming.confirm_state import confirm_outcomes_stateful, start_confirm_stateful
-from ledgerlens.streaming.confirm_stream import confirm_outcomes_stream, start_confirm_stream
+from ledgerlens.streaming.confirm_stream import ConfirmTables, run_to_end, start_confirm_stream
 
-__all__ = ["confirm_outcomes_stateful", "confirm_outcomes_stream", "start_confirm_stateful",
-           "start_confirm_stream"]
+__all__ = ["ConfirmTables", "run_to_end", "start_confirm_stream"]

@@ -1,123 +1,181 @@
 """Confirmation outcomes over two event streams (sent messages, replies).
 
-Structured Streaming with event-time watermarks on both sides: a left-outer
-stream-stream join bounded in time (``sent_ts < reply_ts <= sent_ts + timeout``)
-followed by an event-time window aggregation that keeps the first reply per
-message. Join state is dropped once the watermark passes a message's timeout,
-so state stays bounded by the traffic of one timeout span. Spark propagates the
-join's delayed watermark to the aggregation (multiple stateful operators in
-append mode), so unanswered messages are emitted once, after their wait ends.
-
-Rows out are final (append mode): one per message, equal to the batch
-:func:`ledgerlens.plans.confirm.confirm_outcomes` for every message whose
-wait has closed before the input ends.
+Each trigger appends its events to a table in folders by time bucket (one bucket
+is at least one timeout wide) and then runs the batch matcher
+(:func:`ledgerlens.plans.confirm.confirm_outcomes`) over the buckets that closed
+with it: a message of bucket c needs replies of c and c + 1 only, so c is closed
+once the highest event time less the allowed delay is past c + 1. No state is
+held per contact, no message is paired with all replies, and no Python runs on
+the rows. What each trigger has done is a one-row progress table; a trigger that
+is run again after a failure overwrites its own folders, so outcomes appear once.
+
+Rows later than the allowed delay (their bucket is closed already) are counted
+per trigger in the progress table and kept in the events. A finite run ends with
+:func:`close_tail`, which matches the messages of all buckets still open and the
+late messages, so every message has exactly one outcome. A late reply to a
+message whose outcome is written does not change it; that is what the count of
+late replies says.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerlens.constants import (
-    CONFIRM_DEFAULT_TIMEOUT_SECONDS,
-    CONFIRM_STATUS_ANSWERED,
-    CONFIRM_STATUS_NO_ANSWER,
-)
-from ledgerlens.plans.confirm import epoch_micros, strip_text
+from ledgerlens.constants import CONFIRM_DEFAULT_TIMEOUT_SECONDS
+from ledgerlens.plans.confirm import confirm_outcomes, epoch_micros
 from ledgerlens.session import checkpoint_dir, subdir
 
-
-def confirm_outcomes_stream(sent: DataFrame, replies: DataFrame, *,
-                            timeout_seconds: int = CONFIRM_DEFAULT_TIMEOUT_SECONDS,
-                            watermark: str = "1 hour") -> DataFrame:
-    """Streaming outcomes: ``message_id``, ``contact_id``, ``sent_ts``, ``status``,
-    ``resposta``, ``reply_ts``. Both inputs are streaming DataFrames with the
-    batch schemas (blank replies are ignored)."""
-    # Watermarks need TIMESTAMP. Local (NTZ) times get a TZ-free event-time twin
-    # (the same wall clock read as UTC); the original values are carried to the output.
-    s = sent.select("message_id", "contact_id", F.col("sent_ts").alias("sent_orig"),
-                    _event_time(sent, "sent_ts").alias("sent_ts")).withWatermark("sent_ts", watermark)
-    text = strip_text(F.col("reply_text"))
-    r = (replies.filter(text != "")
-         .select(F.col("contact_id").alias("r_contact_id"), _event_time(replies, "reply_ts").alias("reply_ts"),
-                 F.col("reply_ts").alias("reply_orig"), "reply_id", text.alias("reply_text"))
-         .withWatermark("reply_ts", watermark))
-    limit = F.col("sent_ts") + F.expr(f"INTERVAL {int(timeout_seconds)} SECONDS")
-    cond = ((F.col("r_contact_id") == F.col("contact_id"))
-            & (F.col("reply_ts") > F.col("sent_ts")) & (F.col("reply_ts") <= limit))
-    j = s.join(r, cond, "leftOuter")
-    first = F.min(F.when(F.col("reply_ts").isNotNull(),
-                         F.struct(F.col("reply_ts").alias("ts"), F.col("reply_id").alias("id"),
-                                  F.col("reply_text").alias("text"), F.col("reply_orig").alias("orig"))))
-    agg = (j.groupBy(F.window("sent_ts", f"{int(timeout_seconds)} seconds"), "message_id", "contact_id")
-           .agg(F.min("sent_orig").alias("sent_ts"), first.alias("best")))
-    answered = F.col("best").isNotNull()
-    return agg.select(
-        "message_id", "contact_id", "sent_ts",
-        F.when(answered, F.lit(CONFIRM_STATUS_ANSWERED)).otherwise(F.lit(CONFIRM_STATUS_NO_ANSWER)).alias("status"),
-        F.col("best.text").alias("resposta"),
-        F.col("best.orig").alias("reply_ts"),
-    )
-
-
-def _event_time(df: DataFrame, col: str):
-    """A TIMESTAMP event-time column: as is, or for NTZ its wall clock read as UTC."""
-    if isinstance(df.schema[col].dataType, T.TimestampNTZType):
-        return F.timestamp_micros(epoch_micros(df, col))
-    return F.col(col)
-
-
-def start_confirm_stream(spark: SparkSession, sent: DataFrame, replies: DataFrame, *, output_path: str,
+PROGRESS = "epoch long, closed_to long, newest_us long, late_messages long, late_replies long"
+
+
+def _events(sent: DataFrame, replies: DataFrame, bucket_us: int) -> DataFrame:
+    """Messages and replies as one table with the time bucket ``c``."""
+    def side(df: DataFrame, kind: str, ts: str, key: str, text) -> DataFrame:
+        us = epoch_micros(df, ts)
+        return df.select(F.lit(kind).alias("kind"), F.col(key).alias("id"), "contact_id", F.col(ts).alias("ts"),
+                         text.alias("text"), us.alias("us"), F.floor(us / bucket_us).alias("c"))
+
+    return side(sent, "message", "sent_ts", "message_id", F.lit(None).cast("string")).unionByName(
+        side(replies, "reply", "reply_ts", "reply_id", F.col("reply_text")))
+
+
+class ConfirmTables:
+    """The tables of one streaming job below ``folder``: events, outcomes, progress."""
+
+    def __init__(self, spark: SparkSession, folder: str, sent: DataFrame, replies: DataFrame, *,
+                 timeout_seconds: int, delay_seconds: int):
+        self.spark, self.folder = spark, folder.rstrip("/")
+        self.timeout_seconds = timeout_seconds
+        self.bucket_us = timeout_seconds * 1_000_000
+        self.delay_us = delay_seconds * 1_000_000
+        self.input = _events(sent, replies, self.bucket_us)
+        self.schema = self.input.schema
+
+    def path(self, table: str, epoch: int | None = None) -> str:
+        return f"{self.folder}/{table}" if epoch is None else f"{self.folder}/{table}/trigger={epoch}"
+
+    def progress(self, before: int | None = None) -> tuple[int | None, int | None]:
+        """(last closed bucket, newest event time) after all triggers, or all before one."""
+        try:
+            rows = self.spark.read.schema(PROGRESS).parquet(self.path("progress"))
+        except Exception as missing:  # no trigger has finished yet
+            if "PATH_NOT_FOUND" not in str(missing):
+                raise
+            return None, None
+        if before is not None:
+            rows = rows.filter(F.col("epoch") < before)
+        return tuple(rows.agg(F.max("closed_to"), F.max("newest_us")).first())
+
+    def trigger(self, batch: DataFrame, epoch: int) -> None:
+        """Appends a trigger's events and writes the outcomes of the buckets that close with it."""
+        batch.hint("rebalance", "c").write.mode("overwrite").partitionBy("c").parquet(self.path("events", epoch))
+        own = self.spark.read.schema(batch.schema).parquet(self.path("events", epoch))
+        closed, newest = self.progress(before=epoch)
+        late = F.col("c") <= F.lit(closed)
+        seen = own.agg(F.max("us").alias("newest"),
+                       F.count_if(late & (F.col("kind") == "message")).alias("messages"),
+                       F.count_if(late & (F.col("kind") == "reply")).alias("replies")).first()
+        times = [t for t in (seen["newest"], newest) if t is not None]
+        newest = max(times) if times else None
+        now_closed = closed
+        if newest is not None:
+            done = math.floor((newest - self.delay_us) / self.bucket_us) - 2
+            if closed is None or done > closed:
+                now_closed = done
+                first = -(1 << 62) if closed is None else closed + 1
+                self._match(self.events(), self.path("outcomes", epoch), F.col("c").between(first, done),
+                            F.col("c").between(first, done + 1))
+        self.spark.createDataFrame([(epoch, now_closed, newest, seen["messages"], seen["replies"])], PROGRESS).coalesce(
+            1).write.mode("overwrite").parquet(self.path("progress", epoch))
+
+    def _match(self, events: DataFrame, path: str, of_messages, of_replies) -> None:
+        messages = events.filter((F.col("kind") == "message") & of_messages).select(
+            F.col("id").alias("message_id"), "contact_id", F.col("ts").alias("sent_ts"))
+        replies = events.filter((F.col("kind") == "reply") & of_replies).select(
+            F.col("id").alias("reply_id"), "contact_id", F.col("ts").alias("reply_ts"), F.col("text").alias("reply_text"))
+        confirm_outcomes(messages, replies, timeout_seconds=self.timeout_seconds).write.mode("overwrite").parquet(path)
+
+    def events(self) -> DataFrame:
+        """All events, with the trigger they came in."""
+        schema = T.StructType([*self.schema.fields, T.StructField("trigger", T.LongType())])
+        return self.spark.read.schema(schema).parquet(self.path("events"))
+
+    def close_tail(self) -> None:
+        """Outcomes of every message that has none yet: open buckets and late messages."""
+        closed, _ = self.progress()
+        events, tail = self.events(), F.lit(True)
+        if closed is not None:
+            done = self.spark.read.schema(PROGRESS).parquet(self.path("progress")).select(
+                (F.col("epoch") + 1).alias("trigger"), F.col("closed_to").alias("closed_before"))
+            # a message is late if its bucket had closed before its own trigger
+            events = events.join(done, "trigger", "left")
+            tail = (F.col("c") > closed) | (F.col("c") <= F.coalesce("closed_before", F.lit(-(1 << 62))))
+        self._match(events, self.path("outcomes", 1 << 40), tail, F.lit(True))
+
+    def outcomes(self) -> DataFrame:
+        return self.spark.read.parquet(self.path("outcomes")).drop("trigger")
+
+    def late(self) -> tuple[int, int]:
+        """How many messages and replies came after their bucket had closed."""
+        row = self.spark.read.schema(PROGRESS).parquet(self.path("progress")).agg(
+            F.sum("late_messages"), F.sum("late_replies")).first()
+        return row[0] or 0, row[1] or 0
+
+
+def start_confirm_stream(spark: SparkSession, sent: DataFrame, replies: DataFrame, *, folder: str,
                          name: str = "confirm_outcomes", timeout_seconds: int = CONFIRM_DEFAULT_TIMEOUT_SECONDS,
-                         watermark: str = "1 hour", available_now: bool = False,
-                         checkpoint: str | None = None) -> StreamingQuery:
-    """Run the streaming outcomes into a Parquet sink (append), checkpointed under the
-    cluster's shared ``spark.checkpoint.dir`` so a restarted query resumes exactly once."""
-    # Default checkpoint: one folder per output, so a restarted job resumes its own
-    # progress and two jobs never share one (the shared folder serves many jobs).
-    digest = hashlib.sha1(output_path.rstrip("/").encode("utf-8")).hexdigest()[:16]
+                         delay_seconds: int = 3600, available_now: bool = False,
+                         checkpoint: str | None = None) -> tuple[StreamingQuery, ConfirmTables]:
+    """Runs the streaming outcomes into tables below ``folder``.
+
+    Progress is checkpointed below the cluster's shared ``spark.checkpoint.dir``
+    (one folder per output), so a restarted job resumes where it was.
+    """
+    tables = ConfirmTables(spark, folder, sent, replies, timeout_seconds=timeout_seconds, delay_seconds=delay_seconds)
+    digest = hashlib.sha1(tables.folder.encode("utf-8")).hexdigest()[:16]
     ckpt = checkpoint or subdir(checkpoint_dir(spark), "streams", f"{name}-{digest}")
-    w = (confirm_outcomes_stream(sent, replies, timeout_seconds=timeout_seconds, watermark=watermark)
-         .writeStream.outputMode("append").format("parquet")
-         .option("path", output_path).option("checkpointLocation", ckpt).queryName(name))
+    w = (tables.input.writeStream.foreachBatch(tables.trigger).option("checkpointLocation", ckpt).queryName(name))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
-    return w.start()
+    return w.start(), tables
+
+
+def run_to_end(spark: SparkSession, sent: DataFrame, replies: DataFrame, **options) -> ConfirmTables:
+    """A finite run: all input there is, then the tail; every message has an outcome."""
+    query, tables = start_confirm_stream(spark, sent, replies, available_now=True, **options)
+    query.awaitTermination()
+    tables.close_tail()
+    return tables
 
 
 def main(argv: list[str]) -> int:
-    """``spark-submit -m ledgerlens.streaming.confirm_stream config.json`` with::
+    """``spark-submit ledgerlens/streaming/confirm_stream.py config.json`` with::
 
         {"sent": "s3://.../sent/", "replies": "s3://.../replies/", "output": "s3://.../outcomes/",
-         "timeout_seconds": 300, "watermark": "1 hour", "available_now": false, "mode": "state"}
+         "timeout_seconds": 300, "delay_seconds": 3600, "available_now": false}
 
     ``sent`` and ``replies`` are Parquet folders that keep receiving files with the
     batch schemas (``message_id, contact_id, sent_ts`` and ``reply_id, contact_id,
-    reply_ts, reply_text``). The checkpoint lives under ``spark.checkpoint.dir``.
-    ``mode`` "state" (default) runs the stateful operator of
-    :mod:`ledgerlens.streaming.confirm_state` (no message/reply pairs); "join" runs
-    the stream-stream join of this module.
+    reply_ts, reply_text``). With ``available_now`` the run is finite and closes its tail.
     """
     import json
 
     with open(argv[1], encoding="utf-8") as f:
         cfg = json.load(f)
     spark = SparkSession.builder.appName("ledgerlens-confirm-stream").getOrCreate()
-    sent_schema = spark.read.parquet(cfg["sent"]).schema
-    reply_schema = spark.read.parquet(cfg["replies"]).schema
-    sent = spark.readStream.schema(sent_schema).parquet(cfg["sent"])
-    replies = spark.readStream.schema(reply_schema).parquet(cfg["replies"])
-    from ledgerlens.streaming.confirm_state import start_confirm_stateful
-
-    start = start_confirm_stream if cfg.get("mode", "state") == "join" else start_confirm_stateful
-    q = start(spark, sent, replies, output_path=cfg["output"],
-                             timeout_seconds=int(cfg.get("timeout_seconds", CONFIRM_DEFAULT_TIMEOUT_SECONDS)),
-                             watermark=cfg.get("watermark", "1 hour"),
-                             available_now=bool(cfg.get("available_now", False)))
-    q.awaitTermination()
+    sent, replies = (spark.readStream.schema(spark.read.parquet(cfg[k]).schema).parquet(cfg[k])
+                     for k in ("sent", "replies"))
+    options = dict(folder=cfg["output"], timeout_seconds=int(cfg.get("timeout_seconds", CONFIRM_DEFAULT_TIMEOUT_SECONDS)),
+                   delay_seconds=int(cfg.get("delay_seconds", 3600)))
+    if cfg.get("available_now", False):
+        run_to_end(spark, sent, replies, **options)
+    else:
+        start_confirm_stream(spark, sent, replies, **options)[0].awaitTermination()
     return 0
 
 

@@ -10,7 +10,7 @@ from ledgerlens.plans import confirm_messages, confirm_outcomes, confirm_report
 from ledgerlens.sources import confirm_contacts
 from ledgerlens.sources import testdata_view as derived_view
 from ledgerlens.sources.testdata import StreamingTables, replies, sent_messages
-from ledgerlens.streaming import start_confirm_stream
+from ledgerlens.streaming import run_to_end, start_confirm_stream
 
 T0 = dt.datetime(2025, 1, 6, 12, 0, 0)
 
@@ -77,27 +77,109 @@ def test_fixture_outcomes_brute_force(spark):
     assert len(got) == 188 and sum(v[0] == "RESPONDIDO" for v in got.values()) == 63
 
 
-def test_stream_equals_batch_for_closed_messages(spark, tmp_out):
+def _rows(df):
+    return sorted(map(str, df.select("message_id", "contact_id", "sent_ts", "status", "resposta", "reply_ts").collect()))
+
+
+def test_stream_over_one_file_equals_batch(spark, tmp_out):
     t = StreamingTables(spark, SF_SMALL)
-    out = os.path.join(tmp_out, "out")
-    q = start_confirm_stream(spark, sent_messages(t), replies(t), output_path=out,
-                             checkpoint=os.path.join(tmp_out, "ckpt"), available_now=True,
-                             timeout_seconds=fx.REPLY_TIMEOUT_SECONDS, name=f"t_{uuid.uuid4().hex[:8]}")
-    q.awaitTermination()
-    streamed = spark.read.parquet(out)
+    tables = run_to_end(spark, sent_messages(t), replies(t), folder=os.path.join(tmp_out, "t"),
+                        checkpoint=os.path.join(tmp_out, "c"), timeout_seconds=fx.REPLY_TIMEOUT_SECONDS,
+                        name=f"t_{uuid.uuid4().hex[:8]}")
     batch = confirm_outcomes(derived_view(spark, SF_SMALL, "sent_messages"), derived_view(spark, SF_SMALL, "replies"),
                              timeout_seconds=fx.REPLY_TIMEOUT_SECONDS)
-    n = streamed.count()
-    assert 0 < n <= batch.count()
-    joined = streamed.join(batch, "message_id").select(streamed.status, batch.status.alias("b"),
-                                                       streamed.resposta, batch.resposta.alias("br"))
-    assert joined.count() == n
-    assert joined.filter("NOT (status <=> b) OR NOT (resposta <=> br)").count() == 0
+    assert _rows(tables.outcomes()) == _rows(batch) and batch.count() == 188 and tables.late() == (0, 0)
+
+
+def _drop(spark, folder, k, sent, reps):
+    """One more input file for each side."""
+    spark.createDataFrame(sent, "message_id long, contact_id long, sent_ts timestamp_ntz").coalesce(1).write.parquet(
+        os.path.join(folder, "sent", f"{k}"))
+    spark.createDataFrame(reps, "reply_id long, contact_id long, reply_ts timestamp_ntz, reply_text string").coalesce(
+        1).write.parquet(os.path.join(folder, "rep", f"{k}"))
+
+
+def test_stream_with_several_files_a_restart_and_late_rows(spark, tmp_out):
+    from pyspark.sql import types as T
+
+    hour = 3600
+    sent = [(i, i % 3 if i % 10 else None, _s(i * 600)) for i in range(60)]          # ten hours
+    reps = [(1000 + i, i % 3, _s(i * 500 + 7), "SIM" if i % 4 else " ") for i in range(70)]
+    late_message, late_reply = (900, 1, _s(60)), (2900, 2, _s(61), "tarde")
+    schema_s = T.StructType.fromDDL("message_id long, contact_id long, sent_ts timestamp_ntz")
+    schema_r = T.StructType.fromDDL("reply_id long, contact_id long, reply_ts timestamp_ntz, reply_text string")
+    folder = os.path.join(tmp_out, "tables")
+
+    def run(finish):
+        s = spark.readStream.schema(schema_s).option("recursiveFileLookup", True).parquet(os.path.join(tmp_out, "sent"))
+        r = spark.readStream.schema(schema_r).option("recursiveFileLookup", True).parquet(os.path.join(tmp_out, "rep"))
+        options = dict(folder=folder, checkpoint=os.path.join(tmp_out, "ckpt"), timeout_seconds=1800,
+                       delay_seconds=900, name=f"t_{uuid.uuid4().hex[:8]}")
+        if finish:
+            return run_to_end(spark, s, r, **options)
+        q, tables = start_confirm_stream(spark, s, r, available_now=True, **options)
+        q.awaitTermination()
+        return tables
+
+    early = lambda rows: [x for x in rows if x[2] < _s(3 * hour)]
+    middle = lambda rows: [x for x in rows if _s(3 * hour) <= x[2] < _s(7 * hour)]
+    last = lambda rows: [x for x in rows if x[2] >= _s(7 * hour)]
+    _drop(spark, tmp_out, 1, early(sent), early(reps))
+    first = run(False)
+    done = first.outcomes().count()
+    assert 0 < done < len(early(sent))                       # open buckets wait
+    _drop(spark, tmp_out, 2, [*middle(sent), late_message], [*middle(reps), late_reply])
+    second = run(False)                                      # a restart from the stream's checkpoint
+    assert second.late() == (1, 1)
+    assert done < second.outcomes().count() < len(early(sent)) + len(middle(sent))
+    events = second.input.schema
+    again = spark.read.schema(events).parquet(second.path("events", 1))
+    second.trigger(spark.createDataFrame(again.collect(), events), 1)
+    assert second.late() == (1, 1)                           # a trigger run twice counts once
+    _drop(spark, tmp_out, 3, last(sent), last(reps))
+    got = run(True).outcomes()
+    all_sent, all_reps = [*sent, late_message], [*reps, late_reply]
+    want = brute_force([s for s in all_sent if s[1] is not None], all_reps, 1800)
+    want.update({s[0]: ("SEM RESPOSTA", None, None) for s in all_sent if s[1] is None})
+    rows = got.collect()
+    assert len(rows) == len(all_sent) == got.select("message_id").distinct().count()
+    found = {r.message_id: (r.status, r.resposta, r.reply_ts) for r in rows}
+    # only answers that came late may be missing
+    assert {k: v for k, v in found.items() if v != want[k]}.keys() <= {
+        s[0] for s in sent if s[1] == 2 and late_reply[2] - dt.timedelta(seconds=1800) <= s[2] < late_reply[2]}
+
+
+def test_stream_of_nothing(spark, tmp_out):
+    _drop(spark, tmp_out, 0, [], [])
+    sent, rep = (os.path.join(tmp_out, d) for d in ("sent", "rep"))
+    s = spark.readStream.schema(spark.read.parquet(f"{sent}/0").schema).option("recursiveFileLookup", True).parquet(sent)
+    r = spark.readStream.schema(spark.read.parquet(f"{rep}/0").schema).option("recursiveFileLookup", True).parquet(rep)
+    tables = run_to_end(spark, s, r, folder=os.path.join(tmp_out, "t"), checkpoint=os.path.join(tmp_out, "c"),
+                        timeout_seconds=60, name=f"t_{uuid.uuid4().hex[:8]}")
+    assert tables.outcomes().count() == 0
+
+
+def test_blank_means_unicode_white_space(spark):
+    sent = spark.createDataFrame([(1, 10, _s(0))], "message_id long, contact_id long, sent_ts timestamp_ntz")
+    reps = spark.createDataFrame([(1, 10, _s(5), "\u00a0\u2003\x1c"), (2, 10, _s(6), "\u00a0 SIM\t\u3000")],
+                                 "reply_id long, contact_id long, reply_ts timestamp_ntz, reply_text string")
+    r = confirm_outcomes(sent, reps, timeout_seconds=60).collect()[0]
+    assert (r.resposta, r.reply_ts) == ("SIM", _s(6))
+
+
+def test_matching_reads_each_side_once(spark):
+    out = confirm_outcomes(derived_view(spark, SF_SMALL, "sent_messages"), derived_view(spark, SF_SMALL, "replies"),
+                           timeout_seconds=fx.REPLY_TIMEOUT_SECONDS)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 2
+    assert plan.count("Exchange hashpartitioning") <= 3 and plan.count("ReusedExchange") >= 1
+    assert plan.count(" Window [") + plan.count("- Window ") >= 1
 
 
-def test_confirm_report_schema(spark):
+def test_confirm_report_has_every_contact_and_message(spark):
     contacts = confirm_contacts(derived_view(spark, SF_SMALL, "contacts"))
-    prepared = confirm_messages(contacts, company="ACME")
+    prepared = confirm_messages(contacts, company="ACME", template=fx.TEMPLATE)
     sent = derived_view(spark, SF_SMALL, "sent_messages")
     outcomes = confirm_outcomes(sent, derived_view(spark, SF_SMALL, "replies"),
                                 timeout_seconds=fx.REPLY_TIMEOUT_SECONDS)
@@ -107,6 +189,23 @@ def test_confirm_report_schema(spark):
     assert report.filter("status = 'ERRO - TELEFONE INVÁLIDO'").count() == invalid > 0
     bad_raw = report.filter("status = 'ERRO - TELEFONE INVÁLIDO'").select("telefone").distinct().collect()
     assert {r.telefone for r in bad_raw} == {"sem telefone"}
+    silent = prepared.filter("telefone_valido").join(sent, "contact_id", "left_anti").count()
+    assert report.filter("status = 'NÃO ENVIADO'").count() == silent > 0
+    assert report.count() == invalid + silent + sent.count()
+
+
+def test_confirm_report_stamps_a_sending_error_when_it_happened(spark):
+    sent = spark.createDataFrame([(1, 10, _s(0), "ERRO - x", _s(3)), (2, 99, _s(1), None, None)],
+                                 "message_id long, contact_id long, sent_ts timestamp_ntz, send_error string, "
+                                 "error_ts timestamp_ntz")
+    reps = spark.createDataFrame([], "reply_id long, contact_id long, reply_ts timestamp_ntz, reply_text string")
+    sheet = spark.createDataFrame([(10, "Ana", "81999990000", "1")],
+                                  "contact_id long, nome_cliente string, telefone string, notas_fiscais string")
+    prepared = confirm_messages(sheet, company="ACME", template=fx.TEMPLATE)
+    outcomes = confirm_outcomes(sent, reps, timeout_seconds=60)
+    rows = confirm_report(prepared, outcomes, run_ts=T0, timeout_seconds=60).collect()
+    assert {(r.nome_cliente, r.status, r.data_hora) for r in rows} == {
+        ("Ana", "ERRO - x", _s(3)), (None, "SEM RESPOSTA", _s(61))}
 
 
 def test_outcomes_independent_of_session_time_zone(spark):
@@ -143,43 +242,3 @@ def test_random_hot_contact_matches_brute_force(spark):
         got = {r.message_id: (r.status, r.resposta, r.reply_ts)
                for r in confirm_outcomes(sdf, rdf, timeout_seconds=120, fine_buckets=fine).collect()}
         assert got == want, fine
-
-
-def test_stateful_stream_equals_batch_and_has_no_pairs(spark, tmp_out):
-    from ledgerlens.streaming import start_confirm_stateful
-
-    t = StreamingTables(spark, SF_SMALL)
-    out = os.path.join(tmp_out, "state_out")
-    q = start_confirm_stateful(spark, sent_messages(t), replies(t), output_path=out,
-                               checkpoint=os.path.join(tmp_out, "state_ckpt"), available_now=True,
-                               timeout_seconds=fx.REPLY_TIMEOUT_SECONDS)
-    q.awaitTermination()
-    streamed = spark.read.parquet(out)
-    batch = confirm_outcomes(derived_view(spark, SF_SMALL, "sent_messages"), derived_view(spark, SF_SMALL, "replies"),
-                             timeout_seconds=fx.REPLY_TIMEOUT_SECONDS)
-    n = streamed.count()
-    assert 0 < n <= batch.count() and streamed.select("message_id").distinct().count() == n
-    j = streamed.alias("s").join(batch.alias("b"), "message_id")
-    assert j.count() == n
-    assert j.filter("NOT (s.status <=> b.status) OR NOT (s.resposta <=> b.resposta) "
-                    "OR NOT (s.reply_ts <=> b.reply_ts) OR NOT (s.sent_ts <=> b.sent_ts)").count() == 0
-
-
-def test_stateful_outcomes_function_matches_brute_force():
-    from ledgerlens.streaming.confirm_state import _outcomes
-
-    import pandas as pd
-
-    us = lambda t: int((t - dt.datetime(1970, 1, 1)).total_seconds() * 1_000_000)
-    reps = [r for r in REPLIES if r[3].strip()]
-    st = {"msg_contact": [s[1] for s in SENT] + [None], "msg_id": [s[0] for s in SENT] + [99],
-          "msg_us": [us(s[2]) for s in SENT] + [us(T0)],
-          "rep_contact": [r[1] for r in reps], "rep_id": [r[0] for r in reps],
-          "rep_us": [us(r[2]) for r in reps], "rep_text": [r[3].strip() for r in reps]}
-    want = brute_force(SENT, REPLIES, 300)
-    want[99] = ("SEM RESPOSTA", None, None)
-    got = _outcomes(st, 300_000_000)
-    assert len(got) == len(want)
-    for row in got.itertuples():
-        reply = None if pd.isna(row.reply_ts) else row.reply_ts.to_pydatetime()
-        assert (row.status, row.resposta, reply) == want[row.message_id], row

@@ -149,7 +149,7 @@ def test_confirmation_job_end_to_end(spark, tmp_out):
         f.write("1,Ana,(81) 99999-1234,\"12, 13\"\n")
         f.write("2,Bia,sem telefone,14\n")
         f.write("3,Cris,,15\n")
-    prepared = prepare_confirmation(spark, csv, tmp_out, company="ACME", contact_key="id")
+    prepared = prepare_confirmation(spark, csv, tmp_out, company="ACME", template=fx.TEMPLATE, contact_key="id")
     assert prepared.count() == 2
     ana = prepared.filter("nome_cliente = 'Ana'").collect()[0]
     assert ana.telefone_limpo == "5581999991234" and ana.notas_texto == "12,13" and "  • NF 13" in ana.mensagem
@@ -169,10 +169,11 @@ def test_bin01_report_writes_summary_and_detail(spark, tmp_out):
     view = derived_view(spark, SF_SMALL, "closed_transactions")
     p = fx.PARAMS["bin01_note_summary"]
     paths = bin01_report(view, tmp_out, **p)
-    assert paths["summary"].endswith("BIN01_R011-R021-R031-R041-R051-R061-R071-R081-R091-R101-R111-R121-R131-R141-R151_19981231/summary")
+    assert "/BIN01_R011-R021-R031-R041-R051-R061-R071-R081-R091-R101-R111-R121-R131-R141-R151_19981231_" in paths["summary"]
+    assert bin01_report(view, tmp_out, **p)["summary"] != paths["summary"]  # a later run keeps the earlier report
     s = spark.read.parquet(paths["summary"])
     d = spark.read.parquet(paths["detail"])
-    assert s.count() == bin01_note_summary(view, **p).count() == 72
+    assert s.count() == bin01_note_summary(view, **p).count() == 71
     kw = {k: v for k, v in p.items() if k != "group_label"}
     assert d.count() == bin01_note_detail(view, **kw).count() == 644
     assert dict(d.dtypes)["data_transacao"] == "string" and dict(d.dtypes)["valor_parcela"].startswith("decimal")
@@ -234,4 +235,28 @@ def test_stream_main_from_config(spark, tmp_out):
     with open(path, "w", encoding="utf-8") as f:
         json.dump(cfg, f)
     assert stream_main(["x", path]) == 0
-    assert spark.read.parquet(os.path.join(tmp_out, "o")).count() > 0
+    assert spark.read.parquet(os.path.join(tmp_out, "o", "outcomes")).count() == 188
+
+
+def test_jdbc_views_are_split_or_refused(spark, monkeypatch):
+    from pyspark.sql import DataFrameReader
+
+    calls = []
+    empty = spark.createDataFrame([], "cod_estabelecimento string, data_transacao date, conta_contabil string, "
+                                      "nome_conta string, valor_moeda decimal(18,2)")
+    monkeypatch.setattr(DataFrameReader, "jdbc", lambda self, *a, **k: calls.append((a, k)) or empty)
+    with pytest.raises(ValueError, match="partition_column"):
+        load_view(spark, "gl_transactions", jdbc={"url": "jdbc:x", "table": "t"})
+    load_view(spark, "gl_transactions", jdbc={"url": "jdbc:x", "table": "t", "partition_column": "id", "lower": 0,
+                                              "upper": 9, "num_partitions": 3})
+    load_view(spark, "gl_transactions", jdbc={"url": "jdbc:x", "table": "t", "predicates": ["id < 5", "id >= 5"]})
+    assert [k.get("numPartitions") for _, k in calls] == [3, None] and calls[1][1]["predicates"] == ["id < 5", "id >= 5"]
+
+
+def test_partitioned_write_has_few_files_per_establishment(spark, tmp_out):
+    view = derived_view(spark, SF_SMALL, "sales_orders").repartition(8)
+    path = os.path.join(tmp_out, "few")
+    write_billing_extract(view, path, **fx.PARAMS["billing_extract"])
+    for d in os.listdir(path):
+        if d.startswith("cod_estabelecimento="):
+            assert len([f for f in os.listdir(os.path.join(path, d)) if f.endswith(".parquet")]) <= 2
