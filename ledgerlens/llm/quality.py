@@ -26,7 +26,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import islice
 from operator import eq
 
@@ -37,85 +36,105 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.batches import keep_rows, map_slices, slices
+from ledgerlens.llm.components import cut_lineage
 
 DIMENSIONS = 128
 NONZERO = 8
 WINDOW = 2
 FIT_ROWS = 12_000
-FIT_WORDS = 20_000
+FIT_WORDS = 4_000
 HIDDEN = 32
 EPOCHS = 60
-MEMO_WORDS = 150_000
+MEMO_WORDS = 100_000
 THRESHOLD = 0.3
 FEATURES = DIMENSIONS + 6
 WORDS = re.compile(r"\w+|[^\w\s]+")
 
 
-def index_places(word: str) -> tuple[np.ndarray, np.ndarray]:
-    """Places and signs of a word's index vector."""
-    draw = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), 11)
-    rng = np.random.Generator(np.random.PCG64(draw))
-    return rng.choice(DIMENSIONS, NONZERO, replace=False), np.where(rng.integers(0, 2, NONZERO), 1, -1)
-
-
-@lru_cache(maxsize=MEMO_WORDS)
-def _index_cached(word: str) -> tuple[bytes, bytes]:
-    at, sign = index_places(word)
-    return at.astype(np.int16).tobytes(), sign.astype(np.int8).tobytes()
-
-
-def index_vector(word: str) -> np.ndarray:
-    at, sign = _index_cached(word)
-    out = np.zeros(DIMENSIONS, dtype=np.float32)
-    out[np.frombuffer(at, dtype=np.int16)] = np.frombuffer(sign, dtype=np.int8)
+def index_vectors(words: list[str]) -> np.ndarray:
+    """One sparse random vector per word: eight places (seven bits each) and signs from a hash of its bytes."""
+    draw = np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), 11) for w in words),
+                       dtype=np.uint64, count=len(words))[:, None]
+    step = np.arange(NONZERO, dtype=np.uint64)
+    place = (draw >> (step * np.uint64(7)) & np.uint64(DIMENSIONS - 1)).astype(np.int64)
+    sign = (draw >> (step + np.uint64(56)) & np.uint64(1)).astype(np.int32) * 2 - 1
+    out = np.zeros((len(words), DIMENSIONS), dtype=np.int32)
+    for k in range(NONZERO):
+        out[np.arange(len(words)), place[:, k]] += sign[:, k]
     return out
 
 
-def contexts(words: list[str]) -> dict[str, np.ndarray]:
-    """Per word: how often it stands there (first place) and the sum of the index vectors around it."""
+def contexts(words: list[str], wanted: dict[str, int], sums: np.ndarray) -> None:
+    """Adds to the rows of ``sums`` the index vectors around each wanted word (its row by ``wanted``)."""
+    if not words:
+        return
     kinds = {w: i for i, w in enumerate(dict.fromkeys(words))}
-    at = np.array([kinds[w] for w in words])
-    vectors = np.array([index_vector(w) for w in kinds], dtype=np.int64)[at]
-    around = np.zeros_like(vectors)
-    for step in range(1, min(WINDOW, len(words) - 1) + 1):
-        around[step:] += vectors[:-step]
-        around[:-step] += vectors[step:]
-    sums = np.zeros((len(kinds), DIMENSIONS + 1), dtype=np.int64)
-    np.add.at(sums[:, 1:], at, around)
-    sums[:, 0] = np.bincount(at, minlength=len(kinds))
-    return {w: sums[i] for w, i in kinds.items()}
+    at = np.fromiter(map(kinds.__getitem__, words), dtype=np.int64, count=len(words))
+    row = np.fromiter((wanted.get(w, -1) for w in kinds), dtype=np.int64, count=len(kinds))
+    vectors = index_vectors(list(kinds))
+    for begin in range(0, len(words), 16384):
+        end = min(begin + 16384, len(words))
+        low, high = max(0, begin - WINDOW), min(len(words), end + WINDOW)
+        near = vectors[at[low:high]]
+        around = np.zeros((end - begin, DIMENSIONS), dtype=np.int32)
+        for step in range(1, WINDOW + 1):
+            for shift in (-step, step):
+                first, last = max(begin + shift, low), min(end + shift, high)
+                if first < last:
+                    around[first - shift - begin:last - shift - begin] += near[first - low:last - low]
+        rows = row[at[begin:end]]
+        chosen = np.flatnonzero(rows >= 0)
+        if len(chosen):
+            order = chosen[np.argsort(rows[chosen], kind="stable")]
+            starts = np.flatnonzero(np.r_[True, np.diff(rows[order]) > 0])
+            sums[rows[order][starts]] += np.add.reduceat(around[order], starts, axis=0)
 
 
 class Pooler:
     """Document vectors from word vectors; ``learned``: word -> context part."""
 
     def __init__(self, learned: dict[str, np.ndarray]):
-        self.learned, self.memo = learned, {}
-
-    def word(self, word: str) -> np.ndarray:
-        if (v := self.memo.get(word)) is None:
-            if len(self.memo) >= MEMO_WORDS:
-                self.memo.clear()
-            v = index_vector(word)
-            if (more := self.learned.get(word)) is not None:
-                v = v + more
-            v = self.memo[word] = v / max(float(np.linalg.norm(v)), 1e-9)
-        return v
-
-    def pool(self, text: str | None) -> np.ndarray:
-        found = WORDS.findall(text or "")
-        counts, n = Counter(found), len(found)
-        out = np.zeros(FEATURES, dtype=np.float64)
-        if not n:
-            return out
-        words = list(counts)
-        for a in range(0, len(words), 4096):
-            part = words[a:a + 4096]
-            weight = np.array([counts[w] for w in part], dtype=np.float32)
-            out[:DIMENSIONS] += weight @ np.array([self.word(w) for w in part])
-        out[:DIMENSIONS] /= n
-        same = [sum(map(eq, found, islice(found, step, None))) / n for step in (1, 2, 3)]
-        out[DIMENSIONS:] = float(np.linalg.norm(out)), np.log1p(n), len(counts) / n, *same
+        self.learned, self.row, self.table = learned, {}, np.zeros((0, DIMENSIONS), dtype=np.float32)
+
+    def rows_of(self, words: set[str]) -> None:
+        """Gives every word a row in the table of unit vectors."""
+        new = [w for w in words if w not in self.row]
+        if len(self.row) + len(new) > MEMO_WORDS:
+            self.row, self.table, new = {}, self.table[:0], list(words)
+        if not new:
+            return
+        vectors = index_vectors(new).astype(np.float32)
+        for i, w in enumerate(new):
+            if (more := self.learned.get(w)) is not None:
+                vectors[i] += more
+        vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
+        used = len(self.row)
+        if used + len(new) > len(self.table):
+            grown = np.zeros((max(2 * (used + len(new)), 4096), DIMENSIONS), dtype=np.float32)
+            grown[:used] = self.table[:used]
+            self.table = grown
+        self.table[used:used + len(new)] = vectors
+        self.row.update(zip(new, range(used, used + len(new))))
+
+    def pool(self, texts: list[str | None]) -> np.ndarray:
+        """One row of ``FEATURES`` numbers per text."""
+        out = np.zeros((len(texts), FEATURES), dtype=np.float64)
+        for i, text in enumerate(texts):
+            found = WORDS.findall(text or "")
+            if not found:
+                continue
+            counts, n = Counter(found), len(found)
+            total = np.zeros(DIMENSIONS, dtype=np.float64)
+            words = list(counts)
+            for a in range(0, len(words), 4096):
+                part = words[a:a + 4096]
+                self.rows_of(set(part))
+                at = np.fromiter(map(self.row.__getitem__, part), dtype=np.int64, count=len(part))
+                weight = np.fromiter(map(counts.__getitem__, part), dtype=np.float32, count=len(part))
+                total += weight @ self.table[at]
+            same = [sum(map(eq, found, islice(found, step, None))) / n for step in (1, 2, 3)]
+            out[i, :DIMENSIONS] = total / n
+            out[i, DIMENSIONS:] = float(np.linalg.norm(total / n)), np.log1p(n), len(counts) / n, *same
         return out
 
 
@@ -172,8 +191,7 @@ class QualityModel:
         self.learned, self.network = learned, network
 
     def score(self, texts: list[str | None]) -> list[float]:
-        pooler = _pooler(self)
-        return self.network.score(np.array([pooler.pool(t) for t in texts]).reshape(-1, FEATURES)).tolist()
+        return self.network.score(_pooler(self).pool(texts)).tolist()
 
 
 _POOLERS: dict[int, tuple[QualityModel, Pooler]] = {}
@@ -199,50 +217,55 @@ def train(df: DataFrame, labels: DataFrame, use: Column, *, id_col: str = "doc_i
     chosen = {r[0]: r[1] for r in known.collect()}  # at most fit_rows pairs
     spark = df.sparkSession
     ids = spark.createDataFrame([(k, int(v)) for k, v in chosen.items()], "k long, label int")
-    rows = df.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).cast("string").alias("text")).join(
-        F.broadcast(ids), "k").select("k", "label", "text")  # at most fit_rows ids
+    rows = cut_lineage(df.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).cast("string").alias("text")).join(
+        F.broadcast(ids), "k").select("k", "label", "text"))  # at most fit_rows ids
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for piece in slices(batch):
+                seen: Counter = Counter()
+                for text in piece.column(0).to_pylist():
+                    seen.update(WORDS.findall(text or ""))
+                if seen:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(seen)), pa.array(list(seen.values()))],
+                                                     names=["word", "n"])
 
-        def flush():
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array(list(held)), pa.array([v.astype("<i8").tobytes() for v in held.values()]),
-                 pa.array([int(v[0]) for v in held.values()])], names=["word", "sums", "n"])
-            held.clear()
-            return batch
+    frequent = rows.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(
+        F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(fit_words)
+    wanted = {r[0]: i for i, r in enumerate(frequent.collect())}  # at most fit_words rows
 
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((len(wanted), DIMENSIONS), dtype=np.int64)
         for batch in batches:
             for piece in slices(batch):
                 for text in piece.column(0).to_pylist():
-                    if words := WORDS.findall(text or ""):
-                        for w, v in contexts(words).items():
-                            held[w] = held[w] + v if w in held else v
-                    if len(held) > fit_words:
-                        yield flush()
-        if held:
-            yield flush()
-
-    def add_up(key, table):
-        total = sum((np.frombuffer(b, dtype="<i8") for b in table["sums"].to_pylist()),
-                    np.zeros(DIMENSIONS + 1, dtype=np.int64))
-        return pa.table({"word": [key[0].as_py()], "sums": [total.tobytes()]})
-
-    parts = rows.select("text").mapInArrow(count, "word string, sums binary, n long")
-    frequent = parts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(fit_words)
-    sums = parts.join(frequent.select("word"), "word", "left_semi").groupBy("word").applyInArrow(
-        add_up, "word string, sums binary")
-    learned = {}
-    for word, raw in sums.collect():  # at most fit_words rows
-        v = np.frombuffer(bytes(raw), dtype="<i8").astype(np.float32)
-        around = v[1:] / max(float(np.linalg.norm(v[1:])), 1e-9) * np.float32(np.sqrt(NONZERO))
-        learned[word] = around
+                    contexts(WORDS.findall(text or ""), wanted, sums)
+        yield from nonzero(sums)
+
+    def nonzero(sums: np.ndarray) -> Iterator[pa.RecordBatch]:
+        used = np.flatnonzero(sums.any(axis=1))
+        if len(used):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(used), pa.array([r.tobytes() for r in sums[used]], type=pa.binary())], names=["row", "sums"])
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((len(wanted), DIMENSIONS), dtype=np.int64)
+        for batch in batches:
+            for row, part in zip(batch.column(0).to_pylist(), batch.column(1)):
+                sums[row] += np.frombuffer(part.as_buffer(), dtype=np.int64)
+        yield from nonzero(sums)
+
+    whole = rows.select("text").mapInArrow(gather, "row long, sums binary").repartition("row").mapInArrow(
+        add_up, "row long, sums binary")
+    words, learned = list(wanted), {}
+    for row, v in whole.collect():  # at most fit_words rows
+        around = np.frombuffer(bytes(v), dtype=np.int64).astype(np.float32)
+        learned[words[row]] = around / max(float(np.linalg.norm(around)), 1e-9) * np.float32(np.sqrt(NONZERO))
     model = QualityModel(learned, Network(np.zeros((0, FEATURES)), np.zeros(0)))
 
     def pool(piece):
-        pooler = _pooler(model)
-        return {"k": piece.column(0), "label": piece.column(1),
-                "x": [pooler.pool(t).astype("<f8").tobytes() for t in piece.column(2).to_pylist()]}
+        x = _pooler(model).pool(piece.column(2).to_pylist())
+        return {"k": piece.column(0), "label": piece.column(1), "x": [v.astype("<f8").tobytes() for v in x]}
 
     pooled = sorted((r["k"], r["label"], bytes(r["x"])) for r in map_slices(
         rows, pool, "k long, label int, x binary").collect())  # fit_rows vectors, more only if ids repeat

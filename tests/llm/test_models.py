@@ -68,16 +68,32 @@ def test_quality_repeats_exactly(spark, sf):
 
 
 def test_contexts_equal_a_plain_loop():
-    words = "a b c a b d".split()
-    got = quality.contexts(words)
-    for w in set(words):
+    words = "a b c a b d".split() * 3000
+    wanted = {"a": 0, "d": 1, "z": 2}
+    sums = np.zeros((3, quality.DIMENSIONS), dtype=np.int64)
+    quality.contexts(words, wanted, sums)
+    vector = dict(zip("abcd", quality.index_vectors(list("abcd"))))
+    for w, row in wanted.items():
         want = np.zeros(quality.DIMENSIONS)
         for i, x in enumerate(words):
             if x == w:
                 for j in range(max(0, i - 2), min(len(words), i + 3)):
                     if j != i:
-                        want += quality.index_vector(words[j])
-        assert (got[w][1:] == want).all() and got[w][0] == words.count(w)
+                        want += vector[words[j]]
+        assert (sums[row] == want).all()
+
+
+def test_pooling_is_the_mean_of_word_vectors_also_when_the_table_starts_afresh(monkeypatch):
+    texts = ["one two two!", None, "three four five", "one"]
+    whole = quality.Pooler({"two": np.ones(quality.DIMENSIONS, dtype=np.float32)}).pool(texts)
+    monkeypatch.setattr(quality, "MEMO_WORDS", 3)
+    small = quality.Pooler({"two": np.ones(quality.DIMENSIONS, dtype=np.float32)})
+    assert np.allclose(whole, small.pool(texts)) and not whole[1].any()
+    v = quality.index_vectors(["one", "two", "!"]).astype(float)
+    v[1] += 1
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    assert np.allclose(whole[0, :quality.DIMENSIONS], (v[0] + 2 * v[1] + v[2]) / 4, atol=1e-6)
+    assert np.allclose(whole[0, -3:], [1 / 4, 0, 0])
 
 
 def test_temperature_calibrates():
