@@ -34,7 +34,8 @@ from ledgerlens.llm.batches import map_slices
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NO_PAIR = 1 << 62
 MEMO_CHUNKS = 500_000
-MEMO_WORDS = 400_000
+MEMO_WORDS = 600_000
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def byte_alphabet() -> list[str]:
@@ -79,7 +80,6 @@ class ByteBpe:
         self.words = regex.compile(PATTERN)
         longest_first = sorted(self.specials, key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if longest_first else None
-        self.word_ids = Memo(lambda w: tuple(self.merge(w.encode())), MEMO_WORDS)
 
     def merge(self, word: bytes) -> list[int]:
         """The ids of one pre-token."""
@@ -112,30 +112,45 @@ class ByteBpe:
             if k < n:
                 before[k] = i
                 rank = rank_of(new << 20 | sym[k])
-                changes = [(j, NO_PAIR), (i, NO_PAIR if rank is None else rank << shift | i)]
+                self._set(tree, i + size, NO_PAIR if rank is None else rank << shift | i)
+                self._set(tree, j + size, NO_PAIR)
             else:
-                changes = [(i, NO_PAIR)]
+                self._set(tree, i + size, NO_PAIR)
             h = before[i]
             if h >= 0:
                 rank = rank_of(sym[h] << 20 | new)
-                changes.append((h, NO_PAIR if rank is None else rank << shift | h))
-            for leaf, value in changes:
-                at = leaf + size
-                tree[at] = value
-                while at > 1:
-                    at >>= 1
-                    a, b = tree[2 * at], tree[2 * at + 1]
-                    if b < a:
-                        a = b
-                    if tree[at] == a:
-                        break
-                    tree[at] = a
+                self._set(tree, h + size, NO_PAIR if rank is None else rank << shift | h)
         return [s for s in sym if s >= 0]
 
+    @staticmethod
+    def _set(tree: list[int], at: int, value: int) -> None:
+        """A leaf's new value, and its ancestors up to the first that stays as it is."""
+        if tree[at] == value:
+            return
+        tree[at] = value
+        while at > 1:
+            other = tree[at ^ 1]
+            if other < value:
+                value = other
+            at >>= 1
+            if tree[at] == value:
+                return
+            tree[at] = value
+
+    def pre_tokens(self, chunk: str) -> list[str]:
+        """The pre-tokens of a chunk without special strings.
+
+        A space, letters and closing ASCII marks are told without the pattern:
+        the space and letters are one pre-token, the marks another.
+        """
+        body = chunk.rstrip(MARKS)
+        if (body[1:] if body[:1] == " " else body).isalpha():
+            return [body] if len(body) == len(chunk) else [body, chunk[len(body):]]
+        return self.words.findall(chunk)
+
     def chunk_ids(self, chunk: str) -> list[int]:
         """The ids of a chunk without special strings."""
-        ids = self.word_ids
-        return list(chain.from_iterable([ids[w] for w in self.words.findall(chunk)]))
+        return list(chain.from_iterable([self.merge(w.encode()) for w in self.pre_tokens(chunk)]))
 
     def encode(self, text: str) -> list[int]:
         """The ids of a whole text."""
@@ -181,7 +196,8 @@ def load(path: str) -> ByteBpe:
 @lru_cache(maxsize=2)
 def _chunk_texts(path: str) -> Memo:
     bpe = load(path)
-    return Memo(lambda chunk: ",".join(map(str, bpe.chunk_ids(chunk))), MEMO_CHUNKS)
+    words = Memo(lambda w: ",".join(map(str, bpe.merge(w.encode()))), MEMO_WORDS)
+    return Memo(lambda chunk: ",".join([words[w] for w in bpe.pre_tokens(chunk)]), MEMO_CHUNKS)
 
 
 @lru_cache(maxsize=2)

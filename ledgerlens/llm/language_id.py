@@ -105,10 +105,9 @@ def bundles(texts: list[str | None]) -> np.ndarray:
     every, at = np.unique(np.concatenate(grams), return_inverse=True)
     if not len(every):
         return np.zeros((len(texts), DIMENSIONS), dtype=np.float32)
-    counts = np.zeros((len(texts), len(every)), dtype=np.float32)
     row = np.repeat(np.arange(len(texts)), [len(g) for g in grams])
-    np.add.at(counts, (row, at), 1)
-    return bundle(counts, every)
+    counts = np.bincount(row * len(every) + at, minlength=len(texts) * len(every)).reshape(len(texts), len(every))
+    return bundle(counts.astype(np.float32), every)
 
 
 def bundle(counts: np.ndarray, grams: np.ndarray, block: int = 8192) -> np.ndarray:

@@ -44,7 +44,7 @@ class TokenCounter:
 
     def _chunk(self, chunk: str) -> int:
         single, merged = self.single, self.merged
-        return sum([1 if w in single else merged[w] for w in self.bpe.words.findall(chunk)])
+        return sum([1 if w in single else merged[w] for w in self.bpe.pre_tokens(chunk)])
 
     def count(self, text: str | None) -> int:
         total = 0
