@@ -157,6 +157,17 @@ def combinations(units: int, parts: int) -> list[tuple[int, ...]]:
     return out
 
 
+def least_squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """By normal equations; columns that are not independent go to the general solver."""
+    try:
+        x = np.linalg.solve(a.T @ a, a.T @ b)
+        if np.abs(a.T @ (a @ x - b)).max() <= 1e-10 * max(1.0, float(np.abs(b).max())):
+            return x
+    except np.linalg.LinAlgError:
+        pass
+    return np.linalg.lstsq(a, b, rcond=None)[0]
+
+
 def nnls(a: np.ndarray, b: np.ndarray, rounds: int | None = None) -> np.ndarray:
     """x >= 0 that minimises |a x - b|, by the active-set method."""
     x, used = np.zeros(a.shape[1]), np.zeros(a.shape[1], dtype=bool)
@@ -169,7 +180,7 @@ def nnls(a: np.ndarray, b: np.ndarray, rounds: int | None = None) -> np.ndarray:
         used[best] = True
         while True:
             at = np.flatnonzero(used)
-            try_x = np.linalg.lstsq(a[:, at], b, rcond=None)[0]
+            try_x = least_squares(a[:, at], b)
             if (try_x > 1e-12).all():
                 break
             low = try_x <= 1e-12

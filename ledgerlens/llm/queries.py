@@ -121,14 +121,14 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (P
 FROM n""",
     "op7_maxscore_search": """
 WITH v AS (
-  SELECT vec_id, min(list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT)) AS vec
+  SELECT vec_id, min(list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT)) AS vec
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
   GROUP BY vec_id),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id,
-    list_sum(list_transform(list_zip(q.vec, c.vec, true), z -> z[1] * z[2]))::BIGINT AS score
+    list_sum(list_transform(list_zip(q.vec, c.vec), lambda z: coalesce(z[1] * z[2], 0)))::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
 SELECT query_id, n::INTEGER AS rank, vec_id, score FROM r WHERE n <= 5""",
