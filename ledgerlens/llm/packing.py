@@ -42,8 +42,8 @@ WINDOW = 2048
 GRID = 16
 PARTS = 3
 END_ID = 1
-MEMO_CHUNKS = 400_000
-MEMO_WORDS = 400_000
+MEMO_CHUNKS = 700_000
+MEMO_WORDS = 800_000
 MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 ODD_SPACES = "\x1c\x1d\x1e\x1f"
 PIECES = "doc_id long, start long, length long, doc_tokens long, crc long, ids binary"
