@@ -175,7 +175,7 @@ def test_bin01_report_writes_summary_and_detail(spark, tmp_out):
     d = spark.read.parquet(paths["detail"])
     assert s.count() == bin01_note_summary(view, **p).count() == 71
     kw = {k: v for k, v in p.items() if k != "group_label"}
-    assert d.count() == bin01_note_detail(view, **kw).count() == 644
+    assert d.count() == bin01_note_detail(view, **kw).count() == 631
     assert dict(d.dtypes)["data_transacao"] == "string" and dict(d.dtypes)["valor_parcela"].startswith("decimal")
     assert d.filter(~d.data_transacao.rlike(r"^\d{2}/\d{2}/\d{4}$")).count() == 0
 
