@@ -42,7 +42,7 @@ DIMENSIONS = 128
 NONZERO = 8
 WINDOW = 2
 FIT_ROWS = 12_000
-FIT_WORDS = 4_000
+FIT_WORDS = 20_000
 HIDDEN = 32
 EPOCHS = 60
 MEMO_WORDS = 100_000

@@ -114,3 +114,13 @@ def test_quality_edge_rows(spark, edge_docs, no_docs):
     assert quality.score(no_docs, model).count() == 0
     kept = quality.keep_good(edge_docs, model)
     assert kept.columns == edge_docs.columns and kept.count() == edge_docs.count()
+
+
+def test_quality_rare_words_get_contexts(spark):
+    """Two languages, the second of rarer words: all 9,000 words of the fitted rows have a learned vector."""
+    texts = [" ".join(f"{lang}{(j + k) % n}" for k in range(60))
+             for lang, n, copies in (("a", 5000, 3), ("b", 4000, 1)) for j in range(0, n, 60) for _ in range(copies)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    learned = quality.train(docs, labels, F.lit(True)).learned
+    assert len(learned) == 9000 and sum(w[0] == "b" for w in learned) == 4000
