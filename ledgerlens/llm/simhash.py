@@ -144,9 +144,10 @@ def near_groups(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     labelled = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     labels = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    label = labelled.select("fp", "root").join(labels, "root").select("fp", "component_id")
+    label = labelled.select("fp", "root").join(labels, "root").select("fp", "root", "component_id")
     out = rows.join(label, "fp")
-    turn = F.row_number().over(Window.partitionBy("id", "component_id").orderBy("h"))
+    # by root: components of null or repeated ids can share a component_id
+    turn = F.row_number().over(Window.partitionBy("root", "id").orderBy("h"))
     kept = F.col("id").eqNullSafe(F.col("component_id")) & (turn == 1)
     return out.select(F.col("id").alias(id_col), "h", "fp", "component_id", kept.alias("kept"))
 

@@ -201,3 +201,14 @@ def test_hot_group_of_copies(spark):
         F.when(F.col("id") % 3 == 0, F.lit("one and the same text")).otherwise(F.col("id").cast("string")).alias("text"))
     out = {r.doc_id: r for r in exact_dedup.exact_groups(docs).collect()}
     assert out[8].keep_id == 5 and out[8].group_size == 134 and not out[8].kept and out[5].kept and out[6].group_size == 1
+
+
+def test_components_that_share_an_id_each_keep_a_row(spark):
+    texts = {"null, one": "alpha beta gamma delta epsilon", "null, two": "seven green bottles hang on the wall",
+             "id, one": "rain falls softly over the old harbour", "id, two": "prime numbers have exactly two divisors"}
+    rows = [(None if name[0] == "n" else 7, t) for name, t in texts.items()]
+    rows += [rows[0], rows[2], (9, rows[2][1])]  # copies, one under a larger id
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [r for r in simhash.near_groups(docs).collect() if r.kept]
+    assert sorted((str(r.doc_id), r.component_id) for r in kept) == [("7", 7), ("7", 7), ("None", None), ("None", None)]
+    assert sorted(r.text for r in simhash.drop_near_copies(docs).collect()) == sorted(texts.values())
