@@ -5,10 +5,11 @@ The standard library's parser streams events; elements that hold no article text
 open. Every block-level border ends a line. A line's ratio is its characters
 outside links over its tags (marked lines: 0). Ratios are smoothed by a Gaussian
 along the page and clustered by a threshold, their standard deviation, into
-content and rest. The content region is the element that holds the content
-lines: an article or main element if there is one, else the smallest container
-with nearly all of their characters. In it, marked lines go, and so do link lists
-in the low cluster; everything else stays, short paragraphs included.
+content and rest. The content region is what holds the content lines outside link
+lists: the sibling article (or main) elements with most of their characters if
+there are such, else the smallest container with all of them. In it, marked lines
+go, and so do link lists in the low cluster; everything else stays, short
+paragraphs included.
 
 Defined results: null and empty pages give the empty text, as do pages with
 nothing but marked elements. Character references are decoded, white space in a
@@ -52,7 +53,7 @@ NEGATED = frozenset("has with no without".split())
 SMOOTHING = 1.0
 LINK_SHARE = 0.6
 UNFINISHED = re.compile(r"<[/!?]?[a-zA-Z][^<>]*\Z")
-MASS_SHARE = 0.9
+MASS_SHARE = 0.5
 
 
 def names_beside(attrs: dict[str, str | None]) -> bool:
@@ -193,47 +194,44 @@ def main_text(html: str | None) -> str:
     ratio = np.array([0.0 if x.beside else max(0, x.chars - x.linked) / max(1, x.tags) for x in lines])
     smooth = smoothed(ratio)
     content = (smooth >= smooth.std()) & np.array([not x.beside for x in lines])
-    mass = [x.chars if c else 0 for x, c in zip(lines, content)]
+    mass = [x.chars if c and x.linked <= LINK_SHARE * x.chars else 0 for x, c in zip(lines, content)]
     if not sum(mass):
         mass = [0 if x.beside else x.chars for x in lines]
-    root, first = region(lines, mass)
+    roots = region(lines, mass)
+    inside = [roots is None or not roots.isdisjoint(x.path) for x in lines]
+    lead = [False] * (len(lines) + 1)  # headings right before a root
+    for at in range(len(lines) - 2, -1, -1):
+        x = lines[at]
+        lead[at] = x.heading and not x.beside and not inside[at] and (inside[at + 1] or lead[at + 1])
     keep = []
     for at, x in enumerate(lines):
-        inside = root is None or root in x.path
-        lead = first <= at and x.heading and not inside
-        if (inside or lead) and not x.beside and not (
+        if (inside[at] or lead[at]) and not x.beside and not (
                 not content[at] and x.linked > LINK_SHARE * x.chars):
             keep.append(x.text)
     return "\n\n".join(keep)
 
 
-def region(lines: list[Line], mass: list[int]) -> tuple[tuple | None, int]:
-    """The container that holds the content, and where the headings right before it begin."""
-    articles: dict[tuple, int] = {}
+def region(lines: list[Line], mass: list[int]) -> set[tuple] | None:
+    """The elements that hold the content; none: the whole page.
+
+    They are sibling article or main elements with more than ``MASS_SHARE`` of the
+    mass, else the smallest container with all of it.
+    """
+    siblings: dict[tuple, int] = {}
+    roots: dict[tuple, set[tuple]] = {}
+    for x, m in zip(lines, mass):
+        at = next((i for i, p in enumerate(x.path) if p[0] in ("article", "main")), None)
+        if at is not None and not x.beside:
+            siblings[x.path[:at]] = siblings.get(x.path[:at], 0) + m
+            roots.setdefault(x.path[:at], set()).add(x.path[at])
+    best = max(siblings, key=siblings.get, default=None)
+    if best is not None and siblings[best] > MASS_SHARE * sum(mass):
+        return roots[best]
+    shared = None
     for x, m in zip(lines, mass):
-        outer = next((p for p in x.path if p[0] in ("article", "main")), None)
-        if outer and not x.beside:
-            articles[outer] = articles.get(outer, 0) + m
-    root, depth, total = None, 0, sum(mass)
-    if articles and max(articles.values()) > 0:
-        root = max(articles, key=lambda p: (articles[p], -p[1]))
-    else:
-        while True:
-            inner: dict[tuple, int] = {}
-            for x, m in zip(lines, mass):
-                if len(x.path) > depth and (root is None or root in x.path):
-                    inner[x.path[depth]] = inner.get(x.path[depth], 0) + m
-            best = max(inner, key=inner.get, default=None)
-            if best is None or inner[best] < MASS_SHARE * total or not inner[best]:
-                break
-            root, depth = best, depth + 1
-    first = next((i for i, x in enumerate(lines) if root is None or root in x.path), 0)
-    while root is not None and first > 0 and lines[first - 1].heading and not lines[first - 1].beside:
-        first -= 1
-    last = max((i for i, x in enumerate(lines) if root is None or root in x.path), default=0)
-    for x in lines[last + 1:]:
-        x.heading = False  # only headings before the region lead into it
-    return root, first
+        if m:
+            shared = x.path if shared is None else tuple(a for a, b in zip(shared, x.path) if a == b)
+    return {shared[-1]} if shared else None
 
 
 def extract(pages: DataFrame, *, id_col: str = "page_id", html_col: str = "html", keep: tuple = ("url",)) -> DataFrame:

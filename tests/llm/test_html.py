@@ -59,3 +59,32 @@ def test_edge_rows(spark):
         pages.repartition(3)).collect()))
     assert {(r.page_id, r.text) for r in html_extract.extract(pages).collect()} == {(1, ""), (None, "x"), (2, "")}
     assert html_extract.extract(pages.limit(0)).count() == 0
+
+
+LONG = "<p>" + "A sentence of the long section that goes on for a while. " * 40 + "</p>"
+SHORT = "<p>A short section of two sentences. It belongs to the article as well.</p>"
+FOOT = "<div><a href=/>Home</a> <a href=/b>More pages</a></div>"
+
+
+def paragraphs(page):
+    return [" ".join(x.split()) for x in re.findall("<(?:p|h2)[^>]*>(.*?)</(?:p|h2)>", page)]
+
+
+def test_uneven_sections_all_stay():
+    for parts in ([LONG, SHORT], [SHORT, LONG], [LONG + LONG, SHORT, LONG], [SHORT, LONG * 3, "<h2>End</h2>" + SHORT]):
+        for tag in ("div", "section"):
+            page = "<body><div id=content>" + "".join(f"<{tag}>{p}</{tag}>" for p in parts) + f"</div>{FOOT}</body>"
+            assert html_extract.main_text(page).split("\n\n") == paragraphs(page)
+    table = f"<table><tr><td>{LONG}</td><td>{SHORT}</td></tr></table>"
+    assert html_extract.main_text(table).split("\n\n") == paragraphs(table)
+
+
+def test_a_teaser_article_does_not_replace_the_text():
+    middle = "<p>" + "Words of a middling paragraph. " * 10 + "</p>"
+    page = f"<body><div><div>{middle * 5}</div><div>{middle * 4}{SHORT}</div></div><article class=card>{middle}</article></body>"
+    assert html_extract.main_text(page).split("\n\n")[:10] == paragraphs(page)[:10]
+
+
+def test_sibling_articles_all_stay():
+    page = f"<body><div>{FOOT}<ul><li><article>{LONG}{SHORT}</article><li><h2>Next</h2><article>{SHORT}</article></ul></div></body>"
+    assert html_extract.main_text(page).split("\n\n") == paragraphs(page)
