@@ -1,9 +1,12 @@
 """Main text of web pages by text-to-tag ratios.
 
 The standard library's parser streams events; elements that hold no article text
-(scripts, menus, forms, and what class, id or role call so) are marked as they
-open. Every block-level border ends a line. A line's ratio is its characters
-outside links over its tags (marked lines: 0). Ratios are smoothed by a Gaussian
+(scripts, menus, forms, and what a role calls so) are marked as they open.
+Containers whose class or id ends in a word for a part beside the article are
+marked too, unless they hold a main element or, on pages without an article
+outside them, an article or most of the text; ids that may come from a heading's
+words do not count. Every block-level border ends a line. A line's ratio is its
+characters outside links over its tags (marked lines: 0). Ratios are smoothed by a Gaussian
 along the page and clustered by a threshold, their standard deviation, into
 content and rest. The content region is what holds the content lines outside link
 lists: the sibling article (or main) elements with most of their characters if
@@ -47,6 +50,12 @@ BESIDE_WORDS = frozenset(
     "comment comments commentlist reply replies respond disqus discussion share sharing social related recommended "
     "recommendations newsletter subscribe subscription signup login signin search widget widgets toolbar pagination "
     "pager paywall disclaimer skiplink".split())
+TOPIC_WORDS = frozenset(  # as ids these may be made from the words of an article's heading
+    "advertisement advertisements advertising promotion navigation notice notices alert cookie cookies consent gdpr "
+    "privacy comment reply replies respond discussion share sharing social related recommended recommendations "
+    "newsletter subscribe subscription signup login signin search banner banners overlay widget widgets toolbar ads "
+    "sponsors promos sponsored menus popups pagination disclaimer paywall".split())
+NAMED = CONTAINERS - {"html", "body"} | frozenset("ul ol dl li dt dd".split())
 BESIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu "
                          "menubar toolbar".split())
 NEGATED = frozenset("has with no without".split())
@@ -57,23 +66,24 @@ MASS_SHARE = 0.5
 
 
 def names_beside(attrs: dict[str, str | None]) -> bool:
-    """Whether class or id name a part beside the article."""
-    for name in f"{attrs.get('class') or ''} {attrs.get('id') or ''}".split():
-        words = re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()
-        words = [w for w in re.split(r"[^a-z]+", words) if w]
-        if words and words[0] not in NEGATED and any(w in BESIDE_WORDS for w in words):
-            return True
+    """Whether the last word of a class or id names a part beside the article."""
+    for key, known in (("class", BESIDE_WORDS), ("id", BESIDE_WORDS - TOPIC_WORDS)):
+        for name in (attrs.get(key) or "").split():
+            words = re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()
+            words = [w for w in re.split(r"[^a-z]+", words) if w]
+            if words and words[0] not in NEGATED and words[-1] in known:
+                return True
     return False
 
 
 class Line:
     """A run of text between block borders."""
 
-    __slots__ = ("parts", "tags", "linked", "beside", "path", "heading", "text", "chars")
+    __slots__ = ("parts", "tags", "linked", "beside", "path", "heading", "named", "text", "chars")
 
-    def __init__(self, beside: bool, path: tuple, heading: bool):
+    def __init__(self, beside: bool, path: tuple, heading: bool, named: tuple):
         self.parts, self.tags, self.linked = [], 0, 0
-        self.beside, self.path, self.heading = beside, path, heading
+        self.beside, self.path, self.heading, self.named = beside, path, heading, named
 
 
 class PageLines(HTMLParser):
@@ -81,8 +91,10 @@ class PageLines(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        # open elements: (tag, marked, path of container elements (tag, number), in article, heading)
-        self.open: list[tuple] = [("", False, (), False, False)]
+        # open elements: (tag, marked, path of container elements (tag, number), in article, heading, elements marked by name)
+        self.open: list[tuple] = [("", False, (), False, False, ())]
+        self.names: list[dict] = []  # attributes of the elements marked by name
+        self.holders: dict[str, set[int]] = {"article": set(), "main": set()}  # those of them that hold such an element
         self.lines: list[Line] = []
         self.line: Line | None = None
         self.tags, self.links, self.number = 0, 0, 0
@@ -118,18 +130,23 @@ class PageLines(HTMLParser):
         if tag in VOID:
             return
         attrs = dict(attrs)
-        _, marked, path, in_article, heading = self.open[-1]
+        _, marked, path, in_article, heading, named = self.open[-1]
         if not marked:
-            own = tag in ("html", "body") or (tag in ("article", "main") and not in_article)
             style = (attrs.get("style") or "").replace(" ", "").lower()
             marked = (tag in BESIDE or (tag == "header" and not in_article) or "hidden" in attrs
                       or attrs.get("aria-hidden") == "true" or "display:none" in style
-                      or (attrs.get("role") or "").lower() in BESIDE_ROLES
-                      or (tag not in ("html", "body") and names_beside(attrs) and not (own and not comment_like(attrs))))
+                      or (attrs.get("role") or "").lower() in BESIDE_ROLES)
+        if not marked:
+            article = tag in ("article", "main") and not in_article
+            if tag in NAMED and names_beside(attrs) and (not article or comment_like(attrs)):
+                named = (*named, len(self.names))
+                self.names.append(attrs)
+            elif article:
+                self.holders[tag].update(named)
         if tag in CONTAINERS:
             self.number += 1
             path = (*path, (tag, self.number))
-        self.open.append((tag, marked, path, in_article or tag in ("article", "main"), heading or tag in HEADINGS))
+        self.open.append((tag, marked, path, in_article or tag in ("article", "main"), heading or tag in HEADINGS, named))
         self.links += tag == "a"
 
     def handle_startendtag(self, tag, attrs):
@@ -148,8 +165,8 @@ class PageLines(HTMLParser):
         if self.line is None:
             if not data.strip():
                 return
-            _, marked, path, _, heading = self.open[-1]
-            self.line = Line(marked, path, heading)
+            _, marked, path, _, heading, named = self.open[-1]
+            self.line = Line(marked, path, heading, named)
         _, marked, *_ = self.open[-1]
         if marked and not self.line.beside:
             return  # a marked inline element inside a line
@@ -191,10 +208,13 @@ def main_text(html: str | None) -> str:
     lines = parser.done()
     if not any(not x.beside for x in lines):
         return ""
-    ratio = np.array([0.0 if x.beside else max(0, x.chars - x.linked) / max(1, x.tags) for x in lines])
-    smooth = smoothed(ratio)
-    content = (smooth >= smooth.std()) & np.array([not x.beside for x in lines])
-    mass = [x.chars if c and x.linked <= LINK_SHARE * x.chars else 0 for x, c in zip(lines, content)]
+    if parser.names:
+        marked = marked_by_name(parser, clustered(lines)[1], lines)
+        for x in lines:
+            x.beside = x.beside or not marked.isdisjoint(x.named)
+        if not any(not x.beside for x in lines):
+            return ""
+    content, mass = clustered(lines)
     if not sum(mass):
         mass = [0 if x.beside else x.chars for x in lines]
     roots = region(lines, mass)
@@ -211,6 +231,31 @@ def main_text(html: str | None) -> str:
     return "\n\n".join(keep)
 
 
+def clustered(lines: list[Line]) -> tuple[np.ndarray, list[int]]:
+    """Per line whether it is in the high cluster, and its characters if it is, outside link lists."""
+    ratio = np.array([0.0 if x.beside else max(0, x.chars - x.linked) / max(1, x.tags) for x in lines])
+    smooth = smoothed(ratio)
+    content = (smooth >= smooth.std()) & np.array([not x.beside for x in lines])
+    return content, [x.chars if c and x.linked <= LINK_SHARE * x.chars else 0 for x, c in zip(lines, content)]
+
+
+def marked_by_name(parser: PageLines, mass: list[int], lines: list[Line]) -> set[int]:
+    """The elements whose names mark them.
+
+    Not those that hold a main element nor, if no article or main element with
+    text lies outside all of them, those that hold an article or most of the mass.
+    """
+    spared = set(parser.holders["main"])
+    if not any(p[0] in ("article", "main") for x in lines if not x.beside and not x.named for p in x.path):
+        spared |= parser.holders["article"]
+        held: dict[int, int] = {}
+        for x, m in zip(lines, mass):
+            for k in x.named:
+                held[k] = held.get(k, 0) + m
+        spared |= {k for k, m in held.items() if m > MASS_SHARE * sum(mass) and not comment_like(parser.names[k])}
+    return set(range(len(parser.names))) - spared
+
+
 def region(lines: list[Line], mass: list[int]) -> set[tuple] | None:
     """The elements that hold the content; none: the whole page.
 

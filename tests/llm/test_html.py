@@ -88,3 +88,30 @@ def test_a_teaser_article_does_not_replace_the_text():
 def test_sibling_articles_all_stay():
     page = f"<body><div>{FOOT}<ul><li><article>{LONG}{SHORT}</article><li><h2>Next</h2><article>{SHORT}</article></ul></div></body>"
     assert html_extract.main_text(page).split("\n\n") == paragraphs(page)
+
+
+def test_names_made_from_headings_lose_nothing():
+    for part in (f"<section id=discussion><h2>Discussion</h2>{SHORT}</section>", f"<h2 id=related-work>Related work</h2>{SHORT}",
+                 f"<h2 id=search-algorithms>Search algorithms</h2>{SHORT}", f"<p id=privacy>{SHORT[3:]}",
+                 f"<div class=section id=privacy><h2>Privacy</h2>{SHORT}</div>", f"<p class=discussion>{SHORT[3:]}"):
+        page = f"<body><article>{LONG}{part}{LONG}</article>{FOOT}</body>"
+        assert html_extract.main_text(page).split("\n\n") == paragraphs(page), part
+
+
+def test_wrappers_of_the_main_text_are_not_marked():
+    for name in ("content-sidebar-wrap", "with-sidebar", "page sidebar", "has_widgets"):
+        for inner in (f"<article>{SHORT}{LONG}</article>", f"<main>{SHORT}</main>", f"<div>{SHORT}{LONG}</div>"):
+            page = f"<body><div class='{name}'>{inner}<div class=sidebar>{SHORT}</div></div>{FOOT}</body>"
+            assert html_extract.main_text(page).split("\n\n") == paragraphs(inner), (name, inner)
+
+
+def test_parts_beside_the_article_are_still_marked():
+    for name in ("class=sidebar", "class='page-footer'", "id=mainMenu", "id=comments", "class=related", "class='has-x sidebar-1'"):
+        for inner in (SHORT, f"<article class=card>{SHORT}</article>"):
+            page = f"<body><div><div {name}>{inner}</div><article>{LONG}</article></div></body>"
+            assert html_extract.main_text(page).split("\n\n") == paragraphs(LONG), (name, inner)
+
+
+def test_an_advert_longer_than_the_article_stays_marked():
+    page = f"<body><div class=ad>{SHORT}{SHORT}</div><article><h2>Head</h2><p>Two words.</p></article></body>"
+    assert html_extract.main_text(page) == "Head\n\nTwo words."
