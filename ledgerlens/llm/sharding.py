@@ -12,8 +12,9 @@ that many steps always suffice: ``WALK`` steps serve practically all rows and
 the proven number of steps serves whatever is left.
 
 Defined results: null texts have size 1 and CRC 0; repeated rows are counted
-first and numbered one by one, so a hot row is never one task's work; empty
-tables give no rows.
+first and written out again in chunks of ``CHUNK`` that are dealt out evenly (the
+chunk numbers themselves in two steps), so a hot row is never one task's work nor
+one long array; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from ledgerlens.llm.numbering import bucket_of, running
 
 ROUNDS = 6
 WALK = 16
+CHUNK = 4096
 
 
 def feistel(x: Column, a: Column, b: Column, seed: int, rounds: int = ROUNDS) -> Column:
@@ -57,7 +59,31 @@ def permuted(number: Column, n: Column, a: Column, b: Column, seed: int) -> Colu
     return F.when(near < n, near).otherwise(far)
 
 
-def shard_rows(rows: DataFrame, identity: list[str], *, shards: int, seed: int = 0) -> DataFrame:
+def copied(numbered: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """Every row ``copies`` times, ``at`` counting up from its ``first``.
+
+    Rows of more than ``chunk`` copies are cut into ranges of ``chunk`` squared, the
+    ranges dealt out, cut into ranges of ``chunk``, and dealt out again.
+    """
+    def cut(rows: DataFrame, size: int) -> DataFrame:
+        begin = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(size).cast("long")))
+        others = [c for c in rows.columns if c not in ("first", "copies")]
+        return rows.withColumn("begin", begin).select(
+            *others, (F.col("first") + F.col("begin")).alias("first"),
+            F.least(F.lit(size).cast("long"), F.col("copies") - F.col("begin")).alias("copies"))
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.repartition(parts, F.xxhash64("first"))
+
+    # a number, as AQE would merge the few small ranges into one task
+    parts = int(numbered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    few = numbered.filter(F.col("copies") <= chunk)
+    many = dealt(cut(dealt(cut(numbered.filter(F.col("copies") > chunk), chunk * chunk)), chunk))
+    return few.unionByName(many).withColumn(
+        "at", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("copies") - 1)))
+
+
+def shard_rows(rows: DataFrame, identity: list[str], *, shards: int, seed: int = 0, chunk: int = CHUNK) -> DataFrame:
     """Every row with ``row_number``, ``shard`` and ``slot`` added.
 
     ``identity`` lists all columns of ``rows`` that matter (they are what is
@@ -69,8 +95,7 @@ def shard_rows(rows: DataFrame, identity: list[str], *, shards: int, seed: int =
     counted = counted.withColumn("bucket", bucket_of([F.col(k) for k in keys]))
     numbered = running(counted, keys, F.col("copies"), bucket="bucket", into="first", total="n")
     a = F.ceil(F.sqrt(F.col("n"))).cast("long")
-    each = numbered.select(*keys, "n", a.alias("a"), F.ceil(F.col("n") / a).cast("long").alias("b"),
-                           F.explode(F.sequence(F.col("first"), F.col("first") + F.col("copies") - 1)).alias("at"))
+    each = copied(numbered, chunk).select(*keys, "n", a.alias("a"), F.ceil(F.col("n") / a).cast("long").alias("b"), "at")
     p = permuted(F.col("at"), F.col("n"), F.col("a"), F.col("b"), seed)
     return each.withColumn("p", p).select(
         *[F.col(k).alias(c) for k, c in zip(keys, identity)], F.col("at").alias("row_number"),

@@ -93,3 +93,19 @@ def test_sharding_runs_no_python(spark, sf):
 
 def test_empty_table(no_docs):
     assert sharding.shard_rows(no_docs, ["doc_id", "text"], shards=4).count() == 0
+
+
+def test_copies_of_a_hot_row_are_dealt_out(spark):
+    """A third of the rows without id and text: their numbers come from several tasks, as from one."""
+    docs = spark.range(60_000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id")).withColumn(
+        "text", F.col("doc_id").cast("string"))
+    out = sharding.shard_rows(docs, ["doc_id", "text"], shards=4, seed=3)
+    hot = out.filter("doc_id is null").select("row_number", F.spark_partition_id().alias("p")).collect()
+    assert len(hot) == 20_000 and max(Counter(r.p for r in hot).values()) < 20_000
+    assert max(r.row_number for r in hot) - min(r.row_number for r in hot) == 19_999
+    rows = out.collect()
+    check_shards(rows, 4)
+    assert sorted(r.row_number for r in rows) == list(range(60_000))
+    for chunk in (7, 10**6):
+        other = sharding.shard_rows(docs, ["doc_id", "text"], shards=4, seed=3, chunk=chunk).collect()
+        assert sorted(map(str, other)) == sorted(map(str, rows))
