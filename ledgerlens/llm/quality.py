@@ -18,7 +18,8 @@ whole text.
 Defined results: null texts count as empty; a text without words pools to zero;
 with no labelled rows every score is 0.5, with one class it is that class's
 share; labels that are null are left out, and of repeated labels the smaller
-counts.
+counts; of rows that repeat a fitted id, fitting takes one, the one with the
+smallest hash of its text.
 """
 
 from __future__ import annotations
@@ -217,8 +218,13 @@ def train(df: DataFrame, labels: DataFrame, use: Column, *, id_col: str = "doc_i
     chosen = {r[0]: r[1] for r in known.collect()}  # at most fit_rows pairs
     spark = df.sparkSession
     ids = spark.createDataFrame([(k, int(v)) for k, v in chosen.items()], "k long, label int")
-    rows = cut_lineage(df.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).cast("string").alias("text")).join(
-        F.broadcast(ids), "k").select("k", "label", "text"))  # at most fit_rows ids
+    found = cut_lineage(df.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).cast("string").alias("text")).join(
+        F.broadcast(ids), "k").select("k", "label", "text", F.xxhash64("text").alias("h"),
+                                      F.monotonically_increasing_id().alias("at")))  # at most fit_rows ids
+    one = cut_lineage(found.groupBy("k").agg(F.min("h").alias("h")))
+    one = cut_lineage(found.select("k", "h", "at").join(F.broadcast(one), ["k", "h"]).groupBy("k").agg(
+        F.min("at").alias("at")))
+    rows = found.join(F.broadcast(one), ["k", "at"]).select("k", "label", "text")  # at most fit_rows rows
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,7 +274,7 @@ def train(df: DataFrame, labels: DataFrame, use: Column, *, id_col: str = "doc_i
         return {"k": piece.column(0), "label": piece.column(1), "x": [v.astype("<f8").tobytes() for v in x]}
 
     pooled = sorted((r["k"], r["label"], bytes(r["x"])) for r in map_slices(
-        rows, pool, "k long, label int, x binary").collect())  # fit_rows vectors, more only if ids repeat
+        rows, pool, "k long, label int, x binary").collect())  # at most fit_rows vectors
     x = np.array([np.frombuffer(b, dtype="<f8") for _, _, b in pooled]).reshape(-1, FEATURES)
     y = np.array([label for _, label, _ in pooled], dtype=np.float64)
     return QualityModel(learned, Network(x, (y > 0).astype(np.float64)))

@@ -124,3 +124,20 @@ def test_quality_rare_words_get_contexts(spark):
     labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
     learned = quality.train(docs, labels, F.lit(True)).learned
     assert len(learned) == 9000 and sum(w[0] == "b" for w in learned) == 4000
+
+
+def test_quality_fits_one_row_per_id(spark, monkeypatch):
+    """Rows that repeat a fitted id (copies, and other texts) neither reach the driver nor change the fit."""
+    fitted = []
+    monkeypatch.setattr(quality, "Network", lambda x, y, real=quality.Network: fitted.append(len(y)) or real(x, y))
+    rows = [(i, f"text of row {i} with words {'good' if i % 2 else 'bad'} " + f"w{i % 7} " * 5) for i in range(40)]
+    more = rows[3:4] * 500 + rows[20:30]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    scores = []
+    for extra in ([], more):
+        docs = spark.createDataFrame(rows + extra, "doc_id long, text string").repartition(5)
+        model = quality.train(docs, labels, F.lit(True))
+        scores.append(model.score([t for _, t in rows]))
+        docs = docs.unionByName(docs.filter("doc_id = 5").withColumn("text", F.lit("another text")))
+        quality.train(docs, labels, F.lit(True))
+    assert scores[0] == scores[1] and max(fitted) == 40
