@@ -27,8 +27,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import islice
-from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -97,8 +95,8 @@ class Pooler:
     def __init__(self, learned: dict[str, np.ndarray]):
         self.learned, self.row, self.table = learned, {}, np.zeros((0, DIMENSIONS), dtype=np.float32)
 
-    def rows_of(self, words: set[str]) -> None:
-        """Gives every word a row in the table of unit vectors."""
+    def rows_of(self, words: list[str]) -> None:
+        """Gives every word (no word twice) a row in the table of unit vectors."""
         new = [w for w in words if w not in self.row]
         if len(self.row) + len(new) > MEMO_WORDS:
             self.row, self.table, new = {}, self.table[:0], list(words)
@@ -124,18 +122,19 @@ class Pooler:
             found = WORDS.findall(text or "")
             if not found:
                 continue
-            counts, n = Counter(found), len(found)
+            kinds, n = {w: k for k, w in enumerate(dict.fromkeys(found))}, len(found)
+            order = np.fromiter(map(kinds.__getitem__, found), dtype=np.int64, count=n)
+            counts = np.bincount(order).astype(np.float32)
             total = np.zeros(DIMENSIONS, dtype=np.float64)
-            words = list(counts)
+            words = list(kinds)
             for a in range(0, len(words), 4096):
                 part = words[a:a + 4096]
-                self.rows_of(set(part))
+                self.rows_of(part)
                 at = np.fromiter(map(self.row.__getitem__, part), dtype=np.int64, count=len(part))
-                weight = np.fromiter(map(counts.__getitem__, part), dtype=np.float32, count=len(part))
-                total += weight @ self.table[at]
-            same = [sum(map(eq, found, islice(found, step, None))) / n for step in (1, 2, 3)]
+                total += counts[a:a + 4096] @ self.table[at]
+            same = [np.count_nonzero(order[step:] == order[:-step]) / n for step in (1, 2, 3)]
             out[i, :DIMENSIONS] = total / n
-            out[i, DIMENSIONS:] = float(np.linalg.norm(total / n)), np.log1p(n), len(counts) / n, *same
+            out[i, DIMENSIONS:] = float(np.linalg.norm(total / n)), np.log1p(n), len(kinds) / n, *same
         return out
 
 
