@@ -11,10 +11,12 @@ is run again after a failure overwrites its own folders, so outcomes appear once
 
 Rows later than the allowed delay (their bucket is closed already) are counted
 per trigger in the progress table and kept in the events. A finite run ends with
-:func:`close_tail`, which matches the messages of all buckets still open and the
-late messages, so every message has exactly one outcome. A late reply to a
-message whose outcome is written does not change it; that is what the count of
-late replies says.
+:func:`close_tail`, which matches the messages of all buckets still open, the late
+messages, and again those of closed buckets that a later reply can answer; so every
+message has exactly one outcome, the one the batch matcher gives over all events.
+The buckets matched again are listed in a table of their own, and
+:meth:`ConfirmTables.outcomes` leaves out what triggers wrote for them. While the
+stream runs, a late reply does not change an outcome that is written.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from ledgerlens.constants import CONFIRM_DEFAULT_TIMEOUT_SECONDS
 from ledgerlens.plans.confirm import confirm_outcomes, epoch_micros
 from ledgerlens.session import checkpoint_dir, subdir
 
+TAIL = 1 << 40
 PROGRESS = "epoch long, closed_to long, newest_us long, late_messages long, late_replies long"
 
 
@@ -107,19 +110,38 @@ class ConfirmTables:
         return self.spark.read.schema(schema).parquet(self.path("events"))
 
     def close_tail(self) -> None:
-        """Outcomes of every message that has none yet: open buckets and late messages."""
+        """Outcomes of every message without one, and again of closed buckets that got replies after they closed."""
         closed, _ = self.progress()
         events, tail = self.events(), F.lit(True)
+        reopened = self.spark.createDataFrame([], "c long")
         if closed is not None:
             done = self.spark.read.schema(PROGRESS).parquet(self.path("progress")).select(
                 (F.col("epoch") + 1).alias("trigger"), F.col("closed_to").alias("closed_before"))
             # a message is late if its bucket had closed before its own trigger
             events = events.join(done, "trigger", "left")
-            tail = (F.col("c") > closed) | (F.col("c") <= F.coalesce("closed_before", F.lit(-(1 << 62))))
-        self._match(events, self.path("outcomes", 1 << 40), tail, F.lit(True))
+            before = F.coalesce("closed_before", F.lit(-(1 << 62)))
+            # a reply of bucket c answers messages of c and c - 1
+            reopened = events.filter(F.col("kind") == "reply").select(
+                before.alias("before"), F.explode(F.array("c", F.col("c") - 1)).alias("c")).filter(
+                F.col("c") <= F.col("before")).select("c").distinct()
+            events = events.join(reopened.withColumn("again", F.lit(True)), "c", "left")
+            tail = (F.col("c") > closed) | (F.col("c") <= before) | F.col("again").isNotNull()
+        self._match(events, self.path("outcomes", TAIL), tail, F.lit(True))
+        reopened.write.mode("overwrite").parquet(self.path("reopened"))
 
     def outcomes(self) -> DataFrame:
-        return self.spark.read.parquet(self.path("outcomes")).drop("trigger")
+        """The outcomes; for buckets that the tail matched again, the tail's."""
+        rows = self.spark.read.parquet(self.path("outcomes"))
+        try:
+            reopened = self.spark.read.schema("c long").parquet(self.path("reopened"))
+        except Exception as missing:  # the tail is not closed
+            if "PATH_NOT_FOUND" not in str(missing):
+                raise
+            return rows.drop("trigger")
+        first = rows.filter(F.col("trigger") != TAIL)
+        first = first.withColumn("c", F.floor(epoch_micros(first, "sent_ts") / self.bucket_us)).join(
+            reopened, "c", "left_anti").drop("c")
+        return first.unionByName(rows.filter(F.col("trigger") == TAIL)).drop("trigger")
 
     def late(self) -> tuple[int, int]:
         """How many messages and replies came after their bucket had closed."""

@@ -242,3 +242,35 @@ def test_random_hot_contact_matches_brute_force(spark):
         got = {r.message_id: (r.status, r.resposta, r.reply_ts)
                for r in confirm_outcomes(sdf, rdf, timeout_seconds=120, fine_buckets=fine).collect()}
         assert got == want, fine
+
+
+def test_a_finite_run_with_late_replies_equals_batch(spark, tmp_out):
+    from pyspark.sql import types as T
+
+    sent = [(i, i % 3, _s(i * 600)) for i in range(60)]
+    on_time = [(1000, 0, _s(36100), "SIM"), (1001, 1, _s(4 * 600 + 900), "SIM")]
+    # answers that come hours later, one of them into the bucket after the last closed one
+    late = [(2000 + i, i % 3, _s(i * 600 + 30), "tarde") for i in (0, 4, 20, 51, 52, 53, 54, 55, 56, 57)]
+    late += [(2900, 1, _s(4 * 600 + 1), "antes")]
+    folder = os.path.join(tmp_out, "tables")
+    for k, rows in ((1, (sent, on_time)), (2, ([], late))):
+        _drop(spark, tmp_out, k, *rows)
+        s = spark.readStream.schema(T.StructType.fromDDL("message_id long, contact_id long, sent_ts timestamp_ntz")).option(
+            "recursiveFileLookup", True).parquet(os.path.join(tmp_out, "sent"))
+        r = spark.readStream.schema(T.StructType.fromDDL(
+            "reply_id long, contact_id long, reply_ts timestamp_ntz, reply_text string")).option(
+            "recursiveFileLookup", True).parquet(os.path.join(tmp_out, "rep"))
+        options = dict(folder=folder, checkpoint=os.path.join(tmp_out, "ckpt"), timeout_seconds=1800, delay_seconds=900,
+                       name=f"t_{uuid.uuid4().hex[:8]}")
+        if k == 1:
+            q, first = start_confirm_stream(spark, s, r, available_now=True, **options)
+            q.awaitTermination()
+            written = first.outcomes().count()
+            assert 0 < written < len(sent)
+        else:
+            tables = run_to_end(spark, s, r, **options)
+    rows = tables.outcomes().collect()
+    assert len(rows) == len(sent) and tables.late()[1] > 0
+    assert {x.message_id: (x.status, x.resposta, x.reply_ts) for x in rows} == brute_force(sent, on_time + late, 1800)
+    tables.close_tail()  # again
+    assert sorted(map(str, tables.outcomes().collect())) == sorted(map(str, rows))
