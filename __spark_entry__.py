@@ -272,12 +272,14 @@ def q_ordered_output(spark, sf_dir):
     path = _scratch(spark, "ordered")
     ordered = run_check("afo01_supplier_advances", _views(spark, sf_dir), fx.PARAMS["afo01_supplier_advances"])
     ordered.select("cod_estabelecimento", "cod_fornecedor", "valor_aberto").write.parquet(path)
-    rows = spark.read.parquet(path).select(
-        "*", F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row")).alias("place"))
-    file_of = F.col("place.file")
     # files are numbered in the order of the sort; a row's position counts the rows before it
-    ahead = Window.orderBy(file_of, "place.row")
-    rows = rows.withColumn("n", F.row_number().over(ahead))
+    rows = spark.read.parquet(path).select(
+        "*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    number = F.regexp_extract("file", r"^part-(\d+)", 1).cast("long")
+    ahead = Window.orderBy(number, "file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy("file").agg(F.count(F.lit(1)).alias("rows")).select(
+        "file", F.coalesce(F.sum("rows").over(ahead), F.lit(0)).alias("start"))  # one row per written file
+    rows = rows.join(F.broadcast(starts), "file").withColumn("n", F.col("start") + F.col("row") + 1)
     first = F.min("n").over(Window.partitionBy("valor_aberto"))
     return normalize(rows.select("cod_estabelecimento", "cod_fornecedor", "valor_aberto",
                                  first.cast("bigint").alias("posicao")))

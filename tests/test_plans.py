@@ -146,3 +146,12 @@ def test_count_over_hot_key_is_split_by_aqe_skew_join(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_positions_of_the_ordered_output_need_no_window_over_all_rows(spark):
+    rows = entry.q_ordered_output(spark, SF_SMALL)
+    plan = _plan(rows)
+    assert not re.search(r"row_number\(\)", plan)
+    found = sorted((r.posicao, r.valor_aberto) for r in rows.collect())
+    values = sorted((v for _, v in found), reverse=True)
+    assert found == sorted((values.index(v) + 1, v) for v in values)
