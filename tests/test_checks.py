@@ -6,7 +6,7 @@ from decimal import Decimal
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from ledgerlens import fixture as fx
 from ledgerlens.plans import (
     afo01_supplier_advances,

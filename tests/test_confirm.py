@@ -4,7 +4,7 @@ import datetime as dt
 import os
 import uuid
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from ledgerlens import fixture as fx
 from ledgerlens.plans import confirm_messages, confirm_outcomes, confirm_report
 from ledgerlens.sources import confirm_contacts

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from ledgerlens import fixture as fx
 from ledgerlens.operators import group_lookup, member_filter
 from ledgerlens.plans import afo01_supplier_advances, bin02_split_notes, car04_individual_billing

@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from ledgerlens import fixture as fx
 from ledgerlens.plans import car06_overdue_receivables, write_billing_extract, billing_extract
 from ledgerlens.sources import (
