@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -9,6 +10,48 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SLICE_ROWS = 256
+LONG_KEY = 64
+ENTRY_BYTES = 220
+_RELEASES: dict[str, Callable[[], None]] = {}
+_OWNER = [""]
+
+
+def releases(owner: str, release: Callable[[], None]) -> None:
+    """Names what drops the tables that an operator keeps in a Python worker between batches."""
+    _RELEASES[owner] = release
+
+
+def claim(owner: str) -> None:
+    """A worker that goes over to another operator first drops what the one before kept."""
+    if _OWNER[0] != owner:
+        for name, release in _RELEASES.items():
+            if name != owner:
+                release()
+        _OWNER[0] = owner
+        gc.collect()
+
+
+class Memo(dict):
+    """A dictionary that computes missing values and starts afresh at ``limit`` bytes; long keys aren't kept."""
+
+    def __init__(self, compute: Callable, limit: int):
+        super().__init__()
+        self.compute, self.limit, self.used = compute, limit, 0
+
+    def __missing__(self, key):
+        value = self.compute(key)
+        self.keep(key, value)
+        return value
+
+    def keep(self, key, value) -> None:
+        if len(key) > LONG_KEY:
+            return
+        size = ENTRY_BYTES + len(key) + (len(value) if hasattr(value, "__len__") else 0)
+        if self.used + size > self.limit:
+            self.clear()
+            self.used = 0
+        self.used += size
+        self[key] = value
 
 
 def slices(batch: pa.RecordBatch, rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
@@ -18,7 +61,7 @@ def slices(batch: pa.RecordBatch, rows: int = SLICE_ROWS) -> Iterator[pa.RecordB
 
 
 def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str,
-               rows: int = SLICE_ROWS) -> DataFrame:
+               rows: int = SLICE_ROWS, owner: str = "") -> DataFrame:
     """``fn`` turns a slice of the input into columns (name -> list or array) of ``schema``.
 
     ``schema`` is a DDL string; the output has just its columns. Empty input gives no rows.
@@ -26,6 +69,7 @@ def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str,
     names = [part.split()[0] for part in schema.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim(owner)
         for batch in batches:
             for piece in slices(batch, rows):
                 cols = fn(piece)
@@ -36,9 +80,10 @@ def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str,
     return df.mapInArrow(run, schema)
 
 
-def keep_rows(df: DataFrame, text_col: str, decide: Callable[[list], list]) -> DataFrame:
+def keep_rows(df: DataFrame, text_col: str, decide: Callable[[list], list], owner: str = "") -> DataFrame:
     """The rows of ``df`` for which ``decide`` (texts -> booleans) is true, all columns unchanged."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim(owner)
         for batch in batches:
             for piece in slices(batch):
                 texts = piece.column(piece.schema.get_field_index(text_col)).to_pylist()

@@ -23,8 +23,11 @@ packed as often as they occur; empty tables give no rows. Sequences have at most
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import count as counter
@@ -34,7 +37,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.batches import slices
+from ledgerlens.llm.batches import Memo, claim, releases, slices
+from ledgerlens.llm.bpe import byte_alphabet
 from ledgerlens.llm.numbering import BUCKETS, bucket_of, running
 from ledgerlens.session import checkpoint_dir
 
@@ -42,90 +46,82 @@ WINDOW = 2048
 GRID = 16
 PARTS = 3
 END_ID = 1
-MEMO_CHUNKS = 700_000
-MEMO_WORDS = 800_000
-MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+MEMO_BYTES = 160 << 20
+# The tokenizer file's split pattern for lower-cased plain text, with marks of any alphabet.
+WORDS = re.compile(r"[^\W\d_]+|'(?:s|t|re|ve|m|ll|d)|\d|(?:[^\w\s]|_)+")
 ODD_SPACES = "\x1c\x1d\x1e\x1f"
 PIECES = "doc_id long, start long, length long, doc_tokens long, crc long, ids binary"
 
 
-class ChunkEncoder:
-    """Ids of whole texts from a tokenizer that drops white space, ignores case and never joins letters to marks.
+@lru_cache(maxsize=4096)
+def plain(c: str) -> bool:
+    """Whether a character passes composing and lower-casing as one letter, or is a mark that nothing changes."""
+    if c.isascii():
+        return c not in ODD_SPACES
+    if unicodedata.normalize("NFC", c) != c or c == "\u03a3":  # a closing sigma is Python's own rule
+        return False
+    low = c.lower()
+    if c.isalpha():
+        return len(low) == 1 and low.isalpha() and unicodedata.normalize("NFC", low) == low
+    return unicodedata.category(c)[0] in "PS" and low == c and unicodedata.combining(c) == 0
 
-    Such a text's ids are those of its white-space separated chunks one after the
-    other, and those of a chunk of letters and closing marks are the letters' and
-    then the marks', so repeated chunks and words come from bounded memos. Four
-    control characters that Python takes for white space and the tokenizer doesn't
-    send a text to the tokenizer whole. ``by_chunk`` false does that for all texts.
+
+class PreTokenEncoder:
+    """Ids of whole texts from a byte-level BPE that composes, lower-cases and splits texts into words and runs of marks.
+
+    In a text of plain characters (see :func:`plain`; composed, without special
+    strings) those steps are a lower-casing and one pattern. Each word's ids then come
+    from the tokenizer's model, once, and repeated words from a memo bounded in bytes.
+    Any other text goes to the tokenizer whole. ``by_word`` false does that for all texts.
     """
 
-    def __init__(self, path: str, by_chunk: bool = True):
+    def __init__(self, path: str, by_word: bool = True):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.by_chunk = Tokenizer.from_file(path), by_chunk
+        self.tokenizer, self.by_word = Tokenizer.from_file(path), by_word
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-
-    def fill(self, parts: list[list[str]]) -> None:
-        """Encodes what the memos lack of the chunks, new words in one call."""
-        missing = set().union(*parts).difference(self.chunks)
-        if len(self.chunks) + len(missing) > MEMO_CHUNKS:
-            self.chunks = {}
-            missing = set().union(*parts)
-        made, new = [], set()
-        for chunk in missing:
-            word = chunk.rstrip(MARKS)
-            marks = chunk[len(word):]
-            if not word.isalpha():
-                word, marks = chunk, ""
-            elif word.isascii():
-                word = word.lower()
-            made.append((chunk, word, marks))
-            new.add(word)
-            if marks:
-                new.add(marks)
-        fresh = new.difference(self.words)
-        if len(self.words) + len(fresh) > MEMO_WORDS:
-            self.words, fresh = {}, new
-        listed, words = list(fresh), self.words
-        for a in range(0, len(listed), 4096):
-            some = listed[a:a + 4096]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                words[w] = np.array(e.ids, dtype="<u4").tobytes()
-        for chunk, word, marks in made:
-            self.chunks[chunk] = words[word] + words[marks] if marks else words[word]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit numbers."""
-        whole = [not self.by_chunk or any(c in t for c in ODD_SPACES) for t in texts]
-        parts = [[] if w else t.split() for t, w in zip(texts, whole)]
-        self.fill(parts)
-        get = self.chunks.__getitem__
-        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() if w
-                else b"".join(map(get, p)) for t, w, p in zip(texts, whole, parts)]
-
-
-@lru_cache(maxsize=2)
-def _encoder(path: str, by_chunk: bool) -> ChunkEncoder:
+        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.alphabet = dict(enumerate(byte_alphabet()))
+        self.memo = Memo(self.word_ids, MEMO_BYTES)
+
+    def word_ids(self, word: str) -> bytes:
+        letters = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.alphabet)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
+
+    def is_plain(self, text: str) -> bool:
+        return (all(map(plain, set(text))) and (text.isascii() or unicodedata.is_normalized("NFC", text))
+                and not any(x in text for x in self.specials))
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a text as little-endian unsigned 32-bit numbers."""
+        if self.by_word and self.is_plain(text):
+            return b"".join(map(self.memo.__getitem__, WORDS.findall(text.lower())))
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+
+@lru_cache(maxsize=1)
+def _encoder(path: str, by_word: bool) -> PreTokenEncoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    return ChunkEncoder(path, by_chunk)
+    return PreTokenEncoder(path, by_word)
+
+
+releases("packing", _encoder.cache_clear)
 
 
 def cut_documents(df: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                  end_id: int = END_ID, by_chunk: bool = True) -> DataFrame:
+                  end_id: int = END_ID, by_word: bool = True) -> DataFrame:
     """The pieces of every document: full windows, and the rest with its ids (``ids`` null for full windows)."""
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path, by_chunk)
+        claim("packing")
+        encoder = _encoder(path, by_word)
         for batch in batches:
             for piece in slices(batch, 128):
                 cols: list[list] = [[], [], [], [], [], []]
-                texts = [t or "" for t in piece.column(1).to_pylist()]
-                for doc, raw in zip(piece.column(0).to_pylist(), encoder.encode(texts)):
-                    raw += end
+                for doc, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
+                    raw = encoder.encode(text or "") + end
                     n = len(raw) // 4
                     for start in range(0, n, window):
                         part = raw[4 * start:4 * (start + window)]
@@ -234,14 +230,14 @@ def places(planned: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, i
 
 
 def pack(df: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-         grid: int = GRID, parts: int = PARTS, end_id: int = END_ID, by_chunk: bool = True) -> DataFrame:
+         grid: int = GRID, parts: int = PARTS, end_id: int = END_ID, by_word: bool = True) -> DataFrame:
     """Per piece: ``doc_id``, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``, ``sequence_id``, ``offset``."""
     if window % grid:
         raise ValueError("the grid must divide the window")
     spark = df.sparkSession
     folder = f"{checkpoint_dir(spark, local_fallback=True).rstrip('/')}/packing-{uuid.uuid4().hex}"
     cut_documents(df, path, id_col=id_col, text_col=text_col, window=window, end_id=end_id,
-                  by_chunk=by_chunk).write.parquet(folder)
+                  by_word=by_word).write.parquet(folder)
     pieces = spark.read.parquet(folder)
     rest = pieces.filter("ids is not null").withColumn("bin", F.ceil(F.col("length") / grid).cast("int"))
     histogram = {r[0]: r[1] for r in rest.groupBy("bin").count().collect()}  # at most window / grid rows

@@ -52,11 +52,11 @@ def test_query_on_a_fixture(spark, sf):
     assert total / (2048 * len(sequences)) > 0.97
 
 
-@pytest.mark.parametrize("window,grid,parts,by_chunk", [(2048, 16, 3, True), (64, 1, 4, False), (64, 64, 2, True)])
-def test_edge_rows(edge_docs, window, grid, parts, by_chunk):
+@pytest.mark.parametrize("window,grid,parts,by_word", [(2048, 16, 3, True), (64, 1, 4, False), (64, 64, 2, True)])
+def test_edge_rows(edge_docs, window, grid, parts, by_word):
     docs = edge_docs.filter("doc_id is not null")
     want = {r.doc_id: ids_of(r.text) for r in docs.collect()}
-    packed = packing.pack(docs, PATH, window=window, grid=grid, parts=parts, by_chunk=by_chunk)
+    packed = packing.pack(docs, PATH, window=window, grid=grid, parts=parts, by_word=by_word)
     check(packed.collect(), want, window)
 
 
@@ -80,10 +80,38 @@ def test_one_common_length(spark):
     ["The", " ", "İ", "ß", "Σ", "ς", "́", "e", " ", "\x1c", "\x85", " ", "\n", "'S", "'s", "12", "²", "😀",
      "<|endoftext|>", "<|startoftext|>", "...", "漢"]), max_size=14).map("".join)))
 def test_chunks_give_the_library_ids(text):
-    got = packing._encoder(PATH, True).encode([text])[0]
+    got = packing._encoder(PATH, True).encode(text)
     assert np.frombuffer(got, dtype="<u4").tolist() == ids_of(text)[:-1]
 
 
+def test_every_letter_before_marks_has_the_library_ids():
+    encoder, lib = packing._encoder(PATH, True), packing._encoder(PATH, True).tokenizer
+    chars = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and chr(c).isprintable() and c > 32]
+    texts = [f"a{c}?. {c}! ba{c}b..." for c in chars]
+    for at in range(0, len(texts), 4096):
+        some = texts[at:at + 4096]
+        for text, e in zip(some, lib.encode_batch_fast(some, add_special_tokens=False)):
+            assert np.frombuffer(encoder.encode(text), dtype="<u4").tolist() == e.ids, repr(text)
+
+
+def test_upper_case_texts_of_all_kinds():
+    for text in ["KED\u0130, EVDEK\u0130. SONRA GELD\u0130!", "\u0915\u095c\u0964 \u0958?", "\u039f\u0394\u039f\u03a3. \u03a3", "\u1112\u1161\u11ab?",
+                 "it's WE'LL 'S '\u017f", "a\u00b2 \u0661\u0662 x", "e\u0301! E\u0301"]:
+        got = packing._encoder(PATH, True).encode(text)
+        assert np.frombuffer(got, dtype="<u4").tolist() == ids_of(text)[:-1], text
+
+
+def test_memo_is_bounded_in_bytes():
+    from ledgerlens.llm.batches import ENTRY_BYTES, LONG_KEY, Memo
+
+    memo = Memo(lambda k: b"x" * 100, 50_000)
+    for i in range(1000):
+        memo[f"{i}"]
+        assert sum(ENTRY_BYTES + len(k) + len(v) for k, v in memo.items()) <= 50_000
+    memo["y" * (LONG_KEY + 1)]
+    assert max(map(len, memo)) <= LONG_KEY
+
+
 def test_combinations():
     got = packing.combinations(8, 3)
     assert sorted(got) == sorted({tuple(sorted((a, b, c), reverse=True)[:3 - (a, b, c).count(0)]) for a in range(9)
