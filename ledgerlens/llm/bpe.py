@@ -9,8 +9,8 @@ pre-token of n bytes costs O(n log n) whatever its length.
 
 Texts are cut where a space stands before a character that is no white space.
 That is always a border between pre-tokens (the pattern attaches that space to
-what follows), so chunks encode on their own and a bounded memo serves the
-repeated ones. Special strings split a text before that.
+what follows), so chunks encode on their own and a memo bounded in bytes serves
+the repeated ones (long chunks are not kept). Special strings split a text before that.
 
 Defined results: null and empty texts have no ids and decode to the empty text.
 """
@@ -28,13 +28,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.batches import map_slices
+from ledgerlens.llm.batches import Memo, map_slices, releases
 
 # The pre-token pattern of the tokenizer file's byte-level step.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NO_PAIR = 1 << 62
-MEMO_CHUNKS = 500_000
-MEMO_WORDS = 600_000
+MEMO_BYTES = 120 << 20
 MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -45,20 +44,6 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in printable else chr(next(spare)) for b in range(256)]
 
 
-class Memo(dict):
-    """A dictionary that computes missing values and starts afresh when it holds ``limit`` entries."""
-
-    def __init__(self, compute, limit: int):
-        super().__init__()
-        self.compute, self.limit = compute, limit
-
-    def __missing__(self, key):
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[key] = self.compute(key)
-        return value
-
-
 class ByteBpe:
     """A byte-level BPE read from a tokenizer file (JSON with vocabulary, merges and special strings)."""
 
@@ -187,24 +172,32 @@ def cut(text: str) -> list[str]:
     return [c for a, b in zip([0, *borders], [*borders, len(text)]) if (c := text[a:b])]
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def load(path: str) -> ByteBpe:
     """The tokenizer at ``path``, read once by each Python worker."""
     return ByteBpe(path)
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _chunk_texts(path: str) -> Memo:
     bpe = load(path)
-    words = Memo(lambda w: ",".join(map(str, bpe.merge(w.encode()))), MEMO_WORDS)
-    return Memo(lambda chunk: ",".join([words[w] for w in bpe.pre_tokens(chunk)]), MEMO_CHUNKS)
+    words = Memo(lambda w: ",".join(map(str, bpe.merge(w.encode()))), MEMO_BYTES)
+    return Memo(lambda chunk: ",".join([words[w] for w in bpe.pre_tokens(chunk)]), MEMO_BYTES)
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _bytes_by_text(path: str) -> dict[str, bytes]:
     return {str(i): b for i, b in load(path).token_bytes.items()}
 
 
+def _release() -> None:
+    for kept in (load, _chunk_texts, _bytes_by_text):
+        kept.cache_clear()
+
+
+releases("bpe", _release)
+
+
 def encode_text(path: str, text: str | None) -> str:
     """The ids of a text in decimal, joined by commas."""
     bpe, chunk_text = load(path), _chunk_texts(path)
@@ -233,8 +226,8 @@ def encode_decode(df: DataFrame, path: str, *, id_col: str = "doc_id", text_col:
                 "decoded": [decode_text(path, s) for s in ids]}
 
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return map_slices(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, token_ids array<int>, decoded string"
-                      ).withColumnRenamed("id", id_col)
+    return map_slices(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, token_ids array<int>, decoded string",
+                      owner="bpe").withColumnRenamed("id", id_col)
 
 
 def round_trip_digests(df: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -250,4 +243,4 @@ def round_trip_digests(df: DataFrame, path: str, *, id_col: str = "doc_id", text
 
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return map_slices(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, "
-                      "decoded_sha256 string").withColumnRenamed("id", id_col)
+                      "decoded_sha256 string", owner="bpe").withColumnRenamed("id", id_col)

@@ -28,13 +28,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.batches import keep_rows, map_slices, slices
+from ledgerlens.llm.batches import claim, keep_rows, map_slices, releases, slices
 
 DIMENSIONS = 1024
 NGRAM = 3
 SEED = 7
 MEMO_NGRAMS = 60_000
 SLICE = 64
+GROUP = 1 << 17
+MAX_LANGUAGES = 4096
 UNKNOWN = "und"
 
 
@@ -74,6 +76,9 @@ def _vectors() -> NgramVectors:
     return NgramVectors()
 
 
+releases("language_id", _vectors.cache_clear)
+
+
 @lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
     """For each code point: whether it is a letter."""
@@ -100,14 +105,38 @@ def ngrams(text: str | None) -> np.ndarray:
 
 
 def bundles(texts: list[str | None]) -> np.ndarray:
-    """One bundled vector per text; zero for texts without a letter."""
-    grams = [ngrams(t) for t in texts]
-    every, at = np.unique(np.concatenate(grams), return_inverse=True)
-    if not len(every):
-        return np.zeros((len(texts), DIMENSIONS), dtype=np.float32)
-    row = np.repeat(np.arange(len(texts)), [len(g) for g in grams])
-    counts = np.bincount(row * len(every) + at, minlength=len(texts) * len(every)).reshape(len(texts), len(every))
-    return bundle(counts.astype(np.float32), every)
+    """One bundled vector per text; zero for texts without a letter.
+
+    Texts are taken together while their n-grams are at most ``GROUP``, and a longer
+    text is bundled in parts of that size, so memory does not grow with the texts.
+    """
+    out = np.zeros((len(texts), DIMENSIONS), dtype=np.float32)
+    rows: list[int] = []
+    parts: list[np.ndarray] = []
+
+    def flush() -> None:
+        if not parts:
+            return
+        every, at = np.unique(np.concatenate(parts), return_inverse=True)
+        row = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+        counts = np.bincount(row * len(every) + at, minlength=len(parts) * len(every)).reshape(len(parts), len(every))
+        np.add.at(out, rows, bundle(counts.astype(np.float32), every))
+        rows.clear()
+        parts.clear()
+
+    held = 0
+    for i, text in enumerate(texts):
+        grams = ngrams(text)
+        for a in range(0, len(grams), GROUP):
+            part = grams[a:a + GROUP]
+            if held + len(part) > GROUP:
+                flush()
+                held = 0
+            rows.append(i)
+            parts.append(part)
+            held += len(part)
+    flush()
+    return out
 
 
 def bundle(counts: np.ndarray, grams: np.ndarray, block: int = 8192) -> np.ndarray:
@@ -148,10 +177,12 @@ def train(df: DataFrame, use: Column, *, text_col: str = "text", lang_col: str =
     """A model from the rows where ``use`` holds and the language is not null.
 
     Each task sends n-gram counts per language, bounded by a flush; what reaches
-    the driver is one row per language with ``DIMENSIONS`` sums.
+    the driver is one row per language with ``DIMENSIONS`` sums. More than
+    ``MAX_LANGUAGES`` different values are no languages and raise ``ValueError``.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
+        claim("language_id")
         for batch in batches:
             for piece in slices(batch, SLICE):
                 langs, texts = piece.column(0).to_pylist(), piece.column(1).to_pylist()
@@ -169,7 +200,9 @@ def train(df: DataFrame, use: Column, *, text_col: str = "text", lang_col: str =
     parts = rows.mapInArrow(count, "lang string, sums array<long>")
     each = parts.select("lang", F.posexplode("sums").alias("at", "v")).groupBy("lang", "at").agg(F.sum("v").alias("v"))
     whole = each.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("at", "v"))).alias("s")).select("lang", "s.v")
-    found = sorted((r["lang"], r["v"]) for r in whole.collect())
+    found = sorted((r["lang"], r["v"]) for r in whole.limit(MAX_LANGUAGES + 1).collect())
+    if len(found) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} different languages; is {lang_col!r} a language column?")
     return LanguageModel([x for x, _ in found], np.array([v for _, v in found], dtype=np.float64).reshape(-1, DIMENSIONS))
 
 
@@ -181,9 +214,10 @@ def predict(df: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", text
 
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return map_slices(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, lang_pred string, score double",
-                      SLICE).withColumnRenamed("id", id_col)
+                      SLICE, owner="language_id").withColumnRenamed("id", id_col)
 
 
 def keep_known(df: DataFrame, model: LanguageModel, *, text_col: str = "text") -> DataFrame:
     """The rows whose language is known, all columns unchanged; rows predicted ``und`` go."""
-    return keep_rows(df, text_col, lambda texts: [x != UNKNOWN for x in model.predict(texts)[0]])
+    return keep_rows(df, text_col, lambda texts: [x != UNKNOWN for x in model.predict(texts)[0]],
+                     owner="language_id")

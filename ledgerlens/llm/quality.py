@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.batches import keep_rows, map_slices, slices
+from ledgerlens.llm.batches import keep_rows, map_slices, releases, slices
 from ledgerlens.llm.components import cut_lineage
 
 DIMENSIONS = 128
@@ -205,6 +205,9 @@ def _pooler(model: QualityModel) -> Pooler:
     return _POOLERS[id(model)][1]
 
 
+releases("quality", _POOLERS.clear)
+
+
 def train(df: DataFrame, labels: DataFrame, use: Column, *, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", fit_rows: int = FIT_ROWS, fit_words: int = FIT_WORDS) -> QualityModel:
     """A model from the labelled rows where ``use`` (on ids) holds.
@@ -273,7 +276,7 @@ def train(df: DataFrame, labels: DataFrame, use: Column, *, id_col: str = "doc_i
         return {"k": piece.column(0), "label": piece.column(1), "x": [v.astype("<f8").tobytes() for v in x]}
 
     pooled = sorted((r["k"], r["label"], bytes(r["x"])) for r in map_slices(
-        rows, pool, "k long, label int, x binary").collect())  # at most fit_rows vectors
+        rows, pool, "k long, label int, x binary", owner="quality").collect())  # at most fit_rows vectors
     x = np.array([np.frombuffer(b, dtype="<f8") for _, _, b in pooled]).reshape(-1, FEATURES)
     y = np.array([label for _, label, _ in pooled], dtype=np.float64)
     return QualityModel(learned, Network(x, (y > 0).astype(np.float64)))
@@ -287,11 +290,12 @@ def score(df: DataFrame, model: QualityModel, *, id_col: str = "doc_id", text_co
         return {"id": piece.column(0), "score": shared.value.score(piece.column(1).to_pylist())}
 
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return map_slices(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, score double"
-                      ).withColumnRenamed("id", id_col)
+    return map_slices(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, score double",
+                      owner="quality").withColumnRenamed("id", id_col)
 
 
 def keep_good(df: DataFrame, model: QualityModel, *, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows that score at least ``threshold``, all columns unchanged."""
     shared = df.sparkSession.sparkContext.broadcast(model)
-    return keep_rows(df, text_col, lambda texts: [s >= threshold for s in shared.value.score(texts)])
+    return keep_rows(df, text_col, lambda texts: [s >= threshold for s in shared.value.score(texts)],
+                     owner="quality")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +14,9 @@ from ledgerlens.llm import (
     html_extract,
     language_id,
     maxscore,
+    mixing,
     packing,
+    periodic_runs,
     quality,
     sharding,
     simhash,
@@ -106,9 +110,31 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path(WORD_BPE))
 
 
+def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words that the mix takes of every document."""
+    return mixing.taken(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+
+
+def planted_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Makes a tail of every tenth document (by the CRC of its id) periodic; null ids are left as they are."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    base = words[a:a + 1 + (n - a) // (3 + g % 8)]
+    return words[:a] + (base * (-(-(n - a) // len(base))))[:n - a]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's periodic runs, the greatest of them and digests."""
+    return periodic_runs.run_digests(table(spark, sf_dir, "documents", "doc_id", "text"), prepare=planted_period)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_quality_classifier, op3_bpe_round_trip, op4_exact_dedup, op5_token_counts, op6_sharding,
-    op7_maxscore_search, op8_simhash_near_dedup, op9_language_id, op10_packing)}
+    op7_maxscore_search, op8_simhash_near_dedup, op9_language_id, op10_packing,
+    op11_source_mixing, op12_periodic_runs)}
 
 ORACLE_SQL = {
     "op4_exact_dedup": r"""

@@ -16,8 +16,8 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.batches import map_slices
-from ledgerlens.llm.bpe import MEMO_CHUNKS, MEMO_WORDS, ByteBpe, Memo, cut, load
+from ledgerlens.llm.batches import Memo, map_slices, releases
+from ledgerlens.llm.bpe import MEMO_BYTES, ByteBpe, cut, load
 
 
 def prove_single(bpe: ByteBpe) -> bytes:
@@ -39,8 +39,8 @@ class TokenCounter:
     def __init__(self, bpe: ByteBpe, single: bytes):
         self.bpe = bpe
         self.single = {raw.decode() for i, raw in bpe.token_bytes.items() if single[i >> 3] >> (i & 7) & 1}
-        self.merged = Memo(lambda w: len(bpe.merge(w.encode())), MEMO_WORDS)
-        self.chunks = Memo(self._chunk, MEMO_CHUNKS)
+        self.merged = Memo(lambda w: len(bpe.merge(w.encode())), MEMO_BYTES)
+        self.chunks = Memo(self._chunk, MEMO_BYTES)
 
     def _chunk(self, chunk: str) -> int:
         single, merged = self.single, self.merged
@@ -53,11 +53,14 @@ class TokenCounter:
         return total
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _counter(path: str, single: bytes) -> TokenCounter:
     return TokenCounter(load(path), single)
 
 
+releases("token_count", _counter.cache_clear)
+
+
 def count_tokens(df: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the id, ``n_bytes`` of the text in UTF-8 and ``n_tokens``."""
     single = prove_single(load(path))
@@ -70,5 +73,5 @@ def count_tokens(df: DataFrame, path: str, *, id_col: str = "doc_id", text_col:
     text = F.col(text_col).cast("string")
     rows = df.select(F.col(id_col).alias("id"), text.alias("text"),
                      F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"))
-    return map_slices(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, n_bytes long, n_tokens long"
-                      ).withColumnRenamed("id", id_col)
+    return map_slices(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, n_bytes long, n_tokens long",
+                      owner="token_count").withColumnRenamed("id", id_col)

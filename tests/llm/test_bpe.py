@@ -58,8 +58,16 @@ def test_proven_strings_are_one_token():
 
 
 def test_memo_starts_afresh():
-    memo = bpe.Memo(lambda k: k * 2, 3)
-    assert [memo[i] for i in range(8)] == [2 * i for i in range(8)] and len(memo) <= 3
+    memo = bpe.Memo(lambda k: k * 2, 700)
+    assert [memo[str(i)] for i in range(8)] == [str(i) * 2 for i in range(8)] and len(memo) <= 3
+
+
+def test_long_chunks_are_not_kept(edge_docs):
+    bpe.load(PATH)
+    text = "\u6f22\u5b57\u4eee\u540d" * 2000
+    bpe._chunk_texts(PATH).clear()
+    assert bpe.encode_text(PATH, text) == ",".join(map(str, library_ids(text)))
+    assert not bpe._chunk_texts(PATH)
 
 
 def test_digests_of_edge_rows(edge_docs):

@@ -141,3 +141,25 @@ def test_quality_fits_one_row_per_id(spark, monkeypatch):
         docs = docs.unionByName(docs.filter("doc_id = 5").withColumn("text", F.lit("another text")))
         quality.train(docs, labels, F.lit(True))
     assert scores[0] == scores[1] and max(fitted) == 40
+
+
+def test_long_texts_are_bundled_in_bounded_parts(monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = ["".join(map(chr, rng.integers(0x4E00, 0x9FA5, n))) for n in (5_000, 20, 0, 3_000)] + [None, "word " * 400]
+    want = language_id.bundles(texts)
+    monkeypatch.setattr(language_id, "GROUP", 257)
+    assert (language_id.bundles(texts) == want).all()
+    sizes = []
+    plain = language_id.bundle
+    monkeypatch.setattr(language_id, "bundle", lambda counts, grams: sizes.append(counts.size) or plain(counts, grams))
+    language_id.bundles(texts)
+    assert max(sizes) <= 257 * 3
+
+
+def test_a_dirty_language_column_is_refused(spark, monkeypatch):
+    import pytest
+
+    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 3)
+    rows = spark.createDataFrame([(i, "some text", f"l{i}") for i in range(4)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="languages"):
+        language_id.train(rows, F.lit(True))
