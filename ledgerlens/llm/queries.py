@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm import (
     bpe,
+    collocations,
     exact_dedup,
     html_extract,
     language_id,
@@ -131,10 +132,15 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digests(table(spark, sf_dir, "documents", "doc_id", "text"), prepare=planted_period)
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every language's best phrases."""
+    return collocations.collocations(table(spark, sf_dir, "documents", "text", "lang"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_quality_classifier, op3_bpe_round_trip, op4_exact_dedup, op5_token_counts, op6_sharding,
     op7_maxscore_search, op8_simhash_near_dedup, op9_language_id, op10_packing,
-    op11_source_mixing, op12_periodic_runs)}
+    op11_source_mixing, op12_periodic_runs, op13_collocations)}
 
 ORACLE_SQL = {
     "op4_exact_dedup": r"""
@@ -158,4 +164,31 @@ s AS (
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
 SELECT query_id, n::INTEGER AS rank, vec_id, score FROM r WHERE n <= 5""",
+    "op13_collocations": r"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS s FROM documents WHERE text IS NOT NULL),
+p AS (SELECT lang, unnest(regexp_split_to_array(s, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+w AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+g AS (
+  SELECT lang, k, unnest(list_transform(generate_series(1, len(ws) - k + 1), lambda i: ws[i:i + k - 1])) AS words
+  FROM w, (SELECT unnest(generate_series(1, 5)) AS k) WHERE len(ws) >= k),
+c AS (SELECT lang, k, words, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+inner_parts AS (
+  SELECT lang, unnest([words[1:k - 1], words[2:k]]) AS words, f FROM c WHERE k > 2),
+wider AS (SELECT lang, words, max(f) AS f FROM inner_parts GROUP BY ALL),
+kept AS (
+  SELECT c.* FROM c LEFT JOIN wider USING (lang, words) WHERE k > 1 AND (wider.f IS NULL OR wider.f < c.f)),
+cuts AS (
+  SELECT lang, words, k, f AS a, unnest(generate_series(1, k - 1)) AS cut_at FROM kept),
+scored AS (
+  SELECT cuts.lang, array_to_string(cuts.words, ' ') AS phrase, a, l.f AS l, r.f AS r, n.n, cut_at,
+    ((1000::HUGEINT * a * n.n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM cuts JOIN c l ON l.lang = cuts.lang AND l.words = cuts.words[1:cut_at]
+  JOIN c r ON r.lang = cuts.lang AND r.words = cuts.words[cut_at + 1:cuts.k] JOIN n ON n.lang = cuts.lang),
+worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut_at) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM worst QUALIFY rank <= 2000""",
 }
