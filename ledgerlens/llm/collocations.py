@@ -20,7 +20,7 @@ it, so counts are weights of prefixes.
   parts with that of the counts, group by group of a hash of the part.
 
 Memory: a shard in a task; a range of about ``RANGE_WORDS`` words in a group (beyond
-``MAX_RANGES`` ranges, 6e10 words, ranges grow with the input); at most
+``MAX_RANGES`` ranges, 3e10 words, ranges grow with the input); at most
 ``FILTER_BITS`` bits of filter and ``SAMPLE_DOCS`` x ``SAMPLE_EACH`` records on the driver.
 
 Defined results: a null language is ``und``; null and empty texts hold no words;
@@ -31,6 +31,7 @@ rows that repeat count again; empty tables give no rows. Products are exact
 from __future__ import annotations
 
 import math
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
@@ -47,7 +48,7 @@ LONGEST = 5
 MIN_COUNT = 100
 TOP = 2000
 SHARD_WORDS = 300_000
-RANGE_WORDS = 2_000_000
+RANGE_WORDS = 1_000_000
 MAX_RANGES = 1 << 15
 SAMPLE_DOCS = 4000
 SAMPLE_EACH = 64
@@ -74,64 +75,99 @@ class Transducer:
         self.words, self.first, self.arcs, self.total = words, first, arcs, total
 
     def to_bytes(self) -> bytes:
+        """Lengths of words, arcs in columns (words as steps) and words, compressed."""
         lengths = np.fromiter(map(len, self.words), dtype=np.int32, count=len(self.words))
-        head = np.array([len(self.words), len(self.first), len(self.arcs), self.total], dtype=np.int64)
-        return b"".join([head.tobytes(), lengths.tobytes(), self.first.astype(np.int32).tobytes(),
-                         self.arcs.astype(np.int64).tobytes(), *self.words])
+        wide = np.int32 if max(self.arcs.max(initial=0), len(self.words)) < 1 << 31 else np.int64
+        cols = [np.diff(self.arcs[:, 0], prepend=0), self.arcs[:, 1], self.arcs[:, 2]]
+        head = [len(self.words), len(self.first), len(self.arcs), self.total, int(wide is np.int64)]
+        raw = b"".join([np.array(head, dtype=np.int64).tobytes(), lengths.tobytes(),
+                        np.diff(self.first).astype(np.int32).tobytes(), *[c.astype(wide).tobytes() for c in cols], *self.words])
+        return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
     @classmethod
-    def from_bytes(cls, raw: bytes) -> Transducer:
-        n_words, n_first, n_arcs, total = np.frombuffer(raw, dtype=np.int64, count=4).tolist()
-        at = 32
+    def from_bytes(cls, packed: bytes) -> Transducer:
+        raw = pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
+        n_words, n_first, n_arcs, total, long = np.frombuffer(raw, dtype=np.int64, count=5).tolist()
+        at, wide = 40, np.int64 if long else np.int32
         lengths = np.frombuffer(raw, dtype=np.int32, count=n_words, offset=at)
         at += 4 * n_words
-        first = np.frombuffer(raw, dtype=np.int32, count=n_first, offset=at)
-        at += 4 * n_first
-        arcs = np.frombuffer(raw, dtype=np.int64, count=3 * n_arcs, offset=at).reshape(-1, 3)
-        ends = np.cumsum(lengths) + at + 24 * n_arcs
-        return cls([raw[b - n:b] for b, n in zip(ends.tolist(), lengths.tolist())], first, arcs, total)
+        fan = np.frombuffer(raw, dtype=np.int32, count=n_first - 1, offset=at)
+        at += 4 * (n_first - 1)
+        cols = np.frombuffer(raw, dtype=wide, count=3 * n_arcs, offset=at).reshape(3, -1).copy()
+        cols[0] = np.cumsum(cols[0])
+        ends = np.cumsum(lengths, dtype=np.int64) + at + 3 * n_arcs * wide().itemsize
+        return cls([raw[b - n:b] for b, n in zip(ends.tolist(), lengths.tolist())],
+                   np.r_[0, np.cumsum(fan, dtype=np.int64)], cols.T, total)
+
+
+def padded(grams: list[tuple[int, ...]]) -> np.ndarray:
+    """Grams of word numbers as rows of one length, -1 past a gram's end."""
+    out = np.full((len(grams), max(map(len, grams), default=1)), -1, dtype=np.int64)
+    for i, g in enumerate(grams):
+        out[i, :len(g)] = g
+    return out
 
 
-def build(grams: Iterable[tuple[int, ...]], weights: Iterable[int], words: list[bytes], *,
-          rolled: bool = True) -> Transducer:
-    """The transducer of sorted, different grams of word numbers.
+def build(grams: np.ndarray, weights: np.ndarray, words: list[bytes], *, rolled: bool = True) -> Transducer:
+    """The transducer of sorted, different grams of word numbers (rows, -1 past the end).
 
-    ``rolled``: an arc weighs the grams through it; else only the gram that ends with it.
+    Grams with equal words but for the last close their state at once; the states before are closed when the next
+    such stem leaves them. ``rolled``: an arc weighs the grams through it; else only the gram that ends with it.
     """
-    known: dict[tuple, int] = {(): 0}
-    closed: list[tuple] = [()]
+    depth = grams.shape[1]
+    stems, last = grams[:, :-1], grams[:, -1]
+    starts = np.flatnonzero(np.r_[True, (stems[1:] != stems[:-1]).any(axis=1)]) if len(grams) else np.empty(0, dtype=np.int64)
+    ends = np.r_[starts[1:], len(grams)].astype(np.int64)
+    whole = last[starts] < 0  # the stem is a gram itself; it sorts first
+    own = np.where(whole, weights[starts], 0)
+    through = np.add.reduceat(weights, starts) if rolled and len(starts) else own
+    leaves = np.stack([last, weights, np.zeros_like(last)], axis=1).astype(np.int64).tobytes()
+    known: dict[bytes, int] = {b"": 0}
+    closed: list[bytes] = [b""]
     arcs: list[list[int]] = [[]]
     total = [0]
+    given: list[int] = [0]  # the state after the path, where its last arcs are closed
     path: tuple[int, ...] = ()
 
-    def close(depth: int) -> None:
-        for k in range(len(path), depth, -1):
-            own = tuple(arcs.pop())
-            state = known.get(own)
-            if state is None:
-                state = known[own] = len(closed)
-                closed.append(own)
-            weight = total.pop()
+    def register(raw: bytes) -> int:
+        state = known.get(raw)
+        if state is None:
+            state = known[raw] = len(closed)
+            closed.append(raw)
+        return state
+
+    def close(keep: int) -> None:
+        for k in range(len(path), keep, -1):
+            inner, weight = arcs.pop(), total.pop()
+            state = register(array("q", inner).tobytes()) if k < depth - 1 else given[0]
             arcs[-1] += (path[k - 1], weight, state)
             if rolled:
                 total[-1] += weight
 
-    for gram, weight in zip(grams, weights):
+    first_leaf = starts + whole
+    for row, low, high, weight in zip(stems[starts].tolist(), first_leaf.tolist(), ends.tolist(), through.tolist()):
+        size = len(row)
+        while size and row[size - 1] < 0:
+            size -= 1
+        stem = tuple(row[:size])
         same = 0
-        for a, b in zip(path, gram):
-            if a != b:
+        for x, y in zip(path, stem):
+            if x != y:
                 break
             same += 1
         close(same)
-        for _ in range(len(gram) - same):
+        for _ in range(size - same):
             arcs.append([])
             total.append(0)
-        path = gram
+        path = stem
         total[-1] += weight
+        if size == depth - 1:
+            given[0] = register(leaves[24 * low:24 * high])
     close(0)
-    closed.append(tuple(arcs[0]))
-    sizes = np.fromiter(map(len, closed), dtype=np.int64, count=len(closed)) // 3
-    flat = np.array([x for own in closed for x in own], dtype=np.int64).reshape(-1, 3)
+    root = leaves[24 * int(first_leaf[0]):] if depth == 1 and len(starts) else array("q", arcs[0]).tobytes()
+    closed.append(root)
+    sizes = np.fromiter(map(len, closed), dtype=np.int64, count=len(closed)) // 24
+    flat = np.frombuffer(b"".join(closed), dtype=np.int64).reshape(-1, 3).copy()
     used, flat_words = np.unique(flat[:, 0], return_inverse=True)
     flat[:, 0] = flat_words.reshape(-1)
     return Transducer([words[w] for w in used.tolist()], np.r_[0, np.cumsum(sizes)], flat, total[0])
@@ -205,8 +241,8 @@ def pair_filter(pairs: DataFrame) -> PairFilter:
 
 
 def records(lang: bytes, listed: list[bytes], depth: int, pairs: PairFilter | None
-            ) -> tuple[list[bytes], list[tuple[int, ...]], list[int]]:
-    """A shard's words in order, its different records in order, and how often each occurs.
+            ) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """A shard's words in order, its different records in order (rows, -1 past the end), and how often each occurs.
 
     With ``pairs`` records follow chains of pairs in the filter, and hold three words or more.
     """
@@ -229,7 +265,7 @@ def records(lang: bytes, listed: list[bytes], depth: int, pairs: PairFilter | No
     keep = cols[2] >= 0 if pairs is not None else cols[0] >= 0
     cols = [c[keep] + 1 for c in cols]  # 0: past the end
     if not len(cols[0]):
-        return words, [], []
+        return words, np.empty((0, depth), dtype=np.int64), np.empty(0, dtype=np.int64)
     low, high, base = np.zeros_like(cols[0]), np.zeros_like(cols[0]), len(words) + 1
     for c in cols[:3]:  # three words fit one key (shards have fewer than two million words)
         high = high * base + c
@@ -239,9 +275,7 @@ def records(lang: bytes, listed: list[bytes], depth: int, pairs: PairFilter | No
     high, low = high[order], low[order]
     new = np.flatnonzero(np.r_[True, (high[1:] != high[:-1]) | (low[1:] != low[:-1])])
     counts = np.diff(np.r_[new, len(high)])
-    table = np.stack([c[order][new] - 1 for c in cols], axis=1)
-    lengths = (table >= 0).sum(axis=1).tolist()
-    return words, [tuple(g[:k]) for g, k in zip(table.tolist(), lengths)], counts.tolist()
+    return words, np.stack([c[order][new] - 1 for c in cols], axis=1), counts
 
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
@@ -312,9 +346,13 @@ def count_prefixes(rows: DataFrame, cuts: list[tuple[bytes, Gram]], *, depth: in
             words, grams, counts = records(key, listed, depth, shared_pairs.value)
             low, out = 0, []
             first = bisect_left(limits, (key, ()))
+
+            def named(i: int) -> Gram:
+                return tuple([words[w] for w in grams[i].tolist() if w >= 0])
+
             for r in range(first, len(limits) + 1):
                 inside = r < len(limits) and limits[r][0] == key
-                high = bisect_left(grams, limits[r][1], low, key=lambda g: tuple([words[w] for w in g])) if inside else len(grams)
+                high = bisect_left(range(len(grams)), limits[r][1], low, key=named) if inside else len(grams)
                 if high > low:
                     out.append((lang, r, build(grams[low:high], counts[low:high], words).to_bytes()))
                 low = high
@@ -348,9 +386,10 @@ def union(transducers: Iterable[Transducer], limits: list[Gram], least: int, sho
     firsts, arcs, roots, total, states, edges = [], [], [], 0, 0, 0
     for t in transducers:
         named = np.fromiter((number.setdefault(w, len(number)) for w in t.words), dtype=np.int64, count=len(t.words))
-        own = t.arcs.copy()
-        own[:, 0] = named[own[:, 0]]
-        own[:, 2] += states
+        own = np.empty(t.arcs.shape, dtype=np.int32)  # a range holds far fewer than 2 ** 31 states, a shard's weights are less
+        own[:, 0] = named[t.arcs[:, 0]]
+        own[:, 1] = t.arcs[:, 1]
+        own[:, 2] = t.arcs[:, 2] + states
         firsts.append(t.first[:-1].astype(np.int64) + edges)
         arcs.append(own)
         states += len(t.first) - 1
@@ -409,8 +448,8 @@ def look_up(parts: DataFrame, counts: DataFrame) -> DataFrame:
         listed = sorted(zip(grams(right), right.column(3).to_pylist()))
         words = sorted({w for g, _ in listed for w in g})
         number = {w: i for i, w in enumerate(words)}
-        found = compose(wanted, build([tuple([number[w] for w in g]) for g, _ in listed], [f for _, f in listed], words,
-                                      rolled=False))
+        table = padded([tuple([number[w] for w in g]) for g, _ in listed])
+        found = compose(wanted, build(table, np.array([f for _, f in listed], dtype=np.int64), words, rolled=False))
         return pa.table([pa.array([g[0].decode() for g in wanted], pa.string()),
                          pa.array([b" ".join(g[1:]).decode() for g in wanted], pa.string()), pa.array(found, pa.int64())],
                         names=["lang", "phrase", "f"])

@@ -87,6 +87,10 @@ GRAMS = st.dictionaries(st.lists(st.integers(0, 3), min_size=1, max_size=4).map(
 WORDS = [b"a", b"b", b"c", b"d"]
 
 
+def made_of(grams, words, **options):
+    return co.build(co.padded(sorted(grams)), np.array([grams[g] for g in sorted(grams)], dtype=np.int64), words, **options)
+
+
 def prefix_sums(tables):
     sums = Counter()
     for grams in tables:
@@ -99,7 +103,7 @@ def prefix_sums(tables):
 @settings(max_examples=150, deadline=None)
 @given(st.lists(GRAMS, min_size=1, max_size=4), st.integers(1, 6))
 def test_union_sums_weights_by_prefix(tables, least):
-    made = [co.Transducer.from_bytes(co.build(sorted(g), [g[k] for k in sorted(g)], WORDS).to_bytes()) for g in tables]
+    made = [co.Transducer.from_bytes(made_of(g, WORDS).to_bytes()) for g in tables]
     want = prefix_sums(tables)
     got = {p: w for p, _, w in co.union(made, [], least, 0)}
     named = {b" ".join(WORDS[i] for i in g): w for g, w in want.items() if w >= least}
@@ -111,7 +115,7 @@ def test_union_sums_weights_by_prefix(tables, least):
 
 def test_equal_right_sides_are_one_state():
     grams = [(a, b, 3) for a in range(3) for b in range(3)]
-    t = co.build(grams, [1] * 9, WORDS)
+    t = made_of(dict.fromkeys(grams, 1), WORDS)
     assert len(t.first) - 1 == 4 and len(t.arcs) == 3 + 3 + 1  # the end, a last word, a middle, the root
 
 
@@ -119,7 +123,7 @@ def test_equal_right_sides_are_one_state():
 @given(GRAMS, st.lists(st.lists(st.integers(0, 4), min_size=1, max_size=4).map(tuple), max_size=12))
 def test_composition_looks_up(grams, wanted):
     names = [*WORDS, b"e"]
-    counts = co.build(sorted(grams), [grams[g] for g in sorted(grams)], WORDS, rolled=False)
+    counts = made_of(grams, names, rolled=False)
     requests = sorted({tuple(names[i] for i in g) for g in [*wanted, *grams]})
     by_name = {tuple(names[i] for i in g): w for g, w in grams.items()}
     assert co.compose(requests, counts) == [by_name.get(r, 0) for r in requests]
