@@ -14,7 +14,7 @@ import uuid
 import warnings
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,6 +50,7 @@ from ledgerlens.operators import (
     count_rows_over,
     distinct_rows,
     group_lookup,
+    ranked_output,
     semi_join_back,
 )
 from ledgerlens.plans import (
@@ -63,7 +64,7 @@ from ledgerlens.plans import (
 )
 from ledgerlens.session import checkpoint_dir
 from ledgerlens.sources import confirm_contacts, confirm_results, load_view, testdata_view
-from ledgerlens.sources.testdata import StreamingTables, replies, sent_messages
+from ledgerlens.sources.testdata import StreamingTables, Tables, replies, sent_messages
 from ledgerlens.streaming import run_to_end
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -83,7 +84,8 @@ def normalize(df: DataFrame) -> DataFrame:
 
 
 def _views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: testdata_view(spark, sf_dir, name)
+    tables = Tables(spark, sf_dir)
+    return {name: testdata_view(spark, sf_dir, name, tables)
             for name in {c.view for c in CATALOG.values()}}
 
 
@@ -273,17 +275,7 @@ def q_ordered_output(spark, sf_dir):
     path = _scratch(spark, "ordered")
     ordered = run_check("afo01_supplier_advances", _views(spark, sf_dir), fx.PARAMS["afo01_supplier_advances"])
     ordered.select("cod_estabelecimento", "cod_fornecedor", "valor_aberto").write.parquet(path)
-    # files are numbered in the order of the sort; a row's position counts the rows before it
-    rows = spark.read.parquet(path).select(
-        "*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
-    number = F.regexp_extract("file", r"^part-(\d+)", 1).cast("long")
-    ahead = Window.orderBy(number, "file").rowsBetween(Window.unboundedPreceding, -1)
-    starts = rows.groupBy("file").agg(F.count(F.lit(1)).alias("rows")).select(
-        "file", F.coalesce(F.sum("rows").over(ahead), F.lit(0)).alias("start"))  # one row per written file
-    rows = rows.join(F.broadcast(starts), "file").withColumn("n", F.col("start") + F.col("row") + 1)
-    first = F.min("n").over(Window.partitionBy("valor_aberto"))
-    return normalize(rows.select("cod_estabelecimento", "cod_fornecedor", "valor_aberto",
-                                 first.cast("bigint").alias("posicao")))
+    return normalize(ranked_output(spark.read.parquet(path), "valor_aberto", name="posicao"))
 
 
 def q_confirm_outcomes_stream(spark, sf_dir):

@@ -33,7 +33,7 @@ from ledgerlens.functions.dates import (
     weekend_flag,
     year_month,
 )
-from ledgerlens.functions.labels import invert_groups, label_lookup, literal_map, operation_label
+from ledgerlens.functions.labels import invert_groups, label_lookup, operation_label
 from ledgerlens.functions.predicates import (
     code_filter,
     in_date_range,
@@ -41,6 +41,6 @@ from ledgerlens.functions.predicates import (
     open_as_of,
     reversal_exclude,
 )
-from ledgerlens.functions.taxid import is_person, tax_id_clean, tax_id_length, tax_id_type
+from ledgerlens.functions.taxid import tax_id_clean, tax_id_length, tax_id_type
 
 __all__ = [n for n in dir() if not n.startswith("_")]

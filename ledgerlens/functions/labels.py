@@ -9,11 +9,6 @@ from ledgerlens.constants import CHECK_LABEL
 from ledgerlens.functions._util import as_col
 
 
-def literal_map(mapping: dict) -> Column:
-    """A ``map<k, v>`` literal; keys must be unique (a dict guarantees it)."""
-    return F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(v))])
-
-
 def label_lookup(c, mapping: dict, default) -> Column:
     """Code -> label as ``CASE WHEN c IN (codes of label 1) THEN label 1 ...``.
 

@@ -34,8 +34,3 @@ def tax_id_type(length) -> Column:
         .when(n == CNPJ_LENGTH, F.lit(TAX_ID_TYPE_CNPJ))
         .otherwise(F.lit(TAX_ID_TYPE_INVALID))
     )
-
-
-def is_person(c) -> Column:
-    """Cleaned tax id has the CPF length."""
-    return tax_id_length(c) == CPF_LENGTH

@@ -18,8 +18,8 @@ from ledgerlens.operators.joins import (
     group_lookup,
     semi_join_back,
 )
-from ledgerlens.operators.ordering import ordered_output
-from ledgerlens.operators.scope import constant_label, member_filter, scope_filter
+from ledgerlens.operators.ordering import ordered_output, ranked_output
+from ledgerlens.operators.scope import constant_label, member_filter, scope_condition, scope_filter
 from ledgerlens.operators.windows import count_over, count_rows_over
 
 __all__ = [n for n in dir() if not n.startswith("_")]

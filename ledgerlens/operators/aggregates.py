@@ -82,7 +82,7 @@ def distinct_count_having(df: DataFrame, by, col: str, more_than: int, *, name:
     shuffle that spreads a hot group over many tasks), then a HAVING filter.
     """
     agg = df.groupBy(*_by(by)).agg(F.countDistinct(col).alias(name), *extra)
-    return agg.filter(F.col(name) > more_than)
+    return having_filter(agg, F.col(name) > more_than)
 
 
 def having_filter(grouped: DataFrame, condition: Column) -> DataFrame:

@@ -1,7 +1,8 @@
 """Joins used by the checks.
 
-No join is hinted: the planner and AQE broadcast a side only when its measured
-bytes are below the session's threshold, and split hot keys of a sort-merge join.
+No join of tables is hinted: the planner and AQE broadcast a side only when its
+measured bytes are below the session's threshold, and split hot keys of a sort-merge
+join. Only the key filter of :func:`semi_join_back`, bounded by construction, is broadcast.
 """
 
 from __future__ import annotations
@@ -14,14 +15,30 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.labels import invert_groups, label_lookup
 
 
-def semi_join_back(detail: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
+FILTER_BUCKETS = 1 << 20
+
+
+def semi_join_back(detail: DataFrame, keys: DataFrame, on: str | Sequence[str], *,
+                   buckets: int = FILTER_BUCKETS) -> DataFrame:
     """Detail rows whose key is among ``keys`` (``EXISTS``); never multiplies rows.
 
-    The keys are made distinct before they are shuffled to the join, so a hot
-    key's rows do not land in one task on the side that AQE cannot split.
+    The detail's scan is pruned before its shuffle by a filter of bounded size: the
+    hash buckets that hold a key, at most ``buckets`` numbers whatever the input, so they
+    can be broadcast. The exact semi join follows. The keys are made distinct before
+    they are shuffled to it, so a hot key's rows do not land in one task on the side
+    that AQE cannot split.
     """
     on = [on] if isinstance(on, str) else list(on)
-    return detail.join(keys.select(*on).distinct(), on=on, how="left_semi")
+    if buckets < 1 or buckets & (buckets - 1):
+        raise ValueError("buckets must be a power of two")
+    # a NULL key joins nothing; said here, both readers of the keys have the same plan, which is run once
+    for k in on:
+        keys = keys.filter(F.col(k).isNotNull())
+    wanted = keys.select(*on).distinct()
+    bucket = F.xxhash64(*on).bitwiseAND(F.lit(buckets - 1))
+    held = wanted.select(bucket.alias("__bucket")).distinct()
+    near = detail.withColumn("__bucket", bucket).join(F.broadcast(held), "__bucket", "left_semi").drop("__bucket")
+    return near.join(wanted, on=on, how="left_semi")
 
 
 def group_lookup(df: DataFrame, code_col: str, dim, *, default: str, name: str = "grupo",

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from ledgerlens.constants import NO_FINANCE_OPERATION_LABELS, PROFILE_DEBIT_NOTE
 from ledgerlens.functions import code_filter, operation_label, reversal_exclude
 from ledgerlens.operators import (
+    constant_label,
     count_over,
     distinct_count_having,
+    grouped_sum,
     ordered_output,
     scope_filter,
     semi_join_back,
@@ -40,8 +42,8 @@ def bin01_note_summary(closed_tx: DataFrame, *, establishments, start, end,
     g = distinct_count_having(df, ["cod_cliente", "nome_cliente"], "nota_fiscal", more_than,
                               name="total_nf_diferentes",
                               extra=[F.sum("valor_parcela").alias("valor_total")])
-    out = g.select(F.lit(group_label).alias("cod_estabelecimento"), "cod_cliente", "nome_cliente",
-                   "total_nf_diferentes", "valor_total")
+    out = constant_label(g, "cod_estabelecimento", group_label).select(
+        "cod_estabelecimento", "cod_cliente", "nome_cliente", "total_nf_diferentes", "valor_total")
     return ordered_output(out, [F.col("total_nf_diferentes").desc(), F.col("valor_total").desc()], ordered)
 
 
@@ -87,8 +89,8 @@ def bin06_no_finance_moves(stock_moves: DataFrame, *, establishments, start, end
     ops = list(op_labels) if operations is None else list(operations)
     df = scope_filter(stock_moves, establishments=establishments, date_col="data", start=start, end=end)
     df = df.filter(code_filter("tipo_operacao", include=ops) & reversal_exclude("num_nota_fiscal"))
-    g = df.groupBy("cod_estabelecimento", "deposito", "data", "num_nota_fiscal", "tipo_operacao",
-                   "desc_tipo_operacao").agg(F.sum("qtd").alias("quantidade"))
+    g = grouped_sum(df, ["cod_estabelecimento", "deposito", "data", "num_nota_fiscal", "tipo_operacao",
+                         "desc_tipo_operacao"], {"quantidade": "qtd"})
     out = g.select("cod_estabelecimento", "deposito", "data", "num_nota_fiscal", "quantidade",
                    "tipo_operacao", operation_label("tipo_operacao", dict(op_labels)).alias("desc_operacao"))
     return ordered_output(out, [F.col("data").desc(), F.col("num_nota_fiscal")], ordered)

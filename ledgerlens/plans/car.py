@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.constants import (
@@ -30,6 +30,7 @@ from ledgerlens.functions import (
     days_overdue,
     days_overdue_floor,
     days_to_due,
+    numeric_threshold,
     offset_status,
     open_as_of,
     reversal_exclude,
@@ -38,26 +39,33 @@ from ledgerlens.functions import (
     tax_id_type,
 )
 from ledgerlens.operators import (
+    aggregate_arithmetic,
     conditional_sum,
     count_rows_over,
     group_lookup,
+    having_filter,
     ordered_output,
+    scope_condition,
     scope_filter,
 )
 
 
+def car04_rows(*, establishments, start, end, cfops: Iterable[str] = SALES_CFOPS, **_) -> Column:
+    """The sales lines that CAR.04 lists."""
+    return (scope_condition(establishments=establishments, date_col="data_nota_fiscal", start=start, end=end)
+            & (F.col("para_faturamento") == "Sim")
+            & reversal_exclude("num_nota_fiscal")
+            & code_filter("cfop", include=list(cfops))
+            & (tax_id_length("cpf_cnpj") == CPF_LENGTH))
+
+
 def car04_individual_billing(sales_orders: DataFrame, *, establishments, start, end,
                              cfops: Iterable[str] = SALES_CFOPS,
                              groups: Mapping | DataFrame = ESTABLISHMENT_GROUPS,
                              default_group: str = GROUP_DEFAULT) -> DataFrame:
     """CAR.04: billed sales lines to persons (11-character cleaned tax id) with a sales
     CFOP and no reversal, labelled with the establishment's commercial group."""
-    df = scope_filter(sales_orders, establishments=establishments, date_col="data_nota_fiscal",
-                      start=start, end=end)
-    df = df.filter((F.col("para_faturamento") == "Sim")
-                   & reversal_exclude("num_nota_fiscal")
-                   & F.col("cfop").isin(*list(cfops))
-                   & (tax_id_length("cpf_cnpj") == CPF_LENGTH))
+    df = sales_orders.filter(car04_rows(establishments=establishments, start=start, end=end, cfops=cfops))
     df = group_lookup(df, "cod_estabelecimento", groups, default=default_group, name="grupo")
     clean = tax_id_clean("cpf_cnpj")
     return df.select(
@@ -83,14 +91,13 @@ def car05_advance_offset(customer_tx: DataFrame, *, establishments, start, end,
         conditional_sum(v, p == PROFILE_ADVANCE_TRANSFER).alias("valor_atc"),
         conditional_sum(v, p == PROFILE_TRANSFER_CREDIT).alias("valor_tcc"),
     )
-    g = g.filter(F.col("valor_acl") != 0)
-    dif = days_to_due("data_vencimento", as_of)
     acl, dpc, atc, tcc = (F.col(c) for c in ("valor_acl", "valor_dpc", "valor_atc", "valor_tcc"))
+    g = aggregate_arithmetic(having_filter(g, acl != 0), {"dif_acl_dpc": acl - dpc, "dif_atc_tcc": atc - tcc})
+    dif = days_to_due("data_vencimento", as_of)
     out = g.select(
         "cod_estabelecimento", "cod_cliente", "nome_cliente", "data_transacao", "data_vencimento",
         dif.alias("dif_data"), bucket_to_due(dif).alias("aging_list"),
-        acl.alias("valor_acl"), dpc.alias("valor_dpc"), (acl - dpc).alias("dif_acl_dpc"),
-        atc.alias("valor_atc"), tcc.alias("valor_tcc"), (atc - tcc).alias("dif_atc_tcc"),
+        "valor_acl", "valor_dpc", "dif_acl_dpc", "valor_atc", "valor_tcc", "dif_atc_tcc",
         offset_status(acl, dpc, atc, tcc).alias("status"),
     )
     return ordered_output(out, ["data_vencimento", "cod_cliente", "data_transacao"], ordered)
@@ -125,19 +132,25 @@ OPEN_BIN_COLUMNS = (
 )
 
 
+def car07_rows(*, establishments, base_date, min_days: int = 360, min_weight=200, status: str = STATUS_OPEN,
+               system: str = "D365", **_) -> Column:
+    """The titles that CAR.07 lists."""
+    return (scope_condition(establishments=establishments, date_col="data_transacao", end=base_date)
+            & numeric_threshold("dias_atraso", min_days)
+            & numeric_threshold("peso_bin_aberto", min_weight)
+            & code_filter("status", include=status)
+            & code_filter("sistema", include=system)
+            & open_as_of("data_liquidacao", base_date, inclusive=False, keep_null=True))
+
+
 def car07_open_bin_overdue(open_bin: DataFrame, *, establishments, base_date, min_days: int = 360,
                            min_weight=200, status: str = STATUS_OPEN, system: str = "D365",
                            ordered: bool = True) -> DataFrame:
     """CAR.07: open returned-battery titles more than ``min_days`` late with more than
     ``min_weight`` kg open, from one source system, unsettled at ``base_date``
     (settled after it, the sentinel, or NULL)."""
-    df = scope_filter(open_bin, establishments=establishments, date_col="data_transacao", end=base_date)
-    df = df.filter((F.col("dias_atraso") > min_days)
-                   & (F.col("peso_bin_aberto") > min_weight)
-                   & code_filter("status", include=status)
-                   & code_filter("sistema", include=system)
-                   & open_as_of("data_liquidacao", base_date, inclusive=False, keep_null=True))
-    out = df.select(*OPEN_BIN_COLUMNS)
+    out = open_bin.filter(car07_rows(establishments=establishments, base_date=base_date, min_days=min_days,
+                                     min_weight=min_weight, status=status, system=system)).select(*OPEN_BIN_COLUMNS)
     # Ordered by customer; the extra keys only break ties, so range partitioning
     # can split one large customer over several sort tasks.
     return ordered_output(out, ["cod_cliente", "num_nota_fiscal", "comprovante"], ordered)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.constants import SALES_CFOPS
 from ledgerlens.functions import holiday_flag, month_end_exclude, reversal_exclude, weekday_name, weekend_flag
-from ledgerlens.operators import ordered_output, scope_filter
+from ledgerlens.operators import member_filter, ordered_output, scope_condition, scope_filter
 from ledgerlens.sources.sinks import write_partitioned
 
 
@@ -24,9 +24,8 @@ def rec07_weekend_holiday_billing(sales_orders: DataFrame, *, establishments, st
     d = F.col("data_nota_fiscal")
     df = scope_filter(sales_orders, establishments=establishments, date_col="data_nota_fiscal",
                       start=start, end=end)
-    df = df.filter((F.col("para_faturamento") == "Sim")
+    df = member_filter(df, "cfop", list(cfops)).filter((F.col("para_faturamento") == "Sim")
                    & reversal_exclude("num_nota_fiscal")
-                   & F.col("cfop").isin(*list(cfops))
                    & (weekend_flag(d) | holiday_flag(d, holidays))
                    & month_end_exclude(d, month_end_days))
     g = df.groupBy("cod_cliente", "cod_estabelecimento", "nome_cliente", "cpf_cnpj", "data_nota_fiscal",
@@ -38,10 +37,14 @@ def rec07_weekend_holiday_billing(sales_orders: DataFrame, *, establishments, st
     return ordered_output(out, ["cod_cliente", "data_nota_fiscal", "num_nota_fiscal"], ordered)
 
 
+def billing_rows(*, establishments, start, end, **_) -> Column:
+    """The rows of the billing extract."""
+    return scope_condition(establishments=establishments, date_col="data_nota_fiscal", start=start, end=end)
+
+
 def billing_extract(sales_orders: DataFrame, *, establishments, start, end) -> DataFrame:
     """All billing rows of the given establishments in a date range, every column."""
-    return scope_filter(sales_orders, establishments=establishments, date_col="data_nota_fiscal",
-                        start=start, end=end)
+    return sales_orders.filter(billing_rows(establishments=establishments, start=start, end=end))
 
 
 def write_billing_extract(sales_orders: DataFrame, path: str, *, establishments, start, end,

@@ -2,9 +2,10 @@
 
 Checks carry a code ``AREA.NN``. The suite runs a selection of them over the
 given views and returns one table: code, area, parameters and rows found. A view
-that several checks read is scoped to what they need together and written once,
-so its sources are read once; each row count is a distributed aggregate and the
-per-check one-row frames are unioned. Nothing is collected.
+that several checks read is scoped and cut to the columns they need together and
+written once, so its sources are read once; checks that list rows are conditional
+counts of one aggregate, the others distributed counts, and the one-row frames are
+unioned. Nothing is collected.
 """
 
 from __future__ import annotations
@@ -13,9 +14,10 @@ import datetime as _dt
 import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions._util import to_date_value
@@ -29,24 +31,31 @@ from ledgerlens.plans.bin import (
 )
 from ledgerlens.plans.car import (
     car04_individual_billing,
+    car04_rows,
     car05_advance_offset,
     car06_overdue_receivables,
     car07_open_bin_overdue,
+    car07_rows,
     car09_open_travel_advances,
     car10_multiple_advances,
 )
 from ledgerlens.plans.cax import cax02_cash_over_limit
-from ledgerlens.plans.rec import billing_extract, rec07_weekend_holiday_billing
+from ledgerlens.plans.rec import billing_extract, billing_rows, rec07_weekend_holiday_billing
 from ledgerlens.session import checkpoint_dir
 from ledgerlens.sources.views import with_collation
 
 
 @dataclass(frozen=True)
 class Check:
+    """A catalogued check. ``needs``: the view's columns that its number of rows depends on; ``rows``: for
+    a check that lists rows of its view, their predicate, given the check's parameters."""
+
     code: str
     area: str
     view: str
     fn: Callable[..., DataFrame]
+    needs: tuple[str, ...]
+    rows: Callable[..., Column] | None = None
 
 
 # Area names as the audited repository files them.
@@ -57,26 +66,39 @@ AREA_RECEIVABLES = "Contas a Receber"
 AREA_REVENUE = "Receita"
 AREA_RPA = "RPA"
 
+_SUPPLIER = ("cod_estabelecimento", "cod_fornecedor", "data_transacao", "perfil_lanc", "status")
+_ADVANCE = (*_SUPPLIER, "nome_fornecedor", "cnpj_cpf", "data_vencimento", "num_nota_fiscal")
+_NOTE = ("cod_estabelecimento", "cod_cliente", "data_transacao", "perfil_lancamento", "nota_fiscal")
+_SALE = ("cod_estabelecimento", "data_nota_fiscal", "para_faturamento", "num_nota_fiscal", "cfop", "cpf_cnpj")
+_RECEIVABLE = ("cod_estabelecimento", "cod_cliente", "nome_cliente", "data_transacao", "data_vencimento", "perfil_lanc",
+               "valor_moeda")
+
 CATALOG: dict[str, Check] = {
-    "afo01_supplier_advances": Check("AFO.01", AREA_SUPPLIER_ADVANCES, "supplier_transactions",
-                                     afo01_supplier_advances),
-    "bin01_note_summary": Check("BIN.01", AREA_BIN, "closed_transactions", bin01_note_summary),
-    "bin01_note_detail": Check("BIN.01", AREA_BIN, "closed_transactions", bin01_note_detail),
-    "bin02_split_notes": Check("BIN.02", AREA_BIN, "closed_transactions", bin02_split_notes),
-    "bin06_no_finance_moves": Check("BIN.06", AREA_BIN, "inventory_movements", bin06_no_finance_moves),
-    "cax02_cash_over_limit": Check("CAX.02", AREA_CASH, "gl_transactions", cax02_cash_over_limit),
-    "car04_individual_billing": Check("CAR.04", AREA_RECEIVABLES, "sales_orders", car04_individual_billing),
-    "car05_advance_offset": Check("CAR.05", AREA_RECEIVABLES, "customer_transactions", car05_advance_offset),
-    "car06_overdue_receivables": Check("CAR.06", AREA_RECEIVABLES, "customer_transactions",
-                                       car06_overdue_receivables),
-    "car07_open_bin_overdue": Check("CAR.07", AREA_RECEIVABLES, "open_bin", car07_open_bin_overdue),
-    "car09_open_travel_advances": Check("CAR.09", AREA_RECEIVABLES, "supplier_transactions",
-                                        car09_open_travel_advances),
-    "car10_multiple_advances": Check("CAR.10", AREA_RECEIVABLES, "supplier_transactions",
-                                     car10_multiple_advances),
-    "rec07_weekend_holiday_billing": Check("REC.07", AREA_REVENUE, "sales_orders",
-                                           rec07_weekend_holiday_billing),
-    "billing_extract": Check("RPA.FAT", AREA_RPA, "sales_orders", billing_extract),
+    "afo01_supplier_advances": Check("AFO.01", AREA_SUPPLIER_ADVANCES, "supplier_transactions", afo01_supplier_advances,
+                                     (*_SUPPLIER, "data_liquidacao", "valor_moeda")),
+    "bin01_note_summary": Check("BIN.01", AREA_BIN, "closed_transactions", bin01_note_summary, (*_NOTE, "nome_cliente")),
+    "bin01_note_detail": Check("BIN.01", AREA_BIN, "closed_transactions", bin01_note_detail, _NOTE),
+    "bin02_split_notes": Check("BIN.02", AREA_BIN, "closed_transactions", bin02_split_notes, _NOTE),
+    "bin06_no_finance_moves": Check("BIN.06", AREA_BIN, "inventory_movements", bin06_no_finance_moves, (
+        "cod_estabelecimento", "deposito", "data", "num_nota_fiscal", "tipo_operacao", "desc_tipo_operacao")),
+    "cax02_cash_over_limit": Check("CAX.02", AREA_CASH, "gl_transactions", cax02_cash_over_limit, (
+        "cod_estabelecimento", "data_transacao", "conta_contabil", "nome_conta", "valor_moeda")),
+    "car04_individual_billing": Check("CAR.04", AREA_RECEIVABLES, "sales_orders", car04_individual_billing, _SALE,
+                                      car04_rows),
+    "car05_advance_offset": Check("CAR.05", AREA_RECEIVABLES, "customer_transactions", car05_advance_offset, _RECEIVABLE),
+    "car06_overdue_receivables": Check("CAR.06", AREA_RECEIVABLES, "customer_transactions", car06_overdue_receivables,
+                                       (*_RECEIVABLE, "data_liquidacao", "num_nota_fiscal", "status")),
+    "car07_open_bin_overdue": Check("CAR.07", AREA_RECEIVABLES, "open_bin", car07_open_bin_overdue, (
+        "cod_estabelecimento", "data_transacao", "dias_atraso", "peso_bin_aberto", "status", "sistema",
+        "data_liquidacao"), car07_rows),
+    "car09_open_travel_advances": Check("CAR.09", AREA_RECEIVABLES, "supplier_transactions", car09_open_travel_advances,
+                                        _ADVANCE),
+    "car10_multiple_advances": Check("CAR.10", AREA_RECEIVABLES, "supplier_transactions", car10_multiple_advances,
+                                     (*_ADVANCE, "valor_moeda")),
+    "rec07_weekend_holiday_billing": Check("REC.07", AREA_REVENUE, "sales_orders", rec07_weekend_holiday_billing,
+                                           (*_SALE, "cod_cliente", "nome_cliente")),
+    "billing_extract": Check("RPA.FAT", AREA_RPA, "sales_orders", billing_extract,
+                             ("cod_estabelecimento", "data_nota_fiscal"), billing_rows),
 }
 
 
@@ -133,15 +155,28 @@ def joint_scope(df: DataFrame, scopes: Sequence[Mapping]) -> DataFrame:
 
 def share_views(checks: Sequence[str], views: Mapping[str, DataFrame],
                 params: Mapping[str, Mapping]) -> dict[str, DataFrame]:
-    """The views, those with several readers scoped, written to the session's shared folder and reread."""
+    """The views; those with several readers scoped, cut to the columns that count, written once and reread.
+
+    The writes are jobs of their own and run side by side. Columns that no check's number
+    of rows depends on are NULL in the views that are reread; Catalyst drops them.
+    """
     out = dict(views)
-    for name in {CATALOG[k].view for k in checks}:
+    shared = {}
+    for name in sorted({CATALOG[k].view for k in checks}):
         readers = [k for k in checks if CATALOG[k].view == name]
         if len(readers) > 1:
-            spark = views[name].sparkSession
-            path = f"{checkpoint_dir(spark, local_fallback=True).rstrip('/')}/suite-{uuid.uuid4().hex}/{name}"
-            joint_scope(views[name], [params.get(k, {}) for k in readers]).write.parquet(path)
-            out[name] = spark.read.parquet(path)
+            needs = {c for k in readers for c in CATALOG[k].needs}
+            kept = [c for c in views[name].columns if c in needs]
+            shared[name] = joint_scope(views[name], [params.get(k, {}) for k in readers]).select(*kept)
+    if shared:
+        spark = next(iter(views.values())).sparkSession
+        folder = f"{checkpoint_dir(spark, local_fallback=True).rstrip('/')}/suite-{uuid.uuid4().hex}"
+        with ThreadPoolExecutor(len(shared)) as pool:
+            list(pool.map(lambda name: shared[name].write.parquet(f"{folder}/{name}"), shared))
+        for name in shared:
+            narrow = spark.read.schema(shared[name].schema).parquet(f"{folder}/{name}")
+            out[name] = narrow.select(*[F.col(f.name) if f.name in narrow.columns else F.lit(None).cast(f.dataType).alias(
+                f.name) for f in views[name].schema.fields])
     return out
 
 
@@ -150,26 +185,33 @@ def audit_suite(checks: Sequence[str], views: Mapping[str, DataFrame],
                 share: bool = True) -> DataFrame:
     """One row per check: ``check``, ``code``, ``area``, ``parameters``, ``rows_found``.
 
-    Checks run unordered (their row order does not change a count, so no sort is
-    planned). ``share`` writes each view with several readers once (see
-    :func:`share_views`); not with a collation, where a scope is compared otherwise.
+    Checks that list rows of one view are counted by one aggregate over it; the others
+    run unordered (their row order does not change a count, so no sort is planned).
+    ``share`` writes each view with several readers once (see :func:`share_views`); not
+    with a collation, where a scope is compared otherwise.
     """
+    if not checks:
+        raise ValueError("no checks selected")
     if share and not collation:
         views = share_views(checks, views, params)
-    frames = []
+    frames, listed = [], {}
     for key in checks:
         check = CATALOG[key]
         p = dict(params.get(key, {}))
+        name = F.struct(F.lit(key).alias("check"), F.lit(check.code).alias("code"), F.lit(check.area).alias("area"),
+                        F.lit(params_text({k: v for k, v in p.items() if k != "ordered"})).alias("parameters"))
+        if check.rows is not None:
+            listed.setdefault(check.view, []).append((name, F.count_if(check.rows(**p))))
+            continue
         if "ordered" in check.fn.__code__.co_varnames:
             p.setdefault("ordered", False)
         result = check.fn(with_collation(views[check.view], collation), **p)
-        shown = {k: v for k, v in p.items() if k != "ordered"}
-        frames.append(result.agg(F.count(F.lit(1)).alias("rows_found")).select(
-            F.lit(key).alias("check"), F.lit(check.code).alias("code"), F.lit(check.area).alias("area"),
-            F.lit(params_text(shown)).alias("parameters"), "rows_found"))
-    if not frames:
-        raise ValueError("no checks selected")
+        frames.append(result.agg(F.count(F.lit(1)).alias("rows_found")).select(name.alias("c"), "rows_found"))
+    for view, some in listed.items():
+        counts = with_collation(views[view], collation).agg(*[n.alias(f"n{i}") for i, (_, n) in enumerate(some)])
+        each = F.explode(F.array(*[F.struct(c.alias("c"), F.col(f"n{i}").alias("rows_found")) for i, (c, _) in enumerate(some)]))
+        frames.append(counts.select(each.alias("e")).select("e.c", "e.rows_found"))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
-    return out
+    return out.select("c.check", "c.code", "c.area", "c.parameters", "rows_found")

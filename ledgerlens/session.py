@@ -19,6 +19,7 @@ def local_session(app: str = "ledgerlens", cores: int | str = "*", shuffle_parti
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no stack walk for every expression
          .config("spark.sql.session.timeZone", "UTC"))
     if driver_memory:
         b = b.config("spark.driver.memory", driver_memory)

@@ -27,16 +27,19 @@ OPEN_BIN_AS_OF = _dt.date(1998, 12, 31)
 
 
 class Tables:
-    """Lazy base-table readers for one scale-factor directory."""
+    """Lazy base-table readers for one scale-factor directory; a table's schema is read once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.opened: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in BASE_TABLES:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self.opened:
+            self.opened[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.opened[name]
 
 
 class StreamingTables(Tables):
@@ -289,10 +292,10 @@ VIEW_BUILDERS = {
 }
 
 
-def testdata_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One derived view over the base tables in ``sf_dir``."""
+def testdata_view(spark: SparkSession, sf_dir: str, name: str, tables: Tables | None = None) -> DataFrame:
+    """One derived view over the base tables in ``sf_dir`` (``tables``: readers shared by several views)."""
     try:
         builder = VIEW_BUILDERS[name]
     except KeyError:
         raise ValueError(f"unknown view {name!r}; known: {sorted(VIEW_BUILDERS)}") from None
-    return builder(Tables(spark, sf_dir))
+    return builder(tables or Tables(spark, sf_dir))

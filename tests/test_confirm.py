@@ -4,6 +4,8 @@ import datetime as dt
 import os
 import uuid
 
+from pyspark.sql import functions as F
+
 from paths import SF_SMALL
 from ledgerlens import fixture as fx
 from ledgerlens.plans import confirm_messages, confirm_outcomes, confirm_report
@@ -133,7 +135,7 @@ def test_stream_with_several_files_a_restart_and_late_rows(spark, tmp_out):
     assert second.late() == (1, 1)
     assert done < second.outcomes().count() < len(early(sent)) + len(middle(sent))
     events = second.input.schema
-    again = spark.read.schema(events).parquet(second.path("events", 1))
+    again = second.events(["part=trigger-1"]).drop("closed_before")
     second.trigger(spark.createDataFrame(again.collect(), events), 1)
     assert second.late() == (1, 1)                           # a trigger run twice counts once
     _drop(spark, tmp_out, 3, last(sent), last(reps))
@@ -274,3 +276,63 @@ def test_a_finite_run_with_late_replies_equals_batch(spark, tmp_out):
     assert {x.message_id: (x.status, x.resposta, x.reply_ts) for x in rows} == brute_force(sent, on_time + late, 1800)
     tables.close_tail()  # again
     assert sorted(map(str, tables.outcomes().collect())) == sorted(map(str, rows))
+
+
+def test_progress_names_open_folders_and_merges_closed_ones():
+    from ledgerlens.streaming.confirm_stream import Progress
+
+    state, read, merged_in = Progress(), {}, {}
+    for epoch in range(400):
+        own = (f"part=trigger-{epoch}", epoch)  # one bucket a trigger, closed three triggers later
+        read[epoch] = [f for f, _ in state.open] + [own[0]]
+        state, merges = state.after(epoch, epoch - 3 if epoch >= 3 else None, epoch, (1, 0), own, merge=4)
+        for name, some in merges:
+            assert name not in merged_in
+            merged_in[name] = some
+        assert len(state.closed) <= 4 * 6
+    assert len(read[20]) == len(read[200]) == len(read[399]) == 4
+    assert state.late_messages == 400
+
+    def originals(folder):
+        return [x for f in merged_in[folder] for x in originals(f)] if folder in merged_in else [folder]
+
+    held = [x for f in state.folders for x in originals(f)]
+    assert sorted(held) == sorted(f"part=trigger-{e}" for e in range(400))  # every folder once, none lost
+
+
+def test_stream_work_does_not_grow_with_history(spark, tmp_out, monkeypatch):
+    from ledgerlens.streaming import confirm_stream as cs
+
+    sent = [(i, i % 4, _s(i * 300)) for i in range(72)]
+    reps = [(1000 + i, i % 4, _s(i * 300 + 40), "SIM") for i in range(0, 72, 2)]
+    sdf = spark.createDataFrame(sent, "message_id long, contact_id long, sent_ts timestamp_ntz")
+    rdf = spark.createDataFrame(reps, "reply_id long, contact_id long, reply_ts timestamp_ntz, reply_text string")
+    tables = cs.ConfirmTables(spark, os.path.join(tmp_out, "tables"), sdf, rdf, timeout_seconds=600, delay_seconds=300)
+    read = {}
+    plain, merge = cs.ConfirmTables.events, cs.Progress.after
+    monkeypatch.setattr(cs.Progress, "after", lambda self, *a: merge(self, *a, merge=3))
+
+    def counting(self, folders):
+        out = plain(self, folders)
+        read.setdefault(now[0], []).append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(cs.ConfirmTables, "events", counting)
+    now = [0]
+    base = F.to_timestamp_ntz(F.lit(str(T0)))
+    for epoch in range(24):
+        now[0] = epoch
+        batch = tables.input.filter((F.col("ts") >= base + F.expr(f"INTERVAL {900 * epoch} SECONDS"))
+                                    & (F.col("ts") < base + F.expr(f"INTERVAL {900 * (epoch + 1)} SECONDS")))
+        tables.trigger(batch, epoch)
+        if epoch == 10:
+            tables.trigger(batch, epoch)  # run again after a failure
+    # own folder and open folders; a merge adds its folders' files
+    assert max(read[22][:2]) <= max(read[7][:2]) + 1 and max(map(max, read.values())) < 24
+    monkeypatch.undo()
+    gone = tables.vacuum()
+    assert gone and len(tables.progress().folders) < 14
+    tables.close_tail()
+    rows = tables.outcomes().collect()
+    assert len(rows) == len(sent)
+    assert {x.message_id: (x.status, x.resposta, x.reply_ts) for x in rows} == brute_force(sent, reps, 600)

@@ -109,15 +109,79 @@ def test_member_filter_table_is_semi_join(spark):
     assert "LeftSemi" in _plan(out) and [r.cfop for r in out.collect()] == ["5.102"]
 
 
-def test_bin02_has_no_window_operator(spark):
+def _run_plan(df):
+    """The adaptive plan after a run."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_counts_read_and_exchange_the_rows_once(spark):
+    """Each base table is scanned once; the second reader of the rows' exchange reuses it."""
     view = derived_view(spark, SF_SMALL, "closed_transactions")
-    plan = _plan(bin02_split_notes(view, **fx.PARAMS["bin02_split_notes"], ordered=False))
-    assert "Window" not in plan
+    plan = _run_plan(bin02_split_notes(view, **fx.PARAMS["bin02_split_notes"], ordered=False))
+    assert plan.count("FileScan parquet") == 3 and "ReusedExchange" in plan
+    plan = _run_plan(entry.queries()["car10_multiple_advances"](spark, SF_SMALL))
+    assert plan.count("FileScan parquet") == 2 and "ReusedExchange" in plan
+
+
+def test_hot_key_is_counted_by_many_tasks(spark):
+    from pyspark.sql import Window
 
+    from ledgerlens.operators import count_over, count_rows_over
 
-def test_count_over_hot_key_is_split_by_aqe_skew_join(spark):
-    """One key holds two thirds of the rows: AQE splits its join partition (the window it
-    replaces could not be split), and the counts still equal the window function's."""
+    df = spark.range(40_000).select(
+        F.when(F.col("id") % 3 != 0, F.lit(0)).when(F.col("id") % 7 == 0, F.lit(None)).otherwise(
+            F.col("id") % 500).alias("k"), F.when(F.col("id") % 5 > 0, F.col("id")).alias("v"))
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        out = count_over(df, "k", "v", name="n")
+        tasks = out.filter("k = 0").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+        assert len(tasks) > 4 and max(t["count"] for t in tasks) < 26_667 / 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    by = Window.partitionBy("k")
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(
+        map(tuple, df.withColumn("n", F.count("v").over(by)).collect()), key=str)
+    got = count_rows_over(df, "k", name="n", more_than=30, salts=8)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        map(tuple, df.withColumn("n", F.count(F.lit(1)).over(by)).filter("n > 30").collect()), key=str)
+
+
+def test_semi_join_filters_the_detail_before_its_shuffle(spark):
+    from ledgerlens.operators import semi_join_back
+
+    detail = spark.range(5000).select((F.col("id") % 700).alias("k"), F.col("id").alias("v"))
+    keys = spark.range(40).select(F.when(F.col("id") > 2, F.col("id")).alias("k"))
+    out = semi_join_back(detail, keys, "k")
+    plan = _plan(out)
+    assert plan.count("LeftSemi") == 2 and "__bucket" in plan
+    assert sorted(r.k for r in out.collect()) == sorted(k % 700 for k in range(5000) if 2 < k % 700 < 40)
+    few = semi_join_back(detail, keys, "k", buckets=2)  # a full filter lets all through; the join is exact
+    assert few.count() == out.count()
+    plan = _run_plan(entry.queries()["bin01_note_detail"](spark, SF_SMALL))
+    assert plan.count("FileScan parquet") <= 6 and "ReusedExchange" in plan
+
+
+def test_suite_writes_only_the_columns_that_count(spark):
+    from ledgerlens.plans import suite
+
+    views = entry._views(spark, SF_SMALL)
+    shared = suite.share_views(list(fx.PARAMS), views, fx.PARAMS)
+    for name, df in shared.items():
+        readers = [c for c in suite.CATALOG.values() if c.view == name]
+        assert df.columns == views[name].columns
+        if len(readers) > 1:
+            stored = re.search(r"Relation \[(.*?)\]", df._jdf.queryExecution().optimizedPlan().toString()).group(1)
+            assert {c.split("#")[0] for c in stored.split(",")} == {c for r in readers for c in r.needs}
+    got = {r.check: r.rows_found for r in suite.audit_suite(list(fx.PARAMS), views, fx.PARAMS).collect()}
+    alone = {k: entry.queries()[k](spark, SF_SMALL).count() for k in fx.PARAMS}
+    assert got == alone
+
+
+def test_count_over_hot_key_without_broadcasts(spark):
+    """One key holds two thirds of the rows: salted, they are many tasks' (the window it replaces
+    could not be split), with no broadcast either, and the counts still equal the window function's."""
     from pyspark.sql import Window
 
     from ledgerlens.operators import count_over
@@ -137,7 +201,7 @@ def test_count_over_hot_key_is_split_by_aqe_skew_join(spark):
         out = count_over(df, "k", "v", name="n")
         got = sorted(tuple(r) for r in out.collect())
         plan = out._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin(skew=true)" in plan
+        assert "Window" in plan and plan.split("== Initial Plan ==")[0].count("ReusedExchange") == 1
         want = sorted(tuple(r) for r in df.withColumn("n", F.count("v").over(Window.partitionBy("k"))).collect())
         assert got == want
     finally:
