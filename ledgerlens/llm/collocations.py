@@ -20,7 +20,7 @@ it, so counts are weights of prefixes.
   parts with that of the counts, group by group of a hash of the part.
 
 Memory: a shard in a task; a range of about ``RANGE_WORDS`` words in a group (beyond
-``MAX_RANGES`` ranges, 3e10 words, ranges grow with the input); at most
+``MAX_RANGES`` ranges, 8e9 words, ranges grow with the input); at most
 ``FILTER_BITS`` bits of filter and ``SAMPLE_DOCS`` x ``SAMPLE_EACH`` records on the driver.
 
 Defined results: a null language is ``und``; null and empty texts hold no words;
@@ -49,9 +49,9 @@ MIN_COUNT = 100
 TOP = 2000
 SHARD_WORDS = 300_000
 RANGE_WORDS = 1_000_000
-MAX_RANGES = 1 << 15
-SAMPLE_DOCS = 4000
-SAMPLE_EACH = 64
+MAX_RANGES = 1 << 13
+SAMPLE_DOCS = 2000
+SAMPLE_EACH = 32
 FILTER_BITS = 1 << 29
 FILTER_HASHES = 4
 LOOKUP_ROWS = 100_000
@@ -311,13 +311,14 @@ def borders(rows: DataFrame, depth: int) -> list[tuple[bytes, Gram]]:
                     if gram:
                         out.append((lang, gram, step))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out], pa.list_(pa.binary())),
+                [pa.array([o[0] for o in out], pa.string()), pa.array([STOP.join(o[1]) for o in out], pa.binary()),
                  pa.array([o[2] for o in out], pa.int64())], names=["lang", "gram", "of"])
 
-    found = some.mapInArrow(run, "lang string, gram array<binary>, of long").collect()  # bounded by the sample
-    if not found:
+    found = some.mapInArrow(run, "lang string, gram binary, of long").toArrow()  # bounded by the sample
+    if not found.num_rows:
         return []
-    keys = sorted((r["lang"].encode(), tuple(map(bytes, r["gram"])), r["of"]) for r in found)
+    keys = sorted((lang.encode(), tuple(gram.split(STOP)), of) for lang, gram, of in zip(*[
+        c.to_pylist() for c in found.columns]))
     sampled = sum(k[2] for k in keys)
     words = sampled * max(1.0, total / (2 * SAMPLE_DOCS) if total > 2 * SAMPLE_DOCS else 1.0)
     ranges = int(min(MAX_RANGES, max(1, words // RANGE_WORDS)))
