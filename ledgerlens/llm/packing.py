@@ -12,8 +12,8 @@ window is full, so those sequences have no padding but for the last one.
 
 Only the histogram (one row per bin) reaches the driver. Rows are spread over
 buckets by a hash of their identifier, never by length, so a common length is
-many tasks' work. Rests carry their ids, which lets a cut rest be checked and
-hashed without tokenizing again.
+many tasks' work. Ranks are taken on rows without ids; only a rest that a window's end
+divides gets its ids back, so it is hashed without tokenizing again.
 
 Defined results: null and empty texts are the end id alone; repeated rows are
 packed as often as they occur; empty tables give no rows. Sequences have at most
@@ -239,7 +239,7 @@ def pack(df: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "t
     cut_documents(df, path, id_col=id_col, text_col=text_col, window=window, end_id=end_id,
                   by_word=by_word).write.parquet(folder)
     pieces = spark.read.parquet(folder)
-    rest = pieces.filter("ids is not null").withColumn("bin", F.ceil(F.col("length") / grid).cast("int"))
+    rest = pieces.filter("ids is not null").drop("ids").withColumn("bin", F.ceil(F.col("length") / grid).cast("int"))
     histogram = {r[0]: r[1] for r in rest.groupBy("bin").count().collect()}  # at most window / grid rows
     planned = plan(histogram, window // grid, parts)
     slots = places(planned)
@@ -261,20 +261,28 @@ def pack(df: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "t
     before = Window.partitionBy("at").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     in_place = in_place.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long")).drop("place")
 
-    loose = at.filter("low is null").select("doc_id", "start", "length", "crc", "doc_tokens", "ids", "bucket")
+    loose = at.filter("low is null").select("doc_id", "start", "length", "crc", "doc_tokens", "bucket")
     loose = running(loose, ["doc_id", "start", "crc"], F.col("length"), bucket="bucket", into="from")
     ends = F.least(F.col("length"), F.lit(window) - F.pmod(F.col("from"), F.lit(window)))
     loose = loose.withColumn("part", F.explode(F.filter(F.array(
         F.struct(F.lit(0).cast("long").alias("skip"), ends.cast("long").alias("n")),
         F.struct(ends.cast("long").alias("skip"), (F.col("length") - ends).cast("long").alias("n"))),
         lambda p: p["n"] > 0)))
-    cut = F.expr("substring(ids, cast(4 * part.skip as int) + 1, cast(4 * part.n as int))")
     position = F.col("from") + F.col("part.skip")
     greedy = loose.select(
         "doc_id", (F.col("start") + F.col("part.skip")).alias("start"), F.col("part.n").alias("length"),
-        F.crc32(cut).alias("crc"), "doc_tokens",
+        F.when(F.col("part.n") == F.col("length"), F.col("crc")).alias("crc"), "doc_tokens",
         ((position - F.pmod(position, F.lit(window))) / window).cast("long").alias("at"),
-        F.pmod(position, F.lit(window)).cast("long").alias("offset"))
+        F.pmod(position, F.lit(window)).cast("long").alias("offset"),
+        F.struct("doc_id", "start", "length", "crc").alias("rest"), "part")
+    # Only rests that a window's end divides, at most one a sequence, need their ids again.
+    divided = greedy.filter("crc is null").drop("crc")
+    ids = pieces.filter("ids is not null").select(F.struct("doc_id", "start", "length", "crc").alias("rest"), "ids")
+    ids = ids.join(divided.select("rest").distinct(), "rest", "left_semi").dropDuplicates(["rest"])
+    cut = F.expr("substring(ids, cast(4 * part.skip as int) + 1, cast(4 * part.n as int))")
+    columns = ["doc_id", "start", "length", "crc", "doc_tokens", "at", "offset"]
+    greedy = greedy.filter("crc is not null").select(*columns).unionByName(
+        divided.join(ids, "rest").withColumn("crc", F.crc32(cut)).select(*columns))
 
     counts = pieces.agg(F.sum(F.when(F.col("ids").isNull(), 1).otherwise(0)).alias("n")).first()
     n_full = counts["n"] or 0
