@@ -74,7 +74,7 @@ def top_of_shard(ids: np.ndarray, postings: np.ndarray, query_id: int, query: np
     need = np.sort(seeds)[-k] if len(seeds) >= k else np.iinfo(np.int64).min
     # essential: the shortest run of terms beyond which the rest alone cannot reach the threshold
     essential = int(np.argmax(left < need)) if (left < need).any() else len(order)
-    essential = max(essential, 1)
+    essential = min(max(essential, 1), len(order))  # vectors without terms all score 0
     terms = order[:essential]
     score = query[terms] @ postings[terms]
     alive = np.flatnonzero(others & (score + left[essential] >= need))

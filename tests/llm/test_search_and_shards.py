@@ -109,3 +109,11 @@ def test_copies_of_a_hot_row_are_dealt_out(spark):
     for chunk in (7, 10**6):
         other = sharding.shard_rows(docs, ["doc_id", "text"], shards=4, seed=3, chunk=chunk).collect()
         assert sorted(map(str, other)) == sorted(map(str, rows))
+
+
+def test_vectors_without_terms_score_zero(spark):
+    from ledgerlens.llm import maxscore
+
+    vectors = spark.createDataFrame([(i, []) for i in range(60)], "vec_id long, vector array<long>")
+    got = sorted(map(tuple, maxscore.top_k(vectors, vectors.filter("vec_id % 50 = 0"), 5).collect()))
+    assert got == [(0, r, r, 0) for r in range(1, 6)] + [(50, r + 1, r, 0) for r in range(5)]
