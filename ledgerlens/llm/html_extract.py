@@ -2,17 +2,21 @@
 
 The standard library's parser streams events; elements that hold no article text
 (scripts, menus, forms, and what a role calls so) are marked as they open.
-Containers whose class or id ends in a word for a part beside the article are
-marked too, unless they hold a main element or, on pages without an article
-outside them, an article or most of the text; ids that may come from a heading's
-words do not count. Every block-level border ends a line. A line's ratio is its
-characters outside links over its tags (marked lines: 0). Ratios are smoothed by a Gaussian
-along the page and clustered by a threshold, their standard deviation, into
-content and rest. The content region is what holds the content lines outside link
-lists: the sibling article (or main) elements with most of their characters if
-there are such, else the smallest container with all of them. In it, marked lines
-go, and so do link lists in the low cluster; everything else stays, short
-paragraphs included.
+Containers whose class or id ends in a word for a part beside the article, or whose
+class starts with a word for adverts, are marked too, unless they hold a main element
+or, on pages without an article outside them, an article or most of the text, or their
+id repeats the heading they start with. Every block-level border ends a line.
+
+A line's ratio is its characters outside links over its tags (marked lines: 0). Ratios
+are smoothed by a Gaussian along the page; the threshold is their standard deviation.
+A line is content if its smoothed ratio passes the threshold and its own ratio does
+too, or is that of a sentence (``SENTENCE``) where the threshold is higher. The content
+region is the sibling article (or main) elements with most of the content's characters
+if there are such, else the smallest container with all content lines. In it all stays
+between the first and the last content line but lines of links in the low cluster (in
+an article, those in lists stay). Outside these two a line stays only in a list or
+container that holds content: the article itself counts as one, a whole page does not.
+Headings that lead to the first content line stay.
 
 Defined results: null and empty pages give the empty text, as do pages with
 nothing but marked elements. Character references are decoded, white space in a
@@ -22,6 +26,8 @@ line is one space, lines are joined by a blank line.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -38,6 +44,7 @@ BESIDE = frozenset("script style noscript template head title nav footer aside f
                    "input iframe object embed svg canvas audio video dialog menu map datalist applet".split())
 CONTAINERS = frozenset("html body article main section div td th tr table tbody center".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+LISTS = frozenset("ul ol dl".split())
 PARAGRAPH_ENDS = frozenset("address article aside blockquote center details div dl fieldset figure footer form h1 h2 "
                            "h3 h4 h5 h6 header hr main menu nav ol p pre section table ul li".split())
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -50,6 +57,7 @@ BESIDE_WORDS = frozenset(
     "comment comments commentlist reply replies respond disqus discussion share sharing social related recommended "
     "recommendations newsletter subscribe subscription signup login signin search widget widgets toolbar pagination "
     "pager paywall disclaimer skiplink".split())
+AD_WORDS = frozenset("ad ads adsense advert adverts advertisement advertisements advertising adbox adslot sponsored".split())
 TOPIC_WORDS = frozenset(  # as ids these may be made from the words of an article's heading
     "advertisement advertisements advertising promotion navigation notice notices alert cookie cookies consent gdpr "
     "privacy comment reply replies respond discussion share sharing social related recommended recommendations "
@@ -60,30 +68,61 @@ BESIDE_ROLES = frozenset("navigation banner contentinfo complementary search for
                          "menubar toolbar".split())
 NEGATED = frozenset("has with no without".split())
 SMOOTHING = 1.0
+SENTENCE = 40.0  # characters a tag
 LINK_SHARE = 0.6
 UNFINISHED = re.compile(r"<[/!?]?[a-zA-Z][^<>]*\Z")
 MASS_SHARE = 0.5
 
 
-def names_beside(attrs: dict[str, str | None]) -> bool:
-    """Whether the last word of a class or id names a part beside the article."""
-    for key, known in (("class", BESIDE_WORDS), ("id", BESIDE_WORDS - TOPIC_WORDS)):
+def name_words(name: str) -> list[str]:
+    words = re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()
+    return [w for w in re.split(r"[^a-z]+", words) if w]
+
+
+def names_beside(tag: str, attrs: dict[str, str | None]) -> str | None:
+    """How a class or id names a part beside the article: ``sure``, ``topic`` (an id that a heading may have made), or not.
+
+    Paragraphs and other elements that are no containers are named by advert classes only.
+    """
+    topic = False
+    for key in ("class", "id"):
         for name in (attrs.get(key) or "").split():
-            words = re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()
-            words = [w for w in re.split(r"[^a-z]+", words) if w]
-            if words and words[0] not in NEGATED and words[-1] in known:
-                return True
-    return False
+            words = name_words(name)
+            if not words or words[0] in NEGATED:
+                continue
+            if key == "class" and (words[-1] in AD_WORDS or words[0] in AD_WORDS):
+                return "sure"
+            if tag in NAMED and words[-1] in BESIDE_WORDS:
+                if key == "class" or words[-1] not in TOPIC_WORDS:
+                    return "sure"
+                topic = True
+    return "topic" if topic else None
+
+
+class Node:
+    """A container or list: its number in page order, the last number inside it, and its parent."""
+
+    __slots__ = ("tag", "number", "last", "parent", "outer", "box")
+
+    def __init__(self, tag: str, number: int, parent: Node | None):
+        self.tag, self.number, self.last, self.parent = tag, number, float("inf"), parent
+        #: the outermost article or main element around it
+        self.outer = parent.outer if parent and parent.outer else self if tag in ("article", "main") else None
+        #: the innermost container that is no list
+        self.box = parent.box if tag in LISTS and parent else self
+
+    def holds(self, other: Node) -> bool:
+        return self.number <= other.number <= self.last
 
 
 class Line:
     """A run of text between block borders."""
 
-    __slots__ = ("parts", "tags", "linked", "beside", "path", "heading", "named", "text", "chars")
+    __slots__ = ("parts", "tags", "linked", "beside", "node", "heading", "named", "text", "chars")
 
-    def __init__(self, beside: bool, path: tuple, heading: bool, named: tuple):
+    def __init__(self, beside: bool, node: Node, heading: bool, named: int):
         self.parts, self.tags, self.linked = [], 0, 0
-        self.beside, self.path, self.heading, self.named = beside, path, heading, named
+        self.beside, self.node, self.heading, self.named = beside, node, heading, named
 
 
 class PageLines(HTMLParser):
@@ -91,10 +130,13 @@ class PageLines(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        # open elements: (tag, marked, path of container elements (tag, number), in article, heading, elements marked by name)
-        self.open: list[tuple] = [("", False, (), False, False, ())]
-        self.names: list[dict] = []  # attributes of the elements marked by name
-        self.holders: dict[str, set[int]] = {"article": set(), "main": set()}  # those of them that hold such an element
+        root = Node("", 0, None)
+        # open elements: (tag, marked, innermost container, in article, heading, innermost element marked by name)
+        self.open: list[tuple] = [("", False, root, False, False, -1)]
+        self.count: Counter = Counter()  # open elements by tag
+        # elements marked by name: attributes, how, the one around it, whether inside an article
+        self.names: list[tuple[dict, str, int, bool]] = []
+        self.holders: dict[str, set[int]] = {"article": set(), "main": set()}  # the innermost of them around such an element
         self.lines: list[Line] = []
         self.line: Line | None = None
         self.tags, self.links, self.number = 0, 0, 0
@@ -108,10 +150,16 @@ class PageLines(HTMLParser):
 
     def close_until(self, tags, stop=()) -> None:
         """Closes up to the innermost of ``tags`` that is open inside the innermost of ``stop``."""
+        if not any(self.count[t] for t in tags):
+            return
         for at in range(len(self.open) - 1, 0, -1):
             if self.open[at][0] in tags:
-                for entry in self.open[at:]:
-                    self.links -= entry[0] == "a"
+                around = self.open[at - 1][2]
+                for tag, _, node, *_ in self.open[at:]:
+                    self.links -= tag == "a"
+                    self.count[tag] -= 1
+                    if node is not around:
+                        node.last = self.number
                 del self.open[at:]
                 return
             if self.open[at][0] in stop:
@@ -130,7 +178,7 @@ class PageLines(HTMLParser):
         if tag in VOID:
             return
         attrs = dict(attrs)
-        _, marked, path, in_article, heading, named = self.open[-1]
+        _, marked, node, in_article, heading, named = self.open[-1]
         if not marked:
             style = (attrs.get("style") or "").replace(" ", "").lower()
             marked = (tag in BESIDE or (tag == "header" and not in_article) or "hidden" in attrs
@@ -138,15 +186,16 @@ class PageLines(HTMLParser):
                       or (attrs.get("role") or "").lower() in BESIDE_ROLES)
         if not marked:
             article = tag in ("article", "main") and not in_article
-            if tag in NAMED and names_beside(attrs) and (not article or comment_like(attrs)):
-                named = (*named, len(self.names))
-                self.names.append(attrs)
-            elif article:
-                self.holders[tag].update(named)
-        if tag in CONTAINERS:
+            if (how := names_beside(tag, attrs)) and (not article or comment_like(attrs)):
+                self.names.append((attrs, how, named, in_article))
+                named = len(self.names) - 1
+            elif article and named >= 0:
+                self.holders[tag].add(named)
+        if tag in CONTAINERS or tag in LISTS:
             self.number += 1
-            path = (*path, (tag, self.number))
-        self.open.append((tag, marked, path, in_article or tag in ("article", "main"), heading or tag in HEADINGS, named))
+            node = Node(tag, self.number, node)
+        self.open.append((tag, marked, node, in_article or tag in ("article", "main"), heading or tag in HEADINGS, named))
+        self.count[tag] += 1
         self.links += tag == "a"
 
     def handle_startendtag(self, tag, attrs):
@@ -165,8 +214,8 @@ class PageLines(HTMLParser):
         if self.line is None:
             if not data.strip():
                 return
-            _, marked, path, _, heading, named = self.open[-1]
-            self.line = Line(marked, path, heading, named)
+            _, marked, node, _, heading, named = self.open[-1]
+            self.line = Line(marked, node, heading, named)
         _, marked, *_ = self.open[-1]
         if marked and not self.line.beside:
             return  # a marked inline element inside a line
@@ -209,74 +258,118 @@ def main_text(html: str | None) -> str:
     if not any(not x.beside for x in lines):
         return ""
     if parser.names:
-        marked = marked_by_name(parser, clustered(lines)[1], lines)
+        marked = marked_by_name(parser, clustered(lines)[2], lines)
         for x in lines:
-            x.beside = x.beside or not marked.isdisjoint(x.named)
+            x.beside = x.beside or (x.named >= 0 and marked[x.named])
         if not any(not x.beside for x in lines):
             return ""
-    content, mass = clustered(lines)
+    high, content, mass = clustered(lines)
     if not sum(mass):
+        content = np.array([not x.beside for x in lines])
         mass = [0 if x.beside else x.chars for x in lines]
-    roots = region(lines, mass)
-    inside = [roots is None or not roots.isdisjoint(x.path) for x in lines]
-    lead = [False] * (len(lines) + 1)  # headings right before a root
+    articles, root = region(lines, mass)
+    inside = [not x.beside and (x.node.outer in articles if articles else root.holds(x.node)) for x in lines]
+    held = [at for at in range(len(lines)) if inside[at] and content[at]]
+    if not held:  # an article of marked or linked lines only
+        held = [at for at in range(len(lines)) if inside[at]]
+    first, last = held[0], held[-1]
+    numbers = sorted({lines[at].node.number for at in held})
+
+    def holds_content(node: Node) -> bool:
+        at = bisect_left(numbers, node.number)
+        return at < len(numbers) and numbers[at] <= node.last
+
+    if articles:  # what follows an article's first heading is in it
+        first = next((at for at in range(first) if inside[at] and lines[at].heading), first)
+    lead = [False] * (len(lines) + 1)  # headings right before the content
     for at in range(len(lines) - 2, -1, -1):
-        x = lines[at]
-        lead[at] = x.heading and not x.beside and not inside[at] and (inside[at + 1] or lead[at + 1])
+        lead[at] = lines[at].heading and not lines[at].beside and (
+            lead[at + 1] or (inside[at + 1] if articles else at + 1 == first))
     keep = []
     for at, x in enumerate(lines):
-        if (inside[at] or lead[at]) and not x.beside and not (
-                not content[at] and x.linked > LINK_SHARE * x.chars):
+        if x.beside or not (inside[at] or lead[at]):
+            continue
+        if not high[at] and x.linked > LINK_SHARE * x.chars and not (articles and x.node.tag in LISTS):
+            continue
+        whole_page = not articles and x.node is root and root.tag in ("", "html", "body")
+        if first <= at <= last or lead[at] or (
+                holds_content(x.node) or (articles and holds_content(x.node.box))) and not whole_page:
             keep.append(x.text)
     return "\n\n".join(keep)
 
 
-def clustered(lines: list[Line]) -> tuple[np.ndarray, list[int]]:
-    """Per line whether it is in the high cluster, and its characters if it is, outside link lists."""
+def clustered(lines: list[Line]) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """Per line whether it is in the high cluster, whether it is content, and its characters if it is, outside link lists."""
     ratio = np.array([0.0 if x.beside else max(0, x.chars - x.linked) / max(1, x.tags) for x in lines])
     smooth = smoothed(ratio)
-    content = (smooth >= smooth.std()) & np.array([not x.beside for x in lines])
-    return content, [x.chars if c and x.linked <= LINK_SHARE * x.chars else 0 for x, c in zip(lines, content)]
+    threshold = smooth.std()
+    shown = np.array([not x.beside for x in lines])
+    high = (smooth >= threshold) & shown
+    content = shown & (ratio >= min(threshold, SENTENCE)) & (high | (ratio >= SENTENCE))
+    return high, content, [x.chars if c and x.linked <= LINK_SHARE * x.chars else 0 for x, c in zip(lines, content)]
 
 
-def marked_by_name(parser: PageLines, mass: list[int], lines: list[Line]) -> set[int]:
-    """The elements whose names mark them.
+def marked_by_name(parser: PageLines, mass: list[int], lines: list[Line]) -> list[bool]:
+    """Per element marked by name: whether it, or one around it, is beside the article.
 
-    Not those that hold a main element nor, if no article or main element with
-    text lies outside all of them, those that hold an article or most of the mass.
+    Not so if it holds a main element, if its id repeats its first heading nor, if no
+    article or main element with text lies outside all of them, if it holds an
+    article or most of the mass.
     """
-    spared = set(parser.holders["main"])
-    if not any(p[0] in ("article", "main") for x in lines if not x.beside and not x.named for p in x.path):
-        spared |= parser.holders["article"]
-        held: dict[int, int] = {}
-        for x, m in zip(lines, mass):
-            for k in x.named:
-                held[k] = held.get(k, 0) + m
-        spared |= {k for k, m in held.items() if m > MASS_SHARE * sum(mass) and not comment_like(parser.names[k])}
-    return set(range(len(parser.names))) - spared
-
-
-def region(lines: list[Line], mass: list[int]) -> set[tuple] | None:
-    """The elements that hold the content; none: the whole page.
-
-    They are sibling article or main elements with more than ``MASS_SHARE`` of the
-    mass, else the smallest container with all of it.
+    names = parser.names
+    alone = not any(x.node.outer for x in lines if not x.beside and x.named < 0)
+    held, main, article = [0] * len(names), [False] * len(names), [False] * len(names)
+    start: list[Line | None] = [None] * len(names)
+    for x, m in zip(lines, mass):
+        if x.named >= 0:
+            held[x.named] += m
+            if not x.beside and start[x.named] is None:
+                start[x.named] = x
+    for k in range(len(names) - 1, -1, -1):
+        around = names[k][2]
+        main[k] = main[k] or k in parser.holders["main"]
+        article[k] = article[k] or k in parser.holders["article"]
+        if around >= 0:
+            held[around] += held[k]
+            main[around], article[around] = main[around] or main[k], article[around] or article[k]
+    marked = [False] * len(names)
+    for k, (attrs, how, around, _) in enumerate(names):
+        x = start[k]
+        titled = how == "topic" and x is not None and x.heading and set(name_words(attrs.get("id") or "")) <= set(
+            name_words(x.text))
+        spared = main[k] or titled or (alone and (article[k] or (
+            held[k] > MASS_SHARE * sum(mass) and not comment_like(attrs))))
+        marked[k] = not spared or (around >= 0 and marked[around])
+    return marked
+
+
+def region(lines: list[Line], mass: list[int]) -> tuple[set[Node], Node]:
+    """The article or main elements that hold the content, else none and the container that does.
+
+    They are siblings with more than ``MASS_SHARE`` of the mass, else the smallest
+    container, lists apart, with all of it.
     """
-    siblings: dict[tuple, int] = {}
-    roots: dict[tuple, set[tuple]] = {}
+    siblings: dict[Node, int] = {}
+    roots: dict[Node, set[Node]] = {}
     for x, m in zip(lines, mass):
-        at = next((i for i, p in enumerate(x.path) if p[0] in ("article", "main")), None)
-        if at is not None and not x.beside:
-            siblings[x.path[:at]] = siblings.get(x.path[:at], 0) + m
-            roots.setdefault(x.path[:at], set()).add(x.path[at])
+        if x.node.outer and not x.beside:
+            around = x.node.outer.parent
+            siblings[around] = siblings.get(around, 0) + m
+            roots.setdefault(around, set()).add(x.node.outer)
     best = max(siblings, key=siblings.get, default=None)
     if best is not None and siblings[best] > MASS_SHARE * sum(mass):
-        return roots[best]
+        return roots[best], best
     shared = None
     for x, m in zip(lines, mass):
         if m:
-            shared = x.path if shared is None else tuple(a for a, b in zip(shared, x.path) if a == b)
-    return {shared[-1]} if shared else None
+            shared = shared or x.node
+            while not shared.holds(x.node):
+                shared = shared.parent
+    if shared is None:
+        shared = lines[0].node
+        while shared.parent:
+            shared = shared.parent
+    return set(), shared.box
 
 
 def extract(pages: DataFrame, *, id_col: str = "page_id", html_col: str = "html", keep: tuple = ("url",)) -> DataFrame:

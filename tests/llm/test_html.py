@@ -115,3 +115,67 @@ def test_parts_beside_the_article_are_still_marked():
 def test_an_advert_longer_than_the_article_stays_marked():
     page = f"<body><div class=ad>{SHORT}{SHORT}</div><article><h2>Head</h2><p>Two words.</p></article></body>"
     assert html_extract.main_text(page) == "Head\n\nTwo words."
+
+
+TEXT = "<p>" + "A plain paragraph that says enough to be counted. " * 4 + "</p>"
+
+
+def flat(monkeypatch):
+    """Every unmarked line counts as content: no ratio, no smoothing, no threshold."""
+    def all_lines(lines):
+        shown = html_extract.np.array([not x.beside for x in lines])
+        return shown, shown, [x.chars if s else 0 for x, s in zip(lines, shown)]
+
+    monkeypatch.setattr(html_extract, "clustered", all_lines)
+
+
+CLUSTERED = {
+    "three divs": f"<body><div>Subscribe now</div><div>{TEXT}<p>Short.</p>{TEXT}</div><div>Call us</div><div>Opening hours</div></body>",
+    "flat page": f"<body><p>Home</p><p>Login</p>{TEXT}<p>Short.</p>{TEXT}<p>Copyright 2020</p></body>",
+    "in an article": f"<body><article><h1>Head</h1><div>By Jane</div>{TEXT}<p>Short.</p>{TEXT}<div>Share this</div></article></body>",
+}
+
+
+def test_clusters_choose_the_blocks():
+    for name, page in CLUSTERED.items():
+        text = html_extract.main_text(page).split("\n\n")
+        want = [x for x in paragraphs(page) if x not in ("Home", "Login", "Copyright 2020")]
+        assert text == (["Head", "By Jane", *want] if "article" in name else want), name
+
+
+def test_without_ratios_the_text_differs(monkeypatch):
+    with_ratios = {name: html_extract.main_text(page) for name, page in CLUSTERED.items()}
+    flat(monkeypatch)
+    for name, page in CLUSTERED.items():
+        assert html_extract.main_text(page) != with_ratios[name], name
+
+
+def test_lists_of_links_in_an_article_stay_whole():
+    refs = "<ul><li><a href=/1>Ref one</a><li><a href=/2>Ref two</a></ul>"
+    page = f"<body><article>{LONG}{SHORT}{refs}</article>{FOOT}</body>"
+    assert html_extract.main_text(page).split("\n\n") == [*paragraphs(page), "Ref one", "Ref two"]
+
+
+def test_adverts_and_comments_named_without_headings_go():
+    comment = "<p>A reader says something long enough to look like a paragraph of the article itself.</p>"
+    for part in (f"<p class=ad>{SHORT[3:]}", f"<div class=ad-top>{SHORT}</div>", f"<div id=discussion>{comment * 3}</div>"):
+        page = f"<body><article>{TEXT}{part}{TEXT}</article>{FOOT}</body>"
+        assert html_extract.main_text(page).split("\n\n") == paragraphs(TEXT * 2), part
+
+
+def test_deep_pages_take_linear_time_and_memory():
+    import time
+    import tracemalloc
+
+    def cost(page):
+        begin = time.monotonic()
+        tracemalloc.start()
+        text = html_extract.main_text(page)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return text, peak, time.monotonic() - begin
+
+    for page in ("<div>t" * 50_000, "<div class=ad>" * 25_000 + "t", "<ul><li>t" * 25_000, "<span>" * 25_000 + "</b></p>" * 25_000 + "t"):
+        text, peak, seconds = cost(page)
+        assert peak < 150e6 and seconds < 40, (page[:20], peak, seconds)
+    assert len(html_extract.main_text("<div>t" * 50_000).split()) == 50_000
