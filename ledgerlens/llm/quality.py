@@ -10,8 +10,9 @@ one, two and three words on. A two-layer network in numpy gives a score, and a t
 rows kept from its training calibrates the probability.
 
 Fitting uses a bounded sample of the labelled rows: the ``FIT_ROWS`` rows whose
-hashed ids come first, and of their words the ``FIT_WORDS`` most frequent get a
-context vector; other words are pooled by their index vectors. Sums are whole
+hashed ids come first. Every word of them gets a context vector, summed in Spark by
+the word's hash (which is all its index vector depends on) and kept in one byte per
+dimension; words they lack are pooled by their index vectors. Sums are whole
 numbers and rows are put in order, so a fit repeats exactly. Scoring reads every
 whole text.
 
@@ -25,7 +26,6 @@ smallest hash of its text.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +41,10 @@ DIMENSIONS = 128
 NONZERO = 8
 WINDOW = 2
 FIT_ROWS = 12_000
-FIT_WORDS = 20_000
+LOCAL_WORDS = 32_768
+LOCAL_PLACES = 1 << 24
+CHUNK = 16_384
+PACK = 4_096
 HIDDEN = 32
 EPOCHS = 60
 MEMO_WORDS = 100_000
@@ -50,49 +53,126 @@ FEATURES = DIMENSIONS + 6
 WORDS = re.compile(r"\w+|[^\w\s]+")
 
 
-def index_vectors(words: list[str]) -> np.ndarray:
-    """One sparse random vector per word: eight places (seven bits each) and signs from a hash of its bytes."""
-    draw = np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), 11) for w in words),
-                       dtype=np.uint64, count=len(words))[:, None]
+def word_hashes(words: list[str]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), 11) for w in words),
+                       dtype=np.uint64, count=len(words))
+
+
+def index_vectors(hashes: np.ndarray) -> np.ndarray:
+    """One sparse random vector per word: eight places (seven bits each) and signs from the hash of its bytes."""
+    draw = hashes[:, None]
     step = np.arange(NONZERO, dtype=np.uint64)
     place = (draw >> (step * np.uint64(7)) & np.uint64(DIMENSIONS - 1)).astype(np.int64)
-    sign = (draw >> (step + np.uint64(56)) & np.uint64(1)).astype(np.int32) * 2 - 1
-    out = np.zeros((len(words), DIMENSIONS), dtype=np.int32)
+    sign = (draw >> (step + np.uint64(56)) & np.uint64(1)).astype(np.int8) * 2 - 1
+    out = np.zeros((len(hashes), DIMENSIONS), dtype=np.int8)
     for k in range(NONZERO):
-        out[np.arange(len(words)), place[:, k]] += sign[:, k]
+        out[np.arange(len(hashes)), place[:, k]] += sign[:, k]
     return out
 
 
-def contexts(words: list[str], wanted: dict[str, int], sums: np.ndarray) -> None:
-    """Adds to the rows of ``sums`` the index vectors around each wanted word (its row by ``wanted``)."""
-    if not words:
-        return
-    kinds = {w: i for i, w in enumerate(dict.fromkeys(words))}
-    at = np.fromiter(map(kinds.__getitem__, words), dtype=np.int64, count=len(words))
-    row = np.fromiter((wanted.get(w, -1) for w in kinds), dtype=np.int64, count=len(kinds))
-    vectors = index_vectors(list(kinds))
-    for begin in range(0, len(words), 16384):
-        end = min(begin + 16384, len(words))
-        low, high = max(0, begin - WINDOW), min(len(words), end + WINDOW)
-        near = vectors[at[low:high]]
-        around = np.zeros((end - begin, DIMENSIONS), dtype=np.int32)
+class Contexts:
+    """Sums, per word, of the index vectors seen around it; ``take`` empties it."""
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        self.row: dict[str, int] = {}
+        self.hashes = np.zeros(0, dtype=np.uint64)
+        self.index = np.zeros((0, DIMENSIONS), dtype=np.int8)
+        self.sums = np.zeros((0, DIMENSIONS), dtype=np.int32)
+        self.places = 0
+
+    def full(self) -> bool:
+        return len(self.row) > LOCAL_WORDS or self.places > LOCAL_PLACES
+
+    def rows_of(self, words: list[str]) -> np.ndarray:
+        new = [w for w in dict.fromkeys(words) if w not in self.row]
+        if new:
+            used, need = len(self.row), len(self.row) + len(new)
+            if need > len(self.hashes):
+                size = max(2 * need, 4096)
+                for name in ("hashes", "index", "sums"):
+                    old = getattr(self, name)
+                    grown = np.zeros((size, *old.shape[1:]), dtype=old.dtype)
+                    grown[:used] = old[:used]
+                    setattr(self, name, grown)
+            self.hashes[used:need] = word_hashes(new)
+            self.index[used:need] = index_vectors(self.hashes[used:need])
+            self.row.update(zip(new, range(used, need)))
+        return np.fromiter(map(self.row.__getitem__, words), dtype=np.int64, count=len(words))
+
+    def add(self, part: tuple[list[str], int, int]) -> None:
+        """Adds a part of a text as ``chunks`` gives it."""
+        words, left, right = part
+        at = self.rows_of(words)
+        near = self.index[at]
+        around = np.zeros((len(words), DIMENSIONS), dtype=np.int8)  # at most 2 * WINDOW * NONZERO
         for step in range(1, WINDOW + 1):
-            for shift in (-step, step):
-                first, last = max(begin + shift, low), min(end + shift, high)
-                if first < last:
-                    around[first - shift - begin:last - shift - begin] += near[first - low:last - low]
-        rows = row[at[begin:end]]
-        chosen = np.flatnonzero(rows >= 0)
-        if len(chosen):
-            order = chosen[np.argsort(rows[chosen], kind="stable")]
-            starts = np.flatnonzero(np.r_[True, np.diff(rows[order]) > 0])
-            sums[rows[order][starts]] += np.add.reduceat(around[order], starts, axis=0)
+            around[step:] += near[:-step]
+            around[:-step] += near[step:]
+        at, around = at[left:len(at) - right], around[left:len(words) - right]
+        order = np.argsort(at, kind="stable")
+        starts = np.flatnonzero(np.r_[True, np.diff(at[order]) > 0])
+        self.sums[at[order][starts]] += np.add.reduceat(around[order], starts, axis=0, dtype=np.int32)
+        self.places += len(at)
+
+    def take(self) -> Iterator[pa.RecordBatch]:
+        yield from coded(self.hashes[:len(self.row)], self.sums[:len(self.row)])
+        self.clear()
+
+
+def chunks(words: list[str]) -> Iterator[tuple[list[str], int, int]]:
+    """A text's words in parts, each with its neighbours: the words, and how many of the first and last are neighbours."""
+    for begin in range(0, len(words), CHUNK):
+        end = min(begin + CHUNK, len(words))
+        low, high = max(0, begin - WINDOW), min(len(words), end + WINDOW)
+        yield words[low:high], begin - low, high - end
+
+
+def coded(hashes: np.ndarray, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows of a word's hash and its sums in the fewest bytes a number; words without neighbours are left out."""
+    top = np.abs(sums).max(axis=1, initial=0)
+    for kind, least, most in (("<i1", 1, 127), ("<i2", 128, 32767), ("<i4", 32768, 2 ** 31 - 1), ("<i8", 2 ** 31, 2 ** 63 - 1)):
+        rows = np.flatnonzero((top >= least) & (top <= most))
+        for a in range(0, len(rows), PACK):
+            part = rows[a:a + PACK]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hashes[part].astype(np.int64)), pa.array([r.tobytes() for r in sums[part].astype(kind)],
+                                                                 type=pa.binary())], names=["word", "sums"])
+
+
+class Learned:
+    """Context vectors by word hash (sorted), one byte a dimension; a row's length means nothing."""
+
+    def __init__(self, hashes: np.ndarray, vectors: np.ndarray):
+        order = np.argsort(hashes)
+        self.hashes, self.vectors = hashes[order], vectors[order]
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def add_to(self, vectors: np.ndarray, hashes: np.ndarray) -> None:
+        """Adds the context part, scaled to the length of an index vector, to the rows of known words."""
+        if not len(self.hashes):
+            return
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        known = np.flatnonzero(self.hashes[at] == hashes)
+        more = self.vectors[at[known]].astype(np.float32)
+        more *= np.float32(np.sqrt(NONZERO)) / np.maximum(np.linalg.norm(more, axis=1, keepdims=True), 1e-9)
+        vectors[known] += more
+
+
+def in_bytes(sums: np.ndarray) -> np.ndarray:
+    """Each row scaled to at most 127 and rounded."""
+    top = np.maximum(np.abs(sums).max(axis=1, initial=0), 1)[:, None]
+    return np.rint(sums * (127.0 / top)).astype(np.int8)
 
 
 class Pooler:
-    """Document vectors from word vectors; ``learned``: word -> context part."""
+    """Document vectors from word vectors."""
 
-    def __init__(self, learned: dict[str, np.ndarray]):
+    def __init__(self, learned: Learned):
         self.learned, self.row, self.table = learned, {}, np.zeros((0, DIMENSIONS), dtype=np.float32)
 
     def rows_of(self, words: list[str]) -> None:
@@ -102,10 +182,9 @@ class Pooler:
             self.row, self.table, new = {}, self.table[:0], list(words)
         if not new:
             return
-        vectors = index_vectors(new).astype(np.float32)
-        for i, w in enumerate(new):
-            if (more := self.learned.get(w)) is not None:
-                vectors[i] += more
+        hashes = word_hashes(new)
+        vectors = index_vectors(hashes).astype(np.float32)
+        self.learned.add_to(vectors, hashes)
         vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
         used = len(self.row)
         if used + len(new) > len(self.table):
@@ -187,33 +266,33 @@ class Network:
 
 
 class QualityModel:
-    def __init__(self, learned: dict[str, np.ndarray], network: Network):
+    def __init__(self, learned: Learned, network: Network):
         self.learned, self.network = learned, network
 
     def score(self, texts: list[str | None]) -> list[float]:
-        return self.network.score(_pooler(self).pool(texts)).tolist()
+        return self.network.score(_pooler(self.learned).pool(texts)).tolist()
 
 
-_POOLERS: dict[int, tuple[QualityModel, Pooler]] = {}
+_POOLERS: dict[int, tuple[Learned, Pooler]] = {}
 
 
-def _pooler(model: QualityModel) -> Pooler:
-    """The worker's pooler of a model, kept between batches."""
-    if id(model) not in _POOLERS:
+def _pooler(learned: Learned) -> Pooler:
+    """The worker's pooler of these vectors, kept between batches."""
+    if id(learned) not in _POOLERS:
         _POOLERS.clear()
-        _POOLERS[id(model)] = model, Pooler(model.learned)
-    return _POOLERS[id(model)][1]
+        _POOLERS[id(learned)] = learned, Pooler(learned)
+    return _POOLERS[id(learned)][1]
 
 
 releases("quality", _POOLERS.clear)
 
 
 def train(df: DataFrame, labels: DataFrame, use: Column, *, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "quality", fit_rows: int = FIT_ROWS, fit_words: int = FIT_WORDS) -> QualityModel:
+          label_col: str = "quality", fit_rows: int = FIT_ROWS) -> QualityModel:
     """A model from the labelled rows where ``use`` (on ids) holds.
 
-    ``fit_rows`` bounds what the driver receives: one vector per fitted row and
-    one per fitted word.
+    ``fit_rows`` bounds what the driver receives: one vector per fitted row, and 136
+    bytes per word of these rows.
     """
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & use).groupBy(id_col).agg(
         F.min(label_col).alias("label")).orderBy(F.xxhash64(F.col(id_col)), id_col).limit(fit_rows)
@@ -228,51 +307,43 @@ def train(df: DataFrame, labels: DataFrame, use: Column, *, id_col: str = "doc_i
         F.min("at").alias("at")))
     rows = found.join(F.broadcast(one), ["k", "at"]).select("k", "label", "text")  # at most fit_rows rows
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in slices(batch):
-                seen: Counter = Counter()
-                for text in piece.column(0).to_pylist():
-                    seen.update(WORDS.findall(text or ""))
-                if seen:
-                    yield pa.RecordBatch.from_arrays([pa.array(list(seen)), pa.array(list(seen.values()))],
-                                                     names=["word", "n"])
-
-    frequent = rows.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(
-        F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(fit_words)
-    wanted = {r[0]: i for i, r in enumerate(frequent.collect())}  # at most fit_words rows
-
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((len(wanted), DIMENSIONS), dtype=np.int64)
+        seen = Contexts()
         for batch in batches:
             for piece in slices(batch):
                 for text in piece.column(0).to_pylist():
-                    contexts(WORDS.findall(text or ""), wanted, sums)
-        yield from nonzero(sums)
-
-    def nonzero(sums: np.ndarray) -> Iterator[pa.RecordBatch]:
-        used = np.flatnonzero(sums.any(axis=1))
-        if len(used):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(used), pa.array([r.tobytes() for r in sums[used]], type=pa.binary())], names=["row", "sums"])
+                    for part in chunks(WORDS.findall(text or "")):
+                        seen.add(part)
+                        if seen.full():
+                            yield from seen.take()
+        yield from seen.take()
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((len(wanted), DIMENSIONS), dtype=np.int64)
+        kinds = {DIMENSIONS * n: f"<i{n}" for n in (1, 2, 4, 8)}
+        row: dict[int, int] = {}
+        sums = np.zeros((PACK, DIMENSIONS), dtype=np.int64)
         for batch in batches:
-            for row, part in zip(batch.column(0).to_pylist(), batch.column(1)):
-                sums[row] += np.frombuffer(part.as_buffer(), dtype=np.int64)
-        yield from nonzero(sums)
-
-    whole = rows.select("text").mapInArrow(gather, "row long, sums binary").repartition("row").mapInArrow(
-        add_up, "row long, sums binary")
-    words, learned = list(wanted), {}
-    for row, v in whole.collect():  # at most fit_words rows
-        around = np.frombuffer(bytes(v), dtype=np.int64).astype(np.float32)
-        learned[words[row]] = around / max(float(np.linalg.norm(around)), 1e-9) * np.float32(np.sqrt(NONZERO))
-    model = QualityModel(learned, Network(np.zeros((0, FEATURES)), np.zeros(0)))
+            for word, part in zip(batch.column(0).to_pylist(), batch.column(1)):
+                at = row.setdefault(word, len(row))
+                if at == len(sums):
+                    sums = np.concatenate([sums, np.zeros_like(sums)])
+                part = part.as_buffer()
+                sums[at] += np.frombuffer(part, dtype=kinds[part.size])
+        words = np.fromiter(row, dtype=np.int64, count=len(row))
+        for a in range(0, len(row), PACK):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([words[a:a + PACK].tobytes()], type=pa.binary()),
+                 pa.array([in_bytes(sums[a:min(a + PACK, len(row))]).tobytes()], type=pa.binary())], names=["words", "sums"])
+
+    packs = rows.select("text").mapInArrow(gather, "word long, sums binary").repartition("word").mapInArrow(
+        add_up, "words binary, sums binary").collect()  # 136 bytes a word of at most fit_rows rows
+    learned = Learned(np.frombuffer(b"".join(bytes(r["words"]) for r in packs), dtype=np.int64).view(np.uint64),
+                      np.frombuffer(b"".join(bytes(r["sums"]) for r in packs), dtype=np.int8).reshape(-1, DIMENSIONS))
+    del packs
+    shared = spark.sparkContext.broadcast(learned)  # bounded by fit_rows
 
     def pool(piece):
-        x = _pooler(model).pool(piece.column(2).to_pylist())
+        x = _pooler(shared.value).pool(piece.column(2).to_pylist())
         return {"k": piece.column(0), "label": piece.column(1), "x": [v.astype("<f8").tobytes() for v in x]}
 
     pooled = sorted((r["k"], r["label"], bytes(r["x"])) for r in map_slices(
@@ -284,7 +355,7 @@ def train(df: DataFrame, labels: DataFrame, use: Column, *, id_col: str = "doc_i
 
 def score(df: DataFrame, model: QualityModel, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the id and ``score``."""
-    shared = df.sparkSession.sparkContext.broadcast(model)  # bounded by fit_words
+    shared = df.sparkSession.sparkContext.broadcast(model)  # bounded by fit_rows
 
     def run(piece):
         return {"id": piece.column(0), "score": shared.value.score(piece.column(1).to_pylist())}

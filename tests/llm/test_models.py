@@ -67,30 +67,49 @@ def test_quality_repeats_exactly(spark, sf):
     assert a == b
 
 
-def test_contexts_equal_a_plain_loop():
-    words = "a b c a b d".split() * 3000
-    wanted = {"a": 0, "d": 1, "z": 2}
-    sums = np.zeros((3, quality.DIMENSIONS), dtype=np.int64)
-    quality.contexts(words, wanted, sums)
-    vector = dict(zip("abcd", quality.index_vectors(list("abcd"))))
-    for w, row in wanted.items():
-        want = np.zeros(quality.DIMENSIONS)
-        for i, x in enumerate(words):
-            if x == w:
-                for j in range(max(0, i - 2), min(len(words), i + 3)):
-                    if j != i:
-                        want += vector[words[j]]
-        assert (sums[row] == want).all()
+def index_of(words):
+    return quality.index_vectors(quality.word_hashes(words))
+
+
+def test_contexts_equal_a_plain_loop(monkeypatch):
+    words = "a b c a b d".split() * 300
+    vector = dict(zip("abcd", index_of(list("abcd")).astype(int)))
+    want = {w: np.zeros(quality.DIMENSIONS, dtype=int) for w in "abcd"}
+    for i, x in enumerate(words):
+        for j in range(max(0, i - 2), min(len(words), i + 3)):
+            if j != i:
+                want[x] += vector[words[j]]
+    for chunk in (quality.CHUNK, 1, 2, 7, len(words)):
+        monkeypatch.setattr(quality, "CHUNK", chunk)
+        seen = quality.Contexts()
+        for part in quality.chunks(words):
+            seen.add(part)
+        got = {}
+        for batch in seen.take():
+            for h, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                got[h] = np.frombuffer(v, dtype={128: "<i1", 256: "<i2", 512: "<i4"}[len(v)])
+        assert not seen.row and len(got) == 4
+        for w, h in zip("abcd", quality.word_hashes(list("abcd")).astype(np.int64)):
+            assert (got[int(h)] == want[w]).all()
+
+
+def test_sums_of_every_size_are_coded():
+    sums = np.zeros((6, quality.DIMENSIONS), dtype=np.int64)
+    sums[:, 3] = 0, 127, -128, 32767, -32768, 2 ** 40
+    rows = [r for b in quality.coded(np.arange(6, dtype=np.uint64), sums) for r in zip(*(c.to_pylist() for c in b.columns))]
+    assert {h: int(np.frombuffer(v, dtype=f"<i{len(v) // 128}")[3]) for h, v in rows} == {
+        1: 127, 2: -128, 3: 32767, 4: -32768, 5: 2 ** 40}
 
 
 def test_pooling_is_the_mean_of_word_vectors_also_when_the_table_starts_afresh(monkeypatch):
     texts = ["one two two!", None, "three four five", "one"]
-    whole = quality.Pooler({"two": np.ones(quality.DIMENSIONS, dtype=np.float32)}).pool(texts)
+    learned = quality.Learned(quality.word_hashes(["two"]), np.full((1, quality.DIMENSIONS), 127, dtype=np.int8))
+    whole = quality.Pooler(learned).pool(texts)
     monkeypatch.setattr(quality, "MEMO_WORDS", 3)
-    small = quality.Pooler({"two": np.ones(quality.DIMENSIONS, dtype=np.float32)})
+    small = quality.Pooler(learned)
     assert np.allclose(whole, small.pool(texts)) and not whole[1].any()
-    v = quality.index_vectors(["one", "two", "!"]).astype(float)
-    v[1] += 1
+    v = index_of(["one", "two", "!"]).astype(float)
+    v[1] += np.sqrt(quality.NONZERO / quality.DIMENSIONS)  # a constant vector as long as an index vector
     v /= np.linalg.norm(v, axis=1, keepdims=True)
     assert np.allclose(whole[0, :quality.DIMENSIONS], (v[0] + 2 * v[1] + v[2]) / 4, atol=1e-6)
     assert np.allclose(whole[0, -3:], [1 / 4, 0, 0])
@@ -123,7 +142,9 @@ def test_quality_rare_words_get_contexts(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
     learned = quality.train(docs, labels, F.lit(True)).learned
-    assert len(learned) == 9000 and sum(w[0] == "b" for w in learned) == 4000
+    words = [f"a{j}" for j in range(5000)] + [f"b{j}" for j in range(4000)]
+    assert len(learned) == 9000 and set(learned.hashes) == set(quality.word_hashes(words))
+    assert (np.abs(learned.vectors).max(axis=1) == 127).all()
 
 
 def test_quality_fits_one_row_per_id(spark, monkeypatch):
