@@ -1,8 +1,8 @@
-"""Connected components over an edge table, by repeated smallest-neighbour stars."""
+"""Connected components over an edge table by repeated smallest-neighbour stars; rows picked by key."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.session import checkpoint_dir
@@ -41,3 +41,26 @@ def components(edges: DataFrame) -> DataFrame:
         before = state
     return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+
+
+def one_row_each(df: DataFrame, row_id: Column, row_key: Column, keep: DataFrame) -> DataFrame:
+    """One row of ``df`` per row of ``keep`` (``id``, ``key``, ``rows``: how many rows of ``df`` have both), all columns unchanged.
+
+    Rows alone under their id and key are a semi join. Of repeated ones, the row with
+    the least hash of its columns stays: an aggregate that leaves each task with one
+    row per key, so a row repeated without end is in no one task's group.
+    """
+    keep = cut_lineage(keep)
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    keyed = df.select(*columns, row_id.alias("__id"), row_key.alias("__key"))
+
+    def among(found: DataFrame) -> DataFrame:
+        return keyed.join(found, keyed["__id"].eqNullSafe(found["id"]) & (keyed["__key"] == found["key"]), "left_semi")
+
+    single = among(keep.filter("rows = 1")).select(*columns)
+    repeated = keep.filter("rows > 1")
+    if repeated.isEmpty():
+        return single
+    hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    least = among(repeated).groupBy("__id", "__key").agg(F.min_by(F.struct(*columns), F.xxhash64(*hashed)).alias("__row"))
+    return single.union(least.select(*[F.col(f"__row.`{c}`") for c in df.columns]))

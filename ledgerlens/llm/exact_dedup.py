@@ -27,10 +27,11 @@ import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.batches import slices
+from ledgerlens.llm.components import cut_lineage, one_row_each
 
 TRIE_BYTES = 96 * 1024 * 1024
 NODE_BYTES = 200
@@ -245,22 +246,23 @@ def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def exact_groups(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the id, ``keep_id``, ``group_size``, ``kept`` and ``text_sha256`` of the normalised text."""
     keyed = _keyed(df, id_col, text_col)
-    table = owners(keyed.select("id", "n_bytes", "hash", F.col("norm").cast("binary").alias("norm")))
-    rows = keyed.select("id", "n_bytes", "hash", F.sha2(F.col("norm").cast("binary"), 256).alias("sha"))
-    out = rows.join(table, ["n_bytes", "hash", "sha"], "inner")
-    turn = F.row_number().over(Window.partitionBy("id", "sha").orderBy("id"))
-    kept = F.col("id").eqNullSafe(F.col("keep_id")) & (turn == 1)
+    key = ["n_bytes", "hash", "sha"]
+    table = cut_lineage(owners(keyed.select("id", "n_bytes", "hash", F.col("norm").cast("binary").alias("norm"))))
+    rows = cut_lineage(keyed.select("id", "n_bytes", "hash", F.sha2(F.col("norm").cast("binary"), 256).alias("sha"),
+                                    F.monotonically_increasing_id().alias("at")))
+    # where rows repeat the id that stays: the first of them, pre-aggregated
+    first = rows.join(table.filter("keep_rows > 1"), key).filter(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy(
+        *key).agg(F.min("at").alias("first"))
+    out = rows.join(table.join(first, key, "left"), key, "inner")
+    kept = F.col("id").eqNullSafe(F.col("keep_id")) & ((F.col("keep_rows") == 1) | (F.col("at") == F.col("first")))
     return out.select(F.col("id").alias(id_col), "keep_id", F.col("rows").alias("group_size"),
-                      kept.alias("kept"), F.col("sha").alias("text_sha256"))
+                      F.coalesce(kept, F.lit(False)).alias("kept"), F.col("sha").alias("text_sha256"))
 
 
 def drop_copies(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that stay, all columns unchanged: of equal texts the row with the smallest id."""
-    keep = exact_groups(df, id_col=id_col, text_col=text_col).filter("kept").select(
-        F.col(id_col).alias("__id"), F.col("text_sha256").alias("__sha"))
+    groups = exact_groups(df, id_col=id_col, text_col=text_col)
+    keep = groups.groupBy(F.col(id_col).alias("id"), F.col("text_sha256").alias("key")).agg(
+        F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows")).filter("kept").select("id", "key", "rows")
     sha = F.sha2(normalised(F.col(text_col).cast("string")).cast("binary"), 256)
-    rows = df.select(*[F.col(f"`{c}`") for c in df.columns], F.col(id_col).cast("long").alias("__doc"),
-                     sha.alias("__text_sha"))
-    out = rows.join(keep, rows["__doc"].eqNullSafe(keep["__id"]) & (rows["__text_sha"] == keep["__sha"]), "left_semi")
-    turn = F.row_number().over(Window.partitionBy("__doc", "__text_sha").orderBy("__doc"))
-    return out.withColumn("__turn", turn).filter("__turn = 1").select(*[F.col(f"`{c}`") for c in df.columns])
+    return one_row_each(df, F.col(id_col).cast("long"), sha, keep)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.batches import map_slices
-from ledgerlens.llm.components import components, cut_lineage
+from ledgerlens.llm.components import components, cut_lineage, one_row_each
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -104,15 +104,15 @@ def links(nodes: DataFrame, *, max_bits: int = MAX_BITS, blocks: int = BLOCKS, c
         F.struct(F.lit(k).cast("byte").alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("v"))
         for k, m in enumerate(masks)])).alias("key")).select("fp", "key.t", "key.v")
     in_key = Window.partitionBy("t", "v").orderBy("fp")
-    placed = keyed.withColumn("at", F.row_number().over(in_key) - 1)
+    placed = keyed.withColumn("at", F.row_number().over(in_key))
     # a key's first cell: each member with those before it, at most cell * (cell - 1) / 2 pairs
-    ahead = F.collect_list(F.when(F.col("at") < cell, F.col("fp"))).over(in_key.rowsBetween(-cell, -1))
-    first = placed.filter(F.col("at") <= cell).withColumn("ahead", ahead)
-    close = first.filter((F.col("at") > 0) & (F.col("at") < cell)).select(
+    ahead = F.collect_list(F.when(F.col("at") <= cell, F.col("fp"))).over(in_key.rowsBetween(-cell, -1))
+    first = placed.filter(F.col("at") <= cell + 1).withColumn("ahead", ahead)
+    close = first.filter((F.col("at") > 1) & (F.col("at") <= cell)).select(
         "fp", F.explode("ahead").alias("other")).filter(
         F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= max_bits).select(
         F.col("fp").alias("a"), F.col("other").alias("b"))
-    crowded = placed.filter(F.col("at") == cell).select("t", "v")  # one row per crowded key
+    crowded = placed.filter(F.col("at") == cell + 1).select("t", "v")  # one row per crowded key
     members = keyed.join(crowded, ["t", "v"], "left_semi")
     return close.unionByName(_meeting(members, masks, max_bits)).distinct()
 
@@ -138,27 +138,23 @@ def _meeting(members: DataFrame, masks: list[int], max_bits: int) -> DataFrame:
 def near_groups(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS,
                 max_bits: int = MAX_BITS) -> DataFrame:
     """Per row: the id, ``fp`` (signed), ``component_id`` and ``kept`` (one row of each component)."""
-    rows = cut_lineage(fingerprints(df, id_col=id_col, text_col=text_col, words=words))
-    nodes = cut_lineage(rows.groupBy("fp").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies")))
+    rows = cut_lineage(fingerprints(df, id_col=id_col, text_col=text_col, words=words).withColumn(
+        "at", F.monotonically_increasing_id()))
+    first = F.struct(F.col("id").isNull().alias("unknown"), "id", "h", "at")  # the row that stays has the least
+    nodes = cut_lineage(rows.groupBy("fp").agg(F.min(first).alias("first")))
     roots = components(links(nodes.select("fp"), max_bits=max_bits))
     labelled = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
-    labels = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    label = labelled.select("fp", "root").join(labels, "root").select("fp", "root", "component_id")
-    out = rows.join(label, "fp")
-    # by root: components of null or repeated ids can share a component_id
-    turn = F.row_number().over(Window.partitionBy("root", "id").orderBy("h"))
-    kept = F.col("id").eqNullSafe(F.col("component_id")) & (turn == 1)
-    return out.select(F.col("id").alias(id_col), "h", "fp", "component_id", kept.alias("kept"))
+        "fp", "first", F.coalesce("root", "fp").alias("root"))
+    labels = labelled.groupBy("root").agg(F.min("first").alias("stays"))
+    label = labelled.select("fp", "root").join(labels, "root").select("fp", "stays")
+    return rows.join(label, "fp").select(F.col("id").alias(id_col), "h", "fp", F.col("stays.id").alias("component_id"),
+                                         (F.col("at") == F.col("stays.at")).alias("kept"))
 
 
 def drop_near_copies(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                      words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """One row of each component, the one with the smallest id, all columns unchanged."""
-    keep = near_groups(df, id_col=id_col, text_col=text_col, words=words, max_bits=max_bits).filter("kept").select(
-        F.col(id_col).alias("__id"), F.col("h").alias("__h"))
-    rows = df.select(*[F.col(f"`{c}`") for c in df.columns], F.col(id_col).cast("long").alias("__doc"),
-                     F.xxhash64(F.col(text_col).cast("string")).alias("__text"))
-    out = rows.join(keep, rows["__doc"].eqNullSafe(keep["__id"]) & (rows["__text"] == keep["__h"]), "left_semi")
-    turn = F.row_number().over(Window.partitionBy("__doc", "__text").orderBy("__doc"))
-    return out.withColumn("__turn", turn).filter("__turn = 1").select(*[F.col(f"`{c}`") for c in df.columns])
+    groups = near_groups(df, id_col=id_col, text_col=text_col, words=words, max_bits=max_bits)
+    keep = groups.groupBy(F.col(id_col).alias("id"), F.col("h").alias("key")).agg(
+        F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows")).filter("kept").select("id", "key", "rows")
+    return one_row_each(df, F.col(id_col).cast("long"), F.xxhash64(F.col(text_col).cast("string")), keep)

@@ -212,3 +212,26 @@ def test_components_that_share_an_id_each_keep_a_row(spark):
     kept = [r for r in simhash.near_groups(docs).collect() if r.kept]
     assert sorted((str(r.doc_id), r.component_id) for r in kept) == [("7", 7), ("7", 7), ("None", None), ("None", None)]
     assert sorted(r.text for r in simhash.drop_near_copies(docs).collect()) == sorted(texts.values())
+
+
+def test_rows_repeated_whole_are_spread_over_tasks(spark):
+    """A third of the rows are one row, others repeat an id with other columns: no window over them, one of each stays."""
+    docs = spark.range(9000, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 3000).alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, "the same text again and again").otherwise(
+            F.concat(F.lit("text of many other words number "), (F.col("id") % 3000).cast("string"))).alias("text"),
+        (F.col("id") % 2).alias("extra"))
+    for groups, drop in ((exact_dedup.exact_groups, exact_dedup.drop_copies), (simhash.near_groups, simhash.drop_near_copies)):
+        table = groups(docs)
+        assert "Window" not in table._jdf.queryExecution().executedPlan().toString()
+        kept = table.filter("kept")
+        left = drop(docs)
+        assert "Window" not in left._jdf.queryExecution().executedPlan().toString()
+        assert left.columns == docs.columns and left.count() == kept.count()
+        assert sorted(str(r.doc_id) for r in left.collect()) == sorted(str(r.doc_id) for r in kept.collect())
+    assert exact_dedup.drop_copies(docs).count() == 2001
+
+
+def test_crowded_keys_are_cut_by_a_group_limit(spark):
+    plan = simhash.links(spark.range(10).select(F.col("id").alias("fp")))._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
