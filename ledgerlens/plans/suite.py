@@ -42,7 +42,7 @@ from ledgerlens.plans.car import (
 from ledgerlens.plans.cax import cax02_cash_over_limit
 from ledgerlens.plans.rec import billing_extract, billing_rows, rec07_weekend_holiday_billing
 from ledgerlens.session import checkpoint_dir
-from ledgerlens.sources.views import with_collation
+from ledgerlens.sources.views import collated_scope
 
 
 @dataclass(frozen=True)
@@ -133,7 +133,13 @@ def run_check(key: str, views: Mapping[str, DataFrame], params: Mapping,
     """Run one catalogued check on its view; ``collation`` (e.g. ``UTF8_LCASE``)
     makes its text comparisons follow that collation."""
     check = CATALOG[key]
-    return check.fn(with_collation(views[check.view], collation), **params)
+    return check.fn(collated_scope(views[check.view], collation, params.get("establishments")), **params)
+
+
+def joint_establishments(scopes: Sequence[Mapping]) -> list[str] | None:
+    """The establishments of several checks' parameters; none if a check has no such scope."""
+    sites = [s.get("establishments") for s in scopes]
+    return None if None in sites else sorted({e for s in sites for e in ([s] if isinstance(s, str) else s)})
 
 
 def joint_scope(df: DataFrame, scopes: Sequence[Mapping]) -> DataFrame:
@@ -144,11 +150,9 @@ def joint_scope(df: DataFrame, scopes: Sequence[Mapping]) -> DataFrame:
     """
     date_col = "data" if "data" in df.columns else (
         "data_transacao" if "data_transacao" in df.columns else "data_nota_fiscal")
-    sites = [s.get("establishments") for s in scopes]
     starts = [s.get("start") for s in scopes]
     ends = [s.get("end", s.get("base_date")) for s in scopes]
-    listed = None if None in sites else sorted({e for s in sites for e in ([s] if isinstance(s, str) else s)})
-    return scope_filter(df, establishments=listed, date_col=date_col,
+    return scope_filter(df, establishments=joint_establishments(scopes), date_col=date_col,
                         start=None if None in starts else min(map(to_date_value, starts)),
                         end=None if None in ends else max(map(to_date_value, ends)))
 
@@ -205,10 +209,11 @@ def audit_suite(checks: Sequence[str], views: Mapping[str, DataFrame],
             continue
         if "ordered" in check.fn.__code__.co_varnames:
             p.setdefault("ordered", False)
-        result = check.fn(with_collation(views[check.view], collation), **p)
+        result = check.fn(collated_scope(views[check.view], collation, p.get("establishments")), **p)
         frames.append(result.agg(F.count(F.lit(1)).alias("rows_found")).select(name.alias("c"), "rows_found"))
     for view, some in listed.items():
-        counts = with_collation(views[view], collation).agg(*[n.alias(f"n{i}") for i, (_, n) in enumerate(some)])
+        sites = joint_establishments([params.get(k, {}) for k in checks if CATALOG[k].view == view and CATALOG[k].rows is not None])
+        counts = collated_scope(views[view], collation, sites).agg(*[n.alias(f"n{i}") for i, (_, n) in enumerate(some)])
         each = F.explode(F.array(*[F.struct(c.alias("c"), F.col(f"n{i}").alias("rows_found")) for i, (c, _) in enumerate(some)]))
         frames.append(counts.select(each.alias("e")).select("e.c", "e.rows_found"))
     out = frames[0]

@@ -12,8 +12,12 @@ from ledgerlens.sources.testdata import VIEW_BUILDERS, Tables, testdata_view
 from ledgerlens.sources.views import (
     VIEW_SCHEMAS,
     canonical_columns,
+    collated_scope,
+    fold_key,
     load_view,
     materialize_view,
+    split_histogram,
+    split_predicates,
     with_collation,
 )
 

@@ -260,3 +260,85 @@ def test_partitioned_write_has_few_files_per_establishment(spark, tmp_out):
     for d in os.listdir(path):
         if d.startswith("cod_estabelecimento="):
             assert len([f for f in os.listdir(os.path.join(path, d)) if f.endswith(".parquet")]) <= 2
+
+
+SKEWED = [(dt.date(2025, 1, 1) + dt.timedelta(days=d), k) for d in range(40) for k in range(-5, 15)] + [
+    (dt.date(2025, 1, 17), k) for k in range(2000)] + [(None, k) for k in range(900)] + [(dt.date(2025, 1, 17), None), (None, None)]
+
+
+def test_split_predicates_are_even_disjoint_and_complete_on_a_skewed_column(spark):
+    from ledgerlens.sources import split_histogram, split_predicates
+
+    df = spark.createDataFrame(SKEWED, "data date, id long")
+    for bins in (1000, 7):
+        histogram = split_histogram(df, "data", bins=bins)
+        assert sum(n for _, n in histogram) == len(SKEWED) and len(histogram) <= bins + 2
+        texts = split_predicates(histogram, "data", 10, within="id")
+        later = df.union(spark.createDataFrame([(dt.date(1990, 1, 1), 1), (dt.date(2090, 1, 1), -7)], df.schema))
+        rows = later.select(*[F.expr(t).alias(f"p{i}") for i, t in enumerate(texts)]).collect()
+        assert all(sum(bool(x) for x in r) == 1 for r in rows)  # each row, NULLs included, in exactly one part
+        sizes = [sum(bool(r[i]) for r in rows) for i in range(len(texts))]
+        assert max(sizes) <= 1.2 * len(SKEWED) / 10 and len(texts) <= 22
+    whole = split_predicates(histogram, "data", 10)
+    assert "data IS NULL" in whole and max(sum(bool(r[0]) for r in df.select(F.expr(t)).collect()) for t in whole) >= 2000
+
+
+def test_split_predicates_of_odd_columns(spark):
+    from ledgerlens.sources import split_histogram, split_predicates
+
+    empty = spark.createDataFrame([], "v long")
+    assert split_histogram(empty, "v") == [] and split_predicates([], "v", 4) == ["v IS NOT NULL", "v IS NULL"]
+    assert split_predicates([(None, 5)], "v", 2) == ["v IS NOT NULL", "v IS NULL"]
+    assert split_predicates([("it's", 5), ("a", 5)], "v", 2) == ["v < 'it''s'", "v >= 'it''s'", "v IS NULL"]
+    for bad in ([(1.5, 3), (2.5, 3)], [(1, 2), (1, 3)]):
+        with pytest.raises(ValueError):
+            split_predicates(bad, "v", 2)
+
+
+def test_jdbc_read_by_histogram(spark, monkeypatch):
+    from pyspark.sql import DataFrameReader
+
+    calls = []
+    empty = spark.createDataFrame([], "cod_estabelecimento string, data_transacao date, conta_contabil string, "
+                                      "nome_conta string, valor_moeda decimal(18,2)")
+    monkeypatch.setattr(DataFrameReader, "jdbc", lambda self, *a, **k: calls.append(k) or empty)
+    load_view(spark, "gl_transactions", jdbc={"url": "jdbc:x", "table": "t", "partition_column": "id", "num_partitions": 2,
+                                              "histogram": [(1, 4), (5, 4), (None, 1)]})
+    assert calls[0]["predicates"] == ["id < 5", "id >= 5", "id IS NULL"]
+
+
+def test_folded_keys_make_a_case_insensitive_scope_a_pushed_filter(spark, tmp_out):
+    from ledgerlens.plans import run_check
+
+    key = "afo01_supplier_advances"
+    view = derived_view(spark, SF_SMALL, "supplier_transactions")
+    mixed = view.withColumn("cod_estabelecimento", F.when(F.crc32("cod_fornecedor") % 2 == 0, F.lower("cod_estabelecimento"))
+                            .otherwise(F.col("cod_estabelecimento")))
+    params = dict(fx.PARAMS[key])
+    codes = params["establishments"]
+    params["establishments"] = codes.lower() if isinstance(codes, str) else [c.lower() for c in codes]
+    path = os.path.join(tmp_out, "folded")
+    materialize_view(mixed, path, partition_by=("status",), folded=("cod_estabelecimento",))
+    stored = load_view(spark, "supplier_transactions", path=path, folded=True)
+    got = run_check(key, {"supplier_transactions": stored}, params, collation="UTF8_LCASE")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    pushed = [x for x in plan.split("PushedFilters")[1:] if "cod_estabelecimento__folded" in x.split("ReadSchema")[0]]
+    assert pushed and all("In(cod_estabelecimento__folded" in x or "EqualTo(cod_estabelecimento__folded" in x for x in pushed)
+    plain = run_check(key, {"supplier_transactions": load_view(spark, "supplier_transactions", path=path)}, params,
+                      collation="UTF8_LCASE")
+    assert got.columns == plain.columns and sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))
+    assert got.count() > run_check(key, {"supplier_transactions": stored}, params).count()  # without a collation: exact case
+
+
+def test_folded_partitions_prune_folders(spark, tmp_out):
+    from ledgerlens.sources import collated_scope
+
+    view = derived_view(spark, SF_SMALL, "gl_transactions")
+    path = os.path.join(tmp_out, "by_folded")
+    materialize_view(view, path, partition_by=("cod_estabelecimento__folded",), folded=("cod_estabelecimento",))
+    code = view.first().cod_estabelecimento
+    scoped = collated_scope(load_view(spark, "gl_transactions", path=path, folded=True), "UTF8_LCASE", code.swapcase())
+    assert "PartitionFilters: [cod_estabelecimento__folded" in scoped._jdf.queryExecution().executedPlan().toString() or \
+        "cod_estabelecimento__folded" in scoped._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1].split("]")[0]
+    assert scoped.count() == view.filter(F.lower("cod_estabelecimento") == code.lower()).count() > 0
+    assert "cod_estabelecimento__folded" not in scoped.columns
