@@ -11,8 +11,8 @@ rows kept from its training calibrates the probability.
 
 Fitting uses a bounded sample of the labelled rows: the ``FIT_ROWS`` rows whose
 hashed ids come first. Every word of them gets a context vector, summed in Spark by
-the word's hash (which is all its index vector depends on) and kept in one byte per
-dimension; words they lack are pooled by their index vectors. Sums are whole
+the word's hash (which is all its index vector depends on) and kept in half a byte
+per dimension; words they lack are pooled by their index vectors. Sums are whole
 numbers and rows are put in order, so a fit repeats exactly. Scoring reads every
 whole text.
 
@@ -130,20 +130,32 @@ def chunks(words: list[str]) -> Iterator[tuple[list[str], int, int]]:
         yield words[low:high], begin - low, high - end
 
 
+def packed(values: np.ndarray) -> np.ndarray:
+    """Rows of numbers from -8 to 7, two in a byte."""
+    halves = (values + 8).astype(np.uint8)
+    return halves[:, ::2] | halves[:, 1::2] << 4
+
+
+def unpacked(halves: np.ndarray) -> np.ndarray:
+    out = np.empty((len(halves), DIMENSIONS), dtype=np.int8)
+    out[:, ::2], out[:, 1::2] = halves & 15, halves >> 4
+    return out - np.int8(8)
+
+
 def coded(hashes: np.ndarray, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Rows of a word's hash and its sums in the fewest bytes a number; words without neighbours are left out."""
     top = np.abs(sums).max(axis=1, initial=0)
-    for kind, least, most in (("<i1", 1, 127), ("<i2", 128, 32767), ("<i4", 32768, 2 ** 31 - 1), ("<i8", 2 ** 31, 2 ** 63 - 1)):
+    for kind, least, most in (("", 1, 7), ("<i1", 8, 127), ("<i2", 128, 32767), ("<i4", 32768, 2 ** 31 - 1), ("<i8", 2 ** 31, 2 ** 63 - 1)):
         rows = np.flatnonzero((top >= least) & (top <= most))
         for a in range(0, len(rows), PACK):
             part = rows[a:a + PACK]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes[part].astype(np.int64)), pa.array([r.tobytes() for r in sums[part].astype(kind)],
-                                                                 type=pa.binary())], names=["word", "sums"])
+                [pa.array(hashes[part].astype(np.int64)), pa.array(
+                    [r.tobytes() for r in (sums[part].astype(kind) if kind else packed(sums[part]))], type=pa.binary())], names=["word", "sums"])
 
 
 class Learned:
-    """Context vectors by word hash (sorted), one byte a dimension; a row's length means nothing."""
+    """Context vectors by word hash (sorted), half a byte a dimension (``packed``); a row's length means nothing."""
 
     def __init__(self, hashes: np.ndarray, vectors: np.ndarray):
         order = np.argsort(hashes)
@@ -158,15 +170,15 @@ class Learned:
             return
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         known = np.flatnonzero(self.hashes[at] == hashes)
-        more = self.vectors[at[known]].astype(np.float32)
+        more = unpacked(self.vectors[at[known]]).astype(np.float32)
         more *= np.float32(np.sqrt(NONZERO)) / np.maximum(np.linalg.norm(more, axis=1, keepdims=True), 1e-9)
         vectors[known] += more
 
 
-def in_bytes(sums: np.ndarray) -> np.ndarray:
-    """Each row scaled to at most 127 and rounded."""
+def in_halves(sums: np.ndarray) -> np.ndarray:
+    """Each row scaled to at most 7, rounded and packed."""
     top = np.maximum(np.abs(sums).max(axis=1, initial=0), 1)[:, None]
-    return np.rint(sums * (127.0 / top)).astype(np.int8)
+    return packed(np.rint(sums * (7.0 / top)).astype(np.int8))
 
 
 class Pooler:
@@ -291,7 +303,7 @@ def train(df: DataFrame, labels: DataFrame, use: Column, *, id_col: str = "doc_i
           label_col: str = "quality", fit_rows: int = FIT_ROWS) -> QualityModel:
     """A model from the labelled rows where ``use`` (on ids) holds.
 
-    ``fit_rows`` bounds what the driver receives: one vector per fitted row, and 136
+    ``fit_rows`` bounds what the driver receives: one vector per fitted row, and 72
     bytes per word of these rows.
     """
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & use).groupBy(id_col).agg(
@@ -328,17 +340,20 @@ def train(df: DataFrame, labels: DataFrame, use: Column, *, id_col: str = "doc_i
                 if at == len(sums):
                     sums = np.concatenate([sums, np.zeros_like(sums)])
                 part = part.as_buffer()
-                sums[at] += np.frombuffer(part, dtype=kinds[part.size])
+                if part.size in kinds:
+                    sums[at] += np.frombuffer(part, dtype=kinds[part.size])
+                else:
+                    sums[at] += unpacked(np.frombuffer(part, dtype=np.uint8)[None])[0]
         words = np.fromiter(row, dtype=np.int64, count=len(row))
         for a in range(0, len(row), PACK):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([words[a:a + PACK].tobytes()], type=pa.binary()),
-                 pa.array([in_bytes(sums[a:min(a + PACK, len(row))]).tobytes()], type=pa.binary())], names=["words", "sums"])
+                 pa.array([in_halves(sums[a:min(a + PACK, len(row))]).tobytes()], type=pa.binary())], names=["words", "sums"])
 
     packs = rows.select("text").mapInArrow(gather, "word long, sums binary").repartition("word").mapInArrow(
-        add_up, "words binary, sums binary").collect()  # 136 bytes a word of at most fit_rows rows
+        add_up, "words binary, sums binary").collect()  # 72 bytes a word of at most fit_rows rows
     learned = Learned(np.frombuffer(b"".join(bytes(r["words"]) for r in packs), dtype=np.int64).view(np.uint64),
-                      np.frombuffer(b"".join(bytes(r["sums"]) for r in packs), dtype=np.int8).reshape(-1, DIMENSIONS))
+                      np.frombuffer(b"".join(bytes(r["sums"]) for r in packs), dtype=np.uint8).reshape(-1, DIMENSIONS // 2))
     del packs
     shared = spark.sparkContext.broadcast(learned)  # bounded by fit_rows
 
@@ -348,6 +363,7 @@ def train(df: DataFrame, labels: DataFrame, use: Column, *, id_col: str = "doc_i
 
     pooled = sorted((r["k"], r["label"], bytes(r["x"])) for r in map_slices(
         rows, pool, "k long, label int, x binary", owner="quality").collect())  # at most fit_rows vectors
+    shared.destroy()
     x = np.array([np.frombuffer(b, dtype="<f8") for _, _, b in pooled]).reshape(-1, FEATURES)
     y = np.array([label for _, label, _ in pooled], dtype=np.float64)
     return QualityModel(learned, Network(x, (y > 0).astype(np.float64)))

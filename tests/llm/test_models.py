@@ -71,6 +71,10 @@ def index_of(words):
     return quality.index_vectors(quality.word_hashes(words))
 
 
+def decoded(v):
+    return np.frombuffer(v, dtype=f"<i{len(v) // 128}") if len(v) > 64 else quality.unpacked(np.frombuffer(v, np.uint8)[None])[0]
+
+
 def test_contexts_equal_a_plain_loop(monkeypatch):
     words = "a b c a b d".split() * 300
     vector = dict(zip("abcd", index_of(list("abcd")).astype(int)))
@@ -87,7 +91,7 @@ def test_contexts_equal_a_plain_loop(monkeypatch):
         got = {}
         for batch in seen.take():
             for h, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                got[h] = np.frombuffer(v, dtype={128: "<i1", 256: "<i2", 512: "<i4"}[len(v)])
+                got[h] = decoded(v)
         assert not seen.row and len(got) == 4
         for w, h in zip("abcd", quality.word_hashes(list("abcd")).astype(np.int64)):
             assert (got[int(h)] == want[w]).all()
@@ -95,15 +99,16 @@ def test_contexts_equal_a_plain_loop(monkeypatch):
 
 def test_sums_of_every_size_are_coded():
     sums = np.zeros((6, quality.DIMENSIONS), dtype=np.int64)
-    sums[:, 3] = 0, 127, -128, 32767, -32768, 2 ** 40
+    sums[:, 3] = 0, 7, -7, 127, -128, 2 ** 40
+    sums[5, 4] = -32768
     rows = [r for b in quality.coded(np.arange(6, dtype=np.uint64), sums) for r in zip(*(c.to_pylist() for c in b.columns))]
-    assert {h: int(np.frombuffer(v, dtype=f"<i{len(v) // 128}")[3]) for h, v in rows} == {
-        1: 127, 2: -128, 3: 32767, 4: -32768, 5: 2 ** 40}
+    assert {h: len(v) for h, v in rows} == {1: 64, 2: 64, 3: 128, 4: 256, 5: 1024}
+    assert all((decoded(v) == sums[h]).all() for h, v in rows) and len(rows) == 5
 
 
 def test_pooling_is_the_mean_of_word_vectors_also_when_the_table_starts_afresh(monkeypatch):
     texts = ["one two two!", None, "three four five", "one"]
-    learned = quality.Learned(quality.word_hashes(["two"]), np.full((1, quality.DIMENSIONS), 127, dtype=np.int8))
+    learned = quality.Learned(quality.word_hashes(["two"]), quality.packed(np.full((1, quality.DIMENSIONS), 7)))
     whole = quality.Pooler(learned).pool(texts)
     monkeypatch.setattr(quality, "MEMO_WORDS", 3)
     small = quality.Pooler(learned)
@@ -144,7 +149,7 @@ def test_quality_rare_words_get_contexts(spark):
     learned = quality.train(docs, labels, F.lit(True)).learned
     words = [f"a{j}" for j in range(5000)] + [f"b{j}" for j in range(4000)]
     assert len(learned) == 9000 and set(learned.hashes) == set(quality.word_hashes(words))
-    assert (np.abs(learned.vectors).max(axis=1) == 127).all()
+    assert (np.abs(quality.unpacked(learned.vectors)).max(axis=1) == 7).all()
 
 
 def test_quality_fits_one_row_per_id(spark, monkeypatch):
