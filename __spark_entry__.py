@@ -59,7 +59,9 @@ from ledgerlens.plans import (
     bin01_report,
     confirm_messages,
     confirm_outcomes,
+    confirm_outcomes_by_instant,
     confirm_report,
+    mark_not_found,
     run_check,
 )
 from ledgerlens.session import checkpoint_dir
@@ -221,6 +223,21 @@ def q_confirm_outcomes(spark, sf_dir):
     return normalize(confirm_outcomes(sent, rep, timeout_seconds=fx.REPLY_TIMEOUT_SECONDS))
 
 
+def q_confirm_outcomes_by_instant(spark, sf_dir):
+    sent = testdata_view(spark, sf_dir, "sent_messages")
+    rep = testdata_view(spark, sf_dir, "replies")
+    return normalize(confirm_outcomes_by_instant(sent, rep, timeout_seconds=fx.REPLY_TIMEOUT_SECONDS))
+
+
+def q_confirm_send_errors(spark, sf_dir):
+    """The outcomes where messages to contacts that the sheet lacks, or has without a usable phone, were not found."""
+    prepared = confirm_messages(confirm_contacts(testdata_view(spark, sf_dir, "contacts")), company=fx.COMPANY,
+                                template=fx.TEMPLATE)
+    sent = mark_not_found(testdata_view(spark, sf_dir, "sent_messages"), prepared.filter("telefone_valido"))
+    return normalize(confirm_outcomes_by_instant(sent, testdata_view(spark, sf_dir, "replies"),
+                                                 timeout_seconds=fx.REPLY_TIMEOUT_SECONDS))
+
+
 def q_confirm_report(spark, sf_dir):
     """The outcome table: every contact of the sheet and every sent message."""
     prepared = confirm_messages(confirm_contacts(testdata_view(spark, sf_dir, "contacts")), company=fx.COMPANY,
@@ -318,6 +335,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["confirm_contacts"] = q_confirm_contacts
     out["confirm_messages"] = q_confirm_messages
     out["confirm_outcomes"] = q_confirm_outcomes
+    out["confirm_outcomes_by_instant"] = q_confirm_outcomes_by_instant
+    out["confirm_send_errors"] = q_confirm_send_errors
     out["confirm_report"] = q_confirm_report
     out["confirm_results"] = q_confirm_results
     out["confirm_sanitize"] = q_confirm_sanitize

@@ -239,6 +239,17 @@ FROM valid v WHERE NOT EXISTS (SELECT 1 FROM sent_messages s WHERE s.contact_id
   FROM kept WHERE ({clean}) IS NOT NULL"""})
 
 
+def confirm_send_errors_sql() -> str:
+    digits = "regexp_replace(coalesce(telefone, ''), '[^0-9]', '', 'g')"
+    lost = "NOT EXISTS (SELECT 1 FROM usable u WHERE u.contact_id = o.contact_id)"
+    return with_views(f"""
+SELECT message_id, contact_id, sent_ts, CASE WHEN lost THEN 'ERRO - CONTATO NÃO ENCONTRADO' END AS send_error,
+  CASE WHEN lost THEN 'ERRO - CONTATO NÃO ENCONTRADO' ELSE status END AS status,
+  CASE WHEN NOT lost THEN resposta END AS resposta, CASE WHEN NOT lost THEN reply_ts END AS reply_ts
+FROM (SELECT o.*, {lost} AS lost FROM ({confirm_outcomes_sql()}) o) m""", "contacts", ctes={
+        "kept": _CONTACTS_KEPT, "usable": f"SELECT contact_id FROM kept WHERE {digits} <> ''"})
+
+
 def confirm_results_sql() -> str:
     """The report as the result table holds it."""
     return f"SELECT nome_cliente, telefone, notas_fiscais, status, resposta, data_hora FROM ({confirm_report_sql()}) r"
@@ -308,6 +319,8 @@ ORACLE_SQL.update({
     "confirm_contacts": confirm_contacts_sql(),
     "confirm_messages": confirm_messages_sql(),
     "confirm_outcomes": confirm_outcomes_sql(),
+    "confirm_outcomes_by_instant": confirm_outcomes_sql(),
+    "confirm_send_errors": confirm_send_errors_sql(),
     "confirm_report": confirm_report_sql(),
     "confirm_results": confirm_results_sql(),
     "confirm_sanitize": confirm_sanitize_sql(),

@@ -17,7 +17,13 @@ from ledgerlens.plans.car import (
     car10_multiple_advances,
 )
 from ledgerlens.plans.cax import cax02_cash_over_limit
-from ledgerlens.plans.confirm import confirm_messages, confirm_outcomes, confirm_report
+from ledgerlens.plans.confirm import (
+    confirm_messages,
+    confirm_outcomes,
+    confirm_outcomes_by_instant,
+    confirm_report,
+    mark_not_found,
+)
 from ledgerlens.plans.rec import billing_extract, rec07_weekend_holiday_billing, write_billing_extract
 from ledgerlens.plans.suite import CATALOG, audit_suite, params_text, run_check, select_checks
 

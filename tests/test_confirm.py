@@ -2,13 +2,21 @@
 
 import datetime as dt
 import os
+import re
 import uuid
 
 from pyspark.sql import functions as F
 
 from paths import SF_SMALL
 from ledgerlens import fixture as fx
-from ledgerlens.plans import confirm_messages, confirm_outcomes, confirm_report
+from ledgerlens.plans import (
+    confirm_messages,
+    confirm_outcomes,
+    confirm_outcomes_by_instant,
+    confirm_report,
+    mark_not_found,
+)
+from ledgerlens.plans.confirm import instant_cells
 from ledgerlens.sources import confirm_contacts
 from ledgerlens.sources import testdata_view as derived_view
 from ledgerlens.sources.testdata import StreamingTables, replies, sent_messages
@@ -336,3 +344,69 @@ def test_stream_work_does_not_grow_with_history(spark, tmp_out, monkeypatch):
     rows = tables.outcomes().collect()
     assert len(rows) == len(sent)
     assert {x.message_id: (x.status, x.resposta, x.reply_ts) for x in rows} == brute_force(sent, reps, 600)
+
+
+SENT_TYPE = "message_id long, contact_id long, sent_ts timestamp_ntz"
+REPLY_TYPE = "reply_id long, contact_id long, reply_ts timestamp_ntz, reply_text string"
+
+
+def _by_instant(spark, sent, reps, timeout):
+    rows = confirm_outcomes_by_instant(spark.createDataFrame(sent, SENT_TYPE), spark.createDataFrame(reps, REPLY_TYPE),
+                                       timeout_seconds=timeout).collect()
+    assert len(rows) == len(sent)
+    return {r.message_id: (r.status, r.resposta, r.reply_ts) for r in rows}
+
+
+def test_matching_by_instant_equals_brute_force(spark):
+    assert _by_instant(spark, SENT, REPLIES, 300) == brute_force(SENT, REPLIES, 300)
+    odd = [(1, None, _s(0)), (2, 5, None), (3, 5, _s(0)), (4, 5, _s(0))]
+    none = ("SEM RESPOSTA", None, None)
+    got = _by_instant(spark, odd, [(1, None, _s(1), "x"), (2, 5, None, "x"), (3, 5, _s(1), "SIM"), (4, 5, _s(1), "x")], 300)
+    assert got == {1: none, 2: none, 3: ("RESPONDIDO", "SIM", _s(1)), 4: ("RESPONDIDO", "SIM", _s(1))}
+    assert _by_instant(spark, [], REPLIES, 300) == {}
+    assert set(_by_instant(spark, SENT, [], 300).values()) == {none}
+
+
+def test_matching_by_instant_with_most_events_in_one_minute(spark):
+    import random
+
+    for timeout, step in ((1, 1), (120, 1_000_000), (120, 7)):
+        rnd = random.Random(timeout + step)
+
+        def at():
+            if rnd.random() < 0.6:                                  # one contact, one minute (or a few microseconds)
+                return 1, _s(600) + dt.timedelta(microseconds=step * rnd.randrange(60))
+            return rnd.choice([1, 2, 3]), _s(rnd.randrange(3000)) + dt.timedelta(microseconds=rnd.randrange(10 ** 6))
+
+        sent = [(i, *at()) for i in range(500)]
+        reps = [(10_000 + i, *at(), rnd.choice(["SIM", "NÃO", "  ", "ok "])) for i in range(700)]
+        assert _by_instant(spark, sent, reps, timeout) == brute_force(sent, reps, timeout)
+
+
+def test_matching_by_instant_bounds_its_windows(spark):
+    for timeout in (1, 2, 300, 3600, 86_400):
+        width, cells = instant_cells(timeout)
+        assert width * cells >= timeout * 1_000_000 and width <= cells <= (timeout * 1_000_000) ** 0.5 + 1
+    assert 2 * instant_cells(300)[1] == 34_642
+    out = confirm_outcomes_by_instant(derived_view(spark, SF_SMALL, "sent_messages"),
+                                      derived_view(spark, SF_SMALL, "replies"), timeout_seconds=300)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # Instants are reduced before their exchange.
+    assert re.search(r"Exchange hashpartitioning\(contact_id#\d+L, __us#\d+L, .*\n.*Aggregate\(key=\[contact_id#\d+L, __us#\d+L\], "
+                     r"functions=\[partial_min\(__v", plan)
+    assert plan.count("FileScan parquet") == 3 and "ReusedExchange" in plan
+
+
+def test_messages_to_unknown_contacts_are_not_found(spark):
+    sent = spark.createDataFrame([(1, 10, _s(0)), (2, 99, _s(0)), (3, None, _s(0))], SENT_TYPE)
+    reps = spark.createDataFrame([(1, 10, _s(5), "SIM"), (2, 99, _s(5), "SIM")], REPLY_TYPE)
+    known = spark.createDataFrame([(10,), (10,), (None,)], "contact_id long")
+    lost = "ERRO - CONTATO NÃO ENCONTRADO"
+    for match in (confirm_outcomes, confirm_outcomes_by_instant):
+        rows = match(mark_not_found(sent, known), reps, timeout_seconds=60).collect()
+        assert {r.message_id: (r.status, r.resposta) for r in rows} == {
+            1: ("RESPONDIDO", "SIM"), 2: (lost, None), 3: (lost, None)}
+    already = sent.withColumn("send_error", F.when(F.col("message_id") == 2, "ERRO - x"))
+    assert {r.message_id: r.send_error for r in mark_not_found(already, known).collect()} == {
+        1: None, 2: "ERRO - x", 3: lost}
