@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SLICE_ROWS = 256
+BATCH_BYTES = 4 << 20
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 LONG_KEY = 64
 ENTRY_BYTES = 220
 _RELEASES: dict[str, Callable[[], None]] = {}
@@ -40,18 +43,28 @@ class Memo(dict):
 
     def __missing__(self, key):
         value = self.compute(key)
-        self.keep(key, value)
-        return value
-
-    def keep(self, key, value) -> None:
         if len(key) > LONG_KEY:
-            return
-        size = ENTRY_BYTES + len(key) + (len(value) if hasattr(value, "__len__") else 0)
-        if self.used + size > self.limit:
-            self.clear()
-            self.used = 0
+            return value
+        size = ENTRY_BYTES + len(key) + (0 if value.__class__ is int else len(value))
         self.used += size
+        if self.used > self.limit:
+            self.clear()
+            self.used = size
         self[key] = value
+        return value
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, whose session sends Python at most ``BATCH_BYTES`` at a time.
+
+    Rows are whole texts, and Spark's 10,000 of them would be held several times over,
+    by the executor and by each of its workers. A lower setting is left as it is.
+    """
+    conf = df.sparkSession.conf
+    held = re.fullmatch(r"(\d+)([kmg]?)b?", conf.get(BATCH_CONF).lower())
+    if held is None or int(held[1]) << {"": 0, "k": 10, "m": 20, "g": 30}[held[2]] > BATCH_BYTES:
+        conf.set(BATCH_CONF, f"{BATCH_BYTES}b")
+    return df
 
 
 def slices(batch: pa.RecordBatch, rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
@@ -77,7 +90,7 @@ def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str,
                     [c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c) for c in
                      (cols[n] for n in names)], names=names)
 
-    return df.mapInArrow(run, schema)
+    return bounded(df).mapInArrow(run, schema)
 
 
 def keep_rows(df: DataFrame, text_col: str, decide: Callable[[list], list], owner: str = "") -> DataFrame:
@@ -89,7 +102,7 @@ def keep_rows(df: DataFrame, text_col: str, decide: Callable[[list], list], owne
                 texts = piece.column(piece.schema.get_field_index(text_col)).to_pylist()
                 yield piece.filter(pa.array(decide(texts), type=pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return bounded(df).mapInArrow(run, df.schema)
 
 
 def held_out(id_col: str, folds: int, fold: int) -> Column:

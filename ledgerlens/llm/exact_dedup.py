@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.batches import slices
+from ledgerlens.llm.batches import bounded, slices
 from ledgerlens.llm.components import cut_lineage, one_row_each
 
 TRIE_BYTES = 96 * 1024 * 1024
@@ -120,18 +120,25 @@ class PatriciaOwners:
                 break
             forked = forked or len(node.kids) > 1
             path, node, held = path + kid.edge, kid, weight
-        entries = list(self._walk(node, b""))
         freed = self._weight(node)
-        node.kids, node.owner = {}, None
+        entries = self._walk(self._cut_off(node), b"")
         if self.send is not None:
             for rest, owner in entries:
                 self.send(path + rest, owner)
         else:
-            node.spill = tempfile.TemporaryFile()
+            file = tempfile.TemporaryFile()
             for entry in entries:
-                pickle.dump(entry, node.spill)
+                pickle.dump(entry, file)
+            node.spill = file
         self.held -= max(0, freed - len(node.edge) - NODE_BYTES)
 
+    @staticmethod
+    def _cut_off(node: Node) -> Node:
+        """What ends at or hangs below a node, which is bare after that."""
+        top = Node(b"", node.owner)
+        top.kids, top.spill, node.kids, node.owner, node.spill = node.kids, node.spill, {}, None, None
+        return top
+
     def _weight(self, top: Node) -> int:
         total, todo = 0, [top]
         while todo:
@@ -140,28 +147,31 @@ class PatriciaOwners:
             todo += node.kids.values()
         return total
 
-    def _walk(self, top: Node, prefix: bytes) -> Iterator[tuple[bytes, tuple]]:
+    @staticmethod
+    def _walk(top: Node, prefix: bytes, files: list | None = None) -> Iterator[tuple[bytes, tuple]]:
+        """The entries of a subtree that was cut off, which ends with that: its nodes go one by one.
+
+        Older spills move along, or are put into ``files`` with their paths.
+        """
         todo = [(top, prefix)]
+        del top
         while todo:
             node, path = todo.pop()
-            if node.spill is not None:  # an older spill moves along
+            path += node.edge
+            if node.spill is not None:
+                if files is not None:
+                    files.append((path, node.spill))
+                    continue
                 yield from ((path + rest, owner) for rest, owner in _replay(node.spill))
             if node.owner is not None:
                 yield path, node.owner
-            todo += [(kid, path + kid.edge) for kid in node.kids.values()]
+            todo += [(kid, path) for kid in node.kids.values()]
 
     def entries(self) -> Iterator[tuple[bytes, tuple]]:
-        """All (key, owner), spilled subtrees last and one by one."""
-        files, todo = [], [(self.root, b"")]
-        while todo:
-            node, path = todo.pop()
-            if node.spill is not None:
-                files.append((path, node.spill))
-                continue
-            if node.owner is not None:
-                yield path, node.owner
-            todo += [(kid, path + kid.edge) for kid in node.kids.values()]
-        self.root = Node(b"")
+        """All (key, owner), spilled subtrees last and one by one; the trie is empty after that."""
+        files: list[tuple] = []
+        yield from self._walk(self._cut_off(self.root), b"", files)
+        self.held = 0
         for path, file in files:
             part = PatriciaOwners(self.budget)
             for rest, owner in _replay(file):
@@ -234,7 +244,8 @@ def owners(rows: DataFrame) -> DataFrame:
               hashlib.sha256(k[16:]).hexdigest(), *o) for k, o in trie.entries()),
             ["n_bytes", "hash", "sha", "keep_id", "keep_rows", "rows"], [i64, i64, pa.string(), i64, i64, i64])
 
-    return rows.mapInArrow(local, PARTIAL).repartition("n_bytes", "hash").mapInArrow(meet, OWNERS)
+    partial = bounded(rows).mapInArrow(local, PARTIAL)
+    return partial.repartition("n_bytes", "hash").mapInArrow(meet, OWNERS)
 
 
 def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

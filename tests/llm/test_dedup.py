@@ -1,5 +1,6 @@
 import hashlib
 import re
+import tracemalloc
 from collections import defaultdict
 
 import xxhash
@@ -7,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import exact_dedup, simhash
+from ledgerlens.llm import batches, exact_dedup, simhash
 from ledgerlens.llm.components import components
 from ledgerlens.llm.queries import op4_exact_dedup, op8_simhash_near_dedup
 
@@ -58,6 +59,42 @@ def test_trie_equals_a_dictionary_also_when_it_spills(rows, budget):
     assert again == want
 
 
+def test_trie_entries_hold_no_second_copy_of_the_texts():
+    trie = exact_dedup.PatriciaOwners(1 << 30)
+    tracemalloc.start()
+    for i in range(1000):
+        trie.add(hashlib.sha256(str(i).encode()).digest() + b"x" * 10_000, (i, 1, 1))
+    full = tracemalloc.get_traced_memory()[0]
+    tracemalloc.reset_peak()
+    n = sum(1 for _ in trie.entries())
+    left, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert n == 1000 and peak < full + (1 << 20) and left < full / 10
+
+
+def test_batches_to_python_are_bounded_in_bytes(spark):
+    import pyarrow as pa
+
+    def sizes(frames):
+        for b in frames:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "size"])
+
+    before = spark.conf.get(batches.BATCH_CONF)
+    try:
+        spark.conf.unset(batches.BATCH_CONF)
+        df = spark.range(0, 4000, 1, 1).select(F.repeat(F.lit("x"), 10_000).alias("text"))
+        owners = exact_dedup.exact_groups(df.select(F.lit(1).alias("doc_id"), "text"))
+        assert [r.group_size for r in owners.limit(1).collect()] == [4000]
+        got = df.mapInArrow(sizes, "n long, size long").collect()
+        assert sum(r.n for r in got) == 4000 and max(r.size for r in got) < batches.BATCH_BYTES + 100_000
+        for held, want in (("1m", "1m"), ("512k", "512k"), ("1g", f"{batches.BATCH_BYTES}b"), ("100", "100")):
+            spark.conf.set(batches.BATCH_CONF, held)
+            batches.bounded(df)
+            assert spark.conf.get(batches.BATCH_CONF).rstrip("b") == want.rstrip("b")
+    finally:
+        spark.conf.set(batches.BATCH_CONF, before)
+
+
 def test_exact_edge_rows(edge_docs, monkeypatch):
     rows = [(r.doc_id, r.text) for r in edge_docs.collect()]
     for budget in (exact_dedup.TRIE_BYTES, 1):
