@@ -1,11 +1,12 @@
 """BPE encoding and decoding with a segment tree over adjacent pair ranks.
 
 A pre-token starts as its bytes. The leaves of a segment tree hold, for every
-adjacent pair, its merge rank joined with its position, so the smallest leaf is
-the leftmost pair of lowest rank and the root is the next merge. A merge changes
-three leaves (the pair itself, the one before, the one swallowed), each updated
-up to the root in logarithmic time, until the root holds no mergeable pair. A
-pre-token of n bytes costs O(n log n) whatever its length.
+adjacent pair, its merge rank, and every node above the least rank of ``FAN`` nodes
+below; so the root has the lowest rank, and the leftmost way down to it ends at the
+next merge. A merge changes three leaves (the pair itself, the one before, the one
+swallowed), each updated up to the root in logarithmic time, until the root holds
+no mergeable pair. A pre-token of n bytes costs O(n log n) whatever its length; one
+of up to ``FAN`` pairs is a root and its leaves, swallowed ones taken out.
 
 Texts are cut where a space stands before a character that is no white space.
 That is always a border between pre-tokens (the pattern attaches that space to
@@ -32,8 +33,10 @@ from ledgerlens.llm.batches import Memo, map_slices, releases
 
 # The pre-token pattern of the tokenizer file's byte-level step.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-NO_PAIR = 1 << 62
-MEMO_BYTES = 120 << 20
+NO_PAIR = 1 << 29
+FAN_BITS = 5
+FAN = 1 << FAN_BITS
+MEMO_BYTES = 256 << 20
 MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -68,59 +71,67 @@ class ByteBpe:
 
     def merge(self, word: bytes) -> list[int]:
         """The ids of one pre-token."""
-        sym = [self.byte_ids[b] for b in word]
+        sym = [*map(self.byte_ids.__getitem__, word)]
         n, rank_of, made = len(sym), self.ranks.get, self.made
         if n < 2:
             return sym
-        size = 1 << (n - 2).bit_length()
-        shift = size.bit_length()
-        mask = (1 << shift) - 1
-        tree = [NO_PAIR] * (2 * size)
-        left, at = sym[0], size
-        for right in sym[1:]:
-            rank = rank_of(left << 20 | right)
-            if rank is not None:
-                tree[at] = rank << shift | (at - size)
-            left = right
-            at += 1
-        for at in range(size - 1, 0, -1):
-            a, b = tree[2 * at], tree[2 * at + 1]
-            tree[at] = a if a < b else b
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        while (key := tree[1]) != NO_PAIR:
-            i = key & mask
+        leaves = [rank_of(left << 20 | right, NO_PAIR) for left, right in zip(sym, sym[1:])]
+        if n <= FAN + 1:  # the leaves and a root
+            while (rank := min(leaves)) != NO_PAIR:
+                i = leaves.index(rank)
+                new = sym[i] = made[rank]
+                del sym[i + 1]
+                if i:
+                    leaves[i - 1] = rank_of(sym[i - 1] << 20 | new, NO_PAIR)
+                if i + 1 < len(leaves):
+                    leaves[i] = rank_of(new << 20 | sym[i + 1], NO_PAIR)
+                    del leaves[i + 1]
+                elif i:
+                    del leaves[i]
+                else:
+                    break
+            return sym
+        levels = [leaves]
+        while len(levels[-1]) > FAN:
+            below = levels[-1]
+            levels.append([min(below[a:a + FAN]) for a in range(0, len(below), FAN)])
+        top, lower = levels[-1], levels[-2::-1]
+        after, before = [*range(1, n + 1)], [*range(-1, n - 1)]
+        while (rank := min(top)) != NO_PAIR:
+            i = top.index(rank)
+            for level in lower:
+                i = level.index(rank, i << FAN_BITS)
             j = after[i]
             k = after[j]
-            new = sym[i] = made[key >> shift]
+            new = sym[i] = made[rank]
             sym[j] = -1
             after[i] = k
             if k < n:
                 before[k] = i
-                rank = rank_of(new << 20 | sym[k])
-                self._set(tree, i + size, NO_PAIR if rank is None else rank << shift | i)
-                self._set(tree, j + size, NO_PAIR)
+                leaves[i] = rank_of(new << 20 | sym[k], NO_PAIR)
+                leaves[j] = NO_PAIR
             else:
-                self._set(tree, i + size, NO_PAIR)
+                leaves[i] = NO_PAIR
             h = before[i]
             if h >= 0:
-                rank = rank_of(sym[h] << 20 | new)
-                self._set(tree, h + size, NO_PAIR if rank is None else rank << shift | h)
+                leaves[h] = rank_of(sym[h] << 20 | new, NO_PAIR)
+                self._lift(levels, h)
+            self._lift(levels, i)
+            if k < n:
+                self._lift(levels, j)
         return [s for s in sym if s >= 0]
 
     @staticmethod
-    def _set(tree: list[int], at: int, value: int) -> None:
-        """A leaf's new value, and its ancestors up to the first that stays as it is."""
-        if tree[at] == value:
-            return
-        tree[at] = value
-        while at > 1:
-            other = tree[at ^ 1]
-            if other < value:
-                value = other
-            at >>= 1
-            if tree[at] == value:
+    def _lift(levels: list[list[int]], at: int) -> None:
+        """Brings the nodes above a leaf up to date, to the first that stays as it is."""
+        below = levels[0]
+        for level in levels[1:]:
+            at >>= FAN_BITS
+            least = min(below[at << FAN_BITS:(at + 1) << FAN_BITS])
+            if level[at] == least:
                 return
-            tree[at] = value
+            level[at] = least
+            below = level
 
     def pre_tokens(self, chunk: str) -> list[str]:
         """The pre-tokens of a chunk without special strings.
@@ -178,20 +189,34 @@ def load(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
+@lru_cache(maxsize=1)
+def _decimals(path: str) -> dict[int, str]:
+    return {i: str(i) for i in load(path).token_bytes}
+
+
 @lru_cache(maxsize=1)
 def _chunk_texts(path: str) -> Memo:
-    bpe = load(path)
-    words = Memo(lambda w: ",".join(map(str, bpe.merge(w.encode()))), MEMO_BYTES)
-    return Memo(lambda chunk: ",".join([words[w] for w in bpe.pre_tokens(chunk)]), MEMO_BYTES)
+    """Ids in decimal by chunk; pre-tokens stand beside the chunks, for each is a chunk of its own."""
+    bpe, decimal = load(path), _decimals(path).__getitem__
+
+    def text(chunk: str) -> str:
+        words = bpe.pre_tokens(chunk)
+        if len(words) == 1:
+            return ",".join(map(decimal, bpe.merge(chunk.encode())))
+        return ",".join(map(memo.__getitem__, words))
+
+    memo = Memo(text, MEMO_BYTES)
+    return memo
 
 
 @lru_cache(maxsize=1)
 def _bytes_by_text(path: str) -> dict[str, bytes]:
-    return {str(i): b for i, b in load(path).token_bytes.items()}
+    decimals = _decimals(path)
+    return {decimals[i]: b for i, b in load(path).token_bytes.items()}
 
 
 def _release() -> None:
-    for kept in (load, _chunk_texts, _bytes_by_text):
+    for kept in (load, _decimals, _chunk_texts, _bytes_by_text):
         kept.cache_clear()
 
 

@@ -17,7 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.batches import Memo, map_slices, releases
-from ledgerlens.llm.bpe import MEMO_BYTES, ByteBpe, cut, load
+from ledgerlens.llm.bpe import ByteBpe, cut, load
+
+MEMO_BYTES = 120 << 20
 
 
 def prove_single(bpe: ByteBpe) -> bytes:

@@ -1,4 +1,6 @@
 import hashlib
+import random
+import sys
 
 import public_tokenizers
 import pytest
@@ -50,6 +52,31 @@ def test_very_long_word():
     assert bpe.load(PATH).encode(text) == library_ids(text)
 
 
+def test_short_pre_token_is_a_root_and_its_leaves():
+    b, calls = bpe.load(PATH), []
+    sys.setprofile(lambda frame, event, arg: calls.append(frame.f_code.co_name) if event == "call" else None)
+    try:
+        ids = b.merge(b" thatrethenououentier")
+    finally:
+        sys.setprofile(None)
+    assert ids == library_ids(" thatrethenououentier")
+    assert set(calls) <= {"merge"}  # no node above the leaves is brought up to date
+
+
+@pytest.mark.parametrize("n", [31, 32, 33, 34, 35, 500, 1024, 1025, 1057, 5000])
+def test_words_about_the_size_of_nodes(n):
+    word = "".join(random.Random(n).choices("abehinorst", k=n))
+    assert bpe.load(PATH).merge(word.encode()) == library_ids(word)
+
+
+def test_chunks_and_their_words_share_a_memo():
+    memo = bpe._chunk_texts(PATH)
+    memo.clear()
+    assert bpe.encode_text(PATH, "a thonour, then thonour") == ",".join(map(str, library_ids("a thonour, then thonour")))
+    assert memo[" thonour,"] == ",".join([memo[" thonour"], memo[","]])
+    assert set(memo) == {"a", " thonour,", " thonour", ",", " then"}
+
+
 def test_proven_strings_are_one_token():
     b = bpe.load(PATH)
     for word in sorted(COUNTER.single)[::500]:
