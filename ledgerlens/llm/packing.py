@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.batches import Memo, claim, releases, slices
+from ledgerlens.llm.batches import Memo, bounded, claim, releases, slices
 from ledgerlens.llm.bpe import byte_alphabet
 from ledgerlens.llm.numbering import BUCKETS, bucket_of, running
 from ledgerlens.session import checkpoint_dir
@@ -46,7 +46,7 @@ WINDOW = 2048
 GRID = 16
 PARTS = 3
 END_ID = 1
-MEMO_BYTES = 160 << 20
+MEMO_BYTES = 120 << 20
 # The tokenizer file's split pattern for lower-cased plain text, with marks of any alphabet.
 WORDS = re.compile(r"[^\W\d_]+|'(?:s|t|re|ve|m|ll|d)|\d|(?:[^\w\s]|_)+")
 ODD_SPACES = "\x1c\x1d\x1e\x1f"
@@ -82,6 +82,7 @@ class PreTokenEncoder:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = [*ODD_SPACES, *self.specials]
         self.alphabet = dict(enumerate(byte_alphabet()))
         self.memo = Memo(self.word_ids, MEMO_BYTES)
 
@@ -90,7 +91,9 @@ class PreTokenEncoder:
         return array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
 
     def is_plain(self, text: str) -> bool:
-        return (all(map(plain, set(text))) and (text.isascii() or unicodedata.is_normalized("NFC", text))
+        if text.isascii():  # the same as below for ASCII, told without a look at each character
+            return not any(x in text for x in self.odd)
+        return (all(map(plain, set(text))) and unicodedata.is_normalized("NFC", text)
                 and not any(x in text for x in self.specials))
 
     def encode(self, text: str) -> bytes:
@@ -134,7 +137,7 @@ def cut_documents(df: DataFrame, path: str, *, id_col: str = "doc_id", text_col:
                                                  names=["doc_id", "start", "length", "doc_tokens", "crc", "ids"])
 
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, PIECES)
+    return bounded(rows).mapInArrow(run, PIECES)
 
 
 def combinations(units: int, parts: int) -> list[tuple[int, ...]]:
@@ -239,13 +242,15 @@ def pack(df: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "t
     cut_documents(df, path, id_col=id_col, text_col=text_col, window=window, end_id=end_id,
                   by_word=by_word).write.parquet(folder)
     pieces = spark.read.parquet(folder)
-    rest = pieces.filter("ids is not null").drop("ids").withColumn("bin", F.ceil(F.col("length") / grid).cast("int"))
+    # a full window is a piece of that length: told so, the ids are read for the divided rests alone
+    full_window = F.col("length") == window
+    rest = pieces.filter(~full_window).drop("ids").withColumn("bin", F.ceil(F.col("length") / grid).cast("int"))
     histogram = {r[0]: r[1] for r in rest.groupBy("bin").count().collect()}  # at most window / grid rows
     planned = plan(histogram, window // grid, parts)
     slots = places(planned)
     n_planned = sum(n for _, n in planned)
 
-    full = pieces.filter("ids is null").select("doc_id", "start", "length", "crc", "doc_tokens")
+    full = pieces.filter(full_window).select("doc_id", "start", "length", "crc", "doc_tokens")
     full = full.withColumn("bucket", bucket_of([F.col("doc_id"), F.col("start")]))
     full = running(full, ["doc_id", "start", "crc"], F.lit(1), bucket="bucket", into="at").select(
         "doc_id", "start", "length", "crc", "doc_tokens", "at", F.lit(0).cast("long").alias("offset"))
@@ -277,14 +282,14 @@ def pack(df: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "t
         F.struct("doc_id", "start", "length", "crc").alias("rest"), "part")
     # Only rests that a window's end divides, at most one a sequence, need their ids again.
     divided = greedy.filter("crc is null").drop("crc")
-    ids = pieces.filter("ids is not null").select(F.struct("doc_id", "start", "length", "crc").alias("rest"), "ids")
+    ids = pieces.filter(~full_window).select(F.struct("doc_id", "start", "length", "crc").alias("rest"), "ids")
     ids = ids.join(divided.select("rest").distinct(), "rest", "left_semi").dropDuplicates(["rest"])
     cut = F.expr("substring(ids, cast(4 * part.skip as int) + 1, cast(4 * part.n as int))")
     columns = ["doc_id", "start", "length", "crc", "doc_tokens", "at", "offset"]
     greedy = greedy.filter("crc is not null").select(*columns).unionByName(
         divided.join(ids, "rest").withColumn("crc", F.crc32(cut)).select(*columns))
 
-    counts = pieces.agg(F.sum(F.when(F.col("ids").isNull(), 1).otherwise(0)).alias("n")).first()
+    counts = pieces.agg(F.sum(F.when(full_window, 1).otherwise(0)).alias("n")).first()
     n_full = counts["n"] or 0
     parts_ = [(full, 0), (in_place, n_full), (greedy, n_full + n_planned)]
     out = [p.select(

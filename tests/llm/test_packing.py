@@ -69,6 +69,23 @@ def test_empty_table(no_docs):
     assert packing.pack(no_docs, PATH).count() == 0
 
 
+def test_ids_are_read_for_divided_rests_alone(spark):
+    docs = spark.range(0, 300).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), (F.col("id") * 17).cast("int")).alias("text"))
+    df = packing.pack(docs, PATH)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnull(ids" not in plan and "isnotnull(ids" not in plan
+    scans = [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "ReadSchema" in x]
+    assert sum("ids:binary" in x for x in scans) == 1 < len(scans)
+    check(df.collect(), {r.doc_id: ids_of(r.text) for r in docs.collect()}, 2048)
+
+
+def test_plain_is_told_alike_for_ascii_texts():
+    encoder = packing._encoder(PATH, True)
+    for c in map(chr, range(128)):
+        assert encoder.is_plain(f"a{c}b") == packing.plain(c)
+    assert not any(encoder.is_plain(f"a {s} b") for s in encoder.specials)
+
+
 def test_one_common_length(spark):
     docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("word " * 699).alias("text"))
     sequences = check(packing.pack(docs, PATH).collect(), {i: ids_of("word " * 699) for i in range(300)}, 2048)
