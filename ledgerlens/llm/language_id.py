@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.batches import claim, keep_rows, map_slices, releases, slices
+from ledgerlens.llm.batches import bounded, claim, keep_rows, map_slices, releases, slices
 
 DIMENSIONS = 1024
 NGRAM = 3
@@ -139,7 +139,7 @@ def bundles(texts: list[str | None]) -> np.ndarray:
     return out
 
 
-def bundle(counts: np.ndarray, grams: np.ndarray, block: int = 8192) -> np.ndarray:
+def bundle(counts: np.ndarray, grams: np.ndarray, block: int = 2048) -> np.ndarray:
     out = np.zeros((counts.shape[0], DIMENSIONS), dtype=np.float32)
     for a in range(0, len(grams), block):
         out += counts[:, a:a + block] @ _vectors().get(grams[a:a + block])
@@ -197,7 +197,7 @@ def train(df: DataFrame, use: Column, *, text_col: str = "text", lang_col: str =
 
     rows = df.filter(use & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    parts = rows.mapInArrow(count, "lang string, sums array<long>")
+    parts = bounded(rows).mapInArrow(count, "lang string, sums array<long>")
     each = parts.select("lang", F.posexplode("sums").alias("at", "v")).groupBy("lang", "at").agg(F.sum("v").alias("v"))
     whole = each.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("at", "v"))).alias("s")).select("lang", "s.v")
     found = sorted((r["lang"], r["v"]) for r in whole.limit(MAX_LANGUAGES + 1).collect())

@@ -189,3 +189,18 @@ def test_a_dirty_language_column_is_refused(spark, monkeypatch):
     rows = spark.createDataFrame([(i, "some text", f"l{i}") for i in range(4)], "doc_id long, text string, lang string")
     with pytest.raises(ValueError, match="languages"):
         language_id.train(rows, F.lit(True))
+
+
+def test_language_tables_and_batches_are_small(spark, monkeypatch):
+    from ledgerlens.llm import batches
+
+    asked, get = [], language_id.NgramVectors.get
+    monkeypatch.setattr(language_id.NgramVectors, "get", lambda self, codes: asked.append(len(codes)) or get(self, codes))
+    text = "".join(chr(0x4E00 + i * 7 % 6000) for i in range(9000))
+    whole = language_id.bundles([text])[0]
+    assert sum(asked) > 5000 and max(asked) <= 2048
+    grams = language_id.ngrams(text)
+    assert (whole == sum(get(language_id._vectors(), grams[a:a + 500]).sum(axis=0) for a in range(0, len(grams), 500))).all()
+    spark.conf.unset(batches.BATCH_CONF)
+    language_id.train(spark.createDataFrame([("ein Wort", "de")], "text string, lang string"), F.lit(True))
+    assert spark.conf.get(batches.BATCH_CONF) == f"{batches.BATCH_BYTES}b"
