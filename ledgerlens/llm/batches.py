@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import re
 from collections.abc import Callable, Iterator
+from contextlib import suppress
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -31,7 +33,15 @@ def claim(owner: str) -> None:
             if name != owner:
                 release()
         _OWNER[0] = owner
-        gc.collect()
+        give_back()
+
+
+def give_back() -> None:
+    """Hands memory that is free again to the system, which the worker would keep while it waits for other tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(AttributeError, OSError, TypeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 class Memo(dict):
@@ -89,6 +99,8 @@ def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str,
                 yield pa.RecordBatch.from_arrays(
                     [c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c) for c in
                      (cols[n] for n in names)], names=names)
+        batch = piece = cols = None
+        give_back()
 
     return bounded(df).mapInArrow(run, schema)
 
@@ -101,6 +113,8 @@ def keep_rows(df: DataFrame, text_col: str, decide: Callable[[list], list], owne
             for piece in slices(batch):
                 texts = piece.column(piece.schema.get_field_index(text_col)).to_pylist()
                 yield piece.filter(pa.array(decide(texts), type=pa.bool_()))
+        batch = piece = texts = None
+        give_back()
 
     return bounded(df).mapInArrow(run, df.schema)
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.batches import bounded, slices
+from ledgerlens.llm.batches import bounded, claim, give_back, slices
 from ledgerlens.llm.components import cut_lineage, one_row_each
 
 TRIE_BYTES = 96 * 1024 * 1024
@@ -214,6 +214,7 @@ def owners(rows: DataFrame) -> DataFrame:
     i64, names = pa.int64(), ["n_bytes", "hash", "norm", "keep_id", "keep_rows", "rows"]
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("exact_dedup")
         sent: list[tuple] = []
         trie = PatriciaOwners(send=lambda key, owner: sent.append((key, owner)))
 
@@ -228,21 +229,26 @@ def owners(rows: DataFrame) -> DataFrame:
                 if sent:
                     yield from _batched((row(*x) for x in sent), names, [i64, i64, pa.binary(), i64, i64, i64])
                     sent.clear()
+        batch = piece = norms = norm = None
         yield from _batched((row(*x) for x in trie.entries()), names, [i64, i64, pa.binary(), i64, i64, i64])
+        give_back()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
+        claim("exact_dedup")
         trie = PatriciaOwners()
         for batch in batches:
             for piece in slices(batch):
                 sizes, hashes, norms, *owner = (c.to_pylist() for c in piece.columns)
                 for n, h, norm, *own in zip(sizes, hashes, norms, *owner):
                     trie.add(n.to_bytes(8, "big") + h.to_bytes(8, "big", signed=True) + norm, tuple(own))
+        batch = piece = norms = norm = None
         yield from _batched(
             ((int.from_bytes(k[:8], "big"), int.from_bytes(k[8:16], "big", signed=True),
               hashlib.sha256(k[16:]).hexdigest(), *o) for k, o in trie.entries()),
             ["n_bytes", "hash", "sha", "keep_id", "keep_rows", "rows"], [i64, i64, pa.string(), i64, i64, i64])
+        give_back()
 
     partial = bounded(rows).mapInArrow(local, PARTIAL)
     return partial.repartition("n_bytes", "hash").mapInArrow(meet, OWNERS)

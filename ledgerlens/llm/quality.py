@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.batches import keep_rows, map_slices, releases, slices
+from ledgerlens.llm.batches import bounded, claim, give_back, keep_rows, map_slices, releases, slices
 from ledgerlens.llm.components import cut_lineage
 
 DIMENSIONS = 128
@@ -47,7 +47,7 @@ CHUNK = 16_384
 PACK = 4_096
 HIDDEN = 32
 EPOCHS = 60
-MEMO_WORDS = 100_000
+MEMO_WORDS = 32_768
 THRESHOLD = 0.3
 FEATURES = DIMENSIONS + 6
 WORDS = re.compile(r"\w+|[^\w\s]+")
@@ -144,7 +144,9 @@ def unpacked(halves: np.ndarray) -> np.ndarray:
 
 def coded(hashes: np.ndarray, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Rows of a word's hash and its sums in the fewest bytes a number; words without neighbours are left out."""
-    top = np.abs(sums).max(axis=1, initial=0)
+    top = np.zeros(len(sums), dtype=np.int64)
+    for a in range(0, len(sums), PACK):
+        top[a:a + PACK] = np.abs(sums[a:a + PACK]).max(axis=1)
     for kind, least, most in (("", 1, 7), ("<i1", 8, 127), ("<i2", 128, 32767), ("<i4", 32768, 2 ** 31 - 1), ("<i8", 2 ** 31, 2 ** 63 - 1)):
         rows = np.flatnonzero((top >= least) & (top <= most))
         for a in range(0, len(rows), PACK):
@@ -191,7 +193,7 @@ class Pooler:
         """Gives every word (no word twice) a row in the table of unit vectors."""
         new = [w for w in words if w not in self.row]
         if len(self.row) + len(new) > MEMO_WORDS:
-            self.row, self.table, new = {}, self.table[:0], list(words)
+            self.row, new = {}, list(words)
         if not new:
             return
         hashes = word_hashes(new)
@@ -200,7 +202,7 @@ class Pooler:
         vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
         used = len(self.row)
         if used + len(new) > len(self.table):
-            grown = np.zeros((max(2 * (used + len(new)), 4096), DIMENSIONS), dtype=np.float32)
+            grown = np.zeros((max(MEMO_WORDS, len(new)), DIMENSIONS), dtype=np.float32)  # pages come with the words
             grown[:used] = self.table[:used]
             self.table = grown
         self.table[used:used + len(new)] = vectors
@@ -320,6 +322,7 @@ def train(df: DataFrame, labels: DataFrame, use: Column, *, id_col: str = "doc_i
     rows = found.join(F.broadcast(one), ["k", "at"]).select("k", "label", "text")  # at most fit_rows rows
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("quality_fit")  # an earlier model's table goes
         seen = Contexts()
         for batch in batches:
             for piece in slices(batch):
@@ -329,32 +332,39 @@ def train(df: DataFrame, labels: DataFrame, use: Column, *, id_col: str = "doc_i
                         if seen.full():
                             yield from seen.take()
         yield from seen.take()
+        batch = piece = None
+        give_back()
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("quality_fit")
         kinds = {DIMENSIONS * n: f"<i{n}" for n in (1, 2, 4, 8)}
         row: dict[int, int] = {}
-        sums = np.zeros((PACK, DIMENSIONS), dtype=np.int64)
+        blocks: list[np.ndarray] = []
         for batch in batches:
             for word, part in zip(batch.column(0).to_pylist(), batch.column(1)):
                 at = row.setdefault(word, len(row))
-                if at == len(sums):
-                    sums = np.concatenate([sums, np.zeros_like(sums)])
-                part = part.as_buffer()
+                if at == PACK * len(blocks):
+                    blocks.append(np.zeros((PACK, DIMENSIONS), dtype=np.int64))
+                part, sums = part.as_buffer(), blocks[at // PACK][at % PACK]
                 if part.size in kinds:
-                    sums[at] += np.frombuffer(part, dtype=kinds[part.size])
+                    sums += np.frombuffer(part, dtype=kinds[part.size])
                 else:
-                    sums[at] += unpacked(np.frombuffer(part, dtype=np.uint8)[None])[0]
+                    sums += unpacked(np.frombuffer(part, dtype=np.uint8)[None])[0]
         words = np.fromiter(row, dtype=np.int64, count=len(row))
-        for a in range(0, len(row), PACK):
+        batch = part = sums = row = None
+        for a in range(0, len(words), PACK):
+            part = words[a:a + PACK]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([words[a:a + PACK].tobytes()], type=pa.binary()),
-                 pa.array([in_halves(sums[a:min(a + PACK, len(row))]).tobytes()], type=pa.binary())], names=["words", "sums"])
+                [pa.array([part.tobytes()], type=pa.binary()),
+                 pa.array([in_halves(blocks.pop(0)[:len(part)]).tobytes()], type=pa.binary())], names=["words", "sums"])
+        give_back()
 
-    packs = rows.select("text").mapInArrow(gather, "word long, sums binary").repartition("word").mapInArrow(
+    packs = bounded(rows.select("text")).mapInArrow(gather, "word long, sums binary").repartition("word").mapInArrow(
         add_up, "words binary, sums binary").collect()  # 72 bytes a word of at most fit_rows rows
     learned = Learned(np.frombuffer(b"".join(bytes(r["words"]) for r in packs), dtype=np.int64).view(np.uint64),
                       np.frombuffer(b"".join(bytes(r["sums"]) for r in packs), dtype=np.uint8).reshape(-1, DIMENSIONS // 2))
     del packs
+    give_back()
     shared = spark.sparkContext.broadcast(learned)  # bounded by fit_rows
 
     def pool(piece):

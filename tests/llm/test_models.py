@@ -204,3 +204,77 @@ def test_language_tables_and_batches_are_small(spark, monkeypatch):
     spark.conf.unset(batches.BATCH_CONF)
     language_id.train(spark.createDataFrame([("ein Wort", "de")], "text string, lang string"), F.lit(True))
     assert spark.conf.get(batches.BATCH_CONF) == f"{batches.BATCH_BYTES}b"
+
+
+def test_a_worker_hands_freed_memory_back():
+    """Rows of 1 KB among others that stay: the C library keeps their pages unless told."""
+    import subprocess
+    import sys
+
+    code = """
+import numpy as np
+from ledgerlens.llm import batches
+held = lambda: int(open("/proc/self/statm").read().split()[1]) * 4096
+rows = [np.ones(1024, dtype=np.int8) for _ in range(120_000)]
+full, stay = held(), rows[::1000]
+batches._RELEASES["table"] = rows.clear
+batches.claim("another")
+assert full - held() > 80e6, (full, held())
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=120)
+
+
+def test_fitting_and_dedup_drop_what_stages_before_kept(spark, monkeypatch):
+    from ledgerlens.llm import batches, exact_dedup
+
+    docs = spark.createDataFrame([(i, f"text {i} of words") for i in range(12)], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    ran, plain = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, *a: ran.append(f) or plain(self, f, *a))
+    quality.score(docs, quality.train(docs, labels, F.lit(True)))
+    exact_dedup.exact_groups(docs)
+    assert len(ran) == 6
+    dropped = []
+    monkeypatch.setitem(batches._RELEASES, "before", lambda: dropped.append("before"))
+    for k, f in enumerate(ran, 1):
+        monkeypatch.setattr(batches, "_OWNER", ["before"])
+        assert not [b for b in f(iter([])) if b.num_rows]
+        assert len(dropped) == k
+
+
+def test_fitting_takes_batches_of_bounded_bytes(spark, monkeypatch):
+    from ledgerlens.llm import batches
+
+    seen, plain = [], type(spark.range(1)).mapInArrow
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", lambda self, f, *a: seen.append(
+        (f.__name__, spark.conf.get(batches.BATCH_CONF))) or plain(self, f, *a))
+    spark.conf.unset(batches.BATCH_CONF)
+    docs = spark.createDataFrame([(1, "a b"), (2, "c d")], "doc_id long, text string")
+    quality.train(docs, docs.select("doc_id", F.lit(1).alias("quality")), F.lit(True))
+    assert ("gather", f"{batches.BATCH_BYTES}b") in seen
+
+
+def test_the_table_of_word_vectors_is_bounded():
+    learned = quality.Learned(np.zeros(0, dtype=np.uint64), np.zeros((0, quality.DIMENSIONS // 2), dtype=np.uint8))
+    pooler = quality.Pooler(learned)
+    for a in range(0, 70_000, 7_000):
+        pooler.pool([" ".join(f"w{i}" for i in range(a, a + 7_000))])
+        assert len(pooler.row) <= quality.MEMO_WORDS and pooler.table.nbytes <= 16 << 20
+
+
+def test_sums_of_more_words_than_a_block(spark, monkeypatch):
+    """Words of one task in several blocks get the sums that they get in one."""
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i * j) % 53}" for j in range(90))) for i in range(9)],
+                                 "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    found = []
+    for pack in (quality.PACK, 5):
+        monkeypatch.setattr(quality, "PACK", pack)
+        seen = quality.Contexts()
+        for r in docs.collect():
+            for part in quality.chunks(quality.WORDS.findall(r.text)):
+                seen.add(part)
+        found.append(sorted(r for b in seen.take() for r in zip(*(c.to_pylist() for c in b.columns))))
+        learned = quality.train(docs, labels, F.lit(True)).learned
+        found.append((learned.hashes.tolist(), learned.vectors.tolist()))
+    assert found[0] == found[2] and found[1] == found[3] and len(found[1][0]) == 53
